@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, quality
 from .common import table
 
 
@@ -10,5 +10,9 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {"op1_mixing": op1_mixing}
+def op2_quality(spark, sf_dir):
+    return quality.quality_rules(table(spark, sf_dir, "documents")).drop("lang", "source", "distance")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality)}
 ORACLES = {"op1_mixing": mixing.ORACLE}
