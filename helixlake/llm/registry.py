@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import chat, mixing, quality
 from .common import table
 
 
@@ -14,5 +14,11 @@ def op2_quality(spark, sf_dir):
     return quality.quality_rules(table(spark, sf_dir, "documents")).drop("lang", "source", "distance")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality)}
-ORACLES = {"op1_mixing": mixing.ORACLE}
+def op10_chat(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(chat.EXTRA, "conv_id long, turn int, role string, text string")
+    return chat.digests(chat.format_conversations(turns.unionByName(extra)))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op10_chat)}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
