@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, quality
+from . import bpe, chat, mixing, quality
 from .common import table
 
 
@@ -20,5 +20,9 @@ def op10_chat(spark, sf_dir):
     return chat.digests(chat.format_conversations(turns.unionByName(extra)))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op10_chat)}
+def op6_bpe(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op6_bpe, op10_chat)}
 ORACLES = {"op1_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
