@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, quality
+from . import bpe, chat, mixing, quality, urls
 from .common import table
 
 
@@ -24,5 +24,9 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op6_bpe, op10_chat)}
-ORACLES = {"op1_mixing": mixing.ORACLE, "op10_chat": chat.ORACLE}
+def op3_urls(spark, sf_dir):
+    return urls.filter_urls(table(spark, sf_dir, "pages")).drop("score")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op6_bpe, op10_chat)}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op10_chat": chat.ORACLE}
