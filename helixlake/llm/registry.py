@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, quality, urls
+from . import bpe, chat, mixing, quality, secrets, urls
 from .common import table
 
 
@@ -28,5 +28,9 @@ def op3_urls(spark, sf_dir):
     return urls.filter_urls(table(spark, sf_dir, "pages")).drop("score")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op6_bpe, op10_chat)}
+def op4_secrets(spark, sf_dir):
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op6_bpe, op10_chat)}
 ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op10_chat": chat.ORACLE}
