@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, mixing, quality, secrets, urls
+from . import bpe, chat, dedup, mixing, quality, secrets, urls
 from .common import table
 
 
@@ -32,5 +32,9 @@ def op4_secrets(spark, sf_dir):
     return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op6_bpe, op10_chat)}
-ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op10_chat": chat.ORACLE}
+def op9_dedup(spark, sf_dir):
+    return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op6_bpe, op9_dedup, op10_chat)}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
