@@ -21,10 +21,12 @@ from .common import materialise
 #: Bands of ROWS values each: two sets of similarity 0.8 share no band with probability (1 - 0.8^6)^42 = 3e-6.
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
-#: Bands take turns in how they choose the centre of a bucket's star, so that a pair isn't always judged by the same third document.
+#: Two bands of three take as a bucket's centre its most popular member, the third a random one, so that a pair isn't
+#: always judged by the same third document.
 ORDERS = 3
-#: Rounds after the first, in which buckets that still hold several components compare one member of each.
-ROUNDS = 2
+#: Rounds after the first, in which buckets that still hold several components compare one member of each: the most
+#: popular one, then random ones.
+ROUNDS = 3
 WIDTH, PERCENT = 5, 80
 _PROBES = 64
 
@@ -115,13 +117,25 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return rows.mapInPandas(run, "id long, hashes array<long>").dropDuplicates(["id"])
 
 
+def _popular(members: DataFrame) -> DataFrame:
+    """members + popular: how many members all buckets of an id have.
+
+    Copies of one text that were edited each on its own are closer to that text than to one another; it is in more
+    buckets with more of them than any of them is, and so becomes the centre of the stars that it is in.
+    """
+    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
+    popular = members.select("bucket", "id").join(sizes, "bucket").groupBy("id").agg(F.sum("size").alias("popular"))
+    return members.join(popular, "id").select("bucket", "order", "id", "n", "popular")
+
+
 def _stars(members: DataFrame) -> DataFrame:
-    """(bucket, order, id, n) -> a, b: each member of a bucket with the bucket's centre, less those of unlike size.
+    """(bucket, order, id, n, popular) -> a, b: each member of a bucket with the bucket's centre, less those of unlike size.
 
-    The centre is the member of least hash under the bucket's order. It is found by a partial aggregation, so a
-    bucket's members never have to stand in one task; a bucket of k gives k - 1 pairs, not k (k - 1) / 2.
+    The centre is found by a partial aggregation, so a bucket's members never have to stand in one task; a bucket of k
+    gives k - 1 pairs, not k (k - 1) / 2.
     """
-    rank = F.struct(F.xxhash64("id", "order").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"))
+    popular = F.when(F.col("order") == ORDERS - 1, F.lit(0).cast("long")).otherwise(-F.col("popular"))
+    rank = F.struct(popular.alias("p"), F.xxhash64("id", "order").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"))
     centres = members.groupBy("bucket").agg(F.min(rank).alias("m"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "m.c", "m.c_n")
     pairs = members.join(centres, "bucket").where(F.col("id") != F.col("c"))
     pairs = pairs.where(100 * F.least("n", "c_n") >= PERCENT * F.greatest("n", "c_n"))
@@ -168,8 +182,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
     1. Profiles of all documents: set size, set digest, band keys. 2. One representative (least doc_id) per distinct set.
     3. Buckets of representatives by band key; stars; exact similarity on full sets; components. 4. In buckets whose
-    members are of several components, one member of each component is compared again, by a star with another centre:
-    links that the first star's centre hid are found then.
+    members are of several components, one member of each component is compared again by a star: links that the first
+    star's centre hid are found then.
     """
     profiles = materialise(_profiles(docs, width), "dedup-profiles")
     sound = profiles.where("n_shingles > 0 and doc_id is not null")
@@ -179,16 +193,17 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     exploded = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "bucket"))
     exploded = exploded.select("bucket", (F.col("band") % ORDERS).cast("byte").alias("order"), "id", "n")
     sizes = exploded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("high > low").select("bucket")
-    members = materialise(exploded.join(sizes, "bucket", "left_semi").distinct(), "dedup-buckets")
+    members = materialise(_popular(materialise(exploded.join(sizes, "bucket", "left_semi").distinct(), "dedup-buckets")), "dedup-members")
     sets = materialise(_sets(docs, members.select("id").distinct(), width), "dedup-sets")
     pairs = materialise(_stars(members), "dedup-pairs")
     edges = materialise(_linked(pairs, sets, percent), "dedup-edges")
     labels = components(edges)
     for k in range(1, rounds + 1):
         held = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        one = F.min(F.struct(F.xxhash64("id", F.lit(k)).alias("h"), "id", "n")).alias("m")
+        first = -F.col("popular") if k == 1 else F.xxhash64("id", F.lit(k))
+        one = F.min(F.struct(first.alias("h"), "id", "n", "popular")).alias("m")
         several = held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("high > low").select("bucket")
-        again = held.join(several, "bucket", "left_semi").groupBy("bucket", "label").agg(one).select("bucket", F.lit(100 + k).cast("byte").alias("order"), "m.id", "m.n")
+        again = held.join(several, "bucket", "left_semi").groupBy("bucket", "label").agg(one).select("bucket", F.lit(0).cast("byte").alias("order"), "m.id", "m.n", "m.popular")
         more = materialise(_stars(again).join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
         found = materialise(_linked(more, sets, percent), "dedup-edges")
         if not found.limit(1).count():
