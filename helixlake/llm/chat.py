@@ -64,7 +64,7 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
     path = best
     for jump in reversed(jumps):
         above = path.join(jump.where("up is not null"), ["conv_id", "node_id"]).select("conv_id", F.col("up").alias("node_id"))
-        path = path.unionByName(above)
+        path = materialise(path.unionByName(above), "chat-path")  # it is read twice a round: planned anew, it would double each time
     depth = reach.select("conv_id", "node_id", F.col("steps").alias("depth"))
     return path.distinct().join(depth, ["conv_id", "node_id"]).join(nodes.select("conv_id", "node_id", "role", "text"), ["conv_id", "node_id"]).select("conv_id", "depth", "role", "text")
 
