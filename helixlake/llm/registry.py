@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, dedup, mixing, quality, secrets, urls
+from . import bpe, chat, dedup, licenses, mixing, quality, secrets, toxicity, urls
 from .common import table
 
 
@@ -36,5 +36,13 @@ def op9_dedup(spark, sf_dir):
     return dedup.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op6_bpe, op9_dedup, op10_chat)}
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op9_dedup, op10_chat)}
 ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
