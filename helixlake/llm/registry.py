@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, dedup, licenses, mixing, quality, secrets, toxicity, urls
+from . import ann, bpe, chat, dedup, licenses, mixing, quality, secrets, toxicity, urls
 from .common import table
 
 
@@ -44,5 +44,9 @@ def op7_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op9_dedup, op10_chat)}
+def op8_ann(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op8_ann, op9_dedup, op10_chat)}
 ORACLES = {"op1_mixing": mixing.ORACLE, "op3_urls": urls.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
