@@ -48,22 +48,26 @@ def tree_paths(nodes: DataFrame) -> DataFrame:
     one = F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent_id", "score")).alias("n")
     nodes = materialise(nodes.groupBy("conv_id", "node_id").agg(one).select("conv_id", "node_id", "n.*"), "chat-nodes")
     known = nodes.select("conv_id", F.col("node_id").alias("parent_id"))
-    up = nodes.join(known, ["conv_id", "parent_id"], "left_semi").select("conv_id", "node_id", F.col("parent_id").alias("up"), F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("steps"))
-    roots = nodes.join(known, ["conv_id", "parent_id"], "left_anti").select("conv_id", "node_id", F.lit(None).cast("long").alias("up"), F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("steps"))
-    jumps = [materialise(up.unionByName(roots), "chat-up")]
+    first = ("conv_id", "node_id", "up", F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("steps"))
+    up = nodes.join(known, ["conv_id", "parent_id"], "left_semi").withColumn("up", F.col("parent_id")).select(*first)
+    roots = nodes.join(known, ["conv_id", "parent_id"], "left_anti").withColumn("up", F.lit(None).cast("long")).select(*first)
+    jumps, reach = [materialise(up, "chat-up")], materialise(roots, "chat-root")
     longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
-    while jumps[-1].where("up is not null").limit(1).count() and 2 ** (len(jumps) - 1) <= longest:
-        a, b = jumps[-1].alias("a"), jumps[-1].select("conv_id", F.col("node_id").alias("b_id"), F.col("up").alias("b_up"), F.col("total").alias("b_total"), F.col("steps").alias("b_steps")).alias("b")
+    while 2 ** (len(jumps) - 1) <= longest and jumps[-1].limit(1).count():
+        # Nodes that have come to their root leave: a round costs what is left of long paths, not the whole table.
+        a = jumps[-1].alias("a")
+        b = jumps[-1].unionByName(reach).select("conv_id", F.col("node_id").alias("b_id"), F.col("up").alias("b_up"), F.col("total").alias("b_total"), F.col("steps").alias("b_steps")).alias("b")
         on = (F.col("a.conv_id") == F.col("b.conv_id")) & (F.col("a.up") == F.col("b_id"))
-        further = a.join(b, on, "left").select("a.conv_id", "a.node_id", F.col("b_up").alias("up"), (F.col("a.total") + F.coalesce("b_total", F.lit(0.0))).alias("total"), (F.col("a.steps") + F.coalesce("b_steps", F.lit(0))).alias("steps"))
-        jumps.append(materialise(further, "chat-up"))
-    reach = jumps[-1].where("up is null")
+        further = a.join(b, on).select("a.conv_id", "a.node_id", F.col("b_up").alias("up"), (F.col("a.total") + F.col("b_total")).alias("total"), (F.col("a.steps") + F.col("b_steps")).alias("steps"))
+        further = materialise(further, "chat-jump")
+        jumps.append(further.where("up is not null"))
+        reach = reach.unionByName(further.where("up is null"))
     leaves = reach.join(nodes.select("conv_id", F.col("parent_id").alias("node_id")), ["conv_id", "node_id"], "left_anti")
     rank = F.struct((-F.col("total") / F.col("steps")).alias("worst"), (-F.col("steps")).alias("short"), F.col("node_id").alias("leaf"))
     best = leaves.groupBy("conv_id").agg(F.min(rank).alias("best")).select("conv_id", F.col("best.leaf").alias("node_id"))
     path = best
     for jump in reversed(jumps):
-        above = path.join(jump.where("up is not null"), ["conv_id", "node_id"]).select("conv_id", F.col("up").alias("node_id"))
+        above = path.join(jump, ["conv_id", "node_id"]).select("conv_id", F.col("up").alias("node_id"))
         path = materialise(path.unionByName(above), "chat-path")  # it is read twice a round: planned anew, it would double each time
     depth = reach.select("conv_id", "node_id", F.col("steps").alias("depth"))
     return path.distinct().join(depth, ["conv_id", "node_id"]).join(nodes.select("conv_id", "node_id", "role", "text"), ["conv_id", "node_id"]).select("conv_id", "depth", "role", "text")
