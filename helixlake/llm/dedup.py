@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small
 
 #: Bands of ROWS values each: two sets of similarity 0.8 share no band with probability (1 - 0.8^6)^42 = 3e-6.
 BANDS, ROWS = 42, 6
@@ -218,11 +218,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
 
 def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """docs without the documents whose component has one of smaller doc_id; of rows that share a doc_id, one stays."""
-    gone = near_duplicates(docs, **parameters).where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
-    again = materialise(left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id")), "dedup-again")
+    gone = materialise(near_duplicates(docs, **parameters).where("not kept").select(F.col("doc_id").alias("_id")).distinct(), "dedup-gone")
+    again = materialise(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id")), "dedup-again")
+    left = docs.join(small(gone), F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
     same = left["doc_id"] == F.col("_id")
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    return left.join(small(again), same, "left_anti").unionByName(left.join(small(again), same, "left_semi").dropDuplicates(["doc_id"]))
 
 
 ORACLE = r"""

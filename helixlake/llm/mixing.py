@@ -73,39 +73,57 @@ def _with(rows: DataFrame, more: DataFrame) -> DataFrame:
     return rows.join(more, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, share_percent: int = 100, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted).
+def _digest(seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
+def _placed(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """rows (source, digest) with their source's plan, extra (a further repetition: 1 or 0) and at_cut (not known from these)."""
+    rows = _with(rows, plan).withColumn("b1", F.substring("digest", 1, DIGITS)).withColumn("b2", F.substring("digest", DIGITS + 1, DIGITS))
+    rows = rows.withColumn("at_cut", F.coalesce(F.expr("b1 = cut_b1 and b2 = cut_b2"), F.lit(False)))
+    return rows.withColumn("extra", F.expr("case when b1 < cut_b1 or (b1 = cut_b1 and b2 < cut_b2) then 1 else 0 end"))
+
+
+def plan_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int = 3, share_percent: int = 100, seed: int = 42) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """sized: doc_id, source, size, digest of every document; plan: per source; chosen: the documents at the cut, with extra.
 
     Every document of a source is taken `whole` times; for the part left over, documents come in order of a seeded
     digest until their running size is nearest to it. The order is found by two levels of bucket sums, so that
     only the documents of one bucket in 16 ** (2 * DIGITS) of a source are ever sorted in one task.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("digest")), "mix")
+    sized = materialise(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), _digest(seed).alias("digest")), "mix")
     plan = small(materialise(water_fill(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_epochs, share_percent), "mix-plan"))
-    b1, b2 = F.substring("digest", 1, DIGITS), F.substring("digest", DIGITS + 1, DIGITS)
-    rows = _with(sized, plan).withColumn("b1", b1).withColumn("b2", b2)
+    rows = _with(sized, plan).withColumn("b1", F.substring("digest", 1, DIGITS)).withColumn("b2", F.substring("digest", DIGITS + 1, DIGITS))
     cut1 = small(materialise(_cut(rows.withColumn("o1", F.lit(0).cast("long")), "b1", "o1"), "mix-cut"))
-    rows = _with(rows, cut1)
-    cut2 = small(materialise(_cut(rows.where("b1 = cut_b1"), "b2", "before_b1"), "mix-cut"))
-    rows = _with(rows, cut2)
-    at_cut = F.coalesce(F.expr("b1 = cut_b1 and b2 = cut_b2"), F.lit(False))
-    extra = F.expr("case when b1 < cut_b1 or (b1 = cut_b1 and b2 < cut_b2) then 1 else 0 end")
+    cut2 = small(materialise(_cut(_with(rows, cut1).where("b1 = cut_b1"), "b2", "before_b1"), "mix-cut"))
+    plan = small(materialise(_with(_with(plan, cut1), cut2), "mix-plan"))
     order = W.partitionBy("source").orderBy("digest", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
     middle = 2 * (F.col("before_b2") + F.sum("size").over(order)) - F.col("size")
-    rows = rows.where(~at_cut).withColumn("extra", extra).unionByName(rows.where(at_cut).withColumn("extra", F.when(middle <= 2 * F.col("part"), 1).otherwise(0)))
+    chosen = _placed(sized, plan).where("at_cut").withColumn("extra", F.when(middle <= 2 * F.col("part"), 1).otherwise(0))
+    return sized, plan, chosen
+
+
+def mix_sources(docs: DataFrame, **parameters) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken (words, repeats counted)."""
+    sized, plan, chosen = plan_mix(docs, **parameters)
+    rows = _placed(sized, plan).where("not at_cut").unionByName(chosen)
     return rows.select("doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("whole") + F.col("extra"))).cast("long").alias("taken"))
 
 
-def apply_mix(docs: DataFrame, **parameters) -> DataFrame:
-    """The mixed corpus: every row of docs as often as the mix takes it. A document taken 0 times goes.
+def apply_mix(docs: DataFrame, seed: int = 42, **parameters) -> DataFrame:
+    """The mixed corpus: every row of docs as often as the mix takes it; word-less documents, or ones taken 0 times, go.
 
-    Repeated rows that share a doc_id share the decision of the one taken most often.
+    A document's repetitions follow from its source's plan and its own digest, so the texts are not shuffled. Repeated
+    rows that share a doc_id at the cut share the decision of the one that is taken more often.
     """
-    mix = mix_sources(docs, **parameters).where("size > 0 and taken > 0")
-    copies = mix.groupBy("doc_id").agg(F.max(F.expr("cast(taken div size as int)")).alias("_copies"))
-    joined = docs.alias("d").join(copies.withColumnRenamed("doc_id", "_id"), F.col("d.doc_id").eqNullSafe(F.col("_id")))
-    return joined.select("d.*", F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+    _, plan, chosen = plan_mix(docs, seed=seed, **parameters)
+    at_cut = small(materialise(chosen.groupBy("digest").agg(F.max("extra").alias("_extra")), "mix-chosen").withColumnRenamed("digest", "_digest"))
+    key = F.struct(F.col("source"), _digest(seed).alias("digest"), F.struct("*").alias("doc"))
+    rows = _placed(docs.where(F.col("text").rlike(WORD)).select(key.alias("k")).select("k.*"), plan)
+    rows = rows.join(at_cut, F.col("digest") == F.col("_digest"), "left")
+    copies = (F.col("whole") + F.when(F.col("at_cut"), F.coalesce("_extra", F.lit(0))).otherwise(F.col("extra"))).cast("int")
+    rows = rows.select("doc", copies.alias("copies")).where("copies > 0")
+    return rows.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*")
 
 
 ORACLE = r"""

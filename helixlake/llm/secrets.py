@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import let, materialise
+from .common import let, materialise, small
 
 #: In order of kind: name, pattern, group whose length is held against the minimum, minimum.
 KINDS = (
@@ -174,7 +174,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc_id"), "text")
     of_text = scan(keyed).where("size(spans) > 0").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), "spans")
-    of_text = materialise(of_text.groupBy("_id", "_hash").agg(F.first("spans").alias("_spans")), "secrets-spans")
+    of_text = small(materialise(of_text.groupBy("_id", "_hash").agg(F.first("spans").alias("_spans")), "secrets-spans"))
     joined = docs.withColumn("_key", F.xxhash64("text")).join(of_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
     span = "struct<start: int, end: int>"
     last = lambda a: F.element_at(a, -1)

@@ -127,16 +127,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.01) -> np.ndarray:
     return w
 
 
-#: Margins from which on a word is counted as an insult, more and less surely.
-_LEVELS = (0.0, 0.5, 1.0, 1.5)
-_FEATURES = 2 * len(_LEVELS) + 1
+#: Shares of the words of clean sentences whose margins a level exceeds: a word is counted at each level that it reaches.
+_SHARES = (0.99, 0.995, 0.998, 0.999, 0.9997)
+_FEATURES = 2 * len(_SHARES) + 1
 
 
-def _features(margins: np.ndarray) -> list[float]:
+def _features(margins: np.ndarray, levels: list[float]) -> list[float]:
     """Of a document: how many words reach each level, what share of its words that is, and the largest margin."""
     if not len(margins):
         return [0.0] * (_FEATURES - 1) + [-2.0]
-    counts = [int((margins >= level).sum()) for level in _LEVELS]
+    counts = [int((margins >= level).sum()) for level in levels]
     return [float(np.log1p(c)) for c in counts] + [float(np.log1p(100 * c / len(margins))) for c in counts] + [float(np.clip(margins.max(), -2, 2))]
 
 
@@ -157,7 +157,7 @@ def train(sample: pd.DataFrame) -> dict:
             (toxic if label else clean).update(s)
     labels = [y for y, _ in held]
     if not 0 < sum(labels) < len(labels):
-        return {"weights": np.zeros(_SIZE**3, np.float32), "bias": -1.0, "calibration": [0.0] * _FEATURES + [30.0 if sum(labels) else -30.0], "center": [0.0] * _FEATURES, "scale": [1.0] * _FEATURES}
+        return {"weights": np.zeros(_SIZE**3, np.float32), "bias": -1.0, "levels": [0.0] * len(_SHARES), "calibration": [0.0] * _FEATURES + [30.0 if sum(labels) else -30.0], "center": [0.0] * _FEATURES, "scale": [1.0] * _FEATURES}
     n_toxic, n_clean = sum(len(s) for y, s in held if y), sum(len(s) for y, s in held if not y)
     prior = n_toxic / n_clean
     excess = lambda w: (toxic[w] + 0.5) / ((clean[w] + 0.5) * prior)
@@ -199,10 +199,13 @@ def train(sample: pd.DataFrame) -> dict:
     whole = [_words(t or "") for t in sample["text"]]  # here, as in scoring, words keep the punctuation they end in
     rest = sorted({w for words in whole for w in words}.difference(margin))
     margin |= zip(rest, word_scores(rest, weights) + bias, strict=True)
-    rows = np.array([_features(np.array([margin[w] for w in words])) for words in whole])
+    usual = sorted((margin[w], n) for w, n in clean.items())
+    run = np.cumsum([n for _, n in usual])
+    levels = [usual[min(len(usual) - 1, int(np.searchsorted(run, share * run[-1])))][0] for share in _SHARES]
+    rows = np.array([_features(np.array([margin[w] for w in words]), levels) for words in whole])
     center, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-9
     calibration = _logistic((rows - center) / scale, np.array(labels, float))
-    return {"weights": weights, "bias": bias, "calibration": calibration.tolist(), "center": center.tolist(), "scale": scale.tolist()}
+    return {"weights": weights, "bias": bias, "levels": levels, "calibration": calibration.tolist(), "center": center.tolist(), "scale": scale.tolist()}
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> pd.DataFrame:
@@ -235,7 +238,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                         known = {}
                         new = list(set(words))
                     known |= zip(new, (word_scores(new, m["weights"]) + m["bias"]).tolist(), strict=True)
-                rows.append(_features(np.fromiter(map(known.__getitem__, words), float, len(words))))
+                rows.append(_features(np.fromiter(map(known.__getitem__, words), float, len(words)), m["levels"]))
             x = (np.array(rows).reshape(-1, _FEATURES) - center) / scale
             z = 1 / (1 + np.exp(-np.clip(x @ calibration[:-1] + calibration[-1], -30, 30)))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": z, "predicted": (z >= THRESHOLD).astype("int32")})
