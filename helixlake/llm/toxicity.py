@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Most labelled documents that training takes, and the longest text among these: the sample that reaches the driver.
-SAMPLE, SAMPLE_CHARS = 8_000, 30_000
+SAMPLE, SAMPLE_CHARS = 6_000, 20_000
 DECAY, SPAN = 0.7, 5
 #: Landmarks, most words among the training examples, rounds of choosing each toxic sentence's witness anew.
-LANDMARKS, EXAMPLES, ROUNDS = 160, 24_000, 3
+LANDMARKS, EXAMPLES, ROUNDS = 200, 24_000, 3
+#: The cost of missing all insults, as a share (one in RARITY) of that of all false alarms.
+RARITY = 12
 SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 200_000
 THRESHOLD = 0.7
 #: Letters a-z and the accented ones of Latin-1 have codes of their own; all other characters share code 0.
@@ -32,6 +34,7 @@ _CODES = {chr(c): chr(c - 96) for c in range(97, 123)} | {chr(c): chr(c - 224 +
 _SIZE = 64
 _OFFSETS = [(a, b) for b in range(2, SPAN + 1) for a in range(1, b)]
 _ENDS = re.compile(r"[.!?\n|]+")
+_OTHER = re.compile("[^a-z\u00e0-\u00ff]+")
 
 
 class _Table(dict):
@@ -55,6 +58,16 @@ def _triples(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
 
 
 def word_scores(words: list[str], weights: np.ndarray) -> np.ndarray:
+    """Scores of words as they stand; a word with characters of code 0 is scored without these too, the better counting."""
+    out = _scores(words, weights)
+    bare = [(i, b) for i, w in enumerate(words) if len(b := _OTHER.sub("", w)) != len(w) and b]
+    if bare:
+        at = [i for i, _ in bare]
+        out[at] = np.maximum(out[at], _scores([b for _, b in bare], weights))
+    return out
+
+
+def _scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     """Sum over a word's triples of their decayed weights, over the word's norm; words in pieces of LONGEST characters
     (overlapping by half) if longer, the best piece counting."""
     out = np.zeros(len(words))
@@ -65,7 +78,7 @@ def word_scores(words: list[str], weights: np.ndarray) -> np.ndarray:
         if n > LONGEST:
             for i in at:
                 pieces = [words[i][k : k + LONGEST] for k in range(0, n - LONGEST // 2, LONGEST // 2)]
-                out[i] = word_scores(pieces, weights).max()
+                out[i] = _scores(pieces, weights).max()
             continue
         codes = _codes([words[i] for i in at])
         total, norm = np.zeros(len(at)), 0.0
@@ -88,6 +101,27 @@ def _landmark(word: str) -> np.ndarray:
     return weights / np.sqrt(norm) if norm else weights
 
 
+def _landmarks(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The landmarks' feature vectors over the triples that any of them has, and those triples."""
+    own = [(np.flatnonzero(v), v[v != 0]) for v in map(_landmark, words)]
+    used = np.unique(np.concatenate([i for i, _ in own]))
+    base = np.zeros((len(words), len(used)), np.float32)
+    for row, (i, v) in zip(base, own, strict=True):
+        row[np.searchsorted(used, i)] = v
+    return base, used
+
+
+def _spread(values: np.ndarray, used: np.ndarray) -> np.ndarray:
+    weights = np.zeros(_SIZE**3, np.float32)
+    weights[used] = values
+    return weights
+
+
+def _kernel(words: list[str], base: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Kernel of each word with each landmark."""
+    return np.stack([_scores(words, _spread(row, used)) for row in base], axis=1)
+
+
 def _words(text: str) -> list[str]:
     return text.lower().split()
 
@@ -150,8 +184,9 @@ def train(sample: pd.DataFrame) -> dict:
     """
     toxic, clean = Counter(), Counter()
     held: list[tuple[int, list[list[str]]]] = []
+    names: dict[str, str] = {}  # one object a word
     for text, label in zip(sample["text"], sample["toxic"], strict=True):
-        sentences = [sorted(set(s)) for s in _sentences(text or "")]
+        sentences = [[names.setdefault(w, w) for w in sorted(set(s))] for s in _sentences(text or "")]
         held.append((int(label), sentences))
         for s in sentences:
             (toxic if label else clean).update(s)
@@ -166,8 +201,8 @@ def train(sample: pd.DataFrame) -> dict:
     insults = {w: float(toxic[w]) for w in rank[:4000] if toxic[w] >= 2 and excess(w) >= 5}
     marks = [w for w in rank if w in insults][: LANDMARKS * 3 // 4]
     marks += [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 4 and w not in insults][: LANDMARKS - len(marks)]
-    base = np.stack([_landmark(w) for w in marks])
-    gram = np.stack([word_scores(marks, b) for b in base], axis=1)
+    base, used = _landmarks(marks)
+    gram = _kernel(marks, base, used)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
@@ -178,12 +213,12 @@ def train(sample: pd.DataFrame) -> dict:
     weights, bias = np.zeros(_SIZE**3, np.float32), -1.0
     for _ in range(ROUNDS):
         words = list(insults) + others
-        x = np.stack([word_scores(words, b) for b in base], axis=1) @ root
+        x = _kernel(words, base, used) @ root
         y = np.r_[np.ones(len(insults)), -np.ones(len(others))]
         cost = np.r_[np.sqrt(list(insults.values())), np.sqrt([clean[w] for w in others])]
-        cost[: len(insults)] *= cost[len(insults) :].sum() / cost[: len(insults)].sum() / 4
+        cost[: len(insults)] *= cost[len(insults) :].sum() / cost[: len(insults)].sum() / RARITY
         w = _svm(x, y, cost / cost.mean())
-        weights, bias = ((root @ w[:-1]) @ base).astype(np.float32), float(w[-1])
+        weights, bias = _spread((root @ w[:-1]) @ base, used), float(w[-1])
         margin = dict(zip(vocabulary, word_scores(vocabulary, weights) + bias, strict=True))
         witnesses: Counter[str] = Counter()
         for label, sentences in held:
@@ -196,13 +231,16 @@ def train(sample: pd.DataFrame) -> dict:
         insults = renewed
         missed = sorted((w for w in clean if len(w) >= 3 and margin[w] > -0.5), key=lambda w: (-clean[w] * (1 + margin[w]), w))[: EXAMPLES // 2]
         others = [w for w in dict.fromkeys(others + missed) if w not in insults]
-    whole = [_words(t or "") for t in sample["text"]]  # here, as in scoring, words keep the punctuation they end in
-    rest = sorted({w for words in whole for w in words}.difference(margin))
-    margin |= zip(rest, word_scores(rest, weights) + bias, strict=True)
     usual = sorted((margin[w], n) for w, n in clean.items())
     run = np.cumsum([n for _, n in usual])
     levels = [usual[min(len(usual) - 1, int(np.searchsorted(run, share * run[-1])))][0] for share in _SHARES]
-    rows = np.array([_features(np.array([margin[w] for w in words]), levels) for words in whole])
+    rows = []
+    for text in sample["text"]:  # here, as in scoring, words keep the punctuation they end in
+        words = _words(text or "")
+        new = sorted(set(words).difference(margin))
+        margin |= zip(new, word_scores(new, weights) + bias, strict=True)
+        rows.append(_features(np.array([margin[w] for w in words]), levels))
+    rows = np.array(rows)
     center, scale = rows.mean(axis=0), rows.std(axis=0) + 1e-9
     calibration = _logistic((rows - center) / scale, np.array(labels, float))
     return {"weights": weights, "bias": bias, "levels": levels, "calibration": calibration.tolist(), "center": center.tolist(), "scale": scale.tolist()}
