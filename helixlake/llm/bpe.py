@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words whose encodings a worker remembers before it starts over; texts that are split at a time, in characters.
-REMEMBERED, CHUNK = 300_000, 1_000_000
+#: Words (pairs of tokens) that a worker remembers before it starts over; texts that are split at a time, in characters.
+REMEMBERED, CHUNK = 1_000_000, 1_000_000
 
 
 class Encoder:
@@ -138,9 +138,9 @@ class Encoder:
             pieces = self.split_added.split(text) if self.split_added and any(a in text for a in self.added) else [text]
             split.append([[p] if p in self.added else self.words.findall(p) for p in pieces])
         words = set(chain.from_iterable(chain.from_iterable(split)))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-            self.fits.clear()
+        for memory in (self.known, self.fits):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         self.known |= {a: (i,) for a, i in self.added.items()}
         self.learn(words - self.known.keys())
         known = self.known
