@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from . import queries_operators as _operators
 from . import queries_views as _views
 
-_MODULES = (_views,)
+_MODULES = (_views, _operators)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
