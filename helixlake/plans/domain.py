@@ -67,7 +67,23 @@ class Domain:
         parts = self.raw("part").where("p_brand <> 'Brand#11'").join(F.broadcast(self.raw("region")), F.expr("r_regionkey = p_partkey % 5"))
         return parts.groupBy(F.col("r_name").alias("species_id"), F.col("p_brand").alias("gene")).agg(F.min("p_name").alias("protein_name"), F.max("p_size").alias("protein_length_aa"))
 
+    @cached_property
+    def reports(self) -> DataFrame:
+        """One outbreak report per order: ordinal, url, country, year, cases, deaths, text."""
+        places = F.broadcast(self.raw("nation").select("n_nationkey", "n_name"))
+        rows = self.raw("orders").join(self.raw("customer"), F.expr("o_custkey = c_custkey")).join(places, F.expr("c_nationkey = n_nationkey"))
+        return rows.selectExpr("o_orderkey as ordinal", f"{_URL} as url", "n_name as country", "year(o_orderdate) as year", "1000 + o_orderkey % 5000 as cases", "o_custkey % 400 as deaths", f"{_TEXT} as text")
+
 
+_TEXT = """concat('In ', n_name, ' a cumulative total of ', cast(1000 + o_orderkey % 5000 as {s}), ' confirmed cases including ', cast(o_custkey % 400 as {s}), ' deaths. ',
+  case o_orderkey % 6 when 0 then 'Ring vaccination and contact tracing began; severe bleeding was seen.' when 1 then 'RT-PCR and sequencing of blood samples; fever and headache among healthcare workers.'
+  when 2 then 'Direct contact at a funeral. ELISA serology; remdesivir was used.' when 3 then 'Reduced transmission; immune escape of antibody resistance is unlikely.'
+  when 4 then 'PCR only. Fruit bats are a reservoir; vomiting and fatigue.' else 'No further details.' end)""".replace("{s}", "string")
+_URL = """concat('https://www.', case o_orderkey % 8 when 0 then 'who.int' when 1 then 'health.gov' when 2 then 'moh.go.ug' when 3 then 'en.wikipedia.org' when 4 then 'healthnews.example' when 5 then 'cdc.gov'
+  when 6 then 'news.example' else 'data.gouv.sn' end, '/report/', cast(o_orderkey as string))"""
+RP = f"""
+rp AS (SELECT o_orderkey AS ordinal, {_URL} AS url, n_name AS country, CAST(year(o_orderdate) AS INTEGER) AS year, 1000 + o_orderkey % 5000 AS cases, o_custkey % 400 AS deaths, {_TEXT} AS text
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
 #: The same tables in SQL, to begin a WITH clause.
 GM = """
 gm AS (SELECT 'tpch' AS pathogen_id, r_name AS species_id, CAST(o_orderkey AS VARCHAR) AS genome_accession,

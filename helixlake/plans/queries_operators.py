@@ -141,14 +141,14 @@ def A12_lineage_summary(spark, sf_dir):
     return rows.agg(F.count_distinct("genome_accession").alias("genomes"), F.min("collection_year").alias("first_year"), F.max("collection_year").alias("last_year"), hosts.alias("hosts"))
 
 
-@query(f"WITH {GM} SELECT collection_year, count(*) AS genomes FROM gm WHERE lineage_id = 'BUILDING' AND collection_country = 'CHINA' GROUP BY 1")
+@query(f"WITH {GM} SELECT collection_year, count(*) AS genomes FROM gm WHERE lineage_id = 'BUILDING' AND collection_country = 'NATION_3' GROUP BY 1")
 def A13_lineage_in_country(spark, sf_dir):
-    return Domain(spark, sf_dir).genomes.where("lineage_id = 'BUILDING' and collection_country = 'CHINA'").groupBy("collection_year").agg(F.count(F.lit(1)).alias("genomes"))
+    return Domain(spark, sf_dir).genomes.where("lineage_id = 'BUILDING' and collection_country = 'NATION_3'").groupBy("collection_year").agg(F.count(F.lit(1)).alias("genomes"))
 
 
-@query(f"WITH {GM} SELECT lineage_id, count(*) AS genomes FROM gm WHERE collection_country = 'CHINA' GROUP BY 1")
+@query(f"WITH {GM} SELECT lineage_id, count(*) AS genomes FROM gm WHERE collection_country = 'NATION_3' GROUP BY 1")
 def A14_lineages_in_country(spark, sf_dir):
-    return Domain(spark, sf_dir).genomes.where("collection_country = 'CHINA'").groupBy("lineage_id").agg(F.count(F.lit(1)).alias("genomes"))
+    return Domain(spark, sf_dir).genomes.where("collection_country = 'NATION_3'").groupBy("lineage_id").agg(F.count(F.lit(1)).alias("genomes"))
 
 
 @query(f"WITH {GM} SELECT collection_country, count(*) AS genomes FROM gm WHERE collection_country IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20")
@@ -392,17 +392,17 @@ def T04_similar_outbreaks(spark, sf_dir):
 SETS = f"WITH {GM}, r AS (SELECT species_id, list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL)) AS reported, coalesce(list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL AND collection_year >= 2001)), []) AS recent FROM gm GROUP BY 1)"
 
 
-@query(f"{SETS} SELECT species_id, coalesce(array_to_string(list_sort(list_filter(reported, lambda x: NOT list_contains(recent, x) AND x <> 'CHINA')), ','), '') AS missing FROM r")
+@query(f"{SETS} SELECT species_id, coalesce(array_to_string(list_sort(list_filter(reported, lambda x: NOT list_contains(recent, x) AND x <> 'NATION_3')), ','), '') AS missing FROM r")
 def U02_coverage_gap(spark, sf_dir):
     rows = Domain(spark, sf_dir).genomes.groupBy("species_id").agg(F.collect_set("collection_country").alias("reported"), F.collect_set(F.when(F.col("collection_year") >= 2001, F.col("collection_country"))).alias("recent"))
-    gap = F.array_except(F.array_except("reported", "recent"), F.array(F.lit("CHINA")))
+    gap = F.array_except(F.array_except("reported", "recent"), F.array(F.lit("NATION_3")))
     return rows.select("species_id", F.array_join(F.array_sort(gap), ",").alias("missing"))
 
 
-@query(f"{SETS} SELECT species_id, array_to_string(list_sort(list_distinct(list_concat(recent, ['CHINA', 'KENYA']))), ',') AS countries FROM r")
+@query(f"{SETS} SELECT species_id, array_to_string(list_sort(list_distinct(list_concat(recent, ['NATION_3', 'NATION_99']))), ',') AS countries FROM r")
 def U06_array_merge(spark, sf_dir):
     rows = Domain(spark, sf_dir).genomes.groupBy("species_id").agg(F.collect_set(F.when(F.col("collection_year") >= 2001, F.col("collection_country"))).alias("recent"))
-    return rows.select("species_id", F.array_join(F.array_sort(F.array_union("recent", F.array(F.lit("CHINA"), F.lit("KENYA")))), ",").alias("countries"))
+    return rows.select("species_id", F.array_join(F.array_sort(F.array_union("recent", F.array(F.lit("NATION_3"), F.lit("NATION_99")))), ",").alias("countries"))
 
 
 @query("SELECT o_orderkey AS id, CASE WHEN o_orderkey % 4 = 0 THEN 'O' ELSE o_orderstatus END AS status, o_orderpriority AS kept FROM orders UNION ALL SELECT -1, 'N', 'new'")
