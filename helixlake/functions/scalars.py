@@ -145,7 +145,7 @@ def html_text(c: Column, limit: int | None = None) -> Column:
     c = unescape_html(c)
     for pattern, by in ((r"\s+\|\s+", " | "), (r"\n\s*\n+", "\n"), (r"[ \t]+", " ")):
         c = F.regexp_replace(c, pattern, by)
-    c = F.trim(c)
+    c = F.regexp_replace(c, r"^\s+|\s+$", "")
     return F.substring(c, 1, limit) if limit else c
 
 

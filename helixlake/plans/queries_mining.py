@@ -90,7 +90,7 @@ for _p, _by in ((r"\s+\|\s+", " | "), (r"\n\s*\n+", "\n"), (r"[ \t]+", " ")):
     _HTML = f"regexp_replace({_HTML}, '{_p}', '{_by}', 'g')"
 
 
-@query(f"SELECT page_id, trim({_HTML}) AS text FROM pages")
+@query(f"SELECT page_id, regexp_replace({_HTML}, '^\\s+|\\s+$', '', 'g') AS text FROM pages")
 def F24_html_text(spark, sf_dir):
     return Domain(spark, sf_dir).raw("pages").select("page_id", S.html_text(F.col("html")).alias("text"))
 
