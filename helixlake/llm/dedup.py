@@ -220,9 +220,11 @@ def drop_near_duplicates(docs: DataFrame, **parameters) -> DataFrame:
     """docs without the documents whose component has one of smaller doc_id; of rows that share a doc_id, one stays."""
     gone = materialise(near_duplicates(docs, **parameters).where("not kept").select(F.col("doc_id").alias("_id")).distinct(), "dedup-gone")
     again = materialise(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1 and doc_id is not null").select(F.col("doc_id").alias("_id")), "dedup-again")
-    left = docs.join(small(gone), F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
-    same = left["doc_id"] == F.col("_id")
-    return left.join(small(again), same, "left_anti").unionByName(left.join(small(again), same, "left_semi").dropDuplicates(["doc_id"]))
+    rows = docs.select("doc_id", F.struct("*").alias("doc"))  # apart from the columns joined, whatever docs' are called
+    left = rows.join(small(gone), F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
+    same = F.col("doc_id") == F.col("_id")
+    one = left.join(small(again), same, "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.to_json("doc").alias("j"), "doc")).alias("m")).select(F.col("m.doc").alias("doc"))
+    return left.join(small(again), same, "left_anti").select("doc").unionByName(one).select("doc.*")
 
 
 ORACLE = r"""

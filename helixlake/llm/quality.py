@@ -181,4 +181,5 @@ def quality_rules(docs: DataFrame, cutoff: float = CUTOFF, min_group: int = MIN_
 def keep_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The documents that the rules keep, with the columns they had. Repeated rows of a doc_id stay if all are kept."""
     gone = quality_rules(docs, **parameters).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("not _kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(small(materialise(gone, "quality-gone")), docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    rows = docs.select("doc_id", F.struct("*").alias("doc"))  # apart from the columns joined, whatever docs' are called
+    return rows.join(small(materialise(gone, "quality-gone")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select("doc.*")

@@ -68,7 +68,8 @@ def battery(x: Column) -> Column:
     """p of a string under the hypothesis that its characters are drawn alike and independently from its encoding.
 
     Chi-squared (Wilson-Hilferty) for a uniform alphabet, Wald-Wolfowitz runs about the alphabet's middle, and serial
-    correlation of neighbours; Fisher's sum of the three, whose tail for 6 degrees of freedom is exp(-y) (1 + y + y^2/2).
+    correlation of neighbours; three times the least of their p-values, which holds however the tests depend on one another
+    (runs and serial correlation do).
     """
     plain = F.translate(x, "-_=", "+/")
     alphabet = F.lit(ENCODINGS[-1][1])
@@ -103,12 +104,11 @@ def battery(x: Column) -> Column:
 
         return F.aggregate(F.filter(F.split(s, ""), lambda c: c != ""), zero, step, both)
 
-    def fisher(e: Column) -> Column:
-        parts = F.struct(chi(e["s"], e["a"]).alias("c"), orders(e["s"], e["a"]).alias("o"))
-        y = lambda p: -(F.log(p["c"]) + F.log(F.least(p["o"]["runs"], F.lit(1.0))) + F.log(F.least(p["o"]["serial"], F.lit(1.0))))
-        return let(parts, lambda p: let(y(p), lambda v: F.greatest(F.exp(-v) * (1 + v + v * v / 2), F.lit(1e-300))))
+    def least(e: Column) -> Column:
+        o = orders(e["s"], e["a"])
+        return let(o, lambda p: F.greatest(F.least(F.lit(1.0), 3 * F.least(chi(e["s"], e["a"]), p["runs"], p["serial"])), F.lit(1e-300)))
 
-    return let(F.struct(plain.alias("s"), alphabet.alias("a")), fisher)
+    return let(F.struct(plain.alias("s"), alphabet.alias("a")), least)
 
 
 def _candidates(text: Column, base: Column) -> Column:
@@ -175,7 +175,7 @@ def redact(docs: DataFrame) -> DataFrame:
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc_id"), "text")
     of_text = scan(keyed).where("size(spans) > 0").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), "spans")
     of_text = small(materialise(of_text.groupBy("_id", "_hash").agg(F.first("spans").alias("_spans")), "secrets-spans"))
-    joined = docs.withColumn("_key", F.xxhash64("text")).join(of_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
+    joined = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"), F.struct("*").alias("doc")).join(of_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
     span = "struct<start: int, end: int>"
     last = lambda a: F.element_at(a, -1)
     merged = F.aggregate("_spans", F.array().cast(f"array<{span}>"), lambda a, s: F.when(
@@ -190,7 +190,7 @@ def redact(docs: DataFrame) -> DataFrame:
         return F.concat(F.array_join(pieces, ""), rest)
 
     clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(merged, cut))
-    out = joined.withColumn("text", clean)
+    new = {"text": clean}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.when(F.col("_spans").isNull(), F.col("doc.n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
