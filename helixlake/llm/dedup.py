@@ -25,8 +25,10 @@ BINS = BANDS * ROWS
 #: always judged by the same third document.
 ORDERS = 3
 #: Rounds after the first, in which buckets that still hold several components compare one member of each: the most
-#: popular one, then random ones.
+#: popular one, then random ones (other ones in every bucket, so that a document meets many of a large component).
 ROUNDS = 3
+#: Documents of either side that a task of the last step holds.
+BLOCK = 1000
 WIDTH, PERCENT = 5, 80
 _PROBES = 64
 
@@ -135,7 +137,7 @@ def _stars(members: DataFrame) -> DataFrame:
     gives k - 1 pairs, not k (k - 1) / 2.
     """
     popular = F.when(F.col("order") == ORDERS - 1, F.lit(0).cast("long")).otherwise(-F.col("popular"))
-    rank = F.struct(popular.alias("p"), F.xxhash64("id", "order").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"))
+    rank = F.struct(popular.alias("p"), F.xxhash64("id", "bucket").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"))
     centres = members.groupBy("bucket").agg(F.min(rank).alias("m"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "m.c", "m.c_n")
     pairs = members.join(centres, "bucket").where(F.col("id") != F.col("c"))
     pairs = pairs.where(100 * F.least("n", "c_n") >= PERCENT * F.greatest("n", "c_n"))
@@ -177,13 +179,58 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
+def _completed(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links, one for each document and component, that no star has shown: a, b.
+
+    In a bucket of several components, every document outside the largest one is held against all of that, and against
+    the others that are outside of it. This is done in blocks: a task gets at most about BLOCK documents of either side,
+    whatever the size of a component, counts common shingles by a sorted list of its block's shingles, and returns links
+    only. Where the stars have linked all that is similar, little is left to compare.
+    """
+    held = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
+    held = materialise(held, "dedup-held")
+    who = held.select("id", "label").distinct()
+    size = who.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    top = held.join(size, "label").groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("t"), F.min("label").alias("low"), F.max("label").alias("high"))
+    top = top.where("low < high").select("bucket", F.col("t.label").alias("key"))
+    outside = materialise(held.join(top, "bucket").where("label <> key").select("key", "id", "label").distinct(), "dedup-outside")
+    inside = who.join(outside.select("key").distinct(), F.col("label") == F.col("key")).select("key", "id", "label")
+    blocks = outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_left")).join(outside.unionByName(inside).groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_right")), "key")
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = outside.join(blocks, "key").select("key", "id", "label", part("n_left").alias("l"), every("n_right").alias("r")).join(sets, "id")
+    right = outside.unionByName(inside).join(blocks, "key").select("key", "id", "label", part("n_right").alias("r"), every("n_left").alias("l")).join(sets, "id")
+
+    def links(some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(some) and len(others):
+            ids, own_label = others["id"].to_numpy(), others["label"].to_numpy()
+            lengths = others["hashes"].map(len).to_numpy()
+            shingles, own = np.concatenate(others["hashes"].to_numpy()), np.repeat(np.arange(len(others)), lengths)
+            order = np.argsort(shingles, kind="stable")
+            shingles, own = shingles[order], own[order]
+            for i, label, hashes in zip(some["id"], some["label"], some["hashes"], strict=True):
+                first, end = np.searchsorted(shingles, hashes, "left"), np.searchsorted(shingles, hashes, "right")
+                n = end - first
+                at = np.repeat(first - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+                common = np.bincount(own[at], minlength=len(others))
+                hit = np.flatnonzero((100 * common >= percent * (len(hashes) + lengths - common)) & (own_label != label))
+                out += [(min(i, j), max(i, j)) for j in ids[hit[np.unique(own_label[hit], return_index=True)[1]]]]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    key = ("key", "l", "r")
+    right = right.select(*[F.col(c).alias(c) for c in ("key", "l", "r", "id", "label", "hashes")])
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(links, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (the component's least doc_id stays).
 
     1. Profiles of all documents: set size, set digest, band keys. 2. One representative (least doc_id) per distinct set.
     3. Buckets of representatives by band key; stars; exact similarity on full sets; components. 4. In buckets whose
     members are of several components, one member of each component is compared again by a star: links that the first
-    star's centre hid are found then.
+    star's centre hid are found then. 5. What may still be hidden is compared in blocks: no two documents that share a
+    bucket stay apart if they are similar enough.
     """
     profiles = materialise(_profiles(docs, width), "dedup-profiles")
     sound = profiles.where("n_shingles > 0 and doc_id is not null")
@@ -200,16 +247,19 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     labels = components(edges)
     for k in range(1, rounds + 1):
         held = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        first = -F.col("popular") if k == 1 else F.xxhash64("id", F.lit(k))
+        first = -F.col("popular") if k == 1 else F.xxhash64("id", "bucket", F.lit(k))
         one = F.min(F.struct(first.alias("h"), "id", "n", "popular")).alias("m")
         several = held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("high > low").select("bucket")
-        again = held.join(several, "bucket", "left_semi").groupBy("bucket", "label").agg(one).select("bucket", F.lit(0).cast("byte").alias("order"), "m.id", "m.n", "m.popular")
+        again = held.join(several, "bucket", "left_semi").groupBy("bucket", "label").agg(one).select("bucket", F.lit(0 if k % 2 else ORDERS - 1).cast("byte").alias("order"), "m.id", "m.n", "m.popular")
         more = materialise(_stars(again).join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
         found = materialise(_linked(more, sets, percent), "dedup-edges")
         if not found.limit(1).count():
             break
         pairs, edges = pairs.unionByName(more), edges.unionByName(found)
         labels = components(edges, labels)
+    rest = materialise(_completed(members, labels, sets, percent), "dedup-edges")
+    if rest.limit(1).count():
+        labels = components(edges.unionByName(rest), labels)
     rep = F.coalesce("rep", "doc_id")
     out = profiles.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left").withColumn("id", rep).join(labels, "id", "left")
     component = F.coalesce("label", "id")
