@@ -159,3 +159,30 @@ def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
         "doc_id", "n_words", F.size(every).cast("long").alias("n_base"), F.array_min(every).cast("long").alias("first_word"), F.array_max(every).cast("long").alias("last_word"),
         F.array_join("base", ",").alias("base_labels"), F.array_join(F.array_sort(F.array_union("base", found)), ",").alias("labels"), score.alias("score"),
     )
+
+
+def _oracle() -> str:
+    low = "translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "list_filter(string_split_regex(" + low + ", '" + GAP + "'), lambda w: w <> '')"
+    templates = ", ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in ws)}], {len(ws)}, {_need(len(ws))})" for i, label, ws in template_words())
+    starts = []
+    for phrase, label in PHRASES:
+        parts = phrase.split(" ")
+        same = " AND ".join(f"w[i + {k}] = '{p}'" for k, p in enumerate(parts, 1))
+        starts.append(f"SELECT r, '{label}' AS label, unnest(list_filter(range(0, greatest(len(w) - {len(parts) - 1}, 0)), lambda i: {same})) AS pos FROM d")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {words.format(c="text")} AS w FROM documents),
+s AS ({" UNION ALL ".join(starts)}),
+b AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list_sort(list_distinct(list(label))) AS labels FROM s GROUP BY r),
+l AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM d),
+k AS (SELECT r, list_distinct({words.format(c="line")}) AS w FROM l),
+t(id, label, words, n, need) AS (VALUES {templates}),
+m AS (SELECT r, label, CAST(len(list_intersect(k.w, t.words)) AS DOUBLE) / n AS c FROM k, t WHERE len(k.w) >= need AND len(list_intersect(k.w, t.words)) >= need),
+f AS (SELECT r, list_sort(list_distinct(list(label))) AS labels, max(c) AS c FROM m GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels, CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(f.c, 0.0) END AS score
+FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
+"""
+
+
+ORACLE = _oracle()

@@ -183,3 +183,51 @@ def keep_documents(docs: DataFrame, **parameters) -> DataFrame:
     gone = quality_rules(docs, **parameters).groupBy("doc_id").agg(F.min("kept").alias("_kept")).where("not _kept").select(F.col("doc_id").alias("_id"))
     rows = docs.select("doc_id", F.struct("*").alias("doc"))  # apart from the columns joined, whatever docs' are called
     return rows.join(small(materialise(gone, "quality-gone")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti").select("doc.*")
+
+
+def _oracle() -> str:
+    """The same steps in SQL. The k-th smallest of a group's rounded values is their quantile."""
+    n = len(DIMS)
+    word, space = "'[^\\x20\\x09-\\x0D]+'", "'[^\\x20\\x09-\\x0D]'"
+    at = lambda v, share: f"list_sort(list(ceil({v} * 128)))[CAST(ceil(count(*) * {share}) AS BIGINT)] / 128"
+
+    def factor(source: str) -> str:
+        cells = []
+        for i, d in enumerate(DIMS):
+            for j in range(i + 1):
+                rest = f"(c_{i}_{j}" + (f" + {VECTOR[d][1] ** 2!r}" if i == j else "") + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j)) + ")"
+                cells.append(f"sqrt({rest}) AS l_{i}_{j}" if i == j else f"{rest} / l_{j}_{j} AS l_{i}_{j}")
+        return f"SELECT g, {', '.join(f'm_{d}' for d in DIMS)}, {', '.join(cells)} FROM {source}"
+
+    def distance(source: str, f: str) -> str:
+        ys = [f"({d} - m_{d}" + "".join(f" - l_{i}_{k} * y_{k}" for k in range(i)) + f") / l_{i}_{i} AS y_{i}" for i, d in enumerate(DIMS)]
+        return f"SELECT v.*, {', '.join(ys)}, {' + '.join(f'y_{i} * y_{i}' for i in range(n))} AS distance FROM {source} v JOIN {f} USING (g)"
+
+    q = [f"avg({a} * {b}) AS q_{i}_{j}" for i, a in enumerate(DIMS) for j, b in enumerate(DIMS[: i + 1])]
+    cov = [f"round((q_{i}_{j} - a_{a} * a_{b}) * {CONSISTENCY}, 6) AS c_{i}_{j}" for i, a in enumerate(DIMS) for j, b in enumerate(DIMS[: i + 1])]
+    zero = [f"s_{d} * s_{d} AS c_{i}_{i}" if i == j else f"0.0 AS c_{i}_{j}" for i, d in enumerate(DIMS) for j in range(i + 1)]
+    steps = []
+    for k in range(STEPS):
+        steps.append(f"""d{k} AS ({distance("v", f"f{k}")}), t{k} AS (SELECT g, {at("ln(1 + distance)", SUBSET)} AS cut FROM d{k} GROUP BY g),
+a{k} AS (SELECT g, {", ".join(f"avg({d}) AS a_{d}" for d in DIMS)}, {", ".join(q)} FROM d{k} JOIN t{k} USING (g) WHERE ln(1 + distance) <= cut GROUP BY g),
+c{k} AS (SELECT g, {", ".join(f"round(a_{d}, 6) AS m_{d}" for d in DIMS)}, {", ".join(cov)} FROM a{k}), f{k + 1} AS ({factor(f"c{k}")})""")
+    return f"""
+WITH w AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), {word}) AS w FROM documents),
+x AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+y AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS n FROM x) WHERE n > 1),
+z AS (SELECT r, count(DISTINCT i + o) AS n FROM y, (VALUES (0), (1), (2)) t(o) GROUP BY r),
+l AS (SELECT r, list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, {space})) AS l FROM w),
+s AS (SELECT r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars, CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+      CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(z.n, 0) AS BIGINT) AS n_repeat_words FROM w JOIN l USING (r) LEFT JOIN z USING (r)),
+b AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM s),
+v AS (SELECT r, coalesce('L' || lang, 'N') || CASE WHEN count(*) OVER (PARTITION BY lang, source) < {MIN_GROUP} THEN '|P' ELSE coalesce('|S' || source, '|N') END AS g, {", ".join(f"{e} AS {d}" for d, (e, _) in VECTOR.items())} FROM b WHERE NOT base_failed),
+m AS (SELECT g, {", ".join(f"{at(d, 0.5)} AS m_{d}" for d in DIMS)} FROM v GROUP BY g),
+e AS (SELECT g, {", ".join(f"any_value(m_{d}) AS m_{d}, {at(f'abs({d} - m_{d})', 0.5)} * 1.4826 AS s_{d}" for d in DIMS)} FROM v JOIN m USING (g) GROUP BY g),
+o AS (SELECT g, {", ".join(f"m_{d}" for d in DIMS)}, {", ".join(zero)} FROM e), f0 AS ({factor("o")}),
+{", ".join(steps)},
+j AS ({distance("v", f"f{STEPS}")})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(distance <= {CUTOFF}, true) AS kept FROM b LEFT JOIN j USING (r)
+"""
+
+
+ORACLE = _oracle()
