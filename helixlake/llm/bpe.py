@@ -19,9 +19,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+
 TOKENIZER = "byte_bpe_50k.json"
-#: Words (pairs of tokens) that a worker remembers before it starts over; texts that are split at a time, in characters.
-REMEMBERED, CHUNK = 1_000_000, 1_000_000
+#: Words (pairs of tokens) that a worker remembers before it starts over.
+REMEMBERED = 1_000_000
 
 
 class Encoder:
@@ -156,19 +158,6 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _chunks(texts: Iterable[str]) -> Iterator[list[str]]:
-    chunk: list[str] = []
-    size = 0
-    for text in texts:
-        chunk.append(text)
-        size += len(text)
-        if size > CHUNK:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
-
-
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids array<int>, decoded string of every document."""
 
@@ -176,7 +165,7 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
         bpe = encoder(path or public_tokenizers.path(TOKENIZER))
         for batch in batches:
             at = 0
-            for chunk in _chunks(batch["text"]):
+            for chunk in chunks(batch["text"]):
                 ids = list(bpe.encode_batch(chunk))
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(chunk)], "ids": ids, "decoded": [bpe.decode(x) for x in ids]})
                 at += len(chunk)
@@ -192,7 +181,7 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         names = {i: str(i) for i in bpe.bytes_of}
         for batch in batches:
             rows = []
-            for chunk in _chunks(batch["text"]):
+            for chunk in chunks(batch["text"]):
                 for ids in bpe.encode_batch(chunk):
                     text = ",".join(map(names.__getitem__, ids))
                     rows.append((len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()))

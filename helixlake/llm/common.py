@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,3 +53,17 @@ def let(value: Column, body) -> Column:
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(col, UPPER, LOWER)
+
+
+def chunks(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
+    """Texts in lists of about `chars` characters; a longer text stands alone."""
+    chunk: list[str] = []
+    size = 0
+    for text in texts:
+        chunk.append(text)
+        size += len(text)
+        if size > chars:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import chunks
+
 #: Most labelled documents that training takes, and the longest text among these: the sample that reaches the driver.
 SAMPLE, SAMPLE_CHARS = 6_000, 20_000
 DECAY, SPAN = 0.7, 5
@@ -27,7 +29,7 @@ DECAY, SPAN = 0.7, 5
 LANDMARKS, EXAMPLES, ROUNDS = 200, 24_000, 3
 #: The cost of missing all insults, as a share (one in RARITY) of that of all false alarms.
 RARITY = 12
-SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 200_000
+SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 500_000
 THRESHOLD = 0.7
 #: Letters a-z and the accented ones of Latin-1 have codes of their own; all other characters share code 0.
 _CODES = {chr(c): chr(c - 96) for c in range(97, 123)} | {chr(c): chr(c - 224 + 27) for c in range(224, 256)}
@@ -268,15 +270,13 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         known: dict[str, float] = {}
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                words = _words(text)
-                new = list(set(words).difference(known))
-                if new:
-                    if len(known) > REMEMBERED:
-                        known = {}
-                        new = list(set(words))
-                    known |= zip(new, (word_scores(new, m["weights"]) + m["bias"]).tolist(), strict=True)
-                rows.append(_features(np.fromiter(map(known.__getitem__, words), float, len(words)), m["levels"]))
+            for chunk in chunks(batch["text"]):  # new words of many texts are scored at once
+                split = [_words(t) for t in chunk]
+                if len(known) > REMEMBERED:
+                    known = {}
+                new = list(set().union(*split).difference(known))
+                known |= zip(new, (word_scores(new, m["weights"]) + m["bias"]).tolist(), strict=True)
+                rows += [_features(np.fromiter(map(known.__getitem__, words), float, len(words)), m["levels"]) for words in split]
             x = (np.array(rows).reshape(-1, _FEATURES) - center) / scale
             z = 1 / (1 + np.exp(-np.clip(x @ calibration[:-1] + calibration[-1], -30, 30)))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": z, "predicted": (z >= THRESHOLD).astype("int32")})
