@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from . import queries_mining as _mining
+from . import queries_more as _more
 from . import queries_operators as _operators
 from . import queries_views as _views
 
-_MODULES = (_views, _operators, _mining)
+_MODULES = (_views, _operators, _mining, _more)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
