@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small
+from .common import chunks, materialise, small
 
 #: Bands of ROWS values each: two sets of similarity 0.8 share no band with probability (1 - 0.8^6)^42 = 3e-6.
 BANDS, ROWS = 42, 6
@@ -96,13 +96,12 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            n, ids, bands = [], [], []
-            for text in batch["text"]:
-                hashes = shingle_set(text, width)
-                n.append(len(hashes))
-                ids.append(xxhash.xxh3_128_digest(hashes.tobytes()) if len(hashes) else None)
-                bands.append(band_keys(hashes) if len(hashes) else None)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": n, "set_id": ids, "bands": bands})
+            at = 0
+            for chunk in chunks(batch["text"]):
+                hashes = [shingle_set(t, width) for t in chunk]
+                ids = [xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in hashes]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(chunk)], "n_shingles": [len(h) for h in hashes], "set_id": ids, "bands": [band_keys(h) if len(h) else None for h in hashes]})
+                at += len(chunk)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
@@ -113,7 +112,10 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "hashes": [shingle_set(t, width).view(np.int64) for t in batch["text"]]})
+            at = 0
+            for chunk in chunks(batch["text"]):
+                yield pd.DataFrame({"id": batch["id"].iloc[at : at + len(chunk)], "hashes": [shingle_set(t, width).view(np.int64) for t in chunk]})
+                at += len(chunk)
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
     return rows.mapInPandas(run, "id long, hashes array<long>").dropDuplicates(["id"])
