@@ -184,7 +184,11 @@ def title_key(c: Column) -> Column:
 
 def key_value_text(m: Column) -> Column:
     """A map as 'Key: value | ...' by key."""
-    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat(F.initcap(F.replace(e["key"], F.lit("_"), F.lit(" "))), F.lit(": "), e["value"])), " | ")
+    def entry(e: Column) -> Column:
+        key = F.replace(e["key"], F.lit("_"), F.lit(" "))
+        return F.concat(F.upper(F.substring(key, 1, 1)), F.substring(key, F.lit(2), F.length(key)), F.lit(": "), e["value"])
+
+    return F.array_join(F.transform(F.array_sort(F.map_entries(m)), entry), " | ")
 
 
 def array_literal(c: Column) -> Column:

@@ -189,3 +189,51 @@ def harmonise(variants: DataFrame, phenotypes: DataFrame, outbreaks: DataFrame)
     every = [r["outbreak"] for r in outbreaks.select("outbreak").distinct().orderBy("outbreak").limit(1000).collect()]
     fallback = F.array(*map(F.lit, every)).cast("array<string>")
     return per.join(by_lineage, "lineage_id", "left").withColumn("outbreaks", F.coalesce("mine", fallback)).drop("mine")
+
+
+def genomic_signal(variants: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
+    """(sample_id, is_known, is_hotspot, sample_length) -> sample_id, novelty, hotspot_ratio, burden and whether novelty is a finding.
+
+    burden: mutations against what a genome of mean length would have, by the share of its length.
+    """
+    share = lambda c: F.round(F.avg(F.when(c, 1.0).otherwise(0.0)), 4)
+    out = variants.groupBy("sample_id").agg(share(~F.col("is_known")).alias("novelty"), share(F.col("is_hotspot")).alias("hotspot_ratio"), F.round(F.count(F.lit(1)) / (F.avg("sample_length") / t.genome_length), 4).alias("burden"))
+    return out.withColumn("novel_finding", F.col("novelty") > t.burden_novelty)
+
+
+def consistency(rows: DataFrame) -> DataFrame:
+    """(sample_id, origin, travel, persistent, close_days, known, novel) -> sample_id, check, state: consistent, inconsistent or unknown."""
+    from ..functions.scalars import country_name
+
+    origin, travel = F.lower(country_name(F.col("origin"))), F.lower(country_name(F.col("travel")))
+    state = lambda c: F.when(c, "consistent").when(~c, "inconsistent").otherwise("unknown")
+    checks = F.array(
+        F.struct(F.lit("origin_travel").alias("check"), state(F.contains(origin, travel) | F.contains(travel, origin)).alias("state")),
+        F.struct(F.lit("persistence_relatedness").alias("check"), state(F.col("persistent") == (F.col("close_days") <= 180)).alias("state")),
+        F.struct(F.lit("known_novel").alias("check"), state(F.col("known") >= F.col("novel")).alias("state")),
+    )
+    return rows.select("sample_id", F.explode(checks).alias("c")).select("sample_id", "c.*")
+
+
+def knowledge_gaps(rows: DataFrame, names: dict[str, str]) -> DataFrame:
+    """rows x (column -> gap) -> sample_id, gaps: what is missing, in the order given."""
+    return rows.select("sample_id", F.array_join(F.filter(F.array(*[F.when(F.col(c).isNull(), g) for c, g in names.items()]), lambda x: x.isNotNull()), "; ").alias("gaps"))
+
+
+def intelligence_object(samples: DataFrame, found: DataFrame, tiers: DataFrame) -> DataFrame:
+    """One JSON document per sample: its tier, reasons and findings in order."""
+    per = found.groupBy("sample_id").agg(F.array_sort(F.collect_set(F.struct("analysis", "finding_type", "confidence"))).alias("findings"))
+    rows = samples.select("sample_id").join(per, "sample_id", "left").join(tiers, "sample_id", "left")
+    return rows.select("sample_id", F.to_json(F.struct("sample_id", "tier", "reasons", "findings")).alias("document"))
+
+
+def without_sections(text: Column, forbidden: tuple[str, ...]) -> Column:
+    """Text less its sections under headings ('#' to '###') of the names given, up to the next heading."""
+    names = "|".join(rf"\Q{n}\E" for n in forbidden)
+    return F.regexp_replace(text, rf"(?ims)^#{{1,3}}[ \t]*(?:{names})[ \t]*$.*?(?=^#{{1,3}}[ \t]|\z)", "")
+
+
+def questions(rows: DataFrame, templates: list[tuple[str, str, str]]) -> DataFrame:
+    """rows x (condition, text expression, fallback) -> sample_id, question: the text where the condition holds, else the fallback."""
+    asked = F.array(*[F.coalesce(F.when(F.expr(c), F.expr(t)), F.lit(f)) for c, t, f in templates])
+    return rows.select("sample_id", F.posexplode(asked).alias("place", "question"))

@@ -232,3 +232,40 @@ def similar_outbreaks(rows: DataFrame) -> DataFrame:
 def distinct_titles(rows: DataFrame, key: Column) -> DataFrame:
     """One row per title key: the earliest by ordinal."""
     return first_per(rows.withColumn("_key", key), ["_key"], "ordinal").drop("_key")
+
+
+# Words of a description and the phenotype each stands for, the first that is found counting.
+DESCRIPTION_LADDER = (
+    (("immune", "antibod", "neutrali"), "immune_escape"), (("virulen", "pathogen"), "virulence"), (("transmi",), "increased_transmission"), (("drug", "inhibitor", "resist"), "drug_resistance"),
+    (("host", "tropism"), "host_range"), (("vaccin",), "vaccine_escape"),
+)
+
+
+def described_phenotype(description: Column) -> Column:
+    """The phenotype of a feature's description; unknown_significance if no word is found."""
+    text = F.lower(description)
+    return reduce(lambda rest, x: F.when(_any(text, x[0]), F.lit(x[1])).otherwise(rest), reversed(DESCRIPTION_LADDER), F.lit("unknown_significance"))
+
+
+def whole_names(docs: DataFrame, names: list[str]) -> DataFrame:
+    """docs (id, text) -> id, name of every name that stands in a text as a whole word, in either case."""
+    hits = F.filter(F.array(*[F.when(F.col("text").rlike(rf"(?i)(?<![A-Za-z0-9_])\Q{n}\E(?![A-Za-z0-9_])"), F.lit(n)) for n in names]), lambda x: x.isNotNull())
+    return docs.select("id", F.explode(hits).alias("name"))
+
+
+def candidates(variants: DataFrame, motifs: DataFrame, clades: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, name) of variants, motifs and clades x (id, category) of phenotypes -> id, kind, name, category, association_id, each once.
+
+    Products are within one publication, which names a handful of each.
+    """
+    from ..functions.scalars import association_id
+
+    rows = [df.select("id", F.lit(kind).alias("kind"), "name") for kind, df in (("variant", variants), ("motif", motifs), ("clade", clades))]
+    pairs = reduce(DataFrame.unionByName, rows).join(found.select("id", "category"), "id").distinct()
+    return pairs.withColumn("association_id", association_id(F.concat_ws("|", F.col("id").cast("string"), "kind", "name", "category")))
+
+
+def feature_associations(features: DataFrame) -> DataFrame:
+    """(entry, position, ref, alt, description) -> associations with their phenotype; features said to have no effect are left out."""
+    rows = features.where(~F.lower("description").rlike(r"no (significant )?effect|does not affect"))
+    return rows.select("entry", "position", "ref", "alt", described_phenotype(F.col("description")).alias("category"))

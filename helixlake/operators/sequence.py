@@ -123,3 +123,25 @@ def best_genes(genomes: DataFrame, proteins: DataFrame, least: float = 0.25, len
 def reference_checked(candidates: DataFrame, proteins: DataFrame) -> DataFrame:
     """Candidates (species_id, gene, ref, position) with the proteins whose residue at the position is the one named."""
     return candidates.join(proteins.select("species_id", "gene", "protein"), ["species_id", "gene"]).where(F.substring(F.col("protein"), F.col("position"), F.lit(1)) == F.upper("ref"))
+
+
+def coding_sequences(features: DataFrame, products: dict[str, str]) -> DataFrame:
+    """(genome_accession, ordinal, gene, product, protein) -> genome_accession, gene, protein: the first of each gene, named by qualifier or product."""
+    from .joins import first_per
+
+    by_product = F.try_element_at(F.create_map(*[F.lit(x) for pair in products.items() for x in pair]), F.lower(F.trim("product")))
+    rows = features.withColumn("gene", F.coalesce(F.nullif(F.trim("gene"), F.lit("")), by_product)).where("gene is not null and length(protein) > 0")
+    return first_per(rows, ["genome_accession", "gene"], "ordinal").select("genome_accession", "gene", "protein")
+
+
+def genome_metadata(records: DataFrame) -> DataFrame:
+    """(accession, length, description, country, collected, host, isolate) -> metadata with dates, place, completeness."""
+    from ..functions import scalars as S
+
+    place, date = S.country_and_region(F.col("country")), S.record_date(F.col("collected"))
+    year = F.coalesce(F.year(date), F.nullif(F.regexp_extract("isolate", r"(?:^|[^0-9])((?:19|20)\d{2})(?:[^0-9]|$)", 1), F.lit("")).try_cast("int"))
+    code = F.nullif(F.regexp_extract("isolate", r"/([A-Z]{3})/", 1), F.lit(""))
+    return records.select(
+        F.col("accession").alias("genome_accession"), date.alias("collection_date"), year.alias("collection_year"), S.country_name(place["country"]).alias("collection_country"), place["region"].alias("collection_region"),
+        code.alias("collection_country_code"), F.nullif(F.trim("host"), F.lit("")).alias("host"), S.completeness(F.col("length"), F.col("description")).alias("completeness"),
+    )
