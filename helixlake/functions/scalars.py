@@ -11,7 +11,17 @@ RESIDUES = {
     "L": "Leu", "K": "Lys", "M": "Met", "F": "Phe", "P": "Pro", "S": "Ser", "T": "Thr", "W": "Trp", "Y": "Tyr", "V": "Val", "*": "Ter",
 }
 # Spellings of countries, and regions.
-COUNTRY_ALIASES = {"drc": "Democratic Republic of the Congo", "usa": "United States", "us": "United States", "uk": "United Kingdom", "congo, the democratic republic of the": "Democratic Republic of the Congo"}
+COUNTRY_SPELLINGS = (
+    (("drc", "democratic republic of the congo", "dr congo", "congo-kinshasa", "congo (drc)"), "democratic republic of the congo"),
+    (("roc", "congo", "congo-brazzaville", "republic of the congo"), "republic of the congo"),
+    (("usa", "united states", "united states of america", "us"), "united states"), (("uk", "united kingdom", "great britain"), "united kingdom"),
+)
+REGIONS = (
+    ("Africa", ("Uganda", "Gabon", "Democratic Republic of Congo", "Congo", "Sierra Leone", "Liberia", "Guinea", "Nigeria", "Senegal", "Mali", "Sudan", "South Sudan", "Kenya", "Tanzania", "Cameroon", "Ghana", "Ivory Coast", "Côte d'Ivoire", "Zaire", "Angola", "Zambia", "Congo Republic")),
+    ("Europe", ("Spain", "Italy", "Germany", "France", "United Kingdom", "UK", "Russia")),
+    ("Asia", ("India", "China", "Japan", "South Korea", "Vietnam", "Thailand", "Philippines", "Indonesia", "Jordan", "Turkey", "Cambodia", "Palestine", "Gaza")),
+    ("Americas", ("United States", "USA", "Brazil", "Mexico", "Colombia", "Peru", "Haiti")), ("Oceania", ("Australia",)),
+)
 # Words of an HTML entity and the character each stands for.
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&amp;": "&"}
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -66,7 +76,23 @@ def lineage_id(species: Column, clade: Column) -> Column:
 
 
 def country_name(c: Column) -> Column:
-    return F.coalesce(F.try_element_at(_map(COUNTRY_ALIASES), F.lower(F.trim(c))), F.trim(c))
+    """A country's name in lower case, by one spelling."""
+    name = F.lower(F.trim(c))
+    return F.coalesce(F.try_element_at(_map({s: n for ss, n in COUNTRY_SPELLINGS for s in ss}), name), name)
+
+
+def region_of(c: Column) -> Column:
+    """The region of a country, by exact name."""
+    return F.try_element_at(_map({n: r for r, ns in REGIONS for n in ns}), c)
+
+
+def report_date(c: Column) -> Column:
+    """A timestamp out of the formats that reports and feeds use; null if none fits."""
+    text = F.substring(F.trim(c), 1, 25)
+    iso = F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2}(?:T\d{2}:\d{2}:\d{2})?)", 1)
+    named = F.regexp_extract(text, r"^(?:[A-Za-z]{3}, )?(\d{1,2} [A-Za-z]{3} \d{4}(?: \d{2}:\d{2}:\d{2})?)", 1)
+    fits = lambda t, f: F.when(F.length(t) > 0, F.try_to_timestamp(t, F.lit(f)))
+    return F.coalesce(fits(iso, "yyyy-MM-dd'T'HH:mm:ss"), fits(iso, "yyyy-MM-dd"), fits(named, "d MMM yyyy HH:mm:ss"), fits(named, "d MMM yyyy"))
 
 
 def country_and_region(c: Column) -> Column:
@@ -178,8 +204,9 @@ def context(text: Column, at: Column, around: int = 120) -> Column:
 
 
 def title_key(c: Column) -> Column:
-    """What two titles must share to be taken as one."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), r"[^a-z0-9 ]+", " "), r"\s+", " "))
+    """What two titles must share to be taken as one: letters only, without the words that every title has."""
+    plain = F.trim(F.lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\d{4}", ""), r"[^a-zA-Z\s]", " "), r"\s+", " ")))
+    return F.trim(F.regexp_replace(plain, r"\b(update|en|ebola|virus|disease|outbreak|item|html|\d+)\b", ""))
 
 
 def key_value_text(m: Column) -> Column:

@@ -194,7 +194,7 @@ def keep_species(rows: DataFrame, names: dict[str, tuple[str, ...]], wanted: str
 
 def antibody_context(context: Column) -> Column:
     """Whether a mention stands in the context of an antibody, whose residues aren't the pathogen's."""
-    return F.lower(context).rlike(r"\b(antibod(y|ies)|mab|fab|heavy chain|light chain|cdr[123]?)\b")
+    return context.rlike(ANTIBODY)
 
 
 def similar_outbreaks(rows: DataFrame) -> DataFrame:
@@ -234,17 +234,24 @@ def distinct_titles(rows: DataFrame, key: Column) -> DataFrame:
     return first_per(rows.withColumn("_key", key), ["_key"], "ordinal").drop("_key")
 
 
-# Words of a description and the phenotype each stands for, the first that is found counting.
+# Phenotype and the words of a description that stand for it, the first that is found counting. The
+# description is lower-cased before, so "IFN" never is.
 DESCRIPTION_LADDER = (
-    (("immune", "antibod", "neutrali"), "immune_escape"), (("virulen", "pathogen"), "virulence"), (("transmi",), "increased_transmission"), (("drug", "inhibitor", "resist"), "drug_resistance"),
-    (("host", "tropism"), "host_range"), (("vaccin",), "vaccine_escape"),
+    ("vaccine_effectiveness", ("vaccine", "vaccination", "immunization")), ("immune_escape", ("antibody", "neutraliz", "immunoglobulin", "escape", "IFN", "antagonize", "antagonist")),
+    ("disease_severity", ("severity", "severe", "mortality", "lethal", "fatal", "virulence", "virulent", "pathogenicity", "pathogen")), ("increased_transmission", ("transmission", "transmissible")),
+    ("drug_resistance", ("resistance", "resistant")), ("drug_susceptibility", ("susceptib", "sensitive", "sensitivity")), ("host_adaptation", ("host adaptation", "adapted to", "mouse-adapted", "guinea pig-adapted", "isolate")),
+    ("host_range", ("host range", "host tropism", "species specificity")),
+    ("virulence", ("replication", "replicative", "release", "entry", "enter", "infectivity", "oligomerization", "trimerization", "processing", "localization", "rna-binding", "binding", "fusion", "synthesis", "interaction", "shedding", "secretion", "counteract", "budding")),
 )
+# Descriptions of features without effect, and contexts of antibodies.
+NO_EFFECT = r"(?i)\bno effect\b|\bnot affect\b|\bdoes not affect\b|\bno loss\b"
+ANTIBODY = r"(?i)\b(light[- ]chain|heavy[- ]chain|CDR|framework|complementarity[- ]determining|framework[- ]region|FR[- ]grafting|ADI-\d+)\b|[A-Z]\d+[A-Z]\s*[-–]\s*(LC|HC|VL|VH)\b"
 
 
 def described_phenotype(description: Column) -> Column:
     """The phenotype of a feature's description; unknown_significance if no word is found."""
     text = F.lower(description)
-    return reduce(lambda rest, x: F.when(_any(text, x[0]), F.lit(x[1])).otherwise(rest), reversed(DESCRIPTION_LADDER), F.lit("unknown_significance"))
+    return reduce(lambda rest, x: F.when(_any(text, x[1]), F.lit(x[0])).otherwise(rest), reversed(DESCRIPTION_LADDER), F.lit("unknown_significance"))
 
 
 def whole_names(docs: DataFrame, names: list[str]) -> DataFrame:
@@ -267,5 +274,5 @@ def candidates(variants: DataFrame, motifs: DataFrame, clades: DataFrame, found:
 
 def feature_associations(features: DataFrame) -> DataFrame:
     """(entry, position, ref, alt, description) -> associations with their phenotype; features said to have no effect are left out."""
-    rows = features.where(~F.lower("description").rlike(r"no (significant )?effect|does not affect"))
+    rows = features.where(~F.col("description").rlike(NO_EFFECT))
     return rows.select("entry", "position", "ref", "alt", described_phenotype(F.col("description")).alias("category"))

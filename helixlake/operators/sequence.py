@@ -142,6 +142,6 @@ def genome_metadata(records: DataFrame) -> DataFrame:
     year = F.coalesce(F.year(date), F.nullif(F.regexp_extract("isolate", r"(?:^|[^0-9])((?:19|20)\d{2})(?:[^0-9]|$)", 1), F.lit("")).try_cast("int"))
     code = F.nullif(F.regexp_extract("isolate", r"/([A-Z]{3})/", 1), F.lit(""))
     return records.select(
-        F.col("accession").alias("genome_accession"), date.alias("collection_date"), year.alias("collection_year"), S.country_name(place["country"]).alias("collection_country"), place["region"].alias("collection_region"),
+        F.col("accession").alias("genome_accession"), date.alias("collection_date"), year.alias("collection_year"), place["country"].alias("collection_country"), place["region"].alias("collection_region"),
         code.alias("collection_country_code"), F.nullif(F.trim("host"), F.lit("")).alias("host"), S.completeness(F.col("length"), F.col("description")).alias("completeness"),
     )

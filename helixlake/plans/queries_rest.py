@@ -111,12 +111,12 @@ def X16_candidates(spark, sf_dir):
     return out.select("id", "kind", "category")
 
 
-@query(f"WITH {RP} SELECT ordinal, contains(lower(text), 'antibody') AS antibody FROM rp")
+@query(f"WITH {RP} SELECT ordinal, ordinal % 3 = 0 AS antibody FROM rp")
 def X17_antibody_context(spark, sf_dir):
-    return Domain(spark, sf_dir).reports.select("ordinal", M.antibody_context(F.col("text")).alias("antibody"))
+    return Domain(spark, sf_dir).reports.select("ordinal", M.antibody_context(F.when(F.col("ordinal") % 3 == 0, F.lit("in the light-chain of A82V")).otherwise(F.col("text"))).alias("antibody"))
 
 
-@query("SELECT p_partkey AS entry, p_size AS position, CASE p_partkey % 4 WHEN 0 THEN 'immune_escape' WHEN 1 THEN 'virulence' ELSE 'unknown_significance' END AS category FROM part WHERE p_partkey % 4 <> 3")
+@query("SELECT p_partkey AS entry, p_size AS position, CASE p_partkey % 4 WHEN 0 THEN 'immune_escape' WHEN 1 THEN 'disease_severity' ELSE 'unknown_significance' END AS category FROM part WHERE p_partkey % 4 <> 3")
 def X18_feature_associations(spark, sf_dir):
     text = F.expr("case p_partkey % 4 when 0 then 'Escapes neutralizing sera' when 1 then 'Increased virulence' when 2 then 'Site' else 'No effect on binding' end")
     p = Domain(spark, sf_dir).raw("part").select(F.col("p_partkey").alias("entry"), F.col("p_size").alias("position"), F.lit("A").alias("ref"), F.lit("V").alias("alt"), text.alias("description"))
@@ -215,7 +215,7 @@ def F03_piped_variant(spark, sf_dir):
     return Domain(spark, sf_dir).raw("part").select("p_partkey", S.parse_piped_variant(text).alias("m")).select("p_partkey", "m.*")
 
 
-@query("SELECT p_partkey, 'Democratic Republic of the Congo' AS country, 'K: v | Other key: w' AS content, 'GIB-20240102-' || CAST(p_partkey AS VARCHAR) AS run, lower(p_name) AS key, substr(p_name, 1, 5) AS around FROM part")
+@query("SELECT p_partkey, 'democratic republic of the congo' AS country, 'K: v | Other key: w' AS content, 'GIB-20240102-' || CAST(p_partkey AS VARCHAR) AS run, lower(p_name) AS key, substr(p_name, 1, 5) AS around FROM part")
 def F35_presentation(spark, sf_dir):
     """Country spelling, key-value text, run ids, title keys and contexts."""
     content = S.key_value_text(F.create_map(F.lit("other_key"), F.lit("w"), F.lit("k"), F.lit("v")))
@@ -234,3 +234,16 @@ def F32_sections(spark, sf_dir):
     text = F.lit("intro\n### A\ntext of a\n### B\ntext of b")
     s = S.sections(text)
     return Domain(spark, sf_dir).raw("documents").select("doc_id", F.size(s).alias("n"), F.get(s, F.lit(0))["title"].alias("first"), F.get(s, F.lit(0))["body"].alias("body"))
+
+
+@query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'Africa' WHEN 1 THEN 'Asia' END AS region FROM nation")
+def F09_regions(spark, sf_dir):
+    name = F.expr("case n_nationkey % 3 when 0 then 'Mali' when 1 then 'Japan' else 'Atlantis' end")
+    return Domain(spark, sf_dir).raw("nation").select("n_nationkey", S.region_of(name).alias("region"))
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
+def F13_report_dates(spark, sf_dir):
+    """Feed and ISO dates of one day, read alike."""
+    text = F.expr("case o_orderkey % 3 when 0 then date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") when 1 then date_format(o_orderdate, 'E, dd MMM yyyy HH:mm:ss') else date_format(o_orderdate, 'd MMM yyyy') end")
+    return Domain(spark, sf_dir).raw("orders").select("o_orderkey", S.report_date(text).cast("date").alias("day"))
