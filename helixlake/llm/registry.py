@@ -49,4 +49,4 @@ def op8_ann(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op8_ann, op9_dedup, op10_chat)}
-ORACLES = {"op1_mixing": mixing.ORACLE, "op2_quality": quality.ORACLE, "op3_urls": urls.ORACLE, "op7_licenses": licenses.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op2_quality": quality.ORACLE, "op3_urls": urls.ORACLE, "op4_secrets": secrets.ORACLE, "op7_licenses": licenses.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}

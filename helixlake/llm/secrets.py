@@ -194,3 +194,47 @@ def redact(docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("_spans").isNull(), F.col("doc.n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
     return joined.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
+
+
+def _oracle() -> str:
+    """The same scan in SQL: places by running sums over pieces and matches, the battery over unnested characters."""
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+    found = " UNION ALL ".join(
+        f"SELECT r, {i} AS kind, unnest(list_transform(string_split_regex(text, {quote(p)})[:len(regexp_extract_all(text, {quote(p)}))], lambda x: length(x))) AS b, unnest(list_transform(regexp_extract_all(text, {quote(p)}), lambda x: length(x))) AS m, "
+        f"unnest(list_transform(regexp_extract_all(text, {quote(p)}, {g}), lambda x: length(x))) AS g, {least} AS least, unnest(range(1, len(regexp_extract_all(text, {quote(p)})) + 1)) AS i FROM d WHERE regexp_matches(text, {quote(p)})"
+        for i, (_, p, g, least) in enumerate([*KINDS, (RANDOM, CANDIDATE, 0, 20)])
+    )
+    alphabet = "CASE " + " ".join(f"WHEN regexp_matches(x, '{p}') THEN '{a}'" for p, a in ENCODINGS[:-1]) + f" ELSE '{ENCODINGS[-1][1]}' END"
+
+    def tail(z: str) -> str:
+        t = f"(1 / (1 + 0.2316419 * {z}))"
+        poly = f"({t} * (0.319381530 + {t} * (-0.356563782 + {t} * (1.781477937 + {t} * (-1.821255978 + {t} * 1.330274429)))))"
+        return f"greatest(exp(-{z} * {z} / 2) * 0.3989422804014327 * {poly}, 1e-300)"
+
+    names = "[" + ", ".join(f"'{n}'" for n in NAMES) + "]"
+    listed = f"string_agg({names}[kind + 1] || ':' || CAST(a AS VARCHAR) || ':' || CAST(e AS VARCHAR), ',' ORDER BY a, kind, e)"
+    counts = ", ".join(f"CAST(count(*) FILTER (kind = {i}) AS BIGINT) AS n_{n}" for i, (n, *_) in enumerate(KINDS))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents), f AS ({found}),
+s AS (SELECT r, kind, e - m AS a, e, g, least FROM (SELECT *, CAST(sum(b + m) OVER (PARTITION BY r, kind ORDER BY i) AS BIGINT) AS e FROM f)),
+b AS (SELECT r, kind, a, e FROM s WHERE kind < {len(KINDS)} AND g >= least),
+c AS (SELECT row_number() OVER () AS id, s.r, s.a, s.e, substr(d.text, s.a + 1, s.e - s.a) AS x FROM s JOIN d USING (r) WHERE kind = {len(KINDS)}),
+t AS (SELECT id, r, a, e, translate(x, '-_=', '+/') AS plain, {alphabet} AS abc FROM c WHERE regexp_matches(x, '[0-9]') AND regexp_matches(x, '[A-Za-z]') AND NOT EXISTS (SELECT 1 FROM b WHERE b.r = c.r AND b.a < c.e AND c.a < b.e)),
+u AS (SELECT id, abc, unnest(list_filter(string_split(plain, ''), lambda y: y <> '')) AS y, unnest(range(1, len(list_filter(string_split(plain, ''), lambda y: y <> '')) + 1)) AS i FROM t),
+v AS (SELECT id, y, CAST(length(abc) AS DOUBLE) AS k, CAST(strpos(abc, y) - 1 AS DOUBLE) AS v, lag(CAST(strpos(abc, y) - 1 AS DOUBLE)) OVER (PARTITION BY id ORDER BY i) AS l, length(abc) / 2.0 AS half FROM u),
+q AS (SELECT id, sum(n * n) AS squares FROM (SELECT id, y, CAST(count(*) AS DOUBLE) AS n FROM v GROUP BY 1, 2) GROUP BY 1),
+o AS (SELECT id, any_value(k) AS k, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (v >= half) AS DOUBLE) AS high, CAST(count(*) FILTER (l IS NULL OR (v >= half) <> (l >= half)) AS DOUBLE) AS runs, sum(v) AS s, sum(v * v) AS ss, coalesce(sum(v * l), 0) AS sp FROM v GROUP BY id),
+z AS (SELECT id, (pow(greatest(k / n * squares - n, 0) / (k - 1), 1 / 3.0) - (1 - 2 / (9 * (k - 1)))) / sqrt(2 / (9 * (k - 1))) AS zc, 2 * high * (n - high) AS two, n, runs, s / n AS mean, ss, sp FROM o JOIN q USING (id)),
+y AS (SELECT id, zc, least(abs(runs - (two / n + 1)) / sqrt(greatest(two * (two - n) / (n * n * (n - 1)), 1e-9)), 35.0) AS zr, least(abs((sp / (n - 1) - mean * mean) / greatest(ss / n - mean * mean, 1e-9)) * sqrt(n), 35.0) AS zs FROM z),
+p AS (SELECT id, greatest(least(1.0, 3 * least(CASE WHEN zc >= 0 THEN {tail("zc")} ELSE 1 - {tail("(-zc)")} END, 2 * {tail("zr")}, 2 * {tail("zs")})), 1e-300) AS p FROM y),
+w AS (SELECT round(avg(sqrt(e - a)), 6) AS mean, count(*) AS n FROM t),
+h AS (SELECT t.r, t.a, t.e, ceil(log10(p.p / (sqrt(t.e - t.a) / w.mean)) * {STEPS}) AS step FROM t JOIN p USING (id), w),
+j AS (SELECT step, sum(count(*)) OVER (ORDER BY step) AS run FROM h GROUP BY step),
+x AS (SELECT max(step) AS last FROM j, w WHERE pow(10.0, step / {STEPS}) <= run * {RATE} / w.n),
+a AS (SELECT r, kind, a, e FROM b UNION ALL SELECT r, {len(KINDS)}, a, e FROM h, x WHERE last IS NULL OR step > last),
+k AS (SELECT r, {counts}, {listed} AS base FROM b GROUP BY r), l AS (SELECT r, {listed} AS spans FROM a GROUP BY r)
+SELECT doc_id, {", ".join(f"coalesce(n_{n}, 0) AS n_{n}" for n, *_ in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN k USING (r) LEFT JOIN l USING (r)
+"""
+
+
+ORACLE = _oracle()

@@ -569,3 +569,19 @@ def test_pipeline(spark, docs, corpus, tmp_path):
             assert ids == {i for i, (_, c) in want.items() if i == c}
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert Counter(r["doc_id"] for r in final.collect()) == Counter(r["doc_id"] for r in left.collect())
+
+
+def test_secrets_sql_on_random_strings(spark):
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(8)
+    pools = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "0123456789ABCDEF", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"]
+    data = [(i, " ".join("".join(rng.choices(rng.choice(pools), k=rng.randint(18, 60))) for _ in range(3))) for i in range(60)] + [(100 + i, f"{'then' * 8}{i:02d} and {'ab1' * 12}") for i in range(30)] + [(200 + i, t) for i, t in enumerate(TEXTS)]
+    got = secrets.digests(secrets.scan(spark.createDataFrame(data, "doc_id long, text string"))).toPandas()
+    con = duckdb.connect()
+    documents = pd.DataFrame(data, columns=["doc_id", "text"])
+    con.register("documents", documents)
+    want = con.sql(secrets.ORACLE).df()
+    assert got["spans"].str.contains("random").sum() >= 50
+    assert rows(got) == rows(want)
