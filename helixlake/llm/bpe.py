@@ -57,7 +57,9 @@ class Encoder:
         for t, (a, b, n) in sorted(parts.items(), key=lambda x: x[1][2]):
             if self._own(self.bytes_of[t]) == (t,):
                 self.token[self.bytes_of[t]] = t
-        self.longest = max(map(len, self.token))
+        self.reach: dict[bytes, int] = {}  # by its last three bytes, how long a token can be
+        for piece in self.token:
+            self.reach[piece[-3:]] = max(len(piece), self.reach.get(piece[-3:], 0))
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers, which take half the room of a tuple
 
@@ -106,7 +108,7 @@ class Encoder:
         part of the path are kept as they are, those below are computed from the states above them. A node's encoding is
         the chain of last tokens back to the root.
         """
-        token, follows, longest = self.token, self.follows, self.longest
+        token, follows, reach = self.token, self.follows, self.reach
         last: list[int] = []
         start: list[int] = []
         before = b""
@@ -122,7 +124,7 @@ class Encoder:
                 shared += 1
             del last[shared:], start[shared:]
             for end in range(shared + 1, n + 1):
-                for begin in range(max(0, end - longest), end):
+                for begin in range(max(0, end - reach.get(piece[max(0, end - 3) : end], 2)), end):
                     t = token.get(piece[begin:end])
                     if t is not None and (begin == 0 or follows(last[begin - 1], t)):
                         last.append(t)
