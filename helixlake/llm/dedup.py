@@ -192,7 +192,7 @@ def _completed(members: DataFrame, labels: DataFrame, sets: DataFrame, percent:
     held = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
     held = materialise(held, "dedup-held")
     who = held.select("id", "label").distinct()
-    size = who.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+    size = small(materialise(who.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "dedup-sizes"))
     top = held.join(size, "label").groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("t"), F.min("label").alias("low"), F.max("label").alias("high"))
     top = top.where("low < high").select("bucket", F.col("t.label").alias("key"))
     outside = materialise(held.join(top, "bucket").where("label <> key").select("key", "id", "label").distinct(), "dedup-outside")
