@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import bounded_sample, materialise
 
 #: Vectors that the codes are learnt on, rotations learnt (each gives as many bits as vectors have components), steps.
 SAMPLE, ROTATIONS, STEPS = 10_000, 4, 12
@@ -142,8 +142,7 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     holds one of each, whatever the size of the table, and returns k rows a query. Every row is indexed.
     """
     rows = sound(vectors)
-    digest = F.md5(F.concat(F.lit("42:"), F.col("vec_id").cast("string")))
-    sample = rows.orderBy(digest, "vec_id").limit(SAMPLE).toPandas()
+    sample = bounded_sample(rows, "vec_id", SAMPLE).toPandas()
     out = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     if sample.empty:

@@ -67,3 +67,15 @@ def chunks(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
             chunk, size = [], 0
     if chunk:
         yield chunk
+
+
+def bounded_sample(rows: DataFrame, key: str, most: int, seed: int = 42) -> DataFrame:
+    """At most `most` rows by a seeded digest of their key.
+
+    Rows are thinned by hash to about twice as many before the order is taken, so that neither a task's share of the
+    order nor what the driver merges of it grows with the number of partitions.
+    """
+    n = rows.count()
+    if n > 2 * most:
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(n)) < 2 * most)
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(most)

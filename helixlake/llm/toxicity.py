@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import bounded_sample, chunks
 
 #: Most labelled documents that training takes, and the longest text among these: the sample that reaches the driver.
 SAMPLE, SAMPLE_CHARS = 6_000, 20_000
@@ -251,7 +251,7 @@ def train(sample: pd.DataFrame) -> dict:
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> pd.DataFrame:
     """At most `rows` labelled documents of the training folds, of at most `chars` characters, by a seeded digest."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_fold(F.col("doc_id")) != 1)
-    known = known.orderBy(F.md5(F.concat(F.lit("42:"), F.col("doc_id").cast("string"))), "doc_id").limit(rows)
+    known = bounded_sample(known, "doc_id", rows)
     texts = docs.where(f"length(text) <= {int(chars)}").select("doc_id", "text").join(F.broadcast(known), "doc_id")
     return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id", ignore_index=True)
 
