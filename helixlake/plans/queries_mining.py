@@ -359,8 +359,8 @@ def S13_newick_tips(spark, sf_dir):
 
 
 @query(f"WITH {GM} SELECT genome_accession AS sample_id, 1 AS documents FROM gm WHERE CAST(genome_accession AS BIGINT) % 100 = 0")
-def K16_sample_documents(spark, sf_dir):
-    g = Domain(spark, sf_dir).genomes.where("cast(genome_accession as bigint) % 100 = 0").withColumnRenamed("genome_accession", "sample_id")
+def K16_sample_documents(spark, sf_dir, keep="cast(genome_accession as bigint) % 100 = 0"):
+    g = Domain(spark, sf_dir).genomes.where(keep).withColumnRenamed("genome_accession", "sample_id")
     docs = sinks.sample_documents(g, "sample_id")
     return docs.select("sample_id", F.json_array_length("document").alias("documents"))
 

@@ -70,10 +70,10 @@ def P06_overlap(spark, sf_dir):
 
 
 @query(f"WITH {PV}, dom AS (SELECT DISTINCT p_brand AS dgene, p_size - 2 AS s, p_size + 2 AS e FROM part WHERE p_partkey % 10 = 0) SELECT {MK}, genome_accession, s AS domain_start, e AS domain_end FROM pv JOIN dom ON dgene = gene AND position BETWEEN s AND e")
-def P08_domain_contains(spark, sf_dir):
+def P08_domain_contains(spark, sf_dir, keep="p_partkey % 10 = 0"):
     """Calls with the domains of their gene that hold their position, by an interval join in blocks."""
     d = Domain(spark, sf_dir)
-    domains = d.raw("part").where("p_partkey % 10 = 0").select(F.col("p_brand").alias("gene"), (F.col("p_size") - 2).alias("start"), (F.col("p_size") + 2).alias("end")).distinct()
+    domains = d.raw("part").where(keep).select(F.col("p_brand").alias("gene"), (F.col("p_size") - 2).alias("start"), (F.col("p_size") + 2).alias("end")).distinct()
     out = J.in_interval(d.calls, domains, ["gene"])
     return out.select(*MUTATION, "genome_accession", F.col("start").alias("domain_start"), F.col("end").alias("domain_end"))
 
@@ -122,10 +122,10 @@ def J15_alias_match(spark, sf_dir):
 
 
 @query(f"WITH {GM}, s AS (SELECT genome_accession AS sample, species_id, collection_country, collection_date FROM gm WHERE CAST(genome_accession AS BIGINT) % 500 = 1) SELECT sample, g.genome_accession, abs(date_diff('day', g.collection_date, s.collection_date)) AS gap FROM s JOIN gm g USING (species_id, collection_country) WHERE abs(date_diff('day', g.collection_date, s.collection_date)) <= 30 AND g.genome_accession <> sample")
-def J20_window_neighbours(spark, sf_dir):
+def J20_window_neighbours(spark, sf_dir, keep="cast(genome_accession as bigint) % 500 = 1"):
     """Genomes of the same country within 30 days of a sample, by a range join in windows."""
     g = Domain(spark, sf_dir).genomes
-    s = g.where("cast(genome_accession as bigint) % 500 = 1").select(F.col("genome_accession").alias("sample"), "species_id", "collection_country", F.col("collection_date").alias("r_date"))
+    s = g.where(keep).select(F.col("genome_accession").alias("sample"), "species_id", "collection_country", F.col("collection_date").alias("r_date"))
     out = J.within_days(g.select("genome_accession", "species_id", "collection_country", "collection_date"), s, ["species_id", "collection_country"], "collection_date", 30)
     return out.where("genome_accession <> sample").select("sample", "genome_accession", F.abs(F.datediff("collection_date", "r_date")).cast("long").alias("gap"))
 

@@ -1,0 +1,36 @@
+"""The whole job of queries whose SQL is for a subset of ids: name_all takes every genome, part, motif or report.
+
+The SQL of the subset is fixed; that of the whole is the same text without its filter.
+"""
+
+from __future__ import annotations
+
+from . import queries_mining as mining
+from . import queries_more as more
+from . import queries_operators as operators
+from . import queries_rest as rest
+
+ORACLES: dict[str, str] = {}
+QUERIES: dict = {}
+#: module, query, the filter in its SQL; none for SQL that states results of the subset only.
+SUBSETS = (
+    (more, "E30_layered_lookup", "CAST(genome_accession AS BIGINT) % 25 = 0"), (more, "E25_phenotype_matching", "CAST(genome_accession AS BIGINT) % 50 = 0"), (rest, "E26_enrichment", "CAST(genome_accession AS BIGINT) % 30 = 0"),
+    (more, "E08_significance", "CAST(genome_accession AS BIGINT) % 20 = 0"), (more, "J13_motif_containment", "p_partkey % 50 = 0"), (more, "J17_tip_metadata", "CAST(genome_accession AS BIGINT) % 50 < 2"),
+    (rest, "J19_harmonised", "CAST(genome_accession AS BIGINT) % 40 = 0"), (operators, "J20_window_neighbours", "CAST(genome_accession AS BIGINT) % 500 = 1"), (more, "J21_nearest_mention", "ordinal % 10 = 0"),
+    (operators, "P08_domain_contains", "p_partkey % 10 = 0"), (mining, "K16_sample_documents", "CAST(genome_accession AS BIGINT) % 100 = 0"), (rest, "X16_candidates", None),
+)
+
+
+def _whole(f):
+    def run(spark, sf_dir):
+        return f(spark, sf_dir, keep="true")
+
+    run.__name__, run.__doc__ = f"{f.__name__}_all", f.__doc__
+    return run
+
+
+for _module, _name, _filter in SUBSETS:
+    QUERIES[f"{_name}_all"] = _whole(_module.QUERIES[_name])
+    if _filter:
+        assert _filter in _module.ORACLES[_name]
+        ORACLES[f"{_name}_all"] = _module.ORACLES[_name].replace(_filter, "TRUE")

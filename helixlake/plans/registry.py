@@ -7,7 +7,8 @@ from . import queries_more as _more
 from . import queries_operators as _operators
 from . import queries_rest as _rest
 from . import queries_views as _views
+from . import queries_whole as _whole
 
-_MODULES = (_views, _operators, _mining, _more, _rest)
+_MODULES = (_views, _operators, _mining, _more, _rest, _whole)
 QUERIES = {name: f for m in _MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in _MODULES for name, sql in m.ORACLES.items()}
