@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,12 +95,12 @@ def reading_frames(dna: str, least: int = 150, unknown: float = 0.3) -> list[str
 
 def identity(a: str, b: str, offsets: tuple[int, ...] = (-30, -10, -3, 0, 3, 10, 30)) -> float:
     """The best share of equal residues over a few offsets, of the shorter length."""
-    best = 0.0
+    best, u, v = 0.0, np.array(a, "U").reshape(1).view("U1"), np.array(b, "U").reshape(1).view("U1")
     for k in offsets:
-        x, y = (a[k:], b) if k >= 0 else (a, b[-k:])
+        x, y = (u[k:], v) if k >= 0 else (u, v[-k:])
         n = min(len(x), len(y))
-        if n:
-            best = max(best, sum(p == q for p, q in zip(x, y)) / min(len(a), len(b)))
+        if n and a and b:
+            best = max(best, int((x[:n] == y[:n]).sum()) / min(len(a), len(b)))
     return best
 
 

@@ -142,17 +142,21 @@ def Q02_coding_sequences(spark, sf_dir):
 
 @query()
 def Q03_best_frames(spark, sf_dir):
-    """A gene found again in a genome that codes for it: every residue spelled by one of its codons."""
-    p = Domain(spark, sf_dir).raw("part").where("p_partkey < 40")
+    """The best frame of each gene of the species in every genome (a part), which codes for a protein: every residue spelled by one of its codons.
+
+    The smallest part of a species and brand gives the reference protein of that gene.
+    """
+    d = Domain(spark, sf_dir)
     protein = F.repeat(F.rpad(F.upper(F.regexp_replace("p_name", "[^ACDEFGHIKLMNPQRSTVWYacdefghiklmnpqrstvwy]", "")), 20, "ACDEFGHIKLMNPQRSTVWY"), 9)
     codon = {}
     for c, a in Q.CODONS.items():
         codon.setdefault(a, c)
     names = F.create_map(*[F.lit(x) for pair in codon.items() for x in pair])
-    rows = p.select(F.col("p_partkey").cast("string").alias("genome_accession"), F.lit("s").alias("species_id"), protein.alias("protein"))
+    p = d.raw("part").join(F.broadcast(d.raw("region")), F.expr("r_regionkey = p_partkey % 5"))
+    rows = p.select("p_partkey", F.col("p_partkey").cast("string").alias("genome_accession"), F.col("r_name").alias("species_id"), F.col("p_brand").alias("gene"), protein.alias("protein"))
     dna = F.array_join(F.transform(F.filter(F.split("protein", ""), lambda c: c != ""), lambda c: F.try_element_at(names, c)), "")
-    proteins = rows.where("genome_accession = '1'").select("species_id", F.lit("g1").alias("gene"), "protein")
-    return Q.best_genes(rows.withColumn("dna", dna), proteins).select("genome_accession", "gene", F.round("score", 4).alias("score"))
+    proteins = rows.groupBy("species_id", "gene").agg(F.min_by("protein", "p_partkey").alias("protein"))  # species and brands are dimensions of fixed size
+    return Q.best_genes(rows.withColumn("dna", dna), F.broadcast(proteins)).select("genome_accession", "gene", F.round("score", 4).alias("score"))
 
 
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS genome_accession, CAST(o_orderdate AS DATE) AS collection_date, CAST(year(o_orderdate) AS INTEGER) AS collection_year, 'Mali' AS collection_country, 'Bamako' AS collection_region, 'MLI' AS collection_country_code, CASE WHEN o_orderkey % 2 = 0 THEN 'complete' ELSE 'partial' END AS completeness FROM orders")

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from helixlake.operators import mining as M
+from helixlake.operators import sequence as Q
 from helixlake.plans import registry
 from helixlake.plans.domain import Domain
 from helixlake.plans.queries_whole import SUBSETS
@@ -32,3 +33,40 @@ def test_candidates_of_all_reports(spark, sf_dir):
                 want |= {(r["ordinal"], kind, category) for kind in ("variant", "motif") if kind == "variant" or r["ordinal"] % 2}
     got = [tuple(r) for r in registry.QUERIES["X16_candidates_all"](spark, sf_dir).select("id", "kind", "category").collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def plain_identity(a, b):
+    best = 0.0
+    for k in (-30, -10, -3, 0, 3, 10, 30):
+        x, y = (a[k:], b) if k >= 0 else (a, b[-k:])
+        if min(len(x), len(y)):
+            best = max(best, sum(p == q for p, q in zip(x, y)) / min(len(a), len(b)))
+    return best
+
+
+@pytest.mark.parametrize(("a", "b"), [("", ""), ("A", ""), ("ACD", "ACD"), ("ACDEFGHIKLMNPQRSTVWY" * 3, "FGHIKLMNPQRSTVWY" * 3), ("A" * 40, "A" * 9)])
+def test_identity_matches_plain_loop(a, b):
+    assert Q.identity(a, b) == plain_identity(a, b)
+
+
+def test_best_frames_of_every_part(spark, sf_dir):
+    regions = {r["r_regionkey"]: r["r_name"] for r in spark.read.parquet(f"{sf_dir}/region.parquet").collect()}
+    codon = {}
+    for c, a in Q.CODONS.items():
+        codon.setdefault(a, c)
+    genomes, genes = [], {}
+    for r in sorted(spark.read.parquet(f"{sf_dir}/part.parquet").collect(), key=lambda r: r["p_partkey"]):
+        residues = re.sub("[^ACDEFGHIKLMNPQRSTVWY]", "", r["p_name"].upper())
+        protein, species = (residues + "ACDEFGHIKLMNPQRSTVWY")[:20] * 9, regions[r["p_partkey"] % 5]
+        genomes.append((str(r["p_partkey"]), species, "".join(codon[a] for a in protein)))
+        genes.setdefault(species, {}).setdefault(r["p_brand"], protein)
+    want = {}
+    for accession, species, dna in genomes:
+        for gene, protein in genes[species].items():
+            best = max((plain_identity(f, protein) for f in Q.reading_frames(dna)), default=0.0)
+            if best > 0.25:
+                want[accession, gene] = pytest.approx(best, abs=1e-4)
+    got = {(r["genome_accession"], r["gene"]): r["score"] for r in registry.QUERIES["Q03_best_frames"](spark, sf_dir).collect()}
+    assert {a for a, _ in got} == {a for a, _, _ in genomes}
+    assert len({g for _, g in got}) > 1
+    assert got == want
