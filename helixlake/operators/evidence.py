@@ -191,6 +191,33 @@ def harmonise(variants: DataFrame, phenotypes: DataFrame, outbreaks: DataFrame)
     return per.join(by_lineage, "lineage_id", "left").withColumn("outbreaks", F.coalesce("mine", fallback)).drop("mine")
 
 
+def comparative_outbreaks(samples: DataFrame, outbreaks: DataFrame, most: int = 5) -> DataFrame:
+    """samples (sample, country, year) x outbreaks (outbreak, country, year, cases) -> sample, outbreak, score: the most similar ones.
+
+    2 for the same country; 2 for years at most 5 apart, 1 for at most 10; 0.5 for known cases. Outbreaks without any score
+    are left out; ties go to the least outbreak. Nulls and empty countries match nothing.
+
+    All outbreaks of one country, year and state of cases score alike, so the least few of such a class are all that a sample
+    can need of it; the same holds by year alone for those of other countries, and overall for those that score by cases
+    only. Where a wider class's few hold outbreaks that score more, these come before what they leave out. Samples are judged
+    once per country and year.
+    """
+    place = F.nullif(F.lower("country"), F.lit(""))
+    score = lambda here, gap, cases: F.when(here, 2.0).otherwise(0.0) + F.when(gap <= 5, 2.0).when(gap <= 10, 1.0).otherwise(0.0) + F.when(cases, 0.5).otherwise(0.0)
+    o = outbreaks.select("outbreak", place.alias("o_place"), F.col("year").alias("o_year"), F.coalesce(F.col("cases") > 0, F.lit(False)).alias("o_cases"))
+    least = lambda rows, *keys: rows.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy("outbreak"))).where(F.col("_r") <= most).drop("_r")
+    s = samples.select("sample", place.alias("place"), "year")
+    kinds = s.select("place", "year").distinct()
+    here = kinds.join(least(o.where("o_place is not null"), "o_place", "o_year", "o_cases"), F.col("place") == F.col("o_place"))
+    near = kinds.withColumn("_y", F.explode(F.sequence(F.col("year") - 10, F.col("year") + 10))).join(least(o.where("o_year is not null"), "o_year", "o_cases"), F.col("_y") == F.col("o_year")).drop("_y")
+    far = kinds.crossJoin(F.broadcast(o.where("o_cases").orderBy("outbreak").limit(most)))
+    pairs = here.unionByName(near).unionByName(far).distinct()
+    scored = pairs.withColumn("score", score(F.col("place") == F.col("o_place"), F.abs(F.col("year") - F.col("o_year")), F.col("o_cases"))).where("score > 0")
+    w = W.partitionBy("place", "year").orderBy(F.col("score").desc(), "outbreak")
+    best = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= most).select(F.col("place").alias("_place"), F.col("year").alias("_year"), "outbreak", "score")
+    return s.join(best, F.col("place").eqNullSafe(F.col("_place")) & F.col("year").eqNullSafe(F.col("_year"))).select("sample", "outbreak", "score")
+
+
 def genomic_signal(variants: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     """(sample_id, is_known, is_hotspot, sample_length) -> sample_id, novelty, hotspot_ratio, burden and whether novelty is a finding.
 

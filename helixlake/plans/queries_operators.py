@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators import evidence as E
 from ..operators import joins as J
 from ..operators import upserts as U
 from ..schemas import MUTATION
 from . import views as V
-from .domain import GM, GP, PROFILE, PV, Domain
+from .domain import GM, GP, PROFILE, PV, RP, Domain
 
 MK = ", ".join(MUTATION)
 ORACLES: dict[str, str] = {}
@@ -387,6 +388,20 @@ def T04_similar_outbreaks(spark, sf_dir):
     return rows.withColumn("r", F.row_number().over(W.partitionBy("sample").orderBy(F.col("score").desc(), "outbreak"))).where("r <= 5").select("sample", "outbreak", "score")
 
 
+COMPARED = f"""WITH {GM}, {RP}, k AS (SELECT DISTINCT collection_country AS c, collection_year AS y FROM gm),
+x AS (SELECT c, y, ordinal, (CASE WHEN c = country THEN 2.0 ELSE 0.0 END) + (CASE WHEN abs(y - year) <= 5 THEN 2.0 WHEN abs(y - year) <= 10 THEN 1.0 ELSE 0.0 END) + (CASE WHEN cases > 0 THEN 0.5 ELSE 0.0 END) AS score FROM k, rp),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c, y ORDER BY score DESC, ordinal) AS r FROM x WHERE score > 0) WHERE r <= 5)
+SELECT genome_accession AS sample, ordinal AS outbreak, score FROM gm JOIN b ON gm.collection_country IS NOT DISTINCT FROM b.c AND gm.collection_year IS NOT DISTINCT FROM b.y"""
+
+
+@query(COMPARED)
+def E22_comparative_outbreaks(spark, sf_dir):
+    """The five most similar of all reported outbreaks for every genome, by country, year and cases."""
+    d = Domain(spark, sf_dir)
+    s = d.genomes.select(F.col("genome_accession").alias("sample"), F.col("collection_country").alias("country"), F.col("collection_year").alias("year"))
+    return E.comparative_outbreaks(s, d.reports.select(F.col("ordinal").alias("outbreak"), "country", "year", "cases"))
+
+
 # --- sets and upserts -------------------------------------------------------------------------------------------------
 
 SETS = f"WITH {GM}, r AS (SELECT species_id, list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL)) AS reported, coalesce(list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL AND collection_year >= 2001)), []) AS recent FROM gm GROUP BY 1)"

@@ -1,9 +1,12 @@
 """Queries over whole tables, where the SQL of their namesakes is for a subset of ids."""
 
+import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from helixlake.operators import evidence as E
 from helixlake.operators import mining as M
 from helixlake.operators import sequence as Q
 from helixlake.plans import registry
@@ -70,3 +73,26 @@ def test_best_frames_of_every_part(spark, sf_dir):
     assert {a for a, _ in got} == {a for a, _, _ in genomes}
     assert len({g for _, g in got}) > 1
     assert got == want
+
+
+def test_comparative_outbreaks_match_plain_loop(spark):
+    rng = random.Random(3)
+    places = ["Mali", "MALI", "Guinea", "Ghana", "", None]
+    outbreaks = [(i, rng.choice(places), rng.choice([None, *range(1950, 2025)]), rng.choice([None, 0, 7])) for i in range(400)]
+    samples = [(f"s{i}", rng.choice([*places, "Chad"]), rng.choice([None, 1900, *range(1945, 2040)])) for i in range(150)] + [("old", "Chad", 1900), ("none", None, None), ("mali", "Mali", 1900)]
+    got = E.comparative_outbreaks(spark.createDataFrame(samples, "sample string, country string, year int"), spark.createDataFrame(outbreaks, "outbreak long, country string, year int, cases int"))
+    found = {}
+    for r in got.orderBy("sample", F.col("score").desc(), "outbreak").collect():
+        found.setdefault(r["sample"], []).append((r["outbreak"], r["score"]))
+    for sample, country, year in samples:
+        scored = []
+        for i, c, y, cases in outbreaks:
+            score = 2.0 * bool(country and c and c.lower() == country.lower())
+            if year is not None and y is not None:
+                score += 2 if abs(year - y) <= 5 else 1 if abs(year - y) <= 10 else 0
+            score += 0.5 * bool(cases)
+            if score > 0:
+                scored.append((i, score))
+        assert found[sample] == sorted(scored, key=lambda x: (-x[1], x[0]))[:5]
+    few = E.comparative_outbreaks(spark.createDataFrame([("x", "Chad", 1900)], "sample string, country string, year int"), spark.createDataFrame([(1, "Mali", 2000, 0), (2, "Mali", 1894, None), (3, "Mali", 1910, 0)], "outbreak long, country string, year int, cases int"))
+    assert sorted(map(tuple, few.collect())) == [("x", 2, 1.0), ("x", 3, 1.0)]
