@@ -1,7 +1,8 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
 A null text counts as empty: no words, no labels, score 0. Repeated rows are scanned each alike; an empty table gives an
-empty result. Texts are taken whole, in blocks (lines). Only the columns named are read.
+empty result. Texts are taken whole, in blocks: lines, and with wrapped=True runs of lines too. Only the columns named are
+read.
 """
 
 from __future__ import annotations
@@ -46,6 +47,13 @@ def template_words(templates=TEMPLATES) -> list[tuple[int, str, list[str]]]:
     return [(i, label, sorted({w for w in re.split(GAP, lower(text)) if w})) for i, (label, text) in enumerate(templates)]
 
 
+def template_lengths(templates=TEMPLATES) -> dict[int, int]:
+    """number -> words of every template, repeated ones too."""
+    import re
+
+    return {i: len([w for w in re.split(RAW_GAP, text) if w]) for i, (_, text) in enumerate(templates)}
+
+
 def _need(n: int) -> int:
     """Words of a template of n distinct ones that a block must hold."""
     return max(1, ceil(round(CONTAINMENT * n, 9)))
@@ -64,8 +72,37 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.when(F.size(words) >= len(parts), F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), at)).otherwise(F.array().cast("array<int>"))
 
 
-def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]]) -> DataFrame:
-    """doc_id, n_words, places (of phrases), blocks: for each block that can hold enough, its template words.
+def _runs(text: Column, templates: list[tuple[int, str, list[str]]], vocabulary: Column, reach: int) -> Column:
+    """array<array<struct<n, w>>>: runs of lines that can hold enough of a template, each line as its word count and template words.
+
+    A run begins at any line and takes the lines after it, up to one without words, until those hold `reach` words; so a
+    passage of at most so many words lies whole in the run of the line that it begins in. Every line of a run but the first
+    has a word, so it has at most reach + 1 lines. Only runs that hold a key word are looked at.
+    """
+    edge = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    key = _some_key(templates)
+    least = min(_need(len(words)) for _, _, words in templates)
+    line = lambda x: let(F.filter(F.split(ascii_lower(x), RAW_GAP), lambda w: w != ""), lambda ws: F.struct(F.size(ws).alias("n"), F.array_intersect(ws, vocabulary).alias("w")))
+    none = F.array().cast("array<struct<n:int,w:array<string>>>")
+
+    def run(lines: Column, at: Column) -> Column:
+        start = F.struct(F.lit(0).alias("n"), none.alias("lines"))
+        step = lambda acc, x: F.when((acc["n"] < reach) & x["near"], F.struct((acc["n"] + x["n"]).alias("n"), F.concat(acc["lines"], F.array(F.struct(x["n"], x["w"]))).alias("lines"))).otherwise(F.struct(F.lit(reach).alias("n"), acc["lines"]))
+        mine = F.transform(F.slice(lines, at + 2, reach), lambda x: let(line(x), lambda v: F.struct(v["n"].alias("n"), v["w"].alias("w"), (v["n"] > 0).alias("near"))))
+        return F.concat(F.array(line(F.get(lines, at))), F.aggregate(mine, start, step)["lines"])
+
+    def of(lines: Column) -> Column:
+        keyed = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(key), i)), lambda i: i.isNotNull())
+        starts = F.array_distinct(F.flatten(F.transform(keyed, lambda i: F.sequence(F.greatest(i - reach, F.lit(0)), i))))
+        starts = F.filter(starts, lambda i: F.get(lines, i).rlike(edge))
+        runs = F.transform(starts, lambda i: run(lines, i))
+        return F.filter(runs, lambda r: (F.size(r) > 1) & (F.size(F.array_distinct(F.flatten(F.transform(r, lambda x: x["w"])))) >= least))
+
+    return F.when(text.rlike(key), let(F.split(text, "\n"), of)).otherwise(F.array().cast("array<array<struct<n:int,w:array<string>>>>"))
+
+
+def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]], reach: int = 0) -> DataFrame:
+    """doc_id, n_words, places (of phrases), blocks: for each block that can hold enough, its template words; runs, if reach is given.
 
     One pass over the texts. A block is reduced to those of its distinct words that any template has, which is all that
     an intersection with a template can hold; the length filter drops the blocks with fewer of them than the smallest
@@ -89,8 +126,9 @@ def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]]) -> D
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_some_key(templates)))
     blocks = F.filter(F.transform(lines, block), lambda b: F.size(b) >= least)
     of_words = let(spaced, lambda s: F.struct(count(s).alias("n"), places(s).alias("p")))
-    rows = docs.select("doc_id", F.explode(F.array(F.struct(of_words.alias("w"), blocks.alias("b")))).alias("m"))
-    return rows.select("doc_id", F.col("m.w.n").cast("long").alias("n_words"), F.col("m.w.p").alias("places"), F.col("m.b").alias("blocks"))
+    runs = [_runs(text, templates, vocabulary, reach).alias("r")] if reach else []
+    rows = docs.select("doc_id", F.explode(F.array(F.struct(of_words.alias("w"), blocks.alias("b"), *runs))).alias("m"))
+    return rows.select("doc_id", F.col("m.w.n").cast("long").alias("n_words"), F.col("m.w.p").alias("places"), F.col("m.b").alias("blocks"), *[F.col("m.r").alias("runs")] * bool(reach))
 
 
 def _some_key(templates: list[tuple[int, str, list[str]]]) -> str:
@@ -134,25 +172,51 @@ def matches(blocks: DataFrame, templates: list[tuple[int, str, list[str]]]) -> D
     first = probes.where((F.size("words") >= F.col("need")) & (could + F.least("place", "at") >= F.col("need"))).dropDuplicates(["doc_id", "block_no", "template"])
     common = F.size(F.array_intersect("words", "template_words"))
     found = first.join(whole, "template").withColumn("common", common).where("common >= need")
-    return found.select("doc_id", "block_no", "label", (F.col("common") / F.col("n")).alias("containment"))
+    return found.select("doc_id", "block_no", "label", (F.col("common") / F.col("n")).alias("containment"), "template")
+
 
+def _run_matches(runs: DataFrame, templates: list[tuple[int, str, list[str]]], lengths: dict[int, int]) -> DataFrame:
+    """(doc_id, block_no, run) -> doc_id, label, containment of every run and template that pass.
 
-def scan(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
+    Runs as long as the longest template needs are joined first; they hold the template's own run, which is then taken: the
+    first line, and lines after it until those hold as many words as the template.
+    """
+    words = F.array_distinct(F.flatten(F.transform("run", lambda x: x["w"])))
+    found = matches(runs.select("doc_id", "block_no", words.alias("words")), templates)
+    whole = F.broadcast(runs.sparkSession.createDataFrame([(i, ws, lengths[i], _need(len(ws))) for i, _, ws in templates], "template int, template_words array<string>, reach int, need int"))
+    start = F.struct(F.lit(0).alias("n"), F.get("run", F.lit(0))["w"].alias("w"))
+    step = lambda acc, x: F.when(acc["n"] < F.col("reach"), F.struct((acc["n"] + x["n"]).alias("n"), F.concat(acc["w"], x["w"]).alias("w"))).otherwise(acc)
+    own = F.aggregate(F.slice("run", F.lit(2), F.greatest(F.size("run") - 1, F.lit(0))), start, step)["w"]
+    rows = found.select("doc_id", "block_no", "label", "template").join(runs, ["doc_id", "block_no"]).join(whole, "template")
+    rows = rows.withColumn("common", F.size(F.array_intersect(own, "template_words"))).where("common >= need")
+    return rows.select("doc_id", "label", (F.col("common") / F.size("template_words")).alias("containment"))
+
+
+def scan(docs: DataFrame, templates=TEMPLATES, wrapped: bool = False) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
+    wrapped: notices broken over lines count too. Besides lines, blocks are then, for every template and line, this line and
+    those after it, up to one without words, until those after it hold as many words as the template.
+
     score is the largest containment of a template in a block, 1 where a phrase stands. Rows that share a doc_id are
     scanned each alone; their blocks are told apart by the digest of what they hold.
     """
     parts = template_words(templates)
-    profiles = materialise(_profiles(docs, parts), "licenses")
-    blocks = profiles.where("size(blocks) > 0").select(F.struct("doc_id", F.xxhash64("blocks").alias("h")).alias("doc_id"), F.posexplode(F.array_distinct("blocks")).alias("block_no", "words")).distinct()
-    per = matches(blocks, parts).groupBy("doc_id").agg(F.collect_set("label").alias("found"), F.max("containment").alias("containment"))
+    lengths = template_lengths(templates)
+    profiles = materialise(_profiles(docs, parts, max(lengths.values()) if wrapped else 0), "licenses")
+    held, digest = ("size(blocks) > 0", F.xxhash64("blocks")) if not wrapped else ("size(blocks) > 0 or size(runs) > 0", F.xxhash64("blocks", "runs"))
+    blocks = profiles.where("size(blocks) > 0").select(F.struct("doc_id", digest.alias("h")).alias("doc_id"), F.posexplode(F.array_distinct("blocks")).alias("block_no", "words")).distinct()
+    found = matches(blocks, parts).select("doc_id", "label", "containment")
+    if wrapped:
+        runs = profiles.where("size(runs) > 0").select(F.struct("doc_id", digest.alias("h")).alias("doc_id"), F.posexplode(F.array_distinct("runs")).alias("block_no", "run")).distinct()
+        found = found.unionByName(_run_matches(runs, parts, lengths))
+    per = found.groupBy("doc_id").agg(F.collect_set("label").alias("found"), F.max("containment").alias("containment"))
     per = small(materialise(per.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.h").alias("_h"), "found", "containment"), "license-matches"))
     names = F.array(*[F.lit(label) for _, label in PHRASES])
     base = F.filter(F.transform(names, lambda x, i: F.when(F.size(F.get("places", i)) > 0, x)), lambda x: x.isNotNull())
     every = F.flatten("places")
-    rows = profiles.withColumn("base", F.array_sort(F.array_distinct(base))).withColumn("h", F.xxhash64("blocks"))
-    rows = rows.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")) & (F.size("blocks") > 0), "left")
+    rows = profiles.withColumn("base", F.array_sort(F.array_distinct(base))).withColumn("h", digest)
+    rows = rows.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")) & F.expr(held), "left")
     found = F.coalesce("found", F.array().cast("array<string>"))
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("containment", F.lit(0.0)))
     return rows.select(

@@ -44,9 +44,13 @@ def op7_licenses(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_licenses_wrapped(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
+
+
 def op8_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op8_ann, op9_dedup, op10_chat)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op7_licenses_wrapped, op8_ann, op9_dedup, op10_chat)}
 ORACLES = {"op1_mixing": mixing.ORACLE, "op2_quality": quality.ORACLE, "op3_urls": urls.ORACLE, "op4_secrets": secrets.ORACLE, "op7_licenses": licenses.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
