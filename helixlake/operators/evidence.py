@@ -48,6 +48,8 @@ CRITERIA = (
 HIGH_PRIORITY = ("vaccine_escape", "drug_resistance", "virulence")
 INVESTIGATE = ("immune_escape", "disease_severity", "host_adaptation", "vaccine_effectiveness")
 COUNTED_STRENGTH = ("strong", "moderate", "preliminary")
+# Copies of the list of all outbreaks that samples are dealt over.
+SALTS = 32
 
 
 def findings(rows: DataFrame, analysis: str, *rules: tuple[Column, Column | str, Column | str]) -> DataFrame:
@@ -182,13 +184,19 @@ def intervention_findings(observed: DataFrame, associations: DataFrame, categori
 
 
 def harmonise(variants: DataFrame, phenotypes: DataFrame, outbreaks: DataFrame) -> DataFrame:
-    """One evidence row per sample: its variants, their phenotypes, and the outbreaks of its lineage (all, if none is of it)."""
+    """One evidence row per sample: its variants, their phenotypes, and the outbreaks of its lineage (all, if none is of it).
+
+    All distinct outbreaks are one row, computed once. Samples without outbreaks of their own are dealt over SALTS copies of
+    it, so that where it is too large to broadcast they don't meet it in one task.
+    """
     seen = variants.select("sample_id", "lineage_id", "hgvs_p", "phenotype_key").join(phenotypes, "phenotype_key", "left")
     per = seen.groupBy("sample_id", "lineage_id").agg(F.array_sort(F.collect_set("hgvs_p")).alias("variants"), F.array_sort(F.collect_set("phenotype")).alias("phenotypes"))
-    by_lineage = outbreaks.groupBy("lineage_id").agg(F.array_sort(F.collect_set("outbreak")).alias("mine"))
-    every = [r["outbreak"] for r in outbreaks.select("outbreak").distinct().orderBy("outbreak").limit(1000).collect()]
-    fallback = F.array(*map(F.lit, every)).cast("array<string>")
-    return per.join(by_lineage, "lineage_id", "left").withColumn("outbreaks", F.coalesce("mine", fallback)).drop("mine")
+    by_lineage = outbreaks.where("outbreak is not null").groupBy("lineage_id").agg(F.array_sort(F.collect_set("outbreak")).alias("mine"))
+    every = outbreaks.where("outbreak is not null").select("outbreak").distinct().agg(F.array_sort(F.collect_list("outbreak")).alias("every"))
+    every = every.select("every", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_none"))
+    none = F.when(F.col("mine").isNull(), F.pmod(F.xxhash64("sample_id"), F.lit(SALTS)).cast("int"))
+    rows = per.join(by_lineage, "lineage_id", "left").withColumn("_none", none).join(every, "_none", "left")
+    return rows.withColumn("outbreaks", F.coalesce("mine", "every")).drop("mine", "every", "_none")
 
 
 def comparative_outbreaks(samples: DataFrame, outbreaks: DataFrame, most: int = 5) -> DataFrame:

@@ -96,3 +96,17 @@ def test_comparative_outbreaks_match_plain_loop(spark):
         assert found[sample] == sorted(scored, key=lambda x: (-x[1], x[0]))[:5]
     few = E.comparative_outbreaks(spark.createDataFrame([("x", "Chad", 1900)], "sample string, country string, year int"), spark.createDataFrame([(1, "Mali", 2000, 0), (2, "Mali", 1894, None), (3, "Mali", 1910, 0)], "outbreak long, country string, year int, cases int"))
     assert sorted(map(tuple, few.collect())) == [("x", 2, 1.0), ("x", 3, 1.0)]
+
+
+def test_a_lineage_without_outbreaks_gets_all_of_them(spark):
+    v = spark.createDataFrame([("s1", "a", "h1", "k"), ("s2", "b", "h2", "k"), ("s3", None, "h3", "x"), ("s4", "c", "h4", "k")], "sample_id string, lineage_id string, hgvs_p string, phenotype_key string")
+    p = spark.createDataFrame([("k", "P")], "phenotype_key string, phenotype string")
+    many = [(f"o{i:05}", "other") for i in range(2500)]
+    own = [("o1", "a"), ("o1", "a"), (None, "c")]
+    got = {r["sample_id"]: r for r in E.harmonise(v, p, spark.createDataFrame(many + own, "outbreak string, lineage_id string")).collect()}
+    every = sorted({o for o, _ in many + own if o})
+    assert {s: r["outbreaks"] for s, r in got.items()} == {"s1": ["o1"], "s2": every, "s3": every, "s4": every}
+    assert got["s1"]["variants"] == ["h1"] and got["s1"]["phenotypes"] == ["P"] and got["s3"]["phenotypes"] == []
+    none = E.harmonise(v, p, spark.createDataFrame([], "outbreak string, lineage_id string"))
+    assert none.columns == ["lineage_id", "sample_id", "variants", "phenotypes", "outbreaks"]
+    assert [r["outbreaks"] for r in none.collect()] == [[]] * 4
