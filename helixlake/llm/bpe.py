@@ -14,8 +14,8 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from .common import chunks
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words (pairs of tokens) that a worker remembers before it starts over: some 100 MB.
-REMEMBERED = 500_000
+#: Words (pairs of tokens) that a task remembers before it starts over: some 30 MB.
+REMEMBERED = 150_000
 
 
 class Encoder:
@@ -43,15 +43,12 @@ class Encoder:
         self.split_added = regex.compile("(" + "|".join(map(regex.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.words = regex.compile(public_tokenizers.PATTERN)
         self.rank: dict[tuple[int, int], int] = {}
-        parts: dict[int, tuple[int, int, int]] = {}
+        self.parts = parts = {}  # of a token that a merge makes: both halves, the merge's rank
         for n, m in enumerate(merges):
             a, b = m if isinstance(m, list) else m.split(" ")
             self.rank[vocab[a], vocab[b]] = n
             parts.setdefault(vocab[a + b], (vocab[a], vocab[b], n))
-        never = len(merges)
-        # The tokens that stand at a token's right (left) end while it is put together, each with the rank of the merge that takes it up.
-        self.right = {t: self._edge(t, parts, 1, never) for t in self.bytes_of}
-        self.left = {t: self._edge(t, parts, 0, never) for t in self.bytes_of}
+        self.never = len(merges)
         self.single = {self.bytes_of[i]: i for t, i in vocab.items() if t not in added and len(t) == 1}
         self.token = dict(self.single)
         for t, (a, b, n) in sorted(parts.items(), key=lambda x: x[1][2]):
@@ -63,14 +60,16 @@ class Encoder:
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers, which take half the room of a tuple
 
-    @staticmethod
-    def _edge(token: int, parts: dict, side: int, never: int) -> list[tuple[int, int]]:
-        edge, taken = [(token, never)], token
-        while taken in parts:
-            *ends, rank = parts[taken]
-            taken = ends[side]
-            edge.append((taken, rank))
-        return edge
+    def _edge(self, token: int, side: int) -> Iterator[tuple[int, int]]:
+        """The tokens that stand at a token's left (0) or right (1) end while it is put together, each with the rank of the
+        merge that takes it up."""
+        parts, rank = self.parts, self.never
+        while True:
+            yield token, rank
+            if token not in parts:
+                return
+            left, right, rank = parts[token]
+            token = right if side else left
 
     def _own(self, piece: bytes) -> tuple[int, ...]:
         """Merge by merge, as BPE is defined: only used to see which vocabulary entries encode to themselves."""
@@ -96,7 +95,7 @@ class Encoder:
         key = a << 20 | b
         if (known := self.fits.get(key)) is None:
             rank = self.rank
-            known = not any((r := rank.get((x, y))) is not None and r < x_taken and r <= y_taken for x, x_taken in self.right[a] for y, y_taken in self.left[b])
+            known = not any((r := rank.get((x, y))) is not None and r < x_taken and r <= y_taken for x, x_taken in self._edge(a, 1) for y, y_taken in self._edge(b, 0))
             self.fits[key] = known
         return known
 
@@ -153,6 +152,10 @@ class Encoder:
         for pieces in split:
             yield memoryview(b"".join(map(known.__getitem__, chain.from_iterable(pieces)))).cast("I").tolist()
 
+    def forget(self) -> None:
+        """Let go of what was learnt: between tasks a worker holds the tokenizer only."""
+        self.known, self.fits = {}, {}
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
@@ -165,32 +168,29 @@ def encoder(path: str) -> Encoder:
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, ids array<int>, decoded string of every document."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path or public_tokenizers.path(TOKENIZER))
-        for batch in batches:
-            at = 0
-            for chunk in chunks(batch["text"]):
-                ids = list(bpe.encode_batch(chunk))
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(chunk)], "ids": ids, "decoded": [bpe.decode(x) for x in ids]})
-                at += len(chunk)
+        try:
+            for part, texts in chunks(batches):
+                ids = list(bpe.encode_batch(texts))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
+        finally:
+            bpe.forget()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, ids array<int>, decoded string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encode() with its outputs digested where they are made."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path or public_tokenizers.path(TOKENIZER))
-        names = {i: str(i) for i in bpe.bytes_of}
-        for batch in batches:
-            rows = []
-            for chunk in chunks(batch["text"]):
-                for ids in bpe.encode_batch(chunk):
-                    text = ",".join(map(names.__getitem__, ids))
-                    rows.append((len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        try:
+            for part, texts in chunks(batches):
+                rows = [(len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()) for ids in bpe.encode_batch(texts)]
+                n, one, two = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            bpe.forget()
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -6,6 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,18 +58,16 @@ def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
 
-def chunks(texts: Iterable[str], chars: int = 1_000_000) -> Iterator[list[str]]:
-    """Texts in lists of about `chars` characters; a longer text stands alone."""
-    chunk: list[str] = []
-    size = 0
-    for text in texts:
-        chunk.append(text)
-        size += len(text)
-        if size > chars:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
+def chunks(batches: Iterable[pa.RecordBatch], size: int = 1_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of Arrow batches of about `size` bytes of text (a longer text stands alone), each with its texts as a list."""
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index("text"))
+        ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(ends):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+            yield batch.slice(at, end - at), column.slice(at, end - at).to_pylist()
+            at = end
 
 
 def bounded_sample(rows: DataFrame, key: str, most: int, seed: int = 42) -> DataFrame:

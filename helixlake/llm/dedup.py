@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,34 +92,35 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    """Arrays of 64-bit hashes as a column of lists."""
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *(x.view(np.int64) for x in rows)])))
+
+
 def _profiles(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (128 bits), bands."""
+    """doc_id, n_shingles, set_id (128 bits), bands (none for an empty set)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at = 0
-            for chunk in chunks(batch["text"]):
-                hashes = [shingle_set(t, width) for t in chunk]
-                ids = [xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in hashes]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[at : at + len(chunk)], "n_shingles": [len(h) for h in hashes], "set_id": ids, "bands": [band_keys(h) if len(h) else None for h in hashes]})
-                at += len(chunk)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches):
+            hashes = [shingle_set(t, width) for t in texts]
+            ids = [xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None for h in hashes]
+            bands = [band_keys(h) if len(h) else h for h in hashes]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(map(len, hashes), pa.int64()), pa.array(ids, pa.binary()), _lists(bands)], ["doc_id", "n_shingles", "set_id", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id) -> id, hashes: the full sets, made anew for the documents that candidates name."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            at = 0
-            for chunk in chunks(batch["text"]):
-                yield pd.DataFrame({"id": batch["id"].iloc[at : at + len(chunk)], "hashes": [shingle_set(t, width).view(np.int64) for t in chunk]})
-                at += len(chunk)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in chunks(batches):
+            yield pa.RecordBatch.from_arrays([part.column("id"), _lists([shingle_set(t, width) for t in texts])], ["id", "hashes"])
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return rows.mapInPandas(run, "id long, hashes array<long>").dropDuplicates(["id"])
+    return rows.mapInArrow(run, "id long, hashes array<long>").dropDuplicates(["id"])
 
 
 def _popular(members: DataFrame) -> DataFrame:

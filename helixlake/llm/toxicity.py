@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +30,7 @@ DECAY, SPAN = 0.7, 5
 LANDMARKS, EXAMPLES, ROUNDS = 200, 24_000, 3
 #: The cost of missing all insults, as a share (one in RARITY) of that of all false alarms.
 RARITY = 12
-SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 500_000
+SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 200_000
 THRESHOLD = 0.7
 #: Letters a-z and the accented ones of Latin-1 have codes of their own; all other characters share code 0.
 _CODES = {chr(c): chr(c - 96) for c in range(97, 123)} | {chr(c): chr(c - 224 + 27) for c in range(224, 256)}
@@ -264,25 +265,23 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         center, scale, calibration = np.array(m["center"]), np.array(m["scale"]), np.array(m["calibration"])
         known: dict[str, float] = {}
-        for batch in batches:
-            rows = []
-            for chunk in chunks(batch["text"]):  # new words of many texts are scored at once
-                split = [_words(t) for t in chunk]
-                if len(known) > REMEMBERED:
-                    known = {}
-                new = list(set().union(*split).difference(known))
-                known |= zip(new, (word_scores(new, m["weights"]) + m["bias"]).tolist(), strict=True)
-                rows += [_features(np.fromiter(map(known.__getitem__, words), float, len(words)), m["levels"]) for words in split]
+        for part, texts in chunks(batches):  # new words of many texts are scored at once
+            split = [_words(t) for t in texts]
+            if len(known) > REMEMBERED:
+                known = {}
+            new = list(set().union(*split).difference(known))
+            known |= zip(new, (word_scores(new, m["weights"]) + m["bias"]).tolist(), strict=True)
+            rows = [_features(np.fromiter(map(known.__getitem__, words), float, len(words)), m["levels"]) for words in split]
             x = (np.array(rows).reshape(-1, _FEATURES) - center) / scale
             z = 1 / (1 + np.exp(-np.clip(x @ calibration[:-1] + calibration[-1], -30, 30)))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": z, "predicted": (z >= THRESHOLD).astype("int32")})
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(z), pa.array((z >= THRESHOLD).astype("int32"))], ["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (_fold(F.col("doc_id")) == 1).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
