@@ -1,9 +1,9 @@
 """Near-duplicate detection: one-permutation MinHash with optimal densification, banded buckets, star-shaped candidates.
 
 A document's set: its distinct shingles of `width` words; of fewer words the whole sequence; a null, empty or word-less
-text has the empty set, is linked with nothing and is kept. Rows that share a doc_id are one document; a row without
-doc_id takes no part, has no component and is kept. Equal sets (exact copies above all) are one class, and only one
-member of a class goes on. An empty table gives an empty result. Only the columns named are read.
+text has the empty set, is linked with nothing and is kept. Rows that share a doc_id are one document, linked by the set of
+any of them; a row without doc_id takes no part, has no component and is kept. Equal sets (exact copies above all) are one
+class, and only one member of a class goes on. An empty table gives an empty result. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ ORDERS = 3
 #: Rounds after the first, in which buckets that still hold several components compare one member of each: the most
 #: popular one, then random ones (other ones in every bucket, so that a document meets many of a large component).
 ROUNDS = 1
-#: Documents of either side that a task of the last step holds.
-BLOCK = 1000
+#: Shingles of either side that a task of the last step holds, in whole documents.
+BLOCK = 250_000
 WIDTH, PERCENT = 5, 80
 _PROBES = 64
 
@@ -112,15 +112,16 @@ def _profiles(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, set_id binary, bands array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(id) -> id, hashes: the full sets, made anew for the documents that candidates name."""
+def _sets(docs: DataFrame, ids: DataFrame, width: int, repeated: bool) -> DataFrame:
+    """(id) -> id, hashes: the full sets, made anew for the documents that candidates name; one row for each of a repeated id's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in chunks(batches):
             yield pa.RecordBatch.from_arrays([part.column("id"), _lists([shingle_set(t, width) for t in texts])], ["id", "hashes"])
 
     rows = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return rows.mapInArrow(run, "id long, hashes array<long>").dropDuplicates(["id"])
+    sets = rows.mapInArrow(run, "id long, hashes array<long>").where("size(hashes) > 0")
+    return sets.dropDuplicates(["id", "hashes"]) if repeated else sets
 
 
 def _popular(members: DataFrame) -> DataFrame:
@@ -134,17 +135,27 @@ def _popular(members: DataFrame) -> DataFrame:
     return members.join(popular, "id").select("bucket", "order", "id", "n", "popular")
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """(bucket, order, id, n, popular) -> a, b: each member of a bucket with the bucket's centre, less those of unlike size.
+def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """members + label: the component so far, an id's own where it has no link."""
+    if labels is None:
+        return members.withColumn("label", F.col("id"))
+    return members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _stars(members: DataFrame, best: bool = False) -> DataFrame:
+    """(bucket, order, id, n, popular, label) -> a, b: each member with its bucket's centre, less those of one label or unlike size.
 
     The centre is found by a partial aggregation, so a bucket's members never have to stand in one task; a bucket of k
-    gives k - 1 pairs, not k (k - 1) / 2.
+    gives k - 1 pairs, not k (k - 1) / 2. With best, an id keeps only the most popular of its buckets' centres: a group
+    that shares most of its bands is then a star around one centre, not one for each band.
     """
     popular = F.when(F.col("order") == ORDERS - 1, F.lit(0).cast("long")).otherwise(-F.col("popular"))
-    rank = F.struct(popular.alias("p"), F.xxhash64("id", "order").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"))
-    centres = members.groupBy("bucket").agg(F.min(rank).alias("m"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "m.c", "m.c_n")
-    pairs = members.join(centres, "bucket").where(F.col("id") != F.col("c"))
+    rank = F.struct(popular.alias("p"), F.xxhash64("id", "order").alias("h"), F.col("id").alias("c"), F.col("n").alias("c_n"), F.col("label").alias("c_label"), F.col("popular").alias("c_popular"))
+    centres = members.groupBy("bucket").agg(F.min(rank).alias("m"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket", "m.c", "m.c_n", "m.c_label", "m.c_popular")
+    pairs = members.join(centres, "bucket").where(F.col("label") != F.col("c_label"))
     pairs = pairs.where(100 * F.least("n", "c_n") >= PERCENT * F.greatest("n", "c_n"))
+    if best:
+        pairs = pairs.groupBy("id").agg(F.max(F.struct("c_popular", F.xxhash64("c").alias("h"), "c")).alias("m")).select("id", "m.c")
     return pairs.select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
 
 
@@ -153,7 +164,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
     b = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
     both = pairs.join(a, "a").join(b, "b").withColumn("common", F.size(F.array_intersect("ha", "hb")))
-    return both.where(100 * F.col("common") >= percent * (F.size("ha") + F.size("hb") - F.col("common"))).select("a", "b")
+    return both.where(100 * F.col("common") >= percent * (F.size("ha") + F.size("hb") - F.col("common"))).select("a", "b").distinct()
 
 
 def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -183,27 +194,30 @@ def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def _completed(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _completed(members: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> DataFrame:
     """The links, one for each document and component, that no star has shown: a, b.
 
     In a bucket of several components, every document outside the largest one is held against all of that, and against
-    the others that are outside of it. This is done in blocks: a task gets at most about BLOCK documents of either side,
-    whatever the size of a component, counts common shingles by a sorted list of its block's shingles, and returns links
-    only. Where the stars have linked all that is similar, little is left to compare.
+    the others that are outside of it. This is done in blocks: a task gets at most about BLOCK shingles of either side,
+    whatever the size of a component and of its documents, counts common shingles by a sorted list of its block's
+    shingles, and returns links only. Where the stars have linked all that is similar, little is left to compare.
     """
-    held = members.join(labels, "id", "left").select("bucket", "id", F.coalesce("label", "id").alias("label"))
-    held = materialise(held, "dedup-held")
-    who = held.select("id", "label").distinct()
+    held = materialise(_labelled(members, labels).select("bucket", "id", "n", "label"), "dedup-held")
+    who = held.groupBy("id", "label").agg(F.max("n").alias("n"))
     size = small(materialise(who.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "dedup-sizes"))
     top = held.join(size, "label").groupBy("bucket").agg(F.max(F.struct("size", "label")).alias("t"), F.min("label").alias("low"), F.max("label").alias("high"))
     top = top.where("low < high").select("bucket", F.col("t.label").alias("key"))
-    outside = materialise(held.join(top, "bucket").where("label <> key").select("key", "id", "label").distinct(), "dedup-outside")
-    inside = who.join(outside.select("key").distinct(), F.col("label") == F.col("key")).select("key", "id", "label")
-    blocks = outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_left")).join(outside.unionByName(inside).groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("n_right")), "key")
+    outside = materialise(held.join(top, "bucket").where("label <> key").groupBy("key", "id", "label").agg(F.max("n").alias("n")), "dedup-outside")
+    keys = small(materialise(outside.groupBy("key").agg(F.sum("n").alias("out")), "dedup-keys"))
+    inside = who.join(keys.select("key"), F.col("label") == F.col("key")).select("key", "id", "label", "n")
+    every_one = materialise(outside.unionByName(inside), "dedup-sides")
+    shares = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    blocks = every_one.groupBy("key").agg(F.sum("n").alias("all")).join(keys, "key").select("key", shares("out").alias("n_left"), shares("all").alias("n_right"))
+    blocks = small(materialise(blocks, "dedup-blocks"))
     part = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = outside.join(blocks, "key").select("key", "id", "label", part("n_left").alias("l"), every("n_right").alias("r")).join(sets, "id")
-    right = outside.unionByName(inside).join(blocks, "key").select("key", "id", "label", part("n_right").alias("r"), every("n_left").alias("l")).join(sets, "id")
+    right = every_one.join(blocks, "key").select("key", "id", "label", part("n_right").alias("r"), every("n_left").alias("l")).join(sets, "id")
 
     def links(some: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -231,41 +245,47 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     """doc_id, n_shingles, component_id, kept (the component's least doc_id stays).
 
     1. Profiles of all documents: set size, set digest, band keys. 2. One representative (least doc_id) per distinct set.
-    3. Buckets of representatives by band key; stars; exact similarity on full sets; components. 4. In buckets whose
-    members are of several components, one member of each component is compared again by a star: links that the first
-    star's centre hid are found then. 5. What may still be hidden is compared in blocks: no two documents that share a
-    bucket stay apart if they are similar enough.
+    3. Buckets of representatives by band key; each with the most popular of its buckets' centres; exact similarity on
+    full sets; components. 4. Stars in the buckets that still hold several components, over members of other components
+    than the centre's, then over one member of each. 5. What may still be hidden is compared in blocks: no two documents
+    that share a bucket stay apart if they are similar enough.
     """
     profiles = materialise(_profiles(docs, width), "dedup-profiles")
     sound = profiles.where("n_shingles > 0 and doc_id is not null")
     classes = sound.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     classes = materialise(classes.where("last > rep").select("set_id", "rep"), "dedup-classes")
-    reps = sound.join(classes, "set_id", "left").where("rep is null or rep = doc_id")
+    named = sound.join(classes, "set_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
+    same = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.count(F.lit(1)).alias("k")).where("k > 1 and a < z").select("doc_id", "a")
+    same = materialise(named.select("doc_id", F.col("rep").alias("b")).join(same, "doc_id").where("a < b").select("a", "b").distinct(), "dedup-same")
+    repeated = bool(sound.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count())
+    reps = named.where("rep = doc_id")
     exploded = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "bucket"))
     exploded = exploded.select("bucket", (F.col("band") % ORDERS).cast("byte").alias("order"), "id", "n")
     sizes = exploded.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("high > low").select("bucket")
     members = materialise(_popular(materialise(exploded.join(sizes, "bucket", "left_semi").distinct(), "dedup-buckets")), "dedup-members")
-    sets = materialise(_sets(docs, members.select("id").distinct(), width), "dedup-sets")
-    pairs = materialise(_stars(members), "dedup-pairs")
-    edges = materialise(_linked(pairs, sets, percent), "dedup-edges")
-    labels = components(edges)
-    for k in range(1, rounds + 1):
-        held = members.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        first = -F.col("popular") if k == 1 else F.xxhash64("id", "bucket", F.lit(k))
-        one = F.min(F.struct(first.alias("h"), "id", "n", "popular")).alias("m")
-        several = held.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("high > low").select("bucket")
-        again = held.join(several, "bucket", "left_semi").groupBy("bucket", "label").agg(one).select("bucket", F.lit(0 if k % 2 else ORDERS - 1).cast("byte").alias("order"), "m.id", "m.n", "m.popular")
-        more = materialise(_stars(again).join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
+    sets = materialise(_sets(docs, members.select("id").distinct(), width, repeated), "dedup-sets")
+    edges, labels = same, components(same) if same.limit(1).count() else None
+    pairs = None
+    for k in range(rounds + 2):
+        held = _labelled(members, labels)
+        if k > 1:  # one member of each component
+            first = -F.col("popular") if k == 2 else F.xxhash64("id", "bucket", F.lit(k))
+            one = F.min(F.struct(first.alias("h"), "id", "n", "popular")).alias("m")
+            held = held.groupBy("bucket", "label").agg(one).select("bucket", "label", F.lit(ORDERS - 1 if k % 2 else 0).cast("byte").alias("order"), "m.id", "m.n", "m.popular")
+        more = _stars(held, best=k == 0)
+        more = materialise(more if pairs is None else more.join(pairs, ["a", "b"], "left_anti"), "dedup-pairs")
         found = materialise(_linked(more, sets, percent), "dedup-edges")
-        if not found.limit(1).count():
+        pairs = more if pairs is None else pairs.unionByName(more)
+        if found.limit(1).count():
+            edges = edges.unionByName(found)
+            labels = components(edges, labels)
+        elif k > 0:
             break
-        pairs, edges = pairs.unionByName(more), edges.unionByName(found)
-        labels = components(edges, labels)
     rest = materialise(_completed(members, labels, sets, percent), "dedup-edges")
     if rest.limit(1).count():
         labels = components(edges.unionByName(rest), labels)
-    rep = F.coalesce("rep", "doc_id")
-    out = profiles.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left").withColumn("id", rep).join(labels, "id", "left")
+    out = profiles.select("doc_id", "n_shingles", "set_id").join(classes, "set_id", "left").withColumn("id", F.coalesce("rep", "doc_id"))
+    out = out.withColumn("label", F.col("id")) if labels is None else out.join(labels, "id", "left")
     component = F.coalesce("label", "id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -504,6 +504,27 @@ def test_edited_copies_meet_their_origin(spark):
     assert got == {i: c for i, (_, c) in linked(rows_, 2).items()}
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_repeated_ids_link_by_any_text(spark, turned):
+    """Rows that share a doc_id are one document: each of its texts links it, whichever row comes first."""
+    rng = random.Random(11)
+    base, other = text(rng, 60), text(rng, 60)
+    repeated = [(1, base, "en", "a"), (1, other, "en", "a")]
+    rows_ = [*(reversed(repeated) if turned else repeated), (2, base + " more", "en", "a"), (3, other + " more", "en", "a"), (4, text(rng, 60), "en", "a"), (5, other, "en", "b"), (5, text(rng, 50), "en", "b")]
+    got = {(r["doc_id"], r["component_id"]) for r in dedup.near_duplicates(frame(spark, rows_), width=2).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 1)}
+
+
+def test_no_near_duplicates(spark):
+    """Nothing linked at all, and links of repeated ids alone."""
+    rng = random.Random(12)
+    rows_ = [(i, text(rng, 40), "en", "a") for i in range(6)]
+    assert all(r["kept"] for r in dedup.near_duplicates(frame(spark, rows_), width=2).collect())
+    one, two = text(rng, 40), text(rng, 40)
+    rows_ = [(1, one, "en", "a"), (2, one, "en", "a"), (2, two, "en", "a"), (3, two, "en", "a")]
+    assert {r["component_id"] for r in dedup.near_duplicates(frame(spark, rows_), width=2).collect()} == {1}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 99), (7, 200)]
     got = {r["id"]: r["label"] for r in dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
