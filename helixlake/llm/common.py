@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 #: Words: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Largest number of rows of a table that is ever broadcast; longer ones are shuffled.
-BROADCAST_ROWS = 200_000
+#: Largest number of rows, and of bytes of their JSON, of a table that is ever broadcast; larger ones are shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64_000_000
 
 _own: list[str] = []
+_written: list[str] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,13 +40,26 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut, any executor can be lost."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/helixlake/{tag}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that materialise() has written in this session. To be called when no result is read any more."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has at most `rows` rows, else unchanged (a shuffled join follows)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df with a broadcast hint if it is within `rows` and BROADCAST_BYTES, else unchanged (a shuffled join follows)."""
+    return F.broadcast(df) if is_small(df, rows) else df
+
+
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    size = df.limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return size["n"] <= rows and (size["bytes"] or 0) <= BROADCAST_BYTES
 
 
 def let(value: Column, body) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ascii_lower, materialise
+from .common import BROADCAST_ROWS, ascii_lower, is_small, materialise
 
 #: host, path, verdict; the longest that fits decides.
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
@@ -20,6 +20,8 @@ ORDER, SMOOTHING, UNIFORM = 4, 2.0, 1 / 256
 #: Log-likelihoods are summed as whole millionths, so that a sum doesn't depend on its order; scores are compared in steps of 0.01.
 MICRO, STEP = 1_000_000, 10_000
 PAD, SALTS = "\x02", 16
+#: A url is held out of training, for the threshold, if the digest of its host and path begins with a character below this: a quarter.
+HELD_OUT = "4"
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -55,32 +57,44 @@ def train(urls: DataFrame) -> DataFrame:
     grams = urls.select("label", "n", F.explode(_grams(F.col("text"))).alias("gram")).groupBy("gram").agg(of("allow").alias("a"), of("block").alias("r"))
     grams = materialise(grams, "url-grams")
     total = grams.agg(F.sum("a").alias("a"), F.sum("r").alias("r")).first()
+    part = lambda k, length: F.substring("gram", ORDER + 1 - k, length)
+    # "s": the character after its k predecessors, "c": those predecessors alone. Summed by key before the shuffle, so
+    # that a frequent character is a few partial sums, and joined back.
+    keys = [F.struct(F.lit(f"s{k}").alias("kind"), part(k, k + 1).alias("key")) for k in range(ORDER + 1)] + [F.struct(F.lit(f"c{k}").alias("kind"), part(k, k).alias("key")) for k in range(1, ORDER + 1)]
+    sums = grams.select("a", "r", F.explode(F.array(*keys)).alias("k")).groupBy("k.kind", "k.key").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+    sums = materialise(sums, "url-contexts")
     for k in range(ORDER + 1):
-        grams = grams.withColumn(f"s{k}", F.substring("gram", ORDER + 1 - k, k + 1))
+        for kind, length in (("s", k + 1), ("c", k))[: 2 if k else 1]:
+            name = f"{kind}{k}"
+            of_kind = sums.where(F.col("kind") == name).select(F.col("key").alias(name), *[F.col(side).alias(f"{kind}_{side}{k}") for side in "ar"])
+            grams = grams.withColumn(name, part(k, length)).join(F.broadcast(of_kind) if is_small(of_kind) else of_kind, name)
     for side in "ar":
         p = F.lit(UNIFORM)
         for k in range(ORDER + 1):
-            seen = F.sum(side).over(W.partitionBy(f"s{k}"))
-            context = F.sum(side).over(W.partitionBy(F.substring("gram", ORDER + 1 - k, k))) if k else F.lit(total[side] or 0)
-            grams = grams.withColumn(f"n_{side}{k}", seen).withColumn(f"c_{side}{k}", context)
-        for k in range(ORDER + 1):
-            p = (F.col(f"n_{side}{k}") + SMOOTHING * p) / (F.col(f"c_{side}{k}") + SMOOTHING)
+            context = F.col(f"c_{side}{k}") if k else F.lit(total[side] or 0)
+            p = (F.col(f"s_{side}{k}") + SMOOTHING * p) / (context + SMOOTHING)
         grams = grams.withColumn(f"p_{side}", p)
     return grams.select("gram", F.round((F.log("p_a") - F.log("p_r")) * MICRO).cast("long").alias("ratio"))
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """A written table over at least as many tasks as there are cores: a short one of long work may lie in one file."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows.inputFiles()) < cores else rows
+
+
 def _look_up(rows: DataFrame, model: DataFrame, key: Column, limit: int = BROADCAST_ROWS) -> DataFrame:
     """rows joined to model on gram: broadcast if model is small, else salted, since a few grams are in every url."""
-    if model.limit(limit + 1).count() <= limit:
+    if is_small(model, limit):
         return rows.join(F.broadcast(model), "gram")
     salted = model.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return rows.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(salted, ["gram", "salt"]).drop("salt")
 
 
 def threshold(scores: DataFrame) -> int | None:
-    """(step, label, n) -> the least step from which urls are allowed.
+    """(step, label, n) -> the least step from which urls are allowed, null without urls of both labels.
 
-    Calibrated on all labelled urls: the step at which the share of accepted at or above it plus the share of rejected
+    Calibrated on labelled urls: the step at which the share of accepted at or above it plus the share of rejected
     below it is largest. The window sees one row per step of 0.01.
     """
     of = lambda label: F.sum(F.when(F.col("label") == label, F.col("n")).otherwise(0))
@@ -97,14 +111,19 @@ def filter_urls(pages: DataFrame) -> DataFrame:
     pages = pages.groupBy("page_id", "url").agg(F.count(F.lit(1)).alias("n"))
     host, path = host_path(F.col("url"))
     pages = pages.select("page_id", "url", "n", host.alias("host"), path.alias("path")).withColumn("fit", fitting_rule(F.col("host"), F.col("path")))
-    urls = materialise(pages.select("page_id", "url", "n", "host", "path", "fit.rule", F.col("fit.verdict").alias("label"), F.concat("host", "path").alias("text")), "urls")
-    model = materialise(train(urls), "url-model")
-    grams = urls.where("length(text) > 0").select("page_id", "url", "n", "host", "path", "rule", "label", "text", F.explode(_grams(F.col("text"))).alias("gram"))
-    same = ["page_id", "url", "n", "host", "path", "rule", "label"]
+    text = F.concat("host", "path")
+    held = F.substring(F.md5(text), 1, 1) < HELD_OUT
+    urls = pages.select("page_id", "url", "n", "host", "path", "fit.rule", F.col("fit.verdict").alias("label"), text.alias("text"), held.alias("held"))
+    urls = _spread(materialise(urls, "urls"))
+    model = materialise(train(urls.withColumn("label", F.when(~F.col("held"), F.col("label")))), "url-model")
+    same = ["page_id", "url", "n", "host", "path", "rule", "label", "held"]
+    grams = urls.where("length(text) > 0").select(*same, "text", F.explode(_grams(F.col("text"))).alias("gram"))
     scored = _look_up(grams, model, F.struct("page_id", "url")).groupBy(*same, "text").agg(F.sum("ratio").alias("sum"))
     scored = scored.select(*same, F.floor(F.col("sum") / F.length("text") / STEP).alias("step"))
     scored = materialise(scored.unionByName(urls.where("length(text) = 0").select(*same, F.lit(0).cast("long").alias("step"))), "url-scores")
-    least = threshold(scored)
+    least = threshold(scored.where("held"))
+    if least is None:  # too few urls to hold any out
+        least = threshold(scored)
     method = F.lit("allow") if least is None else F.when(F.col("step") >= least, "allow").otherwise("block")
     out = scored.select("page_id", "host", "path", "rule", F.coalesce("label", method).alias("verdict"), (F.col("step") / 100).alias("score"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy"))
     return out.drop("copy")
@@ -126,17 +145,18 @@ def _oracle() -> str:
 WITH h AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 u AS (SELECT row_number() OVER () AS id, page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM h),
-l AS (SELECT *, host || path AS t, {rule} AS rule, {label} AS label FROM u),
-o AS (SELECT id, t, label, substr(repeat(chr(2), {ORDER}) || t, CAST(unnest(range(1, length(t) + 1)) AS BIGINT), {ORDER + 1}) AS gram FROM l),
+l AS (SELECT *, host || path AS t, {rule} AS rule, {label} AS label, substr(md5(host || path), 1, 1) < '{HELD_OUT}' AS held FROM u),
+o AS (SELECT id, t, CASE WHEN NOT held THEN label END AS label, substr(repeat(chr(2), {ORDER}) || t, CAST(unnest(range(1, length(t) + 1)) AS BIGINT), {ORDER + 1}) AS gram FROM l),
 g AS (SELECT gram, CAST(count(*) FILTER (label = 'allow') AS DOUBLE) AS a, CAST(count(*) FILTER (label = 'block') AS DOUBLE) AS r FROM o GROUP BY gram),
 c AS (SELECT gram, {", ".join(counts)} FROM g),
 m AS (SELECT gram, CAST(round((ln({p["a"]}) - ln({p["r"]})) * {MICRO}) AS BIGINT) AS ratio FROM c),
 s AS (SELECT id, CAST(floor(CAST(sum(ratio) AS DOUBLE) / length(t) / {STEP}) AS BIGINT) AS step FROM o JOIN m USING (gram) GROUP BY id, t),
 v AS (SELECT l.*, coalesce(s.step, 0) AS step FROM l LEFT JOIN s USING (id)),
-b AS (SELECT step, CAST(count(*) FILTER (label = 'allow') AS DOUBLE) AS a, CAST(count(*) FILTER (label = 'block') AS DOUBLE) AS r FROM v WHERE label IS NOT NULL GROUP BY step),
-w AS (SELECT step, coalesce(sum(r) OVER below, 0) * sum(a) OVER () - coalesce(sum(a) OVER below, 0) * sum(r) OVER () AS gain, sum(a) OVER () AS a, sum(r) OVER () AS r
-      FROM b WINDOW below AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-k AS (SELECT (SELECT step FROM w WHERE a > 0 AND r > 0 ORDER BY gain DESC, step LIMIT 1) AS least)
+b AS (SELECT part, step, CAST(count(*) FILTER (label = 'allow') AS DOUBLE) AS a, CAST(count(*) FILTER (label = 'block') AS DOUBLE) AS r
+      FROM (SELECT 'held' AS part, step, label FROM v WHERE held UNION ALL SELECT 'all', step, label FROM v) WHERE label IS NOT NULL GROUP BY part, step),
+w AS (SELECT part, step, coalesce(sum(r) OVER below, 0) * sum(a) OVER whole - coalesce(sum(a) OVER below, 0) * sum(r) OVER whole AS gain, sum(a) OVER whole AS a, sum(r) OVER whole AS r
+      FROM b WINDOW whole AS (PARTITION BY part), below AS (PARTITION BY part ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+k AS (SELECT (SELECT step FROM w WHERE a > 0 AND r > 0 ORDER BY part DESC, gain DESC, step LIMIT 1) AS least)
 SELECT page_id, host, path, rule, coalesce(label, CASE WHEN least IS NULL OR step >= least THEN 'allow' ELSE 'block' END) AS verdict FROM v, k
 """
 
