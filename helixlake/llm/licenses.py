@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, let, materialise, small
@@ -144,6 +144,13 @@ def _some_key(templates: list[tuple[int, str, list[str]]]) -> str:
     return rf"(?i)(?<!{edge})(?:{'|'.join(sorted(keys))})(?!{edge})"
 
 
+def _rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A broadcast table of what the templates say: as many rows as they have words, at most."""
+    literal = lambda x: str(x) if isinstance(x, int) else f"array({', '.join(map(literal, x))})" if isinstance(x, list) else f"'{x}'"  # noqa: E731  words and labels hold no quotes
+    values = ", ".join(f"({', '.join(map(literal, r))})" for r in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
+
+
 def matches(blocks: DataFrame, templates: list[tuple[int, str, list[str]]]) -> DataFrame:
     """(doc_id, block_no, words) -> doc_id, block_no, label, containment of every block and template that pass.
 
@@ -162,8 +169,8 @@ def matches(blocks: DataFrame, templates: list[tuple[int, str, list[str]]]) -> D
         need = _need(len(words))
         whole.append((i, label, ordered))
         index += [(w, i, place, len(words), need) for place, w in enumerate(ordered[: len(words) - need + 1])]
-    index = F.broadcast(spark.createDataFrame(index, "word string, template int, place int, n int, need int"))
-    whole = F.broadcast(spark.createDataFrame(whole, "template int, label string, template_words array<string>"))
+    index = _rows(spark, index, "word, template, place, n, need")
+    whole = _rows(spark, whole, "template, label, template_words")
     listed = F.array(*[F.lit(w) for w in order])
     ordered = F.transform(F.array_sort(F.transform("words", lambda w: F.struct(F.array_position(listed, w).alias("o"), w.alias("w")))), lambda x: x["w"])
     rows = blocks.select("doc_id", "block_no", ordered.alias("words"))
@@ -183,7 +190,7 @@ def _run_matches(runs: DataFrame, templates: list[tuple[int, str, list[str]]], l
     """
     words = F.array_distinct(F.flatten(F.transform("run", lambda x: x["w"])))
     found = matches(runs.select("doc_id", "block_no", words.alias("words")), templates)
-    whole = F.broadcast(runs.sparkSession.createDataFrame([(i, ws, lengths[i], _need(len(ws))) for i, _, ws in templates], "template int, template_words array<string>, reach int, need int"))
+    whole = _rows(runs.sparkSession, [(i, ws, lengths[i], _need(len(ws))) for i, _, ws in templates], "template, template_words, reach, need")
     start = F.struct(F.lit(0).alias("n"), F.get("run", F.lit(0))["w"].alias("w"))
     step = lambda acc, x: F.when(acc["n"] < F.col("reach"), F.struct((acc["n"] + x["n"]).alias("n"), F.concat(acc["w"], x["w"]).alias("w"))).otherwise(acc)
     own = F.aggregate(F.slice("run", F.lit(2), F.greatest(F.size("run") - 1, F.lit(0))), start, step)["w"]
@@ -201,8 +208,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, wrapped: bool = False) -> DataFra
     score is the largest containment of a template in a block, 1 where a phrase stands. Rows that share a doc_id are
     scanned each alone; their blocks are told apart by the digest of what they hold.
     """
-    parts = template_words(templates)
-    lengths = template_lengths(templates)
+    parts, lengths = template_words(templates), template_lengths(templates)
     profiles = materialise(_profiles(docs, parts, max(lengths.values()) if wrapped else 0), "licenses")
     held, digest = ("size(blocks) > 0", F.xxhash64("blocks")) if not wrapped else ("size(blocks) > 0 or size(runs) > 0", F.xxhash64("blocks", "runs"))
     blocks = profiles.where("size(blocks) > 0").select(F.struct("doc_id", digest.alias("h")).alias("doc_id"), F.posexplode(F.array_distinct("blocks")).alias("block_no", "words")).distinct()
@@ -226,9 +232,13 @@ def scan(docs: DataFrame, templates=TEMPLATES, wrapped: bool = False) -> DataFra
 
 
 def _oracle() -> str:
+    """The scan with wrapped=True: a block of a template is a line with words and those after it, up to one without words,
+    until those after it hold as many words as the template."""
     low = "translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = "list_filter(string_split_regex(" + low + ", '" + GAP + "'), lambda w: w <> '')"
-    templates = ", ".join(f"({i}, '{label}', [{', '.join(repr(w) for w in ws)}], {len(ws)}, {_need(len(ws))})" for i, label, ws in template_words())
+    lengths = template_lengths()
+    templates = ", ".join(f"({i}, '{label}', {len(ws)}, {_need(len(ws))}, {lengths[i]})" for i, label, ws in template_words())
+    vocabulary = ", ".join(f"({i}, '{w}')" for i, _, ws in template_words() for w in ws)
     starts = []
     for phrase, label in PHRASES:
         parts = phrase.split(" ")
@@ -238,11 +248,16 @@ def _oracle() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, {words.format(c="text")} AS w FROM documents),
 s AS ({" UNION ALL ".join(starts)}),
 b AS (SELECT r, count(*) AS n, min(pos) AS lo, max(pos) AS hi, list_sort(list_distinct(list(label))) AS labels FROM s GROUP BY r),
-l AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM d),
-k AS (SELECT r, list_distinct({words.format(c="line")}) AS w FROM l),
-t(id, label, words, n, need) AS (VALUES {templates}),
-m AS (SELECT r, label, CAST(len(list_intersect(k.w, t.words)) AS DOUBLE) / n AS c FROM k, t WHERE len(k.w) >= need AND len(list_intersect(k.w, t.words)) >= need),
-f AS (SELECT r, list_sort(list_distinct(list(label))) AS labels, max(c) AS c FROM m GROUP BY r)
+i AS (SELECT r, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(0, len(string_split(coalesce(text, ''), chr(10))))) AS ln FROM d),
+k AS (SELECT r, ln, {words.format(c="line")} AS w FROM i),
+l AS (SELECT r, ln, w, len(w) AS n, sum(len(w)) OVER o AS run, count(*) FILTER (len(w) = 0) OVER o AS gaps FROM k WINDOW o AS (PARTITION BY r ORDER BY ln)),
+t(id, label, n, need, reach) AS (VALUES {templates}),
+v(id, word) AS (VALUES {vocabulary}),
+u AS (SELECT DISTINCT l.r, l.ln, l.gaps, l.run - l.n AS before, v.id, v.word FROM (SELECT r, ln, gaps, run, n, unnest(w) AS word FROM l) l JOIN v ON l.word = v.word),
+g AS (SELECT a.r, a.ln, t.id, t.label, t.n, t.need, count(DISTINCT u.word) AS common
+      FROM l a JOIN u ON u.r = a.r AND u.gaps = a.gaps AND u.ln >= a.ln JOIN t ON t.id = u.id
+      WHERE a.n > 0 AND (u.ln = a.ln OR u.before - a.run < t.reach) GROUP BY ALL),
+f AS (SELECT r, list_sort(list_distinct(list(label))) AS labels, max(CAST(common AS DOUBLE) / n) AS c FROM g WHERE common >= need GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, b.lo AS first_word, b.hi AS last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels, CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(f.c, 0.0) END AS score
 FROM d LEFT JOIN b USING (r) LEFT JOIN f USING (r)
