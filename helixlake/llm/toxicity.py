@@ -6,7 +6,8 @@ scored whole. Only the columns named are read; labels, language, source and doc_
 
 The kernel of two words counts the triples of characters that they share, in order and with gaps, each weighted by
 DECAY for every character that its occurrence spans; an insult with other characters put in between shares most of its
-triples with the plain one. Triples that span more than SPAN + 1 characters are left out.
+triples with the plain one. Triples that span more than SPAN + 1 characters are left out. Three or more words of one character
+in a row are read as one word too, so an insult with spaces between its letters is seen. Letters of all scripts have codes.
 """
 
 from __future__ import annotations
@@ -19,30 +20,34 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import bounded_sample, chunks
 
-#: Most labelled documents that training takes, and the longest text among these: the sample that reaches the driver.
-SAMPLE, SAMPLE_CHARS = 6_000, 20_000
+#: Most labelled documents that training takes, and most characters of them together: the sample that reaches the driver.
+SAMPLE, SAMPLE_CHARS = 6_000, 40_000_000
 DECAY, SPAN = 0.7, 5
-#: Landmarks, most words among the training examples, rounds of choosing each toxic sentence's witness anew.
-LANDMARKS, EXAMPLES, ROUNDS = 200, 24_000, 3
+#: Landmarks, most words among the training examples (INSULTS of the first toxic ones, EXAMPLES of the clean ones), rounds of
+#: choosing each toxic sentence's witness anew. They bound the training on the sample, not what is scored.
+LANDMARKS, INSULTS, EXAMPLES, ROUNDS = 200, 4_000, 24_000, 3
 #: The cost of missing all insults, as a share (one in RARITY) of that of all false alarms.
 RARITY = 12
 SENTENCE_WORDS, LONGEST, REMEMBERED = 16, 32, 200_000
 THRESHOLD = 0.7
-#: Letters a-z and the accented ones of Latin-1 have codes of their own; all other characters share code 0.
+#: Letters a-z and the accented ones of Latin-1 have codes of their own, other letters share those that are left (neighbours in
+#: an alphabet of up to _SIZE - _SHARED letters have different ones); all other characters have code 0.
 _CODES = {chr(c): chr(c - 96) for c in range(97, 123)} | {chr(c): chr(c - 224 + 27) for c in range(224, 256)}
-_SIZE = 64
+_SIZE, _SHARED = 96, 59
 _OFFSETS = [(a, b) for b in range(2, SPAN + 1) for a in range(1, b)]
 _ENDS = re.compile(r"[.!?\n|]+")
-_OTHER = re.compile("[^a-z\u00e0-\u00ff]+")
+_OTHER = re.compile(r"[\W\d_]+")
+_SPACED = re.compile(r"(?<!\S)(?:\w\s+){2,}\w(?!\S)")
 
 
 class _Table(dict):
     def __missing__(self, key: int) -> str:
-        return "\0"
+        return chr(_SHARED + key % (_SIZE - _SHARED)) if chr(key).isalpha() else "\0"
 
 
 _TRANSLATE = _Table({ord(k): v for k, v in _CODES.items()})
@@ -80,8 +85,7 @@ def _scores(words: list[str], weights: np.ndarray) -> np.ndarray:
     for n, at in by_length.items():
         if n > LONGEST:
             for i in at:
-                pieces = [words[i][k : k + LONGEST] for k in range(0, n - LONGEST // 2, LONGEST // 2)]
-                out[i] = _scores(pieces, weights).max()
+                out[i] = _scores(_pieces(words[i]), weights).max()
             continue
         codes = _codes([words[i] for i in at])
         total, norm = np.zeros(len(at)), 0.0
@@ -120,13 +124,36 @@ def _spread(values: np.ndarray, used: np.ndarray) -> np.ndarray:
     return weights
 
 
-def _kernel(words: list[str], base: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """Kernel of each word with each landmark."""
-    return np.stack([_scores(words, _spread(row, used)) for row in base], axis=1)
+def _pieces(word: str) -> list[str]:
+    """A word, or its pieces of LONGEST characters (overlapping by half) if it is longer."""
+    return [word] if len(word) <= LONGEST else [word[k : k + LONGEST] for k in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
+
+
+def _kernel(words: list[str], base: np.ndarray, used: np.ndarray, rows: int = 256) -> np.ndarray:
+    """Kernel of each word with each landmark, of a word's pieces the largest: triples of `rows` words at a time, times the landmarks'."""
+    place = np.full(_SIZE**3, len(used), np.int64)  # what no landmark has is counted in a last column, and left out
+    place[used] = np.arange(len(used))
+    out, by_length = np.zeros((len(words), len(base))), {}
+    for i, w in enumerate(words):
+        for piece in _pieces(w):
+            by_length.setdefault(len(piece), []).append((i, piece))
+    for same in by_length.values():
+        for k in range(0, len(same), rows):
+            part = same[k : k + rows]
+            codes, norm, held = _codes([x for _, x in part]), 0.0, np.zeros(len(part) * (len(used) + 1))
+            for triples, decay in _triples(codes):
+                at = place[triples] + np.arange(len(part))[:, None] * (len(used) + 1)
+                held += decay * np.bincount(at.ravel(), minlength=len(held))
+                norm += triples.shape[1] * decay * decay
+            if norm:
+                values = held.reshape(len(part), -1)[:, :-1].astype(np.float32) @ base.T / np.sqrt(norm)
+                np.maximum.at(out, [i for i, _ in part], values)
+    return out
 
 
 def _words(text: str) -> list[str]:
-    return text.lower().split()
+    lower = text.lower()
+    return lower.split() + ["".join(x.split()) for x in _SPACED.findall(lower)]
 
 
 def _sentences(text: str) -> Iterator[list[str]]:
@@ -201,7 +228,7 @@ def train(sample: pd.DataFrame) -> dict:
     excess = lambda w: (toxic[w] + 0.5) / ((clean[w] + 0.5) * prior)
     long = [w for w in toxic if len(w) >= 3]
     rank = sorted(long, key=lambda w: (-(toxic[w] - 3 * prior * clean[w]) / np.sqrt(toxic[w] + 3 * prior * clean[w] + 1), w))
-    insults = {w: float(toxic[w]) for w in rank[:4000] if toxic[w] >= 2 and excess(w) >= 5}
+    insults = {w: float(toxic[w]) for w in rank[:INSULTS] if toxic[w] >= 2 and excess(w) >= 5}
     marks = [w for w in rank if w in insults][: LANDMARKS * 3 // 4]
     marks += [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 4 and w not in insults][: LANDMARKS - len(marks)]
     base, used = _landmarks(marks)
@@ -250,11 +277,14 @@ def train(sample: pd.DataFrame) -> dict:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE, chars: int = SAMPLE_CHARS) -> pd.DataFrame:
-    """At most `rows` labelled documents of the training folds, of at most `chars` characters, by a seeded digest."""
+    """At most `rows` labelled documents of the training folds, as many of them as hold `chars` characters, by a seeded digest."""
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(_fold(F.col("doc_id")) != 1)
     known = bounded_sample(known, "doc_id", rows)
-    texts = docs.where(f"length(text) <= {int(chars)}").select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    return texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toPandas().sort_values("doc_id", ignore_index=True)
+    texts = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sizes = texts.select("doc_id", F.length("text").alias("size")).withColumn("run", F.sum("size").over(W.orderBy(F.md5(F.concat(F.lit("size:"), F.col("doc_id").cast("string"))), "doc_id")))
+    within = sizes.where(F.col("run") <= chars).select("doc_id")  # of at most `rows` rows
+    return texts.join(F.broadcast(within), "doc_id").toPandas().sort_values("doc_id", ignore_index=True)
 
 
 def _fold(doc_id):
