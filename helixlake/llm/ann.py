@@ -3,7 +3,7 @@
 Vectors that are null, zero, of another length than most of the sample, or that hold null or non-finite components take
 no part. Rows that repeat a vec_id are candidates each, and one query (the least vector); a query's own rows are told by
 their id. Fewer candidates than asked for are all returned. An empty table gives an empty result. Only the columns
-named are read.
+named are read. Vectors are scaled by powers of two, which leaves cosines as they are, so that no square over- or underflows.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ def learn(sample: np.ndarray, rotations: int = ROTATIONS, k: int = K) -> dict:
     the share found there is larger.
     """
     rng = np.random.default_rng(42)
+    sample = scaled(sample)
     x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     parts = []
     for _ in range(rotations):
@@ -56,6 +57,11 @@ def learn(sample: np.ndarray, rotations: int = ROTATIONS, k: int = K) -> dict:
     return {"planes": planes, "radius": radius}
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times the power of two that brings their largest component to between 0.5 and 1."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def encode(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
     """Sign bits of the rotated vectors, packed to 64-bit words; the last word is filled up with zeros."""
     bits = np.packbits((x @ planes) > 0, axis=1)
@@ -103,8 +109,8 @@ class SubstringIndex:
 
 def _search(index: pd.DataFrame, queries: pd.DataFrame, model: dict, k: int) -> pd.DataFrame:
     """The k nearest of a block of the index for each query of a block of queries."""
-    x = np.stack(index["embedding"].to_numpy()).astype(float)
-    q = np.stack(queries["embedding"].to_numpy()).astype(float)
+    x = scaled(np.stack(index["embedding"].to_numpy()).astype(float))
+    q = scaled(np.stack(queries["embedding"].to_numpy()).astype(float))
     ids, norms = index["vec_id"].to_numpy(), np.linalg.norm(x, axis=1)
     table = SubstringIndex(encode(x / norms[:, None], model["planes"]))
     bits, out = model["planes"].shape[1], []

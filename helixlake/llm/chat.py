@@ -138,10 +138,11 @@ def digests(formatted: DataFrame) -> DataFrame:
 def linear_nodes(turns: DataFrame) -> DataFrame:
     """Conversations of numbered turns as trees of one branch: each turn replies to the one before.
 
-    Turns with equal numbers follow one another by role and text; a null number comes first. Rows without conv_id are
-    of no conversation and are dropped.
+    Turns with equal numbers follow one another by role and text (null ones as empty); a null number comes first. Rows
+    without conv_id are of no conversation and are dropped.
     """
-    turns = turns.where("conv_id is not null").select("conv_id", "turn", "role", "text")
+    said = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    turns = turns.where("conv_id is not null").select("conv_id", "turn", *said)
     place = F.row_number().over(W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")).cast("long")
     return turns.select(F.col("conv_id").cast("long").alias("conv_id"), place.alias("node_id"), F.nullif(place - 1, F.lit(0)).alias("parent_id"), "role", "text", F.lit(0.0).alias("score"))
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .common import WORD, let, materialise, small
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-#: The coordinates of a document's vector, and the least standard deviation that each is taken to have: what is
-#: constant among good documents (no symbols, no equal lines) would otherwise make any other value infinitely far.
+#: The coordinates of a document's vector, and the standard deviation that is added to each one's own (as variances are):
+#: what is constant among good documents (no symbols, no equal lines) would otherwise make any other value infinitely far.
 VECTOR = {
     "x1": ("ln(n_words)", 0.6),
     "x2": ("ln(word_chars / n_words)", 0.06),
@@ -28,7 +28,9 @@ DIMS = list(VECTOR)
 #: for normal data: 0.75 / P(chi2_7 < 6.626), 6.626 being the 0.75 quantile of chi2_5.
 SUBSET, CONSISTENCY = 0.75, 1.41
 STEPS, MIN_GROUP = 4, 40
-#: Squared Mahalanobis distance beyond which a document is rejected: chi2_5 is larger with probability 1.4e-9.
+#: Squared Mahalanobis distance beyond which a document is rejected: chi2_5 is larger with probability 1.4e-9. A filter
+#: should keep clean documents, and the coordinates are not normal, so it is far beyond any usual quantile: symbols and word
+#: lengths decide; repetition alone, below the share at which the base rules reject, comes to at most 32.
 CUTOFF = 50.0
 
 
@@ -107,7 +109,7 @@ def _start(rows: DataFrame) -> DataFrame:
 
 
 def _factor(estimates: DataFrame) -> DataFrame:
-    """Lower Cholesky factor l_i_j of the covariance c_i_j of each row, each variance raised to its floor."""
+    """Lower Cholesky factor l_i_j of the covariance c_i_j of each row, the square of its floor added to each variance."""
     out = estimates
     for i, d in enumerate(DIMS):
         for j in range(i + 1):

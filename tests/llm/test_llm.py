@@ -330,6 +330,11 @@ def test_kernel_is_the_sum_over_gapped_triples():
         norm = lambda w: math.sqrt(sum(toxicity.DECAY ** (2 * (q + 1)) for i in range(len(w)) for _, q in toxicity._OFFSETS if i + q < len(w)))
         want = sum(x[t] * y[t] for t in x) / norm(a) / norm(b)
         assert toxicity._scores([b], toxicity._landmark(a))[0] == pytest.approx(want, rel=1e-5)
+    marks = ["idiot", "moron", "abcabc", "longest"]
+    base, used = toxicity._landmarks(marks)
+    words_ = ["idixot", "moon", "a", "abcd", "q" * 40 + "moron" * 9, "дурак"]
+    for m, column in zip(marks, toxicity._kernel(words_, base, used).T, strict=True):
+        assert column == pytest.approx(toxicity._scores(words_, toxicity._landmark(m)), abs=1e-5)
 
 
 # --- 6: BPE -----------------------------------------------------------------------------------------------------------
@@ -606,3 +611,51 @@ def test_secrets_sql_on_random_strings(spark):
     want = con.sql(secrets.ORACLE).df()
     assert got["spans"].str.contains("random").sum() >= 50
     assert rows(got) == rows(want)
+
+
+# --- extremes ---------------------------------------------------------------------------------------------------------
+
+
+def test_nearest_of_extreme_norms(spark):
+    """Vectors whose squares over- or underflow a double: cosines don't depend on lengths."""
+    rng = np.random.default_rng(4)
+    vectors = [(i, (rng.standard_normal(8) * 10.0 ** [200, -200, 0, 150][i % 4]).tolist()) for i in range(120)]
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(vectors, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    unit = [(i, (ann.scaled(np.array([v]))[0]).tolist()) for i, v in vectors]
+    want = exact(unit, 50, 5)
+    assert got.keys() == want.keys()
+    for q in want:
+        assert [s for _, s in got[q]] == pytest.approx([s for _, s in want[q]], abs=1e-12)
+
+
+def test_turns_of_null_role_in_order(spark):
+    """Null roles and texts count as empty before turns of one number are put in order."""
+    rows_ = [(1, 0, None, "b"), (1, 0, "", "a"), (1, 1, "assistant", None), (1, 1, "assistant", "x")]
+    one, two = (chat.digests(chat.format_conversations(spark.createDataFrame([(c, t, r or "", x or "") if plain else (c, t, r, x) for c, t, r, x in rows_], "conv_id long, turn int, role string, text string"))).first() for plain in (False, True))
+    assert one == two
+    assert one["turns_sha256"] == hashlib.sha256("\na\n\nb\nassistant\n\nassistant\nx\n".encode()).hexdigest()
+
+
+def test_words_spaced_out_and_of_other_scripts():
+    assert "idiot" in toxicity._words("an i d i o t then")
+    assert "idiot" in toxicity._words("you\ni d  i o t\nthere")
+    a, b = "дурак", "ду-рак"
+    assert toxicity.word_scores([b], toxicity._landmark(a))[0] > 0.9
+    assert toxicity.word_scores(["мирный"], toxicity._landmark(a))[0] < 0.3
+    assert (toxicity._codes(["123"]) == 0).all()
+
+
+def test_guarded_broadcast_by_bytes(spark):
+    from helixlake.llm import common
+
+    wide = spark.range(70).select(F.repeat(F.lit("x"), 1_000_000).alias("x"))
+    assert not common.is_small(wide)
+    assert common.is_small(wide.limit(3))
+    assert not common.is_small(spark.range(11), 10)
+    path = common.materialise(spark.range(3), "released").inputFiles()[0]
+    common.release(spark)
+    import os
+
+    assert not os.path.exists(path.removeprefix("file://"))
