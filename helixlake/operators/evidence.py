@@ -218,7 +218,8 @@ def comparative_outbreaks(samples: DataFrame, outbreaks: DataFrame, most: int =
     kinds = s.select("place", "year").distinct()
     here = kinds.join(least(o.where("o_place is not null"), "o_place", "o_year", "o_cases"), F.col("place") == F.col("o_place"))
     near = kinds.withColumn("_y", F.explode(F.sequence(F.col("year") - 10, F.col("year") + 10))).join(least(o.where("o_year is not null"), "o_year", "o_cases"), F.col("_y") == F.col("o_year")).drop("_y")
-    far = kinds.crossJoin(F.broadcast(o.where("o_cases").orderBy("outbreak").limit(most)))
+    few = o.where("o_cases").orderBy("outbreak").limit(most).agg(F.collect_list(F.struct(*o.columns)).alias("few"))  # one row of `most` outbreaks, the same for all
+    far = kinds.withColumn("_one", F.lit(1)).join(F.broadcast(few.withColumn("_one", F.lit(1))), "_one").select("place", "year", F.explode("few").alias("f")).select("place", "year", "f.*")
     pairs = here.unionByName(near).unionByName(far).distinct()
     scored = pairs.withColumn("score", score(F.col("place") == F.col("o_place"), F.abs(F.col("year") - F.col("o_year")), F.col("o_cases"))).where("score > 0")
     w = W.partitionBy("place", "year").orderBy(F.col("score").desc(), "outbreak")

@@ -119,6 +119,19 @@ def earliest_term(text: Column, terms: list[str]) -> Column:
     return F.try_element_at(names, F.regexp_extract(F.lower(text), pattern, 1))
 
 
+# Spellings of a country in reports, beside the names themselves, and the name each stands for.
+ALIASES = {"DRC": "Democratic Republic of the Congo", "Congo, The Democratic Republic of the": "Democratic Republic of the Congo"}
+
+
+def earliest_country(text: Column, names: list[str]) -> Column:
+    """The country that stands first in a text, by any of its spellings. Letters right before or after a name tell of another
+    word; beside a name of at most three characters digits and underscores do too."""
+    short = [n for n in [*names, *ALIASES] if len(n) <= 3]
+    spaced = reduce(lambda t, n: F.regexp_replace(t, rf"(?i)(?<=[0-9_])\Q{n}\E|\Q{n}\E(?=[0-9_])", "~"), short, text)
+    found = earliest_term(spaced, [*names, *ALIASES])
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in ALIASES.items() for x in p]), found), found)
+
+
 def mentions(docs: DataFrame, rules: list[tuple[tuple[str, ...], str, dict]], key: str = "ordinal") -> DataFrame:
     """docs (ordinal, url, text) x rules (terms, label, attributes) -> each label once, with the first document that has a term.
 

@@ -132,12 +132,12 @@ def J12_exact_matches(spark, sf_dir):
     return d.calls.join(a, ["gene", "position", "alt_aa"]).select("genome_accession", "hgvs_p", "association_id")
 
 
-@query("""WITH m AS (SELECT p_partkey AS motif, p_brand AS gene, lower(split_part(p_name, ' ', 1)) AS word FROM part WHERE p_partkey % 50 = 0), v AS (SELECT p_partkey AS variant, p_brand AS gene, lower(p_name) AS domain FROM part)
+@query("""WITH m AS (SELECT p_partkey AS motif, p_brand AS gene, lower(split_part(p_name, ' ', 1)) AS word FROM part), v AS (SELECT p_partkey AS variant, p_brand AS gene, lower(p_name) AS domain FROM part)
 SELECT motif, min(variant) AS variant FROM m JOIN v USING (gene) WHERE contains(domain, word) OR contains(word, domain) GROUP BY 1""")
-def J13_motif_containment(spark, sf_dir, keep="p_partkey % 50 = 0"):
+def J13_motif_containment(spark, sf_dir):
     """The first variant of the gene whose domain holds the motif, or lies in it."""
     p = Domain(spark, sf_dir).raw("part")
-    m = p.where(keep).select(F.col("p_partkey").alias("motif"), F.col("p_brand").alias("gene"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("word"))
+    m = p.select(F.col("p_partkey").alias("motif"), F.col("p_brand").alias("gene"), F.lower(F.split_part("p_name", F.lit(" "), F.lit(1))).alias("word"))
     v = p.groupBy(F.col("p_brand").alias("gene"), F.lower("p_name").alias("domain")).agg(F.min("p_partkey").alias("variant"))
     words = m.select("gene", "word").distinct()  # each word of a gene is held against each domain once
     first = words.join(v, "gene").where(F.contains("domain", "word") | F.contains("word", "domain")).groupBy("gene", "word").agg(F.min("variant").alias("variant"))
@@ -160,11 +160,11 @@ def J16_clade_dictionary(spark, sf_dir):
     return c.select("c_custkey", F.lower(F.trim(label)).alias("alias")).join(known, "alias").select("c_custkey", "lineage_id")
 
 
-@query(f"WITH {GM} SELECT genome_accession AS tip, collection_country FROM gm WHERE CAST(genome_accession AS BIGINT) % 50 < 2")
-def J17_tip_metadata(spark, sf_dir, keep="cast(genome_accession as bigint) % 50 < 2"):
+@query(f"WITH {GM} SELECT genome_accession AS tip, collection_country FROM gm")
+def J17_tip_metadata(spark, sf_dir):
     """Tips by accession, what is left by the accession within a longer label."""
     g = Domain(spark, sf_dir).genomes.select("genome_accession", "collection_country")
-    tips = g.where(keep).select(F.expr("case when cast(genome_accession as bigint) % 50 = 0 then genome_accession else concat('EBOV|', genome_accession, '|x') end").alias("label"))
+    tips = g.select(F.expr("case when cast(genome_accession as bigint) % 2 = 0 then genome_accession else concat('EBOV|', genome_accession, '|x') end").alias("label"))
     exact = tips.join(g, F.col("label") == F.col("genome_accession")).select("label", "genome_accession", "collection_country")
     left = tips.join(exact.select("label"), "label", "left_anti").withColumn("part", F.explode(F.array_distinct(F.split("label", "[^A-Za-z0-9]+"))))
     loose = left.join(g, F.col("part") == F.col("genome_accession")).select("label", "genome_accession", "collection_country")
@@ -179,13 +179,13 @@ def J18_residue_check(spark, sf_dir):
     return Q.reference_checked(candidates, proteins).select("p_partkey", "position")
 
 
-_MENTIONS = f"""WITH {RP}, m AS (SELECT ordinal, 'deaths' AS mention, strpos(lower(text), 'deaths') AS place FROM rp WHERE ordinal % 10 = 0), a AS (SELECT ordinal, w AS alias, strpos(lower(text), w) AS a_at FROM rp, (VALUES ('cumulative'), ('cases'), ('confirmed')) t(w) WHERE ordinal % 10 = 0)
+_MENTIONS = f"""WITH {RP}, m AS (SELECT ordinal, 'deaths' AS mention, strpos(lower(text), 'deaths') AS place FROM rp), a AS (SELECT ordinal, w AS alias, strpos(lower(text), w) AS a_at FROM rp, (VALUES ('cumulative'), ('cases'), ('confirmed')) t(w))
 SELECT ordinal, mention, place AS "at", arg_min(alias, (abs(place - a_at), a_at, alias)) AS alias, min(abs(place - a_at)) AS distance FROM m JOIN a USING (ordinal) WHERE place > 0 AND a_at > 0 GROUP BY 1, 2, 3"""
 
 
 @query(_MENTIONS)
-def J21_nearest_mention(spark, sf_dir, keep="ordinal % 10 = 0"):
-    r = Domain(spark, sf_dir).reports.where(keep).select("ordinal", F.lower("text").alias("text"))
+def J21_nearest_mention(spark, sf_dir):
+    r = Domain(spark, sf_dir).reports.select("ordinal", F.lower("text").alias("text"))
     at = lambda w: F.instr("text", w).cast("long")
     m = r.select("ordinal", F.lit("deaths").alias("mention"), at("deaths").alias("at")).where("at > 0")
     a = r.select("ordinal", F.explode(F.array(*[F.struct(F.lit(w).alias("alias"), at(w).alias("at")) for w in ("cumulative", "cases", "confirmed")])).alias("a")).select("ordinal", "a.*").where("at > 0")
@@ -331,13 +331,13 @@ def E01_cooccurrence_history(spark, sf_dir):
     return pairs.withColumn("seen_together", F.count(F.lit(1)).over(W.partitionBy("a", "b")))
 
 
-@query(f"""WITH {PROFILE}, d AS (SELECT hgvs_p, variant_type FROM profile WHERE lineage_id = 'BUILDING' GROUP BY 1, 2 HAVING count(DISTINCT genome_accession) >= 2), s AS (SELECT DISTINCT genome_accession AS sample_id, hgvs_p, variant_type, ref_aa, alt_aa FROM profile WHERE CAST(genome_accession AS BIGINT) % 20 = 0)
+@query(f"""WITH {PROFILE}, d AS (SELECT hgvs_p, variant_type FROM profile WHERE lineage_id = 'BUILDING' GROUP BY 1, 2 HAVING count(DISTINCT genome_accession) >= 2), s AS (SELECT DISTINCT genome_accession AS sample_id, hgvs_p, variant_type, ref_aa, alt_aa FROM profile)
 SELECT sample_id, s.hgvs_p, s.variant_type, CASE WHEN ref_aa = alt_aa THEN 'synonymous' WHEN d.hgvs_p IS NOT NULL THEN 'typical' ELSE 'atypical' END AS significance FROM s LEFT JOIN d USING (hgvs_p, variant_type)""")
-def E08_significance(spark, sf_dir, keep="cast(genome_accession as bigint) % 20 = 0"):
+def E08_significance(spark, sf_dir):
     """A sample's mutations against those that define a lineage."""
     p = _profile(Domain(spark, sf_dir))
     defining = p.where("lineage_id = 'BUILDING'").groupBy("hgvs_p", "variant_type").agg(F.count_distinct("genome_accession").alias("n")).where("n >= 2")
-    s = p.where(keep).select(F.col("genome_accession").alias("sample_id"), "hgvs_p", "variant_type", "ref_aa", "alt_aa").distinct()
+    s = p.select(F.col("genome_accession").alias("sample_id"), "hgvs_p", "variant_type", "ref_aa", "alt_aa").distinct()
     rows = J.known_novel(s, defining, ["hgvs_p", "variant_type"])
     kind = F.when(F.col("ref_aa") == F.col("alt_aa"), "synonymous").when(F.col("is_known"), "typical").otherwise("atypical")
     return rows.select("sample_id", "hgvs_p", "variant_type", kind.alias("significance"))
@@ -383,12 +383,12 @@ def E19_integrated(spark, sf_dir):
     return E.integrated_inference(rows)
 
 
-@query(f"""WITH {PV}, {GP} SELECT genome_accession AS sample_id, association_id, CASE WHEN gp.position IS NOT NULL THEN 'exact' ELSE 'gene' END AS way FROM (SELECT DISTINCT genome_accession, species_id, gene, position, alt_aa FROM pv WHERE CAST(genome_accession AS BIGINT) % 50 = 0) v JOIN gp ON gp.species_id = v.species_id AND gp.protein = v.gene
+@query(f"""WITH {PV}, {GP} SELECT genome_accession AS sample_id, association_id, CASE WHEN gp.position IS NOT NULL THEN 'exact' ELSE 'gene' END AS way FROM (SELECT DISTINCT genome_accession, species_id, gene, position, alt_aa FROM pv) v JOIN gp ON gp.species_id = v.species_id AND gp.protein = v.gene
 AND ((gp.position = v.position AND gp.alt_aa = v.alt_aa) OR gp.position IS NULL) GROUP BY 1, 2, 3""")
-def E25_phenotype_matching(spark, sf_dir, keep="cast(genome_accession as bigint) % 50 = 0"):
+def E25_phenotype_matching(spark, sf_dir):
     """Associations of a sample by exact mutation, then by gene; each once, by its strongest way."""
     d = Domain(spark, sf_dir)
-    v = d.calls.where(keep).select(F.col("genome_accession").alias("sample_id"), "species_id", "gene", "position", "alt_aa").distinct()
+    v = d.calls.select(F.col("genome_accession").alias("sample_id"), "species_id", "gene", "position", "alt_aa").distinct()
     a = d.associations.select("species_id", F.col("protein").alias("gene"), F.col("position").alias("g_position"), F.col("alt_aa").alias("g_alt_aa"), "association_id")
     exact = v.join(a, (v["species_id"] == a["species_id"]) & (v["gene"] == a["gene"]) & (F.col("position") == F.col("g_position")) & (F.col("alt_aa") == F.col("g_alt_aa"))).select("sample_id", "association_id", F.lit("exact").alias("way"))
     gene = v.join(a.where("g_position is null"), ["species_id", "gene"]).select("sample_id", "association_id", F.lit("gene").alias("way"))
@@ -396,16 +396,16 @@ def E25_phenotype_matching(spark, sf_dir, keep="cast(genome_accession as bigint)
 
 
 @query(f"""WITH {PROFILE}, c AS (SELECT hgvs_p, variant_type, species_id, count(DISTINCT genome_accession) AS genomes FROM profile GROUP BY 1, 2, 3), l AS (SELECT lineage_id, species_id, count(DISTINCT genome_accession) AS lineage_genomes FROM profile WHERE lineage_id IS NOT NULL GROUP BY 1, 2),
-t AS (SELECT species_id, count(*) AS species_genomes FROM gm GROUP BY 1), s AS (SELECT DISTINCT genome_accession AS sample_id, species_id, lineage_id, hgvs_p, variant_type FROM profile WHERE CAST(genome_accession AS BIGINT) % 25 = 0)
+t AS (SELECT species_id, count(*) AS species_genomes FROM gm GROUP BY 1), s AS (SELECT DISTINCT genome_accession AS sample_id, species_id, lineage_id, hgvs_p, variant_type FROM profile)
 SELECT sample_id, hgvs_p, s.variant_type, genomes, lineage_genomes, species_genomes FROM s JOIN c USING (hgvs_p, variant_type, species_id) JOIN t USING (species_id) LEFT JOIN l USING (lineage_id, species_id)""")
-def E30_layered_lookup(spark, sf_dir, keep="cast(genome_accession as bigint) % 25 = 0"):
-    """The layers of a sample query for all kept samples in one job: catalogue, lineage and species, each an aggregate and a join."""
+def E30_layered_lookup(spark, sf_dir):
+    """The layers of a sample query for all samples in one job: catalogue, lineage and species, each an aggregate and a join."""
     p = _profile(Domain(spark, sf_dir))
     n = F.count_distinct("genome_accession")
     catalogue = p.groupBy("hgvs_p", "variant_type", "species_id").agg(n.alias("genomes"))
     lineage = p.where("lineage_id is not null").groupBy("lineage_id", "species_id").agg(n.alias("lineage_genomes"))
     species = Domain(spark, sf_dir).genomes.groupBy("species_id").agg(F.count(F.lit(1)).alias("species_genomes"))
-    s = p.where(keep).select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "hgvs_p", "variant_type").distinct()
+    s = p.select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "hgvs_p", "variant_type").distinct()
     out = s.join(catalogue, ["hgvs_p", "variant_type", "species_id"]).join(species, "species_id").join(lineage, ["lineage_id", "species_id"], "left")
     return out.select("sample_id", "hgvs_p", "variant_type", "genomes", "lineage_genomes", "species_genomes")
 
@@ -414,9 +414,10 @@ def E30_layered_lookup(spark, sf_dir, keep="cast(genome_accession as bigint) % 2
 def E31_compaction(spark, sf_dir):
     """The first twenty findings of each analysis, and how many there are."""
     g = Domain(spark, sf_dir).genomes.select(F.col("host").alias("analysis"), "genome_accession")
-    ranked = g.withColumn("r", F.row_number().over(W.partitionBy("analysis").orderBy(F.col("genome_accession").cast("long"))))
-    shown = F.transform(F.array_sort(F.collect_list(F.when(F.col("r") <= 20, F.struct("r", "genome_accession")))), lambda x: x["genome_accession"])
-    return ranked.groupBy("analysis").agg(F.count(F.lit(1)).alias("findings"), F.array_join(shown, ",").alias("shown"))
+    first = g.withColumn("r", F.row_number().over(W.partitionBy("analysis").orderBy(F.col("genome_accession").cast("long")))).where("r <= 20")  # the limit is applied before the shuffle
+    shown = F.transform(F.array_sort(F.collect_list(F.struct("r", "genome_accession"))), lambda x: x["genome_accession"])
+    counts = g.groupBy("analysis").agg(F.count(F.lit(1)).alias("findings"))
+    return counts.join(first.groupBy("analysis").agg(F.array_join(shown, ",").alias("shown")), "analysis").select("analysis", "findings", "shown")
 
 
 @query("SELECT p_partkey, CASE WHEN p_size >= 36 THEN 'complete' WHEN p_size >= 24 THEN 'near-complete' ELSE 'partial' END AS completeness, lower(regexp_replace(regexp_replace(lower(trim(p_type)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS label, 'S-' || p_type AS lineage FROM part")

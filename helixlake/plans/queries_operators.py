@@ -70,11 +70,11 @@ def P06_overlap(spark, sf_dir):
     return rows.where(F.arrays_overlap("lineages", F.array(F.lit("BUILDING"), F.lit("MACHINERY")))).select(*MUTATION, "genome_count")
 
 
-@query(f"WITH {PV}, dom AS (SELECT DISTINCT p_brand AS dgene, p_size - 2 AS s, p_size + 2 AS e FROM part WHERE p_partkey % 10 = 0) SELECT {MK}, genome_accession, s AS domain_start, e AS domain_end FROM pv JOIN dom ON dgene = gene AND position BETWEEN s AND e")
-def P08_domain_contains(spark, sf_dir, keep="p_partkey % 10 = 0"):
+@query(f"WITH {PV}, dom AS (SELECT DISTINCT p_brand AS dgene, p_size - 2 AS s, p_size + 2 AS e FROM part) SELECT {MK}, genome_accession, s AS domain_start, e AS domain_end FROM pv JOIN dom ON dgene = gene AND position BETWEEN s AND e")
+def P08_domain_contains(spark, sf_dir):
     """Calls with the domains of their gene that hold their position, by an interval join in blocks."""
     d = Domain(spark, sf_dir)
-    domains = d.raw("part").where(keep).select(F.col("p_brand").alias("gene"), (F.col("p_size") - 2).alias("start"), (F.col("p_size") + 2).alias("end")).distinct()
+    domains = d.raw("part").select(F.col("p_brand").alias("gene"), (F.col("p_size") - 2).alias("start"), (F.col("p_size") + 2).alias("end")).distinct()
     out = J.in_interval(d.calls, domains, ["gene"])
     return out.select(*MUTATION, "genome_accession", F.col("start").alias("domain_start"), F.col("end").alias("domain_end"))
 
@@ -122,11 +122,11 @@ def J15_alias_match(spark, sf_dir):
     return J.resolve_lineage(rows, "label", lineages)
 
 
-@query(f"WITH {GM}, s AS (SELECT genome_accession AS sample, species_id, collection_country, collection_date FROM gm WHERE CAST(genome_accession AS BIGINT) % 500 = 1) SELECT sample, g.genome_accession, abs(date_diff('day', g.collection_date, s.collection_date)) AS gap FROM s JOIN gm g USING (species_id, collection_country) WHERE abs(date_diff('day', g.collection_date, s.collection_date)) <= 30 AND g.genome_accession <> sample")
-def J20_window_neighbours(spark, sf_dir, keep="cast(genome_accession as bigint) % 500 = 1"):
+@query(f"WITH {GM}, s AS (SELECT genome_accession AS sample, species_id, collection_country, collection_date FROM gm) SELECT sample, g.genome_accession, abs(date_diff('day', g.collection_date, s.collection_date)) AS gap FROM s JOIN gm g USING (species_id, collection_country) WHERE abs(date_diff('day', g.collection_date, s.collection_date)) <= 30 AND g.genome_accession <> sample")
+def J20_window_neighbours(spark, sf_dir):
     """Genomes of the same country within 30 days of a sample, by a range join in windows."""
     g = Domain(spark, sf_dir).genomes
-    s = g.where(keep).select(F.col("genome_accession").alias("sample"), "species_id", "collection_country", F.col("collection_date").alias("r_date"))
+    s = g.select(F.col("genome_accession").alias("sample"), "species_id", "collection_country", F.col("collection_date").alias("r_date"))
     out = J.within_days(g.select("genome_accession", "species_id", "collection_country", "collection_date"), s, ["species_id", "collection_country"], "collection_date", 30)
     return out.where("genome_accession <> sample").select("sample", "genome_accession", F.abs(F.datediff("collection_date", "r_date")).cast("long").alias("gap"))
 
@@ -327,11 +327,18 @@ u AS (SELECT host, p || ' -> ' || c AS route, min(r) AS r FROM t WHERE p <> c GR
 
 @query(ROUTES)
 def W03_routes(spark, sf_dir):
-    """Changes of country between successive tips, each route once, the first five."""
+    """Changes of country between successive tips, each route once, the first five.
+
+    Tips are put in order within a host and day; a day's first tip follows the last one of the day before that has any, and
+    only those last ones (as many as there are days) are put in order by host.
+    """
     g = Domain(spark, sf_dir).genomes.where("collection_country is not null and collection_date is not null")
-    w = W.partitionBy("host").orderBy("collection_date", "genome_accession")
-    steps = g.select("host", F.col("collection_country").alias("c"), F.lag("collection_country").over(w).alias("p"), F.row_number().over(w).alias("r")).where("p <> c")
-    routes = steps.groupBy("host", F.concat("p", F.lit(" -> "), "c").alias("route")).agg(F.min("r").alias("r"))
+    tips = g.select("host", F.col("collection_date").alias("day"), "genome_accession", F.col("collection_country").alias("c"))
+    days = tips.groupBy("host", "day").agg(F.max_by("c", "genome_accession").alias("last"))
+    before = days.select("host", "day", F.lag("last").over(W.partitionBy("host").orderBy("day")).alias("before"))
+    steps = tips.withColumn("p", F.lag("c").over(W.partitionBy("host", "day").orderBy("genome_accession"))).join(before, ["host", "day"])
+    steps = steps.withColumn("p", F.coalesce("p", "before")).where("p <> c")
+    routes = steps.groupBy("host", F.concat("p", F.lit(" -> "), "c").alias("route")).agg(F.min(F.struct("day", "genome_accession")).alias("r"))
     return routes.withColumn("k", F.row_number().over(W.partitionBy("host").orderBy("r"))).where("k <= 5").select("host", "route")
 
 
@@ -368,26 +375,6 @@ def T01_top_defining(spark, sf_dir):
     return counts.orderBy(F.col("genomes").desc_nulls_last(), "hgvs_p", "variant_type").limit(20)
 
 
-SIMILAR = f"""WITH {GM}, o AS (SELECT genome_accession AS outbreak, collection_country, collection_year FROM gm WHERE CAST(genome_accession AS BIGINT) % 100 = 0 AND collection_year IS NOT NULL),
-s AS (SELECT genome_accession AS sample, collection_country, collection_year FROM gm WHERE CAST(genome_accession AS BIGINT) % 1000 = 1 AND collection_year IS NOT NULL),
-x AS (SELECT sample, outbreak, (CASE WHEN s.collection_country = o.collection_country THEN 2.0 ELSE 0.0 END) + CASE WHEN abs(s.collection_year - o.collection_year) <= 1 THEN 2.0 WHEN abs(s.collection_year - o.collection_year) <= 3 THEN 1.0 ELSE 0.0 END AS score FROM s JOIN o ON s.collection_country = o.collection_country OR abs(s.collection_year - o.collection_year) <= 3)
-SELECT sample, outbreak, score FROM (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY score DESC, outbreak) AS r FROM x) WHERE r <= 5"""
-
-
-@query(SIMILAR)
-def T04_similar_outbreaks(spark, sf_dir):
-    """The five most similar outbreaks per sample. Only those that score anything are paired: equal country, or equal year bucket."""
-    g = Domain(spark, sf_dir).genomes.where("collection_year is not null")
-    o = g.where("cast(genome_accession as bigint) % 100 = 0").select(F.col("genome_accession").alias("outbreak"), F.col("collection_country").alias("o_country"), F.col("collection_year").alias("o_year"))
-    s = g.where("cast(genome_accession as bigint) % 1000 = 1").select(F.col("genome_accession").alias("sample"), "collection_country", "collection_year")
-    near = s.withColumn("y", F.explode(F.sequence(F.col("collection_year") - 3, F.col("collection_year") + 3))).join(o, F.col("y") == F.col("o_year")).drop("y")
-    far = s.join(o, (F.col("collection_country") == F.col("o_country")) & (F.abs(F.col("collection_year") - F.col("o_year")) > 3))
-    gap = F.abs(F.col("collection_year") - F.col("o_year"))
-    score = F.when(F.col("collection_country") == F.col("o_country"), 2.0).otherwise(0.0) + F.when(gap <= 1, 2.0).when(gap <= 3, 1.0).otherwise(0.0)
-    rows = near.unionByName(far).withColumn("score", score)
-    return rows.withColumn("r", F.row_number().over(W.partitionBy("sample").orderBy(F.col("score").desc(), "outbreak"))).where("r <= 5").select("sample", "outbreak", "score")
-
-
 COMPARED = f"""WITH {GM}, {RP}, k AS (SELECT DISTINCT collection_country AS c, collection_year AS y FROM gm),
 x AS (SELECT c, y, ordinal, (CASE WHEN c = country THEN 2.0 ELSE 0.0 END) + (CASE WHEN abs(y - year) <= 5 THEN 2.0 WHEN abs(y - year) <= 10 THEN 1.0 ELSE 0.0 END) + (CASE WHEN cases > 0 THEN 0.5 ELSE 0.0 END) AS score FROM k, rp),
 b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY c, y ORDER BY score DESC, ordinal) AS r FROM x WHERE score > 0) WHERE r <= 5)
@@ -402,6 +389,14 @@ def E22_comparative_outbreaks(spark, sf_dir):
     return E.comparative_outbreaks(s, d.reports.select(F.col("ordinal").alias("outbreak"), "country", "year", "cases"))
 
 
+@query(f"{COMPARED.replace('SELECT genome_accession AS sample, ordinal AS outbreak, score', 'SELECT genome_accession AS sample, r AS place, ordinal AS outbreak')}")
+def T04_similar_outbreaks(spark, sf_dir):
+    """The same five in order."""
+    found = E22_comparative_outbreaks(spark, sf_dir)
+    place = F.row_number().over(W.partitionBy("sample").orderBy(F.col("score").desc(), "outbreak"))
+    return found.select("sample", place.alias("place"), "outbreak")
+
+
 # --- sets and upserts -------------------------------------------------------------------------------------------------
 
 SETS = f"WITH {GM}, r AS (SELECT species_id, list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL)) AS reported, coalesce(list_distinct(list(collection_country) FILTER (collection_country IS NOT NULL AND collection_year >= 2001)), []) AS recent FROM gm GROUP BY 1)"

@@ -88,11 +88,11 @@ def A23_cases_per_group(spark, sf_dir):
 
 
 @query(f"""WITH {GM}, o AS (SELECT collection_country AS outbreak, lineage_id FROM gm WHERE lineage_id IS NOT NULL AND lineage_id <> 'BUILDING' AND collection_country IS NOT NULL), m AS (SELECT lineage_id, list_sort(list_distinct(list(outbreak))) AS l FROM o GROUP BY 1), e AS (SELECT list_sort(list_distinct(list(outbreak))) AS l FROM o)
-SELECT genome_accession AS sample_id, len(coalesce(m.l, e.l)) AS outbreaks FROM gm LEFT JOIN m USING (lineage_id), e WHERE CAST(genome_accession AS BIGINT) % 40 = 0 AND gm.lineage_id IS NOT NULL AND EXISTS (SELECT 1 FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) = genome_accession)""")
-def J19_harmonised(spark, sf_dir, keep="cast(genome_accession as bigint) % 40 = 0"):
+SELECT genome_accession AS sample_id, len(coalesce(m.l, e.l)) AS outbreaks FROM gm LEFT JOIN m USING (lineage_id), e WHERE gm.lineage_id IS NOT NULL AND EXISTS (SELECT 1 FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) = genome_accession)""")
+def J19_harmonised(spark, sf_dir):
     """Evidence per sample; a lineage without outbreaks of its own gets all of them."""
     d = Domain(spark, sf_dir)
-    v = V.variant_profile(d.calls, d.genomes).where(keep).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
+    v = V.variant_profile(d.calls, d.genomes).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
     p = v.select("phenotype_key").distinct().withColumn("phenotype", F.upper("phenotype_key"))
     o = d.genomes.where("lineage_id is not null and lineage_id <> 'BUILDING' and collection_country is not null").select(F.col("collection_country").alias("outbreak"), "lineage_id").distinct()
     return E.harmonise(v, p, o).select("sample_id", F.size("outbreaks").cast("long").alias("outbreaks"))
@@ -103,12 +103,19 @@ def X15_names(spark, sf_dir):
     return M.whole_names(Domain(spark, sf_dir).reports.select(F.col("ordinal").alias("id"), "text"), ["PCR", "ELISA", "funeral"])
 
 
-@query(f"WITH {RP} SELECT ordinal AS id, k AS kind, c AS category FROM rp, (VALUES ('variant'), ('motif')) t(k), (VALUES ('decreased_transmission'), ('immune_escape'), ('increased_transmission')) u(c) WHERE ordinal % 6 = 3 AND (k = 'variant' OR ordinal % 2 = 1)")
-def X16_candidates(spark, sf_dir, keep="ordinal % 6 = 3"):
-    r = Domain(spark, sf_dir).reports.where(keep).select(F.col("ordinal").alias("id"), "text")
+# The categories that the driver's report texts meet, by what each kind of report says (ordinal % 6).
+_CANDIDATES = f"""WITH {RP}, c(kind_of_report, category) AS (VALUES (0, 'disease_severity'), (0, 'vaccine_effectiveness'), (1, 'diagnostic_performance'), (2, 'drug_resistance'), (3, 'increased_transmission'), (3, 'decreased_transmission'), (3, 'immune_escape'), (4, 'reservoir_association'), (4, 'diagnostic_performance')),
+n AS (SELECT ordinal, unnest(CASE WHEN ordinal % 2 = 1 THEN [('variant', 'A82V'), ('motif', 'mucin')] ELSE [('variant', 'A82V')] END) AS x FROM rp)
+SELECT ordinal AS id, x[1] AS kind, x[2] AS name, category, 'gpa_' || substr(sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(CAST(ordinal AS VARCHAR) || '|' || x[1] || '|' || x[2] || '|' || category)), 1, 12) AS association_id FROM n JOIN c ON ordinal % 6 = kind_of_report"""
+
+
+@query(_CANDIDATES)
+def X16_candidates(spark, sf_dir):
+    """Every report's variants, motifs and clades with every phenotype that it tells of."""
+    r = Domain(spark, sf_dir).reports.select(F.col("ordinal").alias("id"), "text")
     named = lambda n, c="true": r.where(c).select("id", F.lit(n).alias("name"))
     out = M.candidates(named("A82V"), named("mucin", "id % 2 = 1"), named("none", "false"), M.phenotypes(r))
-    return out.select("id", "kind", "category")
+    return out.select("id", "kind", "name", "category", "association_id")
 
 
 @query(f"WITH {RP} SELECT ordinal, ordinal % 3 = 0 AS antibody FROM rp")
@@ -184,13 +191,13 @@ def E21_knowledge_gaps(spark, sf_dir):
     return E.knowledge_gaps(Domain(spark, sf_dir).genomes.withColumnRenamed("genome_accession", "sample_id"), {"collection_date": "when", "collection_country": "where"})
 
 
-@query(f"WITH {PROFILE}, c AS (SELECT species_id, hgvs_p, variant_type, count(DISTINCT genome_accession) AS genome_count, min(collection_date) AS first_seen FROM profile GROUP BY 1, 2, 3) SELECT genome_accession, species_id, hgvs_p, variant_type, genome_count, first_seen FROM profile JOIN c USING (species_id, hgvs_p, variant_type) WHERE CAST(genome_accession AS BIGINT) % 30 = 0")
-def E26_enrichment(spark, sf_dir, keep="cast(genome_accession as bigint) % 30 = 0"):
+@query(f"WITH {PROFILE}, c AS (SELECT species_id, hgvs_p, variant_type, count(DISTINCT genome_accession) AS genome_count, min(collection_date) AS first_seen FROM profile GROUP BY 1, 2, 3) SELECT genome_accession, species_id, hgvs_p, variant_type, genome_count, first_seen FROM profile JOIN c USING (species_id, hgvs_p, variant_type)")
+def E26_enrichment(spark, sf_dir):
     d = Domain(spark, sf_dir)
     p = V.variant_profile(d.calls, d.genomes)
     keys = ["species_id", "hgvs_p", "variant_type"]
     known = p.groupBy(*keys).agg(F.count_distinct("genome_accession").alias("genome_count"), F.min("collection_date").alias("first_seen"))
-    return p.where(keep).join(known, keys, "left").select("genome_accession", *keys, "genome_count", "first_seen")
+    return p.join(known, keys, "left").select("genome_accession", *keys, "genome_count", "first_seen")
 
 
 @query("SELECT c_custkey AS sample_id, 'routine' AS tier, 1 AS findings FROM customer WHERE c_custkey % 7 <> 0 UNION ALL SELECT c_custkey, 'routine', 1 FROM customer WHERE c_custkey % 7 = 0")

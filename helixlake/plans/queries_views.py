@@ -69,7 +69,8 @@ def J03_phenotype_or_join(spark, sf_dir):
 
 
 def A10_phenotype_geo_temporal(spark, sf_dir):
-    return V.phenotype_geo_temporal(_with_phenotype(Domain(spark, sf_dir)))
+    d = Domain(spark, sf_dir)
+    return V.phenotype_geo_temporal(_profile(d), d.associations)
 
 
 def _catalogue(d: Domain):

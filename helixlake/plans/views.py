@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -98,24 +100,69 @@ def phenotype_inventory(associations: DataFrame) -> DataFrame:
     return associations.groupBy(*keys, association_label().alias("label")).agg(F.count(F.lit(1)).alias("candidate_count"))
 
 
+def _by_key(associations: DataFrame, condition: str, name: str, *keys: str) -> DataFrame:
+    """scope, keys, name: the associations that meet the condition, an array a key."""
+    a = associations.where(condition).select(*SCOPE, *[F.col(k).alias(f"k_{k}") for k in keys], F.struct(*[F.col(c).alias(f"g_{c}") for c in associations.columns if c not in SCOPE]).alias("g"))
+    return a.groupBy(*SCOPE, *[f"k_{k}" for k in keys]).agg(F.collect_list("g").alias(name))
+
+
+def _joined(rows: DataFrame, lists: DataFrame, **keys: str) -> DataFrame:
+    """rows left-joined to the lists on scope and keys (key of the association = column of the rows)."""
+    lists = lists.select(*[F.col(c).alias(f"_{c}") for c in SCOPE], *lists.columns[len(SCOPE) :])
+    on = [F.col(c) == F.col(f"_{c}") for c in SCOPE] + [F.col(c) == F.col(f"k_{k}") for k, c in keys.items()]
+    return rows.join(lists, reduce(lambda a, b: a & b, on), "left").drop(*[f"_{c}" for c in SCOPE], *[f"k_{k}" for k in keys])
+
+
+def _exact_and_gene(rows: DataFrame, associations: DataFrame) -> DataFrame:
+    """rows + exact, by_gene: the associations of exactly the row's mutation, and of its gene without a position."""
+    exact = _by_key(associations, "protein is not null and position is not null and alt_aa is not null", "exact", "protein", "position", "alt_aa")
+    gene = _by_key(associations, "protein is not null and position is null", "by_gene", "protein")
+    return _joined(_joined(rows, exact, protein="gene", position="position", alt_aa="alt_aa"), gene, protein="gene")
+
+
+def _is_exact(x: Column) -> Column:
+    same = (x["g_protein"] == F.col("gene")) & (x["g_position"] == F.col("position")) & (x["g_alt_aa"] == F.col("alt_aa"))
+    return F.coalesce(same, F.lit(False))
+
+
+def _listed(name: str, keep=None) -> Column:
+    """An array column, empty for null, of what keep lets through."""
+    return F.when(F.col(name).isNull(), F.array()).otherwise(F.filter(name, keep) if keep else F.col(name))
+
+
 def with_phenotype(profile: DataFrame, associations: DataFrame) -> DataFrame:
     """Calls left-joined to associations on exact mutation, lineage, or gene alone (association without position).
 
-    The three ways stay one condition with the scope as equi-key: a union of three equi-joins gives the same rows, but
-    reads the calls three times, and measured slower.
+    Three equi-joins, one for each way, to associations that are put in an array by their key first: a call is read once, is
+    never compared with an association of another key, and stays where none of the three has any. An association that
+    meets several ways is taken by the first of them.
     """
-    a = associations.select(*[F.col(c).alias(f"g_{c}") for c in associations.columns])
-    scope = (F.col("pathogen_id") == F.col("g_pathogen_id")) & (F.col("species_id") == F.col("g_species_id"))
-    exact = (F.col("gene") == F.col("g_protein")) & (F.col("position") == F.col("g_position")) & (F.col("alt_aa") == F.col("g_alt_aa"))
-    lineage = F.col("lineage_id") == F.col("g_lineage_id")
-    gene = F.col("g_position").isNull() & (F.col("g_protein") == F.col("gene"))
-    return profile.join(a, scope & (exact | lineage | gene), "left").drop("g_pathogen_id", "g_species_id")
+    lineage = _by_key(associations, "lineage_id is not null", "by_lineage", "lineage_id")
+    rows = _joined(_exact_and_gene(profile, associations), lineage, lineage_id="lineage_id")
+    other = lambda x: ~F.coalesce(x["g_lineage_id"] == F.col("lineage_id"), F.lit(False))
+    every = F.concat(_listed("exact"), _listed("by_lineage", lambda x: ~_is_exact(x)), _listed("by_gene", other))
+    return rows.select(*profile.columns, F.explode_outer(every).alias("g")).select(*profile.columns, "g.*")
 
 
-def phenotype_geo_temporal(joined: DataFrame) -> DataFrame:
-    rows = joined.where("g_association_id is not null")
-    keys = [*SCOPE, "g_association_id", "gene", "lineage_id", "collection_year", *COUNTRY]
-    return rows.groupBy(*keys).agg(F.max("collection_region").alias("region"), *_counts(), F.min("collection_date").alias("first_seen"), F.max("collection_date").alias("last_seen")).withColumnRenamed("g_association_id", "association_id")
+def phenotype_geo_temporal(profile: DataFrame, associations: DataFrame) -> DataFrame:
+    """What is seen of each association by gene, lineage, year and country, of the calls that with_phenotype() gives it.
+
+    Calls are counted before they meet associations: all of a gene and lineage count for those of the lineage and for those
+    of the gene without a position, all of one mutation for the others.
+    """
+    keys = [*SCOPE, "gene", "lineage_id", "collection_year", *COUNTRY]
+    counted = lambda *more: profile.groupBy(*keys, *more).agg(F.max("collection_region").alias("region"), *_counts(), F.min("collection_date").alias("first_seen"), F.max("collection_date").alias("last_seen"))
+    a = associations.where("association_id is not null").select(*SCOPE, "association_id", F.col("protein").alias("a_gene"), F.col("position").alias("a_position"), F.col("alt_aa").alias("a_alt"), F.col("lineage_id").alias("a_lineage"))
+    other = ~F.coalesce(F.col("a_lineage") == F.col("lineage_id"), F.lit(False))
+    whole, single = counted(), counted("position", "alt_aa")
+    scope = lambda left, *on: left.join(a, [*[left[c] == a[c] for c in SCOPE], *on]).drop(*[a[c] for c in SCOPE])
+    rows = [
+        scope(whole, F.col("lineage_id") == F.col("a_lineage")),
+        scope(whole, F.col("gene") == F.col("a_gene")).where(F.col("a_position").isNull() & other),
+        scope(single, F.col("gene") == F.col("a_gene"), F.col("position") == F.col("a_position"), F.col("alt_aa") == F.col("a_alt")).where(other),
+    ]
+    columns = [*SCOPE, "association_id", *[c for c in whole.columns if c not in SCOPE]]
+    return reduce(DataFrame.unionByName, [r.select(*columns) for r in rows])
 
 
 def catalogue(profile: DataFrame, genomes: DataFrame) -> DataFrame:
@@ -133,13 +180,21 @@ def catalogue_with_function(rows: DataFrame, gene_function: DataFrame) -> DataFr
 
 
 def catalogue_with_phenotype(rows: DataFrame, associations: DataFrame) -> DataFrame:
-    """As with_phenotype, on the aggregate grain: a lineage matches if it is among the variant's lineages."""
-    a = associations.select(*[F.col(c).alias(f"g_{c}") for c in associations.columns])
-    scope = (F.col("pathogen_id") == F.col("g_pathogen_id")) & (F.col("species_id") == F.col("g_species_id"))
-    exact = (F.col("gene") == F.col("g_protein")) & (F.col("position") == F.col("g_position")) & (F.col("alt_aa") == F.col("g_alt_aa"))
-    lineage = F.array_contains("lineage_ids", F.col("g_lineage_id"))
-    gene = F.col("g_position").isNull() & (F.col("g_protein") == F.col("gene"))
-    return rows.join(a, scope & (exact | lineage | gene), "left")
+    """As with_phenotype, on the aggregate grain: a lineage matches if it is among the variant's lineages.
+
+    A variant's lineages are joined one by one. Whether any of them has associations is told by the scope's list of those
+    that have (as many as there are lineages), so that a variant without any stays in the one row that it is read in.
+    """
+    lineage = _by_key(associations, "lineage_id is not null", "by_lineage", "lineage_id")
+    known = lineage.groupBy(*SCOPE).agg(F.collect_set("k_lineage_id").alias("known"))
+    base = _joined(_exact_and_gene(rows, associations), known)
+    meets = F.coalesce(F.arrays_overlap("lineage_ids", "known"), F.lit(False))
+    other = lambda x: ~F.coalesce(F.array_contains("lineage_ids", x["g_lineage_id"]), F.lit(False))
+    direct = F.concat(_listed("exact"), _listed("by_gene", other))
+    alone = base.withColumn("every", direct).where((F.size("every") > 0) | ~meets).select(*rows.columns, F.explode_outer("every").alias("g"))
+    through = _joined(rows.withColumn("one", F.explode("lineage_ids")), lineage, lineage_id="one").where("by_lineage is not null")
+    through = through.select(*rows.columns, F.explode(F.filter("by_lineage", lambda x: ~_is_exact(x))).alias("g"))
+    return alone.unionByName(through).select(*rows.columns, "g.*")
 
 
 def co_occurrence(calls: DataFrame, genomes: DataFrame) -> DataFrame:
