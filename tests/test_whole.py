@@ -1,4 +1,4 @@
-"""Queries over whole tables, where the SQL of their namesakes is for a subset of ids."""
+"""Queries over whole tables, against plain Python where there is no SQL."""
 
 import random
 import re
@@ -11,7 +11,6 @@ from helixlake.operators import mining as M
 from helixlake.operators import sequence as Q
 from helixlake.plans import registry
 from helixlake.plans.domain import Domain
-from helixlake.plans.queries_whole import SUBSETS
 
 SAMPLE = {"E30_layered_lookup": "sample_id", "E26_enrichment": "genome_accession", "E08_significance": "sample_id", "J17_tip_metadata": "tip", "K16_sample_documents": "sample_id"}
 
@@ -20,12 +19,7 @@ SAMPLE = {"E30_layered_lookup": "sample_id", "E26_enrichment": "genome_accession
 def test_every_sample_takes_part(spark, sf_dir, name):
     d = Domain(spark, sf_dir)
     want = {r[0] for r in (d.genomes if name[0] in "JK" else d.calls).select("genome_accession").distinct().collect()}
-    assert {r[0] for r in registry.QUERIES[f"{name}_all"](spark, sf_dir).select(SAMPLE[name]).distinct().collect()} == want
-
-
-@pytest.mark.parametrize("name", [n for _, n, _ in SUBSETS])
-def test_whole_holds_more_than_the_subset(spark, sf_dir, name):
-    assert registry.QUERIES[f"{name}_all"](spark, sf_dir).count() > registry.QUERIES[name](spark, sf_dir).count()
+    assert {r[0] for r in registry.QUERIES[name](spark, sf_dir).select(SAMPLE[name]).distinct().collect()} == want
 
 
 def test_candidates_of_all_reports(spark, sf_dir):
@@ -34,7 +28,7 @@ def test_candidates_of_all_reports(spark, sf_dir):
         for category, patterns in M.PHENOTYPES:
             if any(re.search(p, r["text"].lower()) for p in patterns):
                 want |= {(r["ordinal"], kind, category) for kind in ("variant", "motif") if kind == "variant" or r["ordinal"] % 2}
-    got = [tuple(r) for r in registry.QUERIES["X16_candidates_all"](spark, sf_dir).select("id", "kind", "category").collect()]
+    got = [tuple(r) for r in registry.QUERIES["X16_candidates"](spark, sf_dir).select("id", "kind", "category").collect()]
     assert len(got) == len(set(got)) and set(got) == want
 
 
@@ -110,3 +104,35 @@ def test_a_lineage_without_outbreaks_gets_all_of_them(spark):
     none = E.harmonise(v, p, spark.createDataFrame([], "outbreak string, lineage_id string"))
     assert none.columns == ["lineage_id", "sample_id", "variants", "phenotypes", "outbreaks"]
     assert [r["outbreaks"] for r in none.collect()] == [[]] * 4
+
+
+def test_phenotype_join_matches_plain_loop(spark):
+    """The three ways to an association, each pair once, with nulls in every key; on either grain."""
+    from helixlake.plans import views as V
+
+    rng = random.Random(8)
+    pick = lambda *x: rng.choice([None, *x])
+    calls = [("p", rng.choice("st"), f"g{i}", pick("G", "H"), pick(1, 2), pick("A", "V"), pick("L", "M")) for i in range(60)]
+    known = [("p", rng.choice("st"), f"a{i}", pick("G", "H"), pick(1, 2), pick("A", "V"), pick("L", "M")) for i in range(25)]
+    a = spark.createDataFrame(known, "pathogen_id string, species_id string, association_id string, protein string, position int, alt_aa string, lineage_id string")
+    c = spark.createDataFrame(calls, "pathogen_id string, species_id string, genome string, gene string, position int, alt_aa string, lineage_id string")
+
+    def meets(call, one, lineages):
+        _, species, _, gene, position, alt, _ = call
+        _, s, _, protein, at, residue, lineage = one
+        exact = None not in (gene, position, alt) and (gene, position, alt) == (protein, at, residue)
+        return species == s and (exact or (lineage is not None and lineage in lineages) or (at is None and protein is not None and protein == gene))
+
+    def want(lineages):
+        out = []
+        for x in calls:
+            hits = [y[2] for y in known if meets(x, y, lineages(x))]
+            out += [(x[2], h) for h in hits] or [(x[2], None)]
+        return sorted(out, key=str)
+
+    got = V.with_phenotype(c, a).select("genome", "g_association_id").collect()
+    assert sorted(map(tuple, got), key=str) == want(lambda x: [x[6]])
+    several = {None: [], "L": ["L"], "M": ["L", "M"]}
+    listed = c.withColumn("lineage_ids", F.expr("case lineage_id when 'L' then array('L') when 'M' then array('L', 'M') else cast(array() as array<string>) end"))
+    got = V.catalogue_with_phenotype(listed.drop("lineage_id"), a).select("genome", "g_association_id").collect()
+    assert sorted(map(tuple, got), key=str) == want(lambda x: several[x[6]])
