@@ -38,8 +38,12 @@ def chi_squared(a: int, b: int, c: int, d: int) -> float:
     return erfc(sqrt(n * (abs(a * d - b * c) - cut) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d)) / 2))
 
 
-def association_test(tables: DataFrame) -> DataFrame:
-    """tables + test, p: Fisher's below 30 rows or with a cell below 5, else chi-squared. A few rows of counts, in Arrow batches."""
+def association_test(tables: DataFrame, lineages: int, least: int = 5) -> DataFrame:
+    """tables + test, p: Fisher's below 30 rows or with a cell below 5, else chi-squared. A few rows of counts, in Arrow batches.
+
+    Nothing is tested of fewer than two lineages, nor a table of fewer than `least` rows.
+    """
+    tables = tables.where((F.col("a") + F.col("b") + F.col("c") + F.col("d") >= least) & F.lit(lineages >= 2))
 
     def run(batches):
         for t in batches:

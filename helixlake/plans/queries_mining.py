@@ -321,7 +321,8 @@ def A20_contingency(spark, sf_dir):
 
 @query()
 def A21_association_test(spark, sf_dir):
-    return stats.association_test(A20_contingency(spark, sf_dir))
+    lineages = Domain(spark, sf_dir).genomes.agg(F.count_distinct("lineage_id")).first()[0]
+    return stats.association_test(A20_contingency(spark, sf_dir), lineages)
 
 
 @query()
