@@ -63,10 +63,12 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.get(F.split(F.get(lines, F.lit(0)), r"\s"), F.lit(0)).alias("id"), F.regexp_replace(F.coalesce(F.get(lines, F.lit(1)), F.lit("")), r"\s", "").alias("sequence"))
 
 
-def screening(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Result tables of several datasets by one glob; the file's stem names the dataset. Lines that don't parse are dropped."""
+def screening(spark: SparkSession, pattern: str, schema: str, name: str = r"([^/]+)\.[^./]+$") -> DataFrame:
+    """Result tables of several datasets by one glob; the file's stem (the group of `name` in its path) names the dataset.
+    Lines that don't parse are dropped."""
     rows = spark.read.schema(schema).option("header", True).option("sep", "\t").option("mode", "DROPMALFORMED").csv(pattern)
-    return rows.withColumn("dataset", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.[^./]+$", 1))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # it is given as a URI
+    return rows.withColumn("dataset", F.regexp_extract(path, name, 1))
 
 
 def sample_documents(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
