@@ -233,7 +233,8 @@ def parse_array_literal(c: Column) -> Column:
 
 def sections(c: Column, mark: str = "###") -> Column:
     """Text split at its headings, as array<struct(title, body)>; what stands before the first is left out."""
-    parts = F.slice(F.split(F.concat(F.lit("\n"), c), rf"\n{mark} "), 2, 1_000_000)
+    parts = F.split(F.concat(F.lit("\n"), c), rf"\n{mark} ")
+    parts = F.slice(parts, F.lit(2), F.size(parts))
     return F.transform(parts, lambda p: F.struct(F.trim(F.get(F.split(p, "\n", 2), F.lit(0))).alias("title"), F.coalesce(F.get(F.split(p, "\n", 2), F.lit(1)), F.lit("")).alias("body")))
 
 

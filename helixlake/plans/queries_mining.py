@@ -304,10 +304,10 @@ def E28_network(spark, sf_dir):
 
 @query(f"""WITH {PV}, {GP}, k AS (SELECT DISTINCT protein AS gene, position, alt_aa, phenotype_category FROM gp WHERE phenotype_category IN ('ECONOMY', 'PROMO') AND protein IS NOT NULL AND position IS NOT NULL),
 o AS (SELECT DISTINCT genome_accession AS sample_id, gene, position, alt_aa FROM pv), t AS (SELECT phenotype_category, count(*) AS known FROM (SELECT DISTINCT protein, position, alt_aa, phenotype_category FROM gp WHERE phenotype_category IN ('ECONOMY', 'PROMO')) GROUP BY 1)
-SELECT sample_id, phenotype_category, count(*) AS present, known - count(*) AS absent FROM o JOIN k USING (gene, position, alt_aa) JOIN t USING (phenotype_category) GROUP BY 1, 2, known""")
+SELECT sample_id, phenotype_category, count(*) AS present, known - count(*) AS absent, array_to_string(list_sort(list(gene || ':' || CAST(position AS VARCHAR) || ':' || alt_aa))[1:5], ',') AS first FROM o JOIN k USING (gene, position, alt_aa) JOIN t USING (phenotype_category) GROUP BY 1, 2, known""")
 def E09_intervention_findings(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    return E.intervention_findings(d.calls.withColumnRenamed("genome_accession", "sample_id"), d.associations, ("ECONOMY", "PROMO")).drop("first")
+    return E.intervention_findings(d.calls.withColumnRenamed("genome_accession", "sample_id"), d.associations, ("ECONOMY", "PROMO"))
 
 
 _TABLE = f"WITH {GM} SELECT host AS category, count(*) FILTER (coalesce(lineage_id = 'BUILDING', false)) AS a, count(*) FILTER (NOT coalesce(lineage_id = 'BUILDING', false)) AS b FROM gm GROUP BY 1"
@@ -359,11 +359,12 @@ def S13_newick_tips(spark, sf_dir):
     return readers.newick_tips(trees).select("tree_id", "tip", "root_distance")
 
 
-@query(f"WITH {GM} SELECT genome_accession AS sample_id, 1 AS documents FROM gm")
+@query(f"WITH {GM} SELECT genome_accession AS sample_id, 1 AS documents, host, species_id, CAST(collection_date AS VARCHAR) AS day, collection_country AS country FROM gm")
 def K16_sample_documents(spark, sf_dir):
     g = Domain(spark, sf_dir).genomes.withColumnRenamed("genome_accession", "sample_id")
     docs = sinks.sample_documents(g, "sample_id")
-    return docs.select("sample_id", F.json_array_length("document").alias("documents"))
+    field = lambda k: F.get_json_object("document", f"$[0].{k}")
+    return docs.select("sample_id", F.json_array_length("document").alias("documents"), field("host").alias("host"), field("species_id").alias("species_id"), field("collection_date").alias("day"), field("collection_country").alias("country"))
 
 
 @query("SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -274,11 +274,12 @@ def K09_candidates(spark, sf_dir):
     return U.insert_absent(there, r.select("id").distinct(), ["id"])
 
 
-@query("SELECT l_orderkey AS sample_id, count(*) AS n FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1")
+@query("SELECT l_orderkey AS sample_id, CASE WHEN l_orderkey % 2 = 0 THEN 'known' ELSE 'orphan' END AS side, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def K18_split_samples(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    known, _ = sinks.split_by_sample(d.raw("lineitem").withColumnRenamed("l_orderkey", "sample_id"), d.raw("orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("sample_id")), "sample_id")
-    return known.groupBy("sample_id").agg(F.count(F.lit(1)).alias("n"))
+    known, orphans = sinks.split_by_sample(d.raw("lineitem").withColumnRenamed("l_orderkey", "sample_id"), d.raw("orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("sample_id")), "sample_id")
+    rows = known.select("sample_id", F.lit("known").alias("side")).unionByName(orphans.select("sample_id", F.lit("orphan").alias("side")))
+    return rows.groupBy("sample_id", "side").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT o_orderkey AS sample_id, CASE WHEN count(l_orderkey) > 0 THEN 'completed' ELSE 'failed' END AS status FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1")
@@ -311,15 +312,18 @@ def X11_structured_else_text(spark, sf_dir):
     return Domain(spark, sf_dir).reports.select("ordinal", F.coalesce(given, M.count_in_text(F.col("text"), M.CASES)).alias("cases"))
 
 
-@query(f"WITH {RP} SELECT count(*) AS n FROM rp WHERE contains(lower(text), 'nation_3 ')")
+@query(f"WITH {RP} SELECT ordinal, url, country FROM rp WHERE contains(lower(text), 'nation_3 ')")
 def X12_lineage_mentions(spark, sf_dir):
-    return Domain(spark, sf_dir).reports.where(F.contains(F.lower("text"), F.lit("nation_3 "))).agg(F.count(F.lit(1)).alias("n"))
+    return Domain(spark, sf_dir).reports.where(F.contains(F.lower("text"), F.lit("nation_3 "))).select("ordinal", "url", "country")
 
 
-@query(f"WITH {RP} SELECT CASE WHEN cases BETWEEN 1 AND 5000 AND deaths > 0 THEN 'kept' ELSE 'quarantine' END AS place, count(*) AS n FROM rp GROUP BY 1")
+@query(f"WITH {RP} SELECT ordinal, CASE WHEN ordinal % 4 <> 1 THEN cases END AS cases, CASE WHEN ordinal % 6 <> 1 THEN deaths END AS deaths, CASE WHEN ordinal % 4 <> 1 AND ordinal % 6 <> 1 AND cases <= 5000 AND deaths > 0 THEN 'kept' ELSE 'quarantine' END AS place FROM rp")
 def X23_validation(spark, sf_dir):
+    """Every row with its fields read as numbers, and where it goes: a field that is no number, or out of its range, sends it to quarantine."""
+    told = Domain(spark, sf_dir).reports.selectExpr("ordinal", "if(ordinal % 4 = 1, concat(cases, ' cases'), concat(' ', cases)) as cases", "if(ordinal % 6 = 1, 'unknown', cast(deaths as string)) as deaths")
+    read = told.select("ordinal", *[F.trim(c).try_cast("long").alias(c) for c in ("cases", "deaths")])
     valid = F.col("cases").between(1, 5000) & (F.col("deaths") > 0)
-    return Domain(spark, sf_dir).reports.groupBy(F.when(valid, "kept").otherwise("quarantine").alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    return read.select("ordinal", "cases", "deaths", F.when(valid, "kept").otherwise("quarantine").alias("place"))
 
 
 @query(f"""WITH {PV}, p AS (SELECT a.genome_accession AS sample_id, a.hgvs_p AS a, b.hgvs_p AS b FROM (SELECT DISTINCT genome_accession, hgvs_p FROM pv) a JOIN (SELECT DISTINCT genome_accession, hgvs_p FROM pv) b ON a.genome_accession = b.genome_accession AND a.hgvs_p < b.hgvs_p)

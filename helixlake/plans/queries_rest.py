@@ -87,15 +87,16 @@ def A23_cases_per_group(spark, sf_dir):
     return rows.groupBy(F.col("o_orderkey").alias("sample_id"), (F.col("o_totalprice") > 100000).alias("recent")).agg(F.sum("l_quantity").alias("cases"))
 
 
-@query(f"""WITH {GM}, o AS (SELECT collection_country AS outbreak, lineage_id FROM gm WHERE lineage_id IS NOT NULL AND lineage_id <> 'BUILDING' AND collection_country IS NOT NULL), m AS (SELECT lineage_id, list_sort(list_distinct(list(outbreak))) AS l FROM o GROUP BY 1), e AS (SELECT list_sort(list_distinct(list(outbreak))) AS l FROM o)
-SELECT genome_accession AS sample_id, len(coalesce(m.l, e.l)) AS outbreaks FROM gm LEFT JOIN m USING (lineage_id), e WHERE gm.lineage_id IS NOT NULL AND EXISTS (SELECT 1 FROM lineitem WHERE CAST(l_orderkey AS VARCHAR) = genome_accession)""")
+@query(f"""WITH {PROFILE}, s AS (SELECT genome_accession, array_to_string(list_sort(list_distinct(list(hgvs_p))), ',') AS variants, array_to_string(list_sort(list_distinct(list('P:' || variant_type))), ',') AS phenotypes FROM profile GROUP BY 1), o AS (SELECT collection_country AS outbreak, lineage_id FROM gm WHERE lineage_id IS NOT NULL AND lineage_id <> 'BUILDING' AND collection_country IS NOT NULL), m AS (SELECT lineage_id, list_sort(list_distinct(list(outbreak))) AS l FROM o GROUP BY 1), e AS (SELECT list_sort(list_distinct(list(outbreak))) AS l FROM o)
+SELECT genome_accession AS sample_id, gm.lineage_id, array_to_string(coalesce(m.l, e.l), ',') AS outbreaks, s.variants, s.phenotypes FROM gm JOIN s USING (genome_accession) LEFT JOIN m USING (lineage_id), e WHERE gm.lineage_id IS NOT NULL""")
 def J19_harmonised(spark, sf_dir):
     """Evidence per sample; a lineage without outbreaks of its own gets all of them."""
     d = Domain(spark, sf_dir)
     v = V.variant_profile(d.calls, d.genomes).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
-    p = v.select("phenotype_key").distinct().withColumn("phenotype", F.upper("phenotype_key"))
+    p = v.select("phenotype_key").distinct().withColumn("phenotype", F.concat(F.lit("P:"), "phenotype_key"))
     o = d.genomes.where("lineage_id is not null and lineage_id <> 'BUILDING' and collection_country is not null").select(F.col("collection_country").alias("outbreak"), "lineage_id").distinct()
-    return E.harmonise(v, p, o).select("sample_id", F.size("outbreaks").cast("long").alias("outbreaks"))
+    joined = [F.array_join(c, ",").alias(c) for c in ("outbreaks", "variants", "phenotypes")]
+    return E.harmonise(v, p, o).select("sample_id", "lineage_id", *joined)
 
 
 @query(f"WITH {RP} SELECT ordinal AS id, w AS name FROM rp, (VALUES ('PCR'), ('ELISA'), ('funeral')) t(w) WHERE regexp_matches(lower(text), '(^|[^a-z0-9_])' || lower(w) || '($|[^a-z0-9_])')")
@@ -118,9 +119,12 @@ def X16_candidates(spark, sf_dir):
     return out.select("id", "kind", "name", "category", "association_id")
 
 
-@query(f"WITH {RP} SELECT ordinal, ordinal % 3 = 0 AS antibody FROM rp")
+@query(f"WITH {RP} SELECT ordinal, ordinal % 7 < 4 AS antibody FROM rp")
 def X17_antibody_context(spark, sf_dir):
-    return Domain(spark, sf_dir).reports.select("ordinal", M.antibody_context(F.when(F.col("ordinal") % 3 == 0, F.lit("in the light-chain of A82V")).otherwise(F.col("text"))).alias("antibody"))
+    """Reports end in a residue's context: those of antibodies in four ways, and three that look alike."""
+    endings = "array(' light-chain A82V', ' Heavy chain', ' A82V - VL', ' adi-15878', ' A82V of GP', ' chain of command', ' frameworks')"
+    context = F.concat("text", F.expr(f"element_at({endings}, cast(ordinal % 7 + 1 as int))"))
+    return Domain(spark, sf_dir).reports.select("ordinal", M.antibody_context(context).alias("antibody"))
 
 
 @query("SELECT p_partkey AS entry, p_size AS position, CASE p_partkey % 4 WHEN 0 THEN 'immune_escape' WHEN 1 THEN 'disease_severity' ELSE 'unknown_significance' END AS category FROM part WHERE p_partkey % 4 <> 3")
@@ -130,14 +134,16 @@ def X18_feature_associations(spark, sf_dir):
     return M.feature_associations(p).select("entry", "position", "category")
 
 
-@query("SELECT p_partkey AS id, 0 AS passage, 'Mutation' AS type FROM part UNION ALL SELECT p_partkey, 1, 'Gene' FROM part")
+@query("""SELECT p_partkey AS id, 0 AS passage, p_name AS passage_text, 'Mutation' AS type, p_type AS identifier, p_size AS "offset" FROM part
+UNION ALL SELECT p_partkey, 1, p_type, 'Gene', p_brand, p_size + 1 FROM part UNION ALL SELECT p_partkey, 1, p_type, 'Species', 'x' || CAST(p_partkey AS VARCHAR), 0 FROM part WHERE p_partkey % 3 = 0""")
 def X21_annotations(spark, sf_dir):
     """Literature records, passages and annotations exploded."""
     from ..sources import readers
 
-    passage = lambda kind: F.struct(F.lit("text").alias("text"), F.array(F.struct(F.lit(kind).alias("type"), F.lit("x").alias("identifier"), F.lit(0).alias("offset"))).alias("annotations"))
-    landing = Domain(spark, sf_dir).raw("part").select(F.col("p_partkey").alias("id"), F.array(passage("Mutation"), passage("Gene")).alias("passages"))
-    return readers.annotations(landing).select("id", "passage", "type")
+    noted = "named_struct('type', '{}', 'identifier', {}, 'offset', cast({} as bigint))"
+    mutation, gene, species = noted.format("Mutation", "p_type", "p_size"), noted.format("Gene", "p_brand", "p_size + 1"), noted.format("Species", "concat('x', p_partkey)", "0")
+    passages = f"array(named_struct('text', p_name, 'annotations', array({mutation})), named_struct('text', p_type, 'annotations', if(p_partkey % 3 = 0, array({gene}, {species}), array({gene}))))"
+    return readers.annotations(Domain(spark, sf_dir).raw("part").selectExpr("p_partkey as id", f"{passages} as passages"))
 
 
 @query("SELECT CAST(l_orderkey AS VARCHAR) AS genome_accession, 'G' || CAST(l_linenumber % 3 AS VARCHAR) AS gene FROM lineitem GROUP BY 1, 2")
@@ -166,11 +172,20 @@ def Q03_best_frames(spark, sf_dir):
     return Q.best_genes(rows.withColumn("dna", dna), F.broadcast(proteins)).select("genome_accession", "gene", F.round("score", 4).alias("score"))
 
 
-@query("SELECT CAST(o_orderkey AS VARCHAR) AS genome_accession, CAST(o_orderdate AS DATE) AS collection_date, CAST(year(o_orderdate) AS INTEGER) AS collection_year, 'Mali' AS collection_country, 'Bamako' AS collection_region, 'MLI' AS collection_country_code, CASE WHEN o_orderkey % 2 = 0 THEN 'complete' ELSE 'partial' END AS completeness FROM orders")
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS genome_accession, CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS collection_date,
+CASE WHEN o_orderkey % 9 <> 0 THEN CAST(year(o_orderdate) AS INTEGER) WHEN o_orderkey % 2 = 0 THEN 2014 END AS collection_year, n_name AS collection_country, CASE WHEN o_orderkey % 3 <> 0 THEN c_mktsegment END AS collection_region,
+CASE WHEN o_orderkey % 4 <> 1 THEN chr(65 + CAST(o_orderkey % 26 AS INTEGER)) || 'LI' END AS collection_country_code, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS host,
+CASE WHEN o_orderkey % 2 = 0 THEN 'complete' ELSE 'partial' END AS completeness FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""")
 def Q04_genome_metadata(spark, sf_dir):
-    o = Domain(spark, sf_dir).raw("orders")
-    records = o.select(F.col("o_orderkey").cast("string").alias("accession"), F.expr("case when o_orderkey % 2 = 0 then 18900 else 5000 end").alias("length"), F.lit("x").alias("description"), F.lit("Mali: Bamako").alias("country"), F.date_format("o_orderdate", "d-MMM-yyyy").alias("collected"), F.lit(" ").alias("host"), F.lit("EBOV/H.sap/MLI/14").alias("isolate"))
-    return Q.genome_metadata(records).drop("host")
+    """Records with and without a date, a year in the isolate's name, a region, a country's code, a host."""
+    d = Domain(spark, sf_dir)
+    o = d.raw("orders").join(d.raw("customer"), F.expr("o_custkey = c_custkey")).join(F.broadcast(d.raw("nation")), F.expr("c_nationkey = n_nationkey"))
+    records = o.selectExpr(
+        "cast(o_orderkey as string) as accession", "if(o_orderkey % 2 = 0, 18900, 5000) as length", "'x' as description", "if(o_orderkey % 3 = 0, n_name, concat(n_name, ': ', c_mktsegment)) as country",
+        "if(o_orderkey % 9 = 0, '', date_format(o_orderdate, 'd-MMM-yyyy')) as collected", "if(o_orderkey % 5 = 0, ' ', concat(' ', o_orderpriority)) as host",
+        "concat('EBOV/H.sap/', if(o_orderkey % 4 = 1, '', concat(char(65 + o_orderkey % 26), 'LI/')), if(o_orderkey % 2 = 0, '2014', '14')) as isolate",
+    )
+    return Q.genome_metadata(records)
 
 
 @query(f"WITH {PV} SELECT genome_accession AS sample_id, round(avg(CASE WHEN position % 3 = 0 THEN 0.0 ELSE 1.0 END), 4) AS novelty, round(avg(CASE WHEN position % 10 = 0 THEN 1.0 ELSE 0.0 END), 4) AS hotspot_ratio, CAST(count(*) AS DOUBLE) AS burden, avg(CASE WHEN position % 3 = 0 THEN 0.0 ELSE 1.0 END) > 0.3 AS novel_finding FROM pv GROUP BY 1")
@@ -200,17 +215,23 @@ def E26_enrichment(spark, sf_dir):
     return p.join(known, keys, "left").select("genome_accession", *keys, "genome_count", "first_seen")
 
 
-@query("SELECT c_custkey AS sample_id, 'routine' AS tier, 1 AS findings FROM customer WHERE c_custkey % 7 <> 0 UNION ALL SELECT c_custkey, 'routine', 1 FROM customer WHERE c_custkey % 7 = 0")
+@query("""SELECT c_custkey AS sample_id, CASE WHEN c_custkey % 5 = 0 THEN 'urgent' WHEN c_custkey % 5 < 4 THEN 'routine' END AS tier, CASE WHEN c_custkey % 5 < 4 THEN c_mktsegment END AS reasons,
+'[{"analysis":"genetic_relatedness","finding_type":"' || CASE WHEN c_custkey % 7 = 0 THEN 'no_relatedness","confidence":"low' WHEN c_custkey % 12 <= 5 THEN 'close_genetic_match","confidence":"high' ELSE 'genetic_relatedness_summary","confidence":"medium' END || '"}]' AS findings FROM customer""")
 def E29_intelligence_object(spark, sf_dir):
     """A document per sample, read back."""
-    c = Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "case when c_custkey % 7 = 0 then null else c_custkey % 12 end as snps")
-    docs = E.intelligence_object(c, E.relatedness(c), c.select("sample_id", F.lit("routine").alias("tier"), F.lit("").alias("reasons")))
-    return docs.select("sample_id", F.get_json_object("document", "$.tier").alias("tier"), F.json_array_length(F.get_json_object("document", "$.findings")).alias("findings"))
+    c = Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "case when c_custkey % 7 = 0 then null else c_custkey % 12 end as snps", "c_mktsegment as reasons")
+    tiers = c.where("sample_id % 5 < 4").selectExpr("sample_id", "if(sample_id % 5 = 0, 'urgent', 'routine') as tier", "reasons")
+    docs = E.intelligence_object(c, E.relatedness(c), tiers)
+    return docs.select("sample_id", *[F.get_json_object("document", f"$.{k}").alias(k) for k in ("tier", "reasons", "findings")])
 
 
-@query("SELECT c_custkey, '# Summary' || chr(10) || 'kept' || chr(10) AS text FROM customer")
+@query("""SELECT c_custkey, '# Summary' || chr(10) || c_name || chr(10) || CASE c_custkey % 6 WHEN 2 THEN '## Treatment of cases' || chr(10) || c_mktsegment || chr(10) WHEN 3 THEN '#### Treatment' || chr(10) || c_mktsegment || chr(10) WHEN 4 THEN 'Treatment' || chr(10) || c_mktsegment || chr(10) ELSE '' END
+|| CASE WHEN c_custkey % 4 = 0 THEN '' ELSE '## Next' || chr(10) || 'kept' || chr(10) END AS text FROM customer""")
 def E32_section_guard(spark, sf_dir):
-    text = F.lit("# Summary\nkept\n## Treatment\ngone\nand gone\n")
+    """Sections under forbidden headings go, up to the next heading or the end; headings that only look alike stay."""
+    headings = "array('## Treatment', '### diagnosis ', '## Treatment of cases', '#### Treatment', 'Treatment', '# DIAGNOSIS')"
+    section = F.concat(F.expr(f"element_at({headings}, cast(c_custkey % 6 + 1 as int))"), F.lit("\n"), "c_mktsegment", F.lit("\n"))
+    text = F.concat(F.lit("# Summary\n"), "c_name", F.lit("\n"), section, F.when(F.col("c_custkey") % 4 == 0, "").otherwise("## Next\nkept\n"))
     return Domain(spark, sf_dir).raw("customer").select("c_custkey", E.without_sections(text, ("Treatment", "Diagnosis")).alias("text"))
 
 
@@ -226,13 +247,16 @@ def F03_piped_variant(spark, sf_dir):
     return Domain(spark, sf_dir).raw("part").select("p_partkey", S.parse_piped_variant(text).alias("m")).select("p_partkey", "m.*")
 
 
-@query("SELECT p_partkey, 'democratic republic of the congo' AS country, 'K: v | Other key: w' AS content, 'GIB-20240102-' || CAST(p_partkey AS VARCHAR) AS run, lower(p_name) AS key, substr(p_name, 1, 5) AS around FROM part")
+@query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'democratic republic of the congo' WHEN 1 THEN 'mali' ELSE lower(p_brand) END AS country, 'K: ' || p_type || ' | Other key: ' || p_brand AS content,
+'GIB-' || strftime(DATE '2024-01-02' + CAST(p_partkey % 300 AS INTEGER), '%Y%m%d') || '-' || CAST(p_partkey AS VARCHAR) AS run, lower(p_name) AS key, substr(p_name, greatest(p_partkey % 9 - 5, 0) + 1, p_partkey % 9 + 5 - greatest(p_partkey % 9 - 5, 0)) AS around FROM part""")
 def F35_presentation(spark, sf_dir):
     """Country spelling, key-value text, run ids, title keys and contexts."""
-    content = S.key_value_text(F.create_map(F.lit("other_key"), F.lit("w"), F.lit("k"), F.lit("v")))
-    run = S.run_id("GIB", F.lit("2024-01-02").cast("date"), F.col("p_partkey").cast("string"))
+    content = S.key_value_text(F.create_map(F.lit("other_key"), F.col("p_brand"), F.lit("k"), F.col("p_type")))
+    run = S.run_id("GIB", F.expr("date_add(date '2024-01-02', cast(p_partkey % 300 as int))"), F.col("p_partkey").cast("string"))
+    country = S.country_name(F.expr("case p_partkey % 3 when 0 then ' DRC' when 1 then 'Mali ' else p_brand end"))
+    key = S.title_key(F.concat(F.lit("Update 2014: Ebola virus disease - "), "p_name"))
     p = Domain(spark, sf_dir).raw("part")
-    return p.select("p_partkey", S.country_name(F.lit(" DRC")).alias("country"), content.alias("content"), run.alias("run"), S.title_key(F.col("p_name")).alias("key"), S.context(F.col("p_name"), F.lit(0), 5).alias("around"))
+    return p.select("p_partkey", country.alias("country"), content.alias("content"), run.alias("run"), key.alias("key"), S.context(F.col("p_name"), (F.col("p_partkey") % 9).cast("int"), 5).alias("around"))
 
 
 @query(f"WITH {GM} SELECT genome_accession, CAST(abs(date_diff('day', DATE '1998-01-01', collection_date)) AS INTEGER) AS days FROM gm WHERE collection_date IS NOT NULL")
@@ -240,11 +264,14 @@ def F16_days_between(spark, sf_dir):
     return Domain(spark, sf_dir).genomes.where("collection_date is not null").select("genome_accession", F.abs(F.datediff("collection_date", F.lit("1998-01-01").cast("date"))).alias("days"))
 
 
-@query("SELECT doc_id, 2 AS n, 'A' AS first, 'text of a' AS body FROM documents")
+@query("""WITH p AS (SELECT doc_id, string_split(chr(10) || repeat(coalesce(lang, '') || chr(10), CAST(doc_id % 2 AS INTEGER)) || '### ' || coalesce(source, '') || ' ' || chr(10) || coalesce(text, '') || repeat(chr(10) || '### B', CAST(doc_id % 3 AS INTEGER)), chr(10) || '### ')[2:] AS p FROM documents)
+SELECT doc_id, len(p) AS n, trim(split_part(p[1], chr(10), 1)) AS first, substr(p[1], length(split_part(p[1], chr(10), 1)) + 2) AS body, p[-1] AS last FROM p""")
 def F32_sections(spark, sf_dir):
-    text = F.lit("intro\n### A\ntext of a\n### B\ntext of b")
+    """Sections of every whole text under a heading of its own: with or without words before it, and up to two more headings."""
+    none = lambda c: F.coalesce(c, F.lit(""))
+    text = F.concat(F.expr("repeat(concat(coalesce(lang, ''), '\n'), cast(doc_id % 2 as int))"), F.lit("### "), none("source"), F.lit(" \n"), none("text"), F.expr("repeat('\n### B', cast(doc_id % 3 as int))"))
     s = S.sections(text)
-    return Domain(spark, sf_dir).raw("documents").select("doc_id", F.size(s).alias("n"), F.get(s, F.lit(0))["title"].alias("first"), F.get(s, F.lit(0))["body"].alias("body"))
+    return Domain(spark, sf_dir).raw("documents").select("doc_id", F.size(s).alias("n"), F.get(s, F.lit(0))["title"].alias("first"), F.get(s, F.lit(0))["body"].alias("body"), F.element_at(s, -1).alias("z")).select("doc_id", "n", "first", "body", F.when(F.col("n") == 1, F.concat("first", F.lit(" \n"), "body")).otherwise(F.col("z.title")).alias("last"))
 
 
 @query("SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'Africa' WHEN 1 THEN 'Asia' END AS region FROM nation")
