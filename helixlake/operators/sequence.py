@@ -16,39 +16,51 @@ OPEN, EXTEND, MATCH, MISMATCH = -10.0, -0.5, 1.0, 0.0
 MIN_LENGTH, MAX_UNKNOWN = 10, 0.5
 
 
+# What a cell's best score comes from, and whether the gaps that end in it begin in it, one bit each.
+SUBSTITUTED, DELETED, DELETION_BEGINS, INSERTION_BEGINS = 1, 2, 4, 8
+
+
 def align(ref: str, query: str) -> list[tuple[str, str]]:
-    """Pairs of residues of a best global alignment with affine gaps ('-' for a gap); substitution preferred at ties."""
+    """Pairs of residues of a best global alignment with affine gaps ('-' for a gap); substitution preferred at ties.
+
+    Scores are kept for one row of cells, as arrays; of all cells only a byte is kept, for the way back. Beginning a gap costs
+    more than going on with one, so an insertion begins where the row has no insertion: a running maximum finds the best place.
+    Scores are multiples of a half, and so exact.
+    """
     n, m = len(ref), len(query)
-    low = float("-inf")
-    best = [[low] * (m + 1) for _ in range(n + 1)]
-    down = [[low] * (m + 1) for _ in range(n + 1)]
-    right = [[low] * (m + 1) for _ in range(n + 1)]
-    best[0][0] = 0.0
-    for i in range(n + 1):
-        for j in range(m + 1):
-            if i:
-                down[i][j] = max(best[i - 1][j] + OPEN, down[i - 1][j] + EXTEND)
-            if j:
-                right[i][j] = max(best[i][j - 1] + OPEN, right[i][j - 1] + EXTEND)
-            if i and j:
-                best[i][j] = best[i - 1][j - 1] + (MATCH if ref[i - 1] == query[j - 1] else MISMATCH)
-            best[i][j] = max(best[i][j], down[i][j], right[i][j])
-    out, i, j, state = [], n, m, "best"
+    a, b = (np.array(list(x), "U1") for x in (ref, query))
+    at = np.arange(m + 1)
+    best = OPEN + EXTEND * (at - 1.0)
+    best[0] = 0.0
+    down = np.full(m + 1, -np.inf)
+    ways = np.zeros((n + 1, m + 1), np.uint8)
+    ways[0, 1:2] = INSERTION_BEGINS
+    for i in range(1, n + 1):
+        begun = best + OPEN
+        down = np.maximum(begun, down + EXTEND)
+        whole = np.full(m + 1, -np.inf)
+        whole[1:] = best[:-1] + np.where(b == a[i - 1], MATCH, MISMATCH)
+        best = np.maximum(whole, down)
+        right = np.maximum.accumulate(best - EXTEND * at)[:-1] + OPEN + EXTEND * at[:-1]
+        best[1:] = np.maximum(best[1:], right)
+        ways[i] = SUBSTITUTED * (best == whole) | DELETED * (best == down) | DELETION_BEGINS * (down == begun)
+        ways[i, 1:] |= (INSERTION_BEGINS * (right == best[:-1] + OPEN)).astype(np.uint8)
+    out, i, j, gap = [], n, m, 0
     while i or j:
-        if state == "best":
-            if i and j and best[i][j] == best[i - 1][j - 1] + (MATCH if ref[i - 1] == query[j - 1] else MISMATCH):
-                out.append((ref[i - 1], query[j - 1]))
+        way = ways[i, j]
+        if not gap:
+            if way & SUBSTITUTED:
                 i, j = i - 1, j - 1
+                out.append((ref[i], query[j]))
                 continue
-            state = "down" if i and best[i][j] == down[i][j] else "right"
-        if state == "down":
-            out.append((ref[i - 1], "-"))
-            state = "best" if down[i][j] == best[i - 1][j] + OPEN else "down"
+            gap = DELETION_BEGINS if way & DELETED else INSERTION_BEGINS
+        if gap == DELETION_BEGINS:
             i -= 1
+            out.append((ref[i], "-"))
         else:
-            out.append(("-", query[j - 1]))
-            state = "best" if right[i][j] == best[i][j - 1] + OPEN else "right"
             j -= 1
+            out.append(("-", query[j]))
+        gap = 0 if way & gap else gap
     return out[::-1]
 
 
