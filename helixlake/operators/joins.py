@@ -73,8 +73,15 @@ def in_interval(points: DataFrame, intervals: DataFrame, keys: list[str], grain:
 
 
 def nearest_mention(mentions: DataFrame, aliases: DataFrame, doc: str) -> DataFrame:
-    """(doc, mention, at) x (doc, alias, at) -> each mention with the alias nearest in characters; ties to the earlier, then by name."""
-    a = aliases.select(doc, F.col("alias"), F.col("at").alias("a_at"))
-    pairs = mentions.join(a, doc)
-    rank = F.struct(F.abs(F.col("at") - F.col("a_at")).alias("d"), "a_at", "alias")
-    return pairs.groupBy(doc, "mention", "at").agg(F.min(rank).alias("m")).select(doc, "mention", "at", F.col("m.alias").alias("alias"), F.col("m.d").alias("distance"))
+    """(doc, mention, at) x (doc, alias, at) -> each mention with the alias nearest in characters; ties to the earlier, then by name.
+
+    Mentions and aliases of a document are put in order once; a mention looks at the last alias before it and the first one after it,
+    not at all. Rows without a document or a place are left out, and mentions of documents without aliases.
+    """
+    place = F.col("at").isNotNull() & F.col(doc).isNotNull()
+    named = aliases.where(place & F.col("alias").isNotNull()).groupBy(doc, "at").agg(F.struct(F.col("at").alias("a_at"), F.min("alias").alias("alias")).alias("a"))
+    rows = mentions.where(place).select(doc, "mention", "at").distinct().withColumn("is_mention", F.lit(True)).unionByName(named, allowMissingColumns=True)
+    seen = lambda order: F.last("a", ignorenulls=True).over(W.partitionBy(doc).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow))
+    rows = rows.select(doc, "mention", "at", "is_mention", F.array(seen(F.col("at")), seen(F.col("at").desc())).alias("near")).where("is_mention")
+    ranked = F.transform(F.filter("near", lambda a: a.isNotNull()), lambda a: F.struct(F.abs(F.col("at") - a["a_at"]).alias("d"), a["a_at"], a["alias"]))
+    return rows.select(doc, "mention", "at", F.array_min(ranked).alias("m")).where("m is not null").select(doc, "mention", "at", F.col("m.alias").alias("alias"), F.col("m.d").alias("distance"))
