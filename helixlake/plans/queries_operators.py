@@ -174,9 +174,9 @@ def A18_distinct_sources(spark, sf_dir):
     return _profile(Domain(spark, sf_dir)).groupBy("variant_type").agg(*[F.count_distinct(c).alias(a) for c, a in (("collection_country", "countries"), ("lineage_id", "lineages"), ("host", "hosts"))])
 
 
-@query("SELECT event_type, count(*) AS n, sum(value) IS NOT NULL AS has_value FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1")
+@query("SELECT event_type, count(*) AS n, round(sum(value), 2) AS value FROM events WHERE event_type IN ('click', 'purchase') GROUP BY 1")
 def A19_whitelist_counts(spark, sf_dir):
-    return Domain(spark, sf_dir).raw("events").where(F.col("event_type").isin("click", "purchase")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").isNotNull().alias("has_value"))
+    return Domain(spark, sf_dir).raw("events").where(F.col("event_type").isin("click", "purchase")).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 2).alias("value"))
 
 
 @query("SELECT CAST(ts AS DATE) AS day, count(*) AS n, CAST(sum(count(*)) OVER (ORDER BY CAST(ts AS DATE)) AS BIGINT) AS total FROM events WHERE event_type = 'error' GROUP BY 1")
@@ -427,10 +427,9 @@ def K01_upsert_genome(spark, sf_dir):
 def K02_incremental_catalogue(spark, sf_dir):
     """Two batches merged, the second one twice: the same as one pass over all."""
     p = _profile(Domain(spark, sf_dir))
-    odd = U.partial_catalogue(p.where("cast(genome_accession as bigint) % 2 = 1"))
-    even = U.partial_catalogue(p.where("cast(genome_accession as bigint) % 2 = 0"))
-    out = U.merge_catalogue(U.merge_catalogue(odd, even), even)
-    return out.select(*MUTATION, F.size("genomes").cast("long").alias("genome_count"), "first_seen", "last_seen", F.array_join("lineages", ",").alias("lineages"))
+    odd = U.catalogue_state(p.where("cast(genome_accession as bigint) % 2 = 1"))
+    even = U.catalogue_state(p.where("cast(genome_accession as bigint) % 2 = 0"))
+    return U.catalogue(odd, even, even).select(*MUTATION, "genome_count", "first_seen", "last_seen", F.array_join("lineages", ",").alias("lineages"))
 
 
 @query("SELECT p_partkey AS id, CASE WHEN p_partkey % 2 = 0 THEN 'old' ELSE 'new' END AS version FROM part")

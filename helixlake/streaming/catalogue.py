@@ -4,14 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upserts import merge_catalogue, partial_catalogue
+from ..operators.upserts import catalogue, catalogue_state, merge_catalogue, partial_catalogue
+
+
+def append_catalogue(calls: DataFrame, folder: str, checkpoint: str, profile: Callable[[DataFrame], DataFrame] = lambda x: x):
+    """Start a query that writes the state of each micro-batch of calls beside those before it; `read_catalogue` puts them together.
+
+    A batch costs what it holds, not what the catalogue holds. It writes query=<id>/batch=<number>: replayed, it writes the same
+    again, and a query begun with another checkpoint has an id of its own, so it replaces nothing.
+    """
+    spark = calls.sparkSession
+
+    def append(batch: DataFrame, number: int) -> None:
+        query = spark.read.text(f"{checkpoint}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        catalogue_state(profile(batch)).write.mode("overwrite").parquet(f"{folder}/query={query}/batch={number}")
+
+    return calls.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """The catalogue of everything that streams have written to a folder; what two of them or two batches hold counts once."""
+    return catalogue(spark.read.parquet(folder).drop("query", "batch"))
 
 
 def maintain_catalogue(calls: DataFrame, folder: str, checkpoint: str, profile: Callable[[DataFrame], DataFrame] = lambda x: x):
-    """Start a query that merges each micro-batch of calls into the catalogue's newest version.
+    """Start a query that merges each micro-batch of calls into the catalogue's newest version: for small catalogues, each batch rewrites it.
 
     A batch writes version=<batch> from the version before it; a replayed batch writes the same one again, and since
     merging is by sets of genomes, nothing is counted twice.
