@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, dedup, licenses, mixing, quality, secrets, toxicity, urls
+from . import ann, bpe, chat, dedup, licenses, merkle, mixing, pivots, quality, secrets, toxicity, trie, urls
 from .common import table
 
 
@@ -48,5 +48,17 @@ def op8_ann(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op8_ann, op9_dedup, op10_chat)}
-ORACLES = {"op1_mixing": mixing.ORACLE, "op2_quality": quality.ORACLE, "op3_urls": urls.ORACLE, "op4_secrets": secrets.ORACLE, "op7_licenses": licenses.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE}
+def op11_pivots(spark, sf_dir):
+    return pivots.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_trie(spark, sf_dir):
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_merkle(spark, sf_dir):
+    return merkle.proofs(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_urls, op4_secrets, op5_toxicity, op6_bpe, op7_licenses, op8_ann, op9_dedup, op10_chat, op11_pivots, op12_trie, op13_merkle)}
+ORACLES = {"op1_mixing": mixing.ORACLE, "op2_quality": quality.ORACLE, "op3_urls": urls.ORACLE, "op4_secrets": secrets.ORACLE, "op7_licenses": licenses.ORACLE, "op9_dedup": dedup.ORACLE, "op10_chat": chat.ORACLE, "op11_pivots": pivots.ORACLE, "op12_trie": trie.ORACLE, "op13_merkle": merkle.ORACLE}
