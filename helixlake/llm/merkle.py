@@ -95,8 +95,8 @@ def _paged(nodes: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"tree": [nodes["tree"].iloc[0]], "page": [nodes["page"].iloc[0]], "rise": [nodes["rise"].iloc[0]], "levels": [levels], "top": [top]})
 
 
-def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """(tree, place, hash) -> the pages of each round (PAGE levels), lowest first, and (tree, hash) of the roots.
+def grow(nodes: DataFrame, bits: int = PAGE) -> tuple[list[DataFrame], DataFrame]:
+    """(tree, place, hash) -> the pages of each round (`bits` levels), lowest first, and (tree, hash) of the roots.
 
     A tree's height follows from its number of leaves, so a page knows how many levels it has, even if its own nodes are few.
     """
@@ -107,11 +107,11 @@ def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     rounds: list[DataFrame] = []
     level = nodes.join(small(heights), "tree").select("tree", "place", "hash", "left")
     roots = None
-    while roots is None or 1 << PAGE * len(rounds) < most:
-        rise = F.least(F.col("left"), F.lit(PAGE)).cast("int")
-        sized = level.select("tree", "place", F.shiftright("place", PAGE).alias("page"), "hash", rise.alias("rise"), "left")
+    while roots is None or 1 << bits * len(rounds) < most:
+        rise = F.least(F.col("left"), F.lit(bits)).cast("int")
+        sized = level.select("tree", "place", F.shiftright("place", bits).alias("page"), "hash", rise.alias("rise"), "left")
         pages = materialise(sized.groupBy("tree", "page").applyInPandas(_paged, _PAGES), "merkle-pages")
-        above = pages.join(small(heights), "tree").select("tree", F.col("page").alias("place"), F.col("top").alias("hash"), (F.col("left") - PAGE * (len(rounds) + 1)).alias("left"))
+        above = pages.join(small(heights), "tree").select("tree", F.col("page").alias("place"), F.col("top").alias("hash"), (F.col("left") - bits * (len(rounds) + 1)).alias("left"))
         rounds.append(pages)
         done = above.where("left <= 0").select("tree", "hash")
         roots = done if roots is None else roots.unionByName(done)
@@ -119,37 +119,35 @@ def grow(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     return rounds, materialise(roots, "merkle-roots")
 
 
-def _expanded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of each page its bottom nodes with their path to the root: a page at a time."""
-    for batch in batches:
-        for tree, page, levels, above, subroot, root in zip(batch["tree"], batch["page"], batch["levels"], batch["above"], batch["subroot"], batch["root"], strict=True):
-            n = len(levels[0]) // SLOT if len(levels) else 1
-            paths = [path(levels, i) + list(above) for i in range(n)]
-            yield pd.DataFrame({"tree": tree, "page": [(page << PAGE) + i for i in range(n)], "above": paths, "subroot": subroot, "root": root})
+def expand(pages: DataFrame, above: DataFrame, bits: int) -> DataFrame:
+    """(tree, page, above, subroot, root) of the nodes below pages, which are the pages of the round below."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for tree, page, levels, up, subroot, root in zip(batch["tree"], batch["page"], batch["levels"], batch["above"], batch["subroot"], batch["root"], strict=True):
+                n = len(levels[0]) // SLOT if len(levels) else 1
+                yield pd.DataFrame({"tree": tree, "page": [(page << bits) + i for i in range(n)], "above": [path(levels, i) + list(up) for i in range(n)], "subroot": subroot, "root": root})
 
-def expand(pages: DataFrame, above: DataFrame) -> DataFrame:
-    """(tree, page, above, subroot, root) of the nodes below pages, which are the pages of the round below."""
-    return pages.join(above, ["tree", "page"]).select("tree", "page", "levels", "above", "subroot", "root").mapInPandas(_expanded, f"tree string, page long, above {_PATH}, subroot string, root string")
+    return pages.join(above, ["tree", "page"]).select("tree", "page", "levels", "above", "subroot", "root").mapInPandas(run, f"tree string, page long, above {_PATH}, subroot string, root string")
 
 
 # --- the manifest --------------------------------------------------------------------------------------------------------------
 
-_PROOFS = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
+_PROOFS = "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
 def _proved(own: pd.DataFrame, page: pd.DataFrame) -> pd.DataFrame:
+    """The proofs of a page's leaves; `at` is a leaf's place in the page."""
     out = []
     for _, p in page.iterrows():  # one row
         above = list(p["above"])
         shared = "".join(siblings(s["preimage"], s["slot"]) for s in above)
-        for place, doc, leaf, tampered in zip(own["place"], own["doc_id"], own["leaf"], own["tampered"], strict=True):
-            below = path(p["levels"], int(place) & (1 << PAGE) - 1)
+        for at, doc, leaf, tampered in zip(own["at"], own["doc_id"], own["leaf"], own["tampered"], strict=True):
+            below = path(p["levels"], int(at))
             proof = digest("".join(siblings(s["preimage"], s["slot"]) for s in below) + shared)
             folded = fold(tampered if isinstance(tampered, str) else leaf, below + above)
-            out.append((int(doc) if isinstance(doc, str) else None, leaf, p["subroot"], p["root"], proof, folded, folded == p["root"]))
-    frame = pd.DataFrame(out, columns=[c.split(" ")[0] for c in _PROOFS.split(", ")])
-    return frame.astype({"doc_id": "Int64"})
+            out.append((doc, leaf, p["subroot"], p["root"], proof, folded, folded == p["root"]))
+    return pd.DataFrame(out, columns=[c.split(" ")[0] for c in _PROOFS.split(", ")])
 
 
 @dataclass
@@ -159,46 +157,47 @@ class Manifest:
     leaves: DataFrame
     pages: list[DataFrame]
     above: DataFrame
+    bits: int = PAGE
 
     def preimages(self) -> DataFrame:
         """tree, level (1: parents of leaves), place, preimage: of every parent the concatenated hashes of its children."""
         spark, out = self.leaves.sparkSession, None
         for r, pages in enumerate(self.pages):
             rows = pages.select("tree", "page", "rise", F.posexplode("levels").alias("i", "hashes"))
-            rows = rows.select("tree", (F.col("i") + 1 + PAGE * r).alias("level"), "page", "i", F.posexplode(F.regexp_extract_all("hashes", F.lit(f".{{1,{2 * SLOT}}}"), F.lit(0))).alias("at", "preimage"))
-            rows = rows.select("tree", "level", (F.expr(f"shiftleft(page, {PAGE} - i - 1)") + F.col("at")).alias("place"), "preimage")
+            rows = rows.select("tree", (F.col("i") + 1 + self.bits * r).alias("level"), "page", "i", F.posexplode(F.regexp_extract_all("hashes", F.lit(f".{{1,{2 * SLOT}}}"), F.lit(0))).alias("at", "preimage"))
+            rows = rows.select("tree", "level", (F.expr(f"shiftleft(page, {self.bits} - i - 1)") + F.col("at")).alias("place"), "preimage")
             out = rows if out is None else out.unionByName(rows)
         return out if out is not None else spark.createDataFrame([], "tree string, level int, place long, preimage string")
 
     def proofs(self) -> DataFrame:
         """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified."""
         lowest = self.pages[0].join(self.above, ["tree", "page"]).select("tree", "page", "levels", "above", "subroot", "root")
-        own = self.leaves.select("tree", F.shiftright("place", PAGE).alias("page"), "place", F.col("doc_id").cast("string").alias("doc_id"), "leaf", "tampered")  # a null would make numbers of pandas floats
-        return own.groupBy("tree", "page").cogroup(lowest.groupBy("tree", "page")).applyInPandas(_proved, _PROOFS)
+        own = self.leaves.select("tree", F.shiftright("place", self.bits).alias("page"), (F.col("place") % (1 << self.bits)).alias("at"), F.col("doc_id").cast("string").alias("doc_id"), "leaf", "tampered")  # numbers beside a null would be floats in pandas
+        return own.groupBy("tree", "page").cogroup(lowest.groupBy("tree", "page")).applyInPandas(_proved, _PROOFS).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def manifest(docs: DataFrame) -> Manifest:
+def manifest(docs: DataFrame, bits: int = PAGE) -> Manifest:
     """The trees of the languages, the tree of their roots, and every page's path to the root."""
     bottom = leaves(docs)
-    pages, roots = grow(bottom.select("tree", "place", F.col("leaf").alias("hash")))
+    pages, roots = grow(bottom.select("tree", "place", F.col("leaf").alias("hash")), bits)
     over = ranked(roots.select(F.lit("root").alias("over"), "tree", "hash"), ["over"], ["tree"], "merkle-over")
-    over_pages, over_root = grow(over.select(F.col("over").alias("tree"), "place", "hash"))
+    over_pages, over_root = grow(over.select(F.col("over").alias("tree"), "place", "hash"), bits)
     above = over_root.select("tree", F.lit(0).cast("long").alias("page"), F.array().cast(_PATH).alias("above"), F.lit(None).cast("string").alias("subroot"), F.col("hash").alias("root"))
     for level in reversed(over_pages):
-        above = expand(level, above)
+        above = expand(level, above, bits)
     named = over.select("place", F.col("tree").alias("name"), "hash")
     above = above.join(named, F.col("page") == F.col("place")).select(F.col("name").alias("tree"), F.lit(0).cast("long").alias("page"), "above", F.col("hash").alias("subroot"), "root")
     # A tree's topmost page is of the last round that it reaches: lower rounds get their paths from it, smaller trees begin there.
     above = materialise(above, "merkle-above")
     top = above
     for upper in reversed(pages[1:]):
-        lower = materialise(expand(upper, above), "merkle-above")
+        lower = materialise(expand(upper, above, bits), "merkle-above")
         above = top.join(lower.select("tree").distinct(), "tree", "left_anti").unionByName(lower)
-    return Manifest(bottom, pages, above)
+    return Manifest(bottom, pages, above, bits)
 
 
-def proofs(docs: DataFrame) -> DataFrame:
-    return manifest(docs).proofs()
+def proofs(docs: DataFrame, bits: int = PAGE) -> DataFrame:
+    return manifest(docs, bits).proofs()
 
 
 def _oracle() -> str:

@@ -31,8 +31,10 @@ from .common import bounded_sample, by_block, materialise, small
 
 #: Pivots; vectors that they and a query's first floor are chosen from, and most components of these together.
 PIVOTS, SAMPLE, SAMPLE_VALUES = 64, 4_000, 4_000_000
-#: Vectors of a block of the index: what one task holds at a time. Pivots whose bounds are taken at a time.
-BLOCK, STEP = 50_000, 16
+#: Cells that vectors are dealt to, by the nearest of the first pivots. Vectors of a block of a cell: what one task holds at a time.
+CELLS, BLOCK = 16, 50_000
+#: Queries whose bounds are taken together.
+STEP = 32
 K, EVERY, SCALE = 5, 50, 256
 _LONG = 2**63 - 1
 
@@ -63,7 +65,12 @@ def resized(points: np.ndarray, size: int) -> np.ndarray:
 
 
 def choose(sample: np.ndarray, most: int = PIVOTS) -> np.ndarray:
-    """Pivots far from one another: each is the vector of the sample whose nearest pivot so far is furthest."""
+    """Pivots far from one another: each is the vector of the sample whose nearest pivot so far is furthest.
+
+    Of vectors within four times the median norm: distances to a pivot far off all would be coarse, and all alike.
+    """
+    norms = np.linalg.norm(sample, axis=1)
+    sample = sample[norms <= 4 * np.median(norms)]
     at, near, chosen = 0, np.full(len(sample), np.inf), []
     while len(chosen) < min(most, len(sample)):
         chosen.append(at)
@@ -77,15 +84,19 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([np.linalg.norm(x - row, axis=1) for row in p], axis=1).astype(np.float32)
 
 
-def ceiling(lower: np.ndarray, own: float, norms: np.ndarray) -> np.ndarray:
-    """Upper bound of inner products from a lower bound of distances and the norms, with room for rounding."""
-    return (own * own + norms * norms - lower * lower) / 2 + 1e-6 * (own + norms) ** 2 + 1e-6
+def ceiling(lower: np.ndarray, own: np.ndarray, norms: np.ndarray, reach: float) -> np.ndarray:
+    """Upper bounds of inner products from lower bounds of distances and the norms.
+
+    reach: the largest norm of a pivot. Pivot distances are of single precision, so a lower bound may be too large by a few
+    ten-millionths of both vectors' norms and the pivots'; that is taken off.
+    """
+    scale = own + norms + 2 * reach
+    lower = np.maximum(lower - 4e-7 * scale, 0)
+    return (own * own + norms * norms - lower * lower) / 2 + 1e-9 * scale * scale
 
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Inner products as whole numbers: in floating point where that is exact, else in Python's own, kept within long."""
-    if not x.shape[1] or np.abs(x).max(initial=0) * np.abs(q).max(initial=0) * x.shape[1] < 2**53:
-        return (x @ q).astype(np.int64)
+    """Inner products in Python's whole numbers, kept within long: for those that floating point doesn't have exactly."""
     one = [int(v) for v in q]
     return np.array([max(-_LONG - 1, min(_LONG, sum(int(a) * b for a, b in zip(row, one, strict=True)))) for row in x], dtype=object)
 
@@ -93,44 +104,56 @@ def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
 class Block:
     """Vectors of one length with their pivot table."""
 
-    def __init__(self, ints: np.ndarray, table: np.ndarray, ids: list):
-        self.ints, self.table, self.ids = ints, table, ids
+    def __init__(self, ints: np.ndarray, table: np.ndarray, ids: list, reach: float):
+        self.ints, self.ids, self.reach = ints, ids, reach
+        self.columns = np.ascontiguousarray(table.T)
         self.x = ints.astype(float)
         self.norms = np.linalg.norm(self.x, axis=1)
-
-    def best(self, query: int, q: np.ndarray, t: np.ndarray, least: float, k: int) -> tuple[list[tuple[int, int]], int]:
-        """(score, vec_id) of the k best that reach `least`, and how many vectors were evaluated."""
-        own = float(np.linalg.norm(q.astype(float)))
-        alive, lower = np.arange(len(self.x)), np.zeros(len(self.x), np.float32)
-        bound = ceiling(lower, own, self.norms)
-        for i in range(0, len(t), STEP):
-            alive = alive[bound[alive] >= least]
-            if not len(alive):
-                return [], 0
-            lower[alive] = np.maximum(lower[alive], np.abs(self.table[alive, i : i + STEP] - t[i : i + STEP]).max(axis=1))
-            bound[alive] = ceiling(lower[alive], own, self.norms[alive])
-        alive = alive[bound[alive] >= least]
+        self.most = float(np.abs(self.x).max(initial=0))
+        self.rows: dict[int, list[int]] = {}
+        for i, own in enumerate(ids):
+            for one in own:
+                self.rows.setdefault(one["vec_id"], []).append(i)
+
+    def bounds(self, q: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Of each query with each vector: from the greatest lower bound that any pivot gives of their distance."""
+        lower = np.zeros((len(q), len(self.x)), np.float32)
+        apart = np.empty_like(lower)
+        for column, own in zip(self.columns, t.T, strict=True):
+            np.subtract(column[None, :], own[:, None], out=apart)
+            np.maximum(lower, np.abs(apart, out=apart), out=lower)
+        return ceiling(lower, np.linalg.norm(q.astype(float), axis=1)[:, None], self.norms[None, :], self.reach)
+
+    def best(self, ids: list[int], q: np.ndarray, t: np.ndarray, least: np.ndarray, k: int) -> Iterator[tuple[int, list[tuple[int, int]], int]]:
+        """Of each query its id, (score, vec_id) of the k best that reach its `least`, and how many vectors were evaluated."""
+        for i in range(0, len(q), STEP):
+            part = slice(i, i + STEP)
+            for query, row, bound, floor in zip(ids[part], q[part], self.bounds(q[part], t[part]), least[part], strict=True):
+                yield query, *self._evaluated(query, row, bound, floor, k)
+
+    def _evaluated(self, query: int, q: np.ndarray, bound: np.ndarray, least: float, k: int) -> tuple[list[tuple[int, int]], int]:
+        alive = np.flatnonzero(bound >= least)
         alive = alive[np.argsort(-bound[alive], kind="stable")]
         best: list[tuple[int, int]] = []
-        at, step = 0, 64
-        exact_floats = self.exact(q)
+        own, at, step = q.astype(float), 0, 64
+        exact = self.most * float(np.abs(own).max(initial=0)) * max(1, len(q)) < 2**53
         while at < len(alive) and bound[alive[at]] >= least:
             rows = alive[at : at + step]
-            scores = (self.x[rows] @ q.astype(float)).astype(np.int64) if exact_floats else products(self.ints[rows], q)
-            for score, row in zip(scores.tolist(), rows.tolist(), strict=True):
-                if score >= least:
-                    best += [(score, one["vec_id"]) for one in self.ids[row] if one["vec_id"] != query for _ in range(min(k, one["copies"]))]
-            best = sorted(best, key=lambda b: (-b[0], b[1]))[:k]
-            if len(best) == k:
-                least = max(least, best[-1][0])
+            scores = self.x[rows] @ own if exact else products(self.ints[rows], q)
+            enough = np.flatnonzero(scores >= least)
+            if exact and len(enough) > 8 * k:  # those of the k largest scores, with all ties; vectors that have the query's id too are looked at besides
+                owned = np.isin(rows[enough], self.rows.get(query, []))
+                others = scores[enough[~owned]]
+                enough = enough[owned | (scores[enough] >= (np.partition(others, -k)[-k] if len(others) >= k else -np.inf))]
+            for score, row in zip(scores[enough].tolist(), rows[enough].tolist(), strict=True):
+                best += [(int(score), one["vec_id"]) for one in self.ids[row] if one["vec_id"] != query for _ in range(min(k, one["copies"]))]
+            if len(enough):
+                best = sorted(best, key=lambda b: (-b[0], b[1]))[:k]
+                if len(best) == k:
+                    least = max(least, best[-1][0])
             at, step = at + step, step * 2
         return best, min(at, len(alive))
 
-    def exact(self, q: np.ndarray) -> bool:
-        if not hasattr(self, "_most"):
-            self._most = float(np.abs(self.x).max(initial=0))
-        return self._most * float(np.abs(q.astype(float)).max(initial=0)) * max(1, self.x.shape[1]) < 2**53
-
 
 # --- the search ----------------------------------------------------------------------------------------------------------------
 
@@ -144,80 +167,103 @@ def _by_size(frame: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
         yield part, _matrix(part["ints"])
 
 
-def nearest(vectors: DataFrame, every: int = EVERY, k: int = K, evaluated: bool = False) -> DataFrame:
+def _floors(ids: np.ndarray, q: np.ndarray, model: dict, k: int) -> np.ndarray:
+    """What each query's k-th score is at least: that among the sample's vectors without the query's id, each counted once."""
+    scores = q.astype(float) @ model["sample"].T
+    for i, query in enumerate(ids):
+        scores[i, model["rows"].get(query, [])] = -np.inf
+    if scores.shape[1] < k:
+        return np.full(len(q), -np.inf)
+    floors = np.partition(scores, -k, axis=1)[:, -k]
+    # Sums that floating point doesn't have exactly may be too large by their rounding.
+    most = float(np.abs(model["sample"]).max(initial=0)) * np.abs(q.astype(float)).max(axis=1, initial=0) * max(1, q.shape[1])
+    return floors - np.where(most < 2**53, 0, 1e-12 * most * max(1, q.shape[1]))
+
+
+def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest inner products of every row whose vec_id is divisible by `every`.
 
-    Blocks of about BLOCK vectors are held one at a time, each once; queries pass through the blocks of the cells that they have to
-    visit as a stream. evaluated: a column of how many vectors of the blocks it has results from a query was held against.
+    A block is held once a round, and queries pass by it as a stream. In the first round a query visits one block of the cell
+    of its best bound, in the second all other blocks of the cells whose bound reaches its k-th score so far.
     """
     spark = vectors.sparkSession
     rows = materialise(whole(vectors), "pivot-whole")
     points = materialise(distinct_vectors(rows, k), "pivot-vectors")
     size = points.groupBy(F.size("ints").alias("size")).count().orderBy(F.col("count").desc(), "size").first()
-    out = "query_id long, rank int, vec_id long, score long" + ", evaluated long" * evaluated
+    out = "query_id long, rank int, vec_id long, score long"
     if size is None:
         return spark.createDataFrame([], out)
     size = size["size"]
     usual = points.where(F.size("ints") == size).select("ints", "ids", F.col("ids")[0]["vec_id"].alias("id"))
     sample = bounded_sample(usual, "id", max(1, min(SAMPLE, SAMPLE_VALUES // max(1, size)))).toPandas()
-    model = {"sample": _matrix(sample["ints"]).astype(float), "ids": [[(i["vec_id"], i["copies"]) for i in ids] for ids in sample["ids"]], "size": size}
-    model["pivots"] = choose(model["sample"])
-    shared, n_pivots = spark.sparkContext.broadcast(model), len(model["pivots"])
+    model = {"sample": _matrix(sample["ints"]).astype(float), "size": size, "rows": {}}
+    for i, ids in enumerate(sample["ids"]):
+        for one in ids:
+            model["rows"].setdefault(one["vec_id"], []).append(i)
+    model["pivots"] = choose(model["sample"], PIVOTS)
+    model["reach"] = float(np.linalg.norm(model["pivots"], axis=1).max())
+    shared, n_pivots, n_cells = spark.sparkContext.broadcast(model), len(model["pivots"]), min(CELLS, len(model["pivots"]))
 
     def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part, ints in _by_size(batch):
                 table = distances(ints.astype(float), shared.value["pivots"])
-                yield pd.DataFrame({"ints": part["ints"], "ids": part["ids"], "size": ints.shape[1], "cell": table.argmin(axis=1), "norm": np.linalg.norm(ints.astype(float), axis=1), "pivots": list(table)})
+                yield pd.DataFrame({"ints": part["ints"], "ids": part["ids"], "size": ints.shape[1], "cell": table[:, :n_cells].argmin(axis=1), "norm": np.linalg.norm(ints.astype(float), axis=1), "pivots": list(table)})
 
     index = points.mapInPandas(prepare, "ints array<long>, ids array<struct<vec_id: long, copies: int>>, size int, cell int, norm double, pivots array<float>")
     index = materialise(index, "pivot-table")
     counts = index.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n"))
     counts = materialise(counts.select("size", "cell", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "pivot-cells")
-    # Ranges of the usual length's cells: a row a pivot at most.
+    # Ranges of the usual length's cells: a row a cell.
     ranges = [f(F.get("pivots", F.lit(i))).alias(f"{name}{i}") for name, f in (("low", F.min), ("high", F.max)) for i in range(n_pivots)]
     cells = index.where(F.col("size") == size).groupBy("cell").agg(F.max("norm").alias("norm"), *ranges).toPandas().sort_values("cell")
     low, high = (cells[[f"{name}{i}" for i in range(n_pivots)]].to_numpy(float) for name in ("low", "high"))
     grid = spark.sparkContext.broadcast({"cell": cells["cell"].to_numpy(), "norm": cells["norm"].to_numpy(float), "low": low, "high": high})
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Of each query its cells in the order of their bounds, the best first, with the bounds."""
         m, g = shared.value, grid.value
-        start = Block(m["sample"].astype(np.int64), distances(m["sample"], m["pivots"]), [[{"vec_id": i, "copies": c} for i, c in ids] for ids in m["ids"]])
         for batch in batches:
             for part, ints in _by_size(batch):
-                table = distances(ints.astype(float), m["pivots"])
-                least, visits = np.full(len(part), -np.inf), [list(range(n_pivots))] * len(part)
+                table, least = distances(ints.astype(float), m["pivots"]), np.full(len(part), -np.inf)
+                visits, bounds = [list(range(n_cells))] * len(part), [[np.inf] * n_cells] * len(part)
                 if ints.shape[1] == m["size"]:
-                    visits = []
-                    for i, (query, q, t) in enumerate(zip(part["query_id"], ints, table, strict=True)):
-                        best, _ = start.best(query, q, t, -np.inf, k)
-                        least[i] = best[-1][0] if len(best) == k else -np.inf
-                        far = np.maximum(0, np.maximum(g["low"] - t, t - g["high"])).max(axis=1)
-                        visits.append(g["cell"][ceiling(far, float(np.linalg.norm(q.astype(float))), g["norm"]) >= least[i]].tolist())
-                yield pd.DataFrame({"query_id": part["query_id"], "ints": part["ints"], "size": ints.shape[1], "pivots": list(table), "least": least, "cells": visits})
+                    least = _floors(part["query_id"].to_numpy(), ints, m, k)
+                    far = np.stack([np.maximum(0, np.maximum(g["low"] - t, t - g["high"])).max(axis=1) for t in table])
+                    best = ceiling(far, np.linalg.norm(ints.astype(float), axis=1)[:, None], g["norm"][None, :], m["reach"])
+                    order = np.argsort(-best, axis=1, kind="stable")
+                    visits, bounds = g["cell"][order].tolist(), np.take_along_axis(best, order, axis=1).tolist()
+                yield pd.DataFrame({"query_id": part["query_id"], "ints": part["ints"], "size": ints.shape[1], "pivots": list(table), "least": least, "cells": visits, "bounds": bounds})
 
     asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("ints").alias("ints")).select(F.col("vec_id").alias("query_id"), "ints")
-    asked = materialise(asked.mapInPandas(ask, "query_id long, ints array<long>, size int, pivots array<float>, least double, cells array<int>"), "pivot-queries")
+    asked = asked.repartition(max(spark.sparkContext.defaultParallelism, ceil(points.count() / every / BLOCK)))
+    asked = materialise(asked.mapInPandas(ask, "query_id long, ints array<long>, size int, pivots array<float>, least double, cells array<int>, bounds array<double>"), "pivot-queries")
     block = F.concat_ws(":", "size", "cell", "part").alias("block")
     held = index.join(small(counts), ["size", "cell"]).withColumn("part", F.pmod(F.xxhash64("ints"), F.col("parts")).cast("int")).select(block, "ints", "ids", "pivots")
-    visits = asked.withColumn("cell", F.explode("cells")).join(small(counts), ["size", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    visits = visits.select(block, "query_id", "ints", "pivots", "least")
+    held = materialise(held, "pivot-blocks")
 
     def load(part: pd.DataFrame) -> Block:
-        return Block(_matrix(part["ints"]), np.stack(part["pivots"].to_numpy()), part["ids"].tolist())
+        return Block(_matrix(part["ints"]), np.stack(part["pivots"].to_numpy()), part["ids"].tolist(), shared.value["reach"])
 
     def search(there: Block, queries: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for query, ints, pivots, least in zip(queries["query_id"], queries["ints"], queries["pivots"], queries["least"], strict=True):
-            best, seen = there.best(int(query), np.asarray(ints, dtype=np.int64), np.asarray(pivots), float(least), k)
-            found += [(query, vec_id, score, seen) for score, vec_id in best]
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score", "evaluated"]).astype("int64")
-
-    found = materialise(by_block(held, visits, load, search, "query_id long, vec_id long, score long, evaluated long"), "pivot-found")
+        args = queries["query_id"].tolist(), _matrix(queries["ints"]), np.stack(queries["pivots"].to_numpy()), queries["least"].to_numpy()
+        found = [(query, vec_id, score) for query, best, _ in there.best(*args, k) for score, vec_id in best]
+        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+
+    def visit(visits: DataFrame) -> DataFrame:
+        found = by_block(held, visits.select(block, "query_id", "ints", "pivots", "least"), load, search, "query_id long, vec_id long, score long")
+        return materialise(found, "pivot-found")
+
+    places = asked.select("*", F.posexplode(F.arrays_zip("cells", "bounds")).alias("nth", "c")).drop("cells", "bounds").select("*", "c.cells", "c.bounds").withColumnRenamed("cells", "cell").drop("c")
+    places = places.join(small(counts), ["size", "cell"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    begins = (F.col("nth") == 0) & (F.col("part") == F.pmod(F.xxhash64("query_id"), F.col("parts")))
+    first = visit(places.where(begins))
+    kth = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("kth"))
+    places = places.where(~begins).join(kth, "query_id", "left").withColumn("least", F.when(F.col("n") == k, F.greatest("least", "kth")).otherwise(F.col("least")))
+    found = first.unionByName(visit(places.where(F.col("bounds") >= F.col("least"))))
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    seen = F.sum("evaluated").over(W.partitionBy("query_id", "vec_id"))
-    ranked = (found.withColumn("evaluated", seen) if evaluated else found.drop("evaluated")).withColumn("rank", place).where(F.col("rank") <= k)
-    return ranked.select(*[c.split(" ")[0] for c in out.split(", ")])
+    ranked = found.withColumn("rank", place).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = f"""

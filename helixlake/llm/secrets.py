@@ -35,26 +35,38 @@ ENCODINGS = (
 #: False-discovery rate at which candidates are found not to be random; values are counted in steps of 0.01 in log10.
 RATE, STEPS = 0.05, 100
 MARK = "[secret]"
+#: Characters of a text that redact() cuts at a time.
+PART = 32_768
 
 
-def spans(text: Column, pattern: str, group: int, least: int, kind: int) -> Column:
-    """array<struct(start, kind, end)> of the leftmost matches that don't overlap, less those whose group is too short.
-
-    What lies between matches comes from split(), the matches from regexp_extract_all(); their lengths give the places.
+def pieces(text: Column, pattern: str, group: int) -> Column:
+    """array<struct(b, m, g, x)> of the leftmost matches that don't overlap: the length of what lies before a match, of the match and of
+    its group, and the match. What lies between matches comes from split(), the matches from regexp_extract_all().
     """
     whole, part = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    sizes = F.zip_with(F.zip_with(F.split(text, pattern, -1), whole, lambda b, m: F.struct(F.length(b).alias("b"), F.length(m).alias("m"))), part, lambda x, g: F.struct(x["b"].alias("b"), x["m"].alias("m"), F.length(g).alias("g")))
-    kept = F.filter(sizes, lambda x: x["m"].isNotNull())
-    span = "struct<start: int, kind: int, end: int>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out"))
+    sizes = F.zip_with(F.zip_with(F.split(text, pattern, -1), whole, lambda b, m: F.struct(F.length(b).alias("b"), m.alias("x"))), part, lambda y, g: F.struct(y["b"].alias("b"), F.length(y["x"]).alias("m"), F.length(g).alias("g"), y["x"].alias("x")))
+    return F.when(text.rlike(pattern), F.filter(sizes, lambda y: y["x"].isNotNull())).otherwise(F.array().cast("array<struct<b: int, m: int, g: int, x: string>>"))
+
 
-    def step(a: Column, x: Column) -> Column:
-        start = a["at"] + x["b"]
-        end = start + x["m"]
-        one = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(x["g"] >= least, F.concat(a["out"], one)).otherwise(a["out"]).alias("out"))
+def placed(found: DataFrame) -> DataFrame:
+    """(id, kind, pieces) -> id, kind, start, end, g, x of every match: its place is a running sum within its text and kind."""
+    each = found.select("id", "kind", F.posexplode("pieces").alias("i", "p"))
+    end = F.sum(F.col("p.b") + F.col("p.m")).over(W.partitionBy("id", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow))
+    return each.select("id", "kind", (end - F.col("p.m")).cast("int").alias("start"), end.cast("int").alias("end"), "p.g", "p.x")
 
-    return F.when(text.rlike(pattern), F.aggregate(kept, zero, step, lambda a: a["out"])).otherwise(F.array().cast(f"array<{span}>"))
+
+def untouched(found: DataFrame, base: DataFrame) -> DataFrame:
+    """Of found (id, start, end, ...; a text's own don't overlap) the rows that no span of base touches.
+
+    A text's spans are put in order together. One is touched if a base span that begins no later ends after its start, or
+    the next one to begin does so before its end: two running values, not a comparison of all with all.
+    """
+    both = found.withColumn("own", F.lit(1)).unionByName(base.select("id", "start", "end").withColumn("own", F.lit(0)), allowMissingColumns=True)
+    of_base = lambda c: F.when(F.col("own") == 0, F.col(c))
+    before = F.max(of_base("end")).over(W.partitionBy("id").orderBy("start", "own").rowsBetween(W.unboundedPreceding, W.currentRow))
+    after = F.min(of_base("start")).over(W.partitionBy("id").orderBy(F.col("start").desc(), F.col("own").desc()).rowsBetween(W.unboundedPreceding, W.currentRow))
+    near = both.withColumn("before", before).withColumn("after", after).where("own = 1")
+    return near.where("(before is null or before <= start) and (after is null or after >= end)").drop("own", "before", "after")
 
 
 def _tail(z: Column) -> Column:
@@ -111,17 +123,9 @@ def battery(x: Column) -> Column:
     return let(F.struct(plain.alias("s"), alphabet.alias("a")), least)
 
 
-def _candidates(text: Column, base: Column) -> Column:
-    """array<struct(start, end, p)> of the strings to test: those that no span of a known kind touches."""
-    found = let(spans(text, CANDIDATE, 0, 20, len(KINDS)), lambda s: F.transform(s, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.substring(text, x["start"] + 1, x["end"] - x["start"]).alias("x"))))
-    free = lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    apt = F.filter(found, lambda c: c["x"].rlike(WITH) & free(c))
-    return F.transform(apt, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"), battery(c["x"]).alias("p")))
-
-
-def _weight(c: Column) -> Column:
+def _weight() -> Column:
     """Length-aware: the longer a string, the more its tests can tell, so the larger its share of the allowed rate."""
-    return F.sqrt((c["end"] - c["start"]).cast("double"))
+    return F.sqrt((F.col("end") - F.col("start")).cast("double"))
 
 
 def not_random(candidates: DataFrame) -> tuple[float, int | None]:
@@ -130,31 +134,41 @@ def not_random(candidates: DataFrame) -> tuple[float, int | None]:
     Weighted Benjamini-Hochberg over the candidates of all documents: p-values are counted by step first, and the window
     that finds the last step at which count * RATE / all still covers it sees those counts alone.
     """
-    one = candidates.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(_weight(F.col("c"))), 6).alias("w")).first()
+    one = candidates.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(_weight()), 6).alias("w")).first()
     if not one["n"]:
         return 1.0, None
-    steps = candidates.select(_step(F.col("c"), one["w"]).alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("n"))
+    steps = candidates.select(_step(one["w"]).alias("step")).groupBy("step").agg(F.count(F.lit(1)).alias("n"))
     steps = steps.withColumn("run", F.sum("n").over(W.orderBy("step").rowsBetween(W.unboundedPreceding, W.currentRow)))
     return one["w"], steps.where(F.pow(F.lit(10.0), F.col("step") / STEPS) <= F.col("run") * RATE / one["n"]).agg(F.max("step")).first()[0]
 
 
-def _step(c: Column, mean: float) -> Column:
-    return F.ceil(F.log10(c["p"] / (_weight(c) / mean)) * STEPS)
+def _step(mean: float) -> Column:
+    return F.ceil(F.log10(F.col("p") / (_weight() / mean)) * STEPS)
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, base and spans: arrays of struct(start, kind, end) in order, kind an index of NAMES.
 
-    The texts are read once; what they hold of spans and candidates is a small table, on which the rate is controlled.
+    The texts are read once; their matches are a table with a row each, small against the texts and in proportion to what a text
+    has of them, on which places, overlaps and the false-discovery rate are worked out.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = F.concat(*[spans(text, p, g, least, i) for i, (_, p, g, least) in enumerate(KINDS)])
-    rows = docs.select("doc_id", F.explode(F.array(let(F.sort_array(base), lambda b: F.struct(b.alias("base"), _candidates(text, b).alias("c"))))).alias("m"))
-    rows = materialise(rows.select("doc_id", "m.base", F.col("m.c").alias("candidates")), "secrets")
-    mean, last = not_random(rows.select(F.explode("candidates").alias("c")))
-    random = F.filter("candidates", lambda c: F.lit(last is None) | (_step(c, mean) > F.lit(last if last is not None else 0)))
-    added = F.transform(random, lambda c: F.struct(c["start"].alias("start"), F.lit(len(KINDS)).alias("kind"), c["end"].alias("end")))
-    return rows.select("doc_id", "base", F.sort_array(F.concat("base", added)).alias("spans"))
+    of = [pieces(text, p, g).alias(f"k{i}") for i, (_, p, g, _) in enumerate([*KINDS, (RANDOM, CANDIDATE, 0, 20)])]
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", *of), "secrets-pieces")
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(f"k{i}").alias("pieces")) for i in range(len(NAMES))])
+    found = placed(rows.select("id", F.explode(kinds).alias("k")).where("size(k.pieces) > 0").select("id", "k.kind", "k.pieces"))
+    least = F.element_at(F.array(*[F.lit(k[3]) for k in KINDS], F.lit(0)), F.col("kind") + 1)
+    apt = (F.col("g") >= least) & ((F.col("kind") < len(KINDS)) | F.col("x").rlike(WITH))
+    found = materialise(found.where(apt), "secrets-found")
+    base, strings = found.where(F.col("kind") < len(KINDS)).drop("g", "x"), found.where(F.col("kind") == len(KINDS)).drop("g")
+    candidates = materialise(untouched(strings, base).select("id", "kind", "start", "end", battery(F.col("x")).alias("p")), "secrets-candidates")
+    mean, last = not_random(candidates)
+    random = candidates.where(F.lit(last is None) | (_step(mean) > F.lit(last if last is not None else 0)))
+    span = F.struct("start", "kind", "end")
+    every = base.unionByName(random.drop("p")).groupBy("id").agg(F.sort_array(F.collect_list(span)).alias("spans"))  # of one text
+    none = F.array().cast("array<struct<start: int, kind: int, end: int>>")
+    out = rows.select("id", "doc_id").join(every, "id", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+    return out.select("doc_id", F.filter("spans", lambda s: s["kind"] < len(KINDS)).alias("base"), "spans")
 
 
 def _listed(array: Column) -> Column:
@@ -167,32 +181,41 @@ def digests(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *[count(i) for i in range(len(KINDS))], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
+def gaps(found: DataFrame) -> DataFrame:
+    """(_id, _hash, start, end) of spans -> _id, _hash, _gaps: what a text's spans leave before and between them, and where the last ends.
+
+    A span is apart from those before it if it begins after all of them have ended.
+    """
+    reach = F.max("end").over(W.partitionBy("_id", "_hash").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1))
+    rows = found.withColumn("from", reach)
+    apart = F.when(F.col("from").isNull() | (F.col("from") < F.col("start")), F.struct(F.coalesce("from", F.lit(0)).alias("start"), F.col("start").alias("end")))
+    return rows.groupBy("_id", "_hash").agg(F.sort_array(F.collect_list(apart)).alias("_gaps"), F.max("end").alias("_last"))
+
+
+def _piece(parts: Column, start: Column, end: Column) -> Column:
+    """Characters start to end of a text that is given in parts of PART: a place far into it is found without counting from its beginning."""
+    first, last = F.floor(start / PART).cast("int"), F.floor((end - 1) / PART).cast("int")
+    of = lambda i: F.substring(F.get(parts, i), (F.greatest(start - i * PART, F.lit(0)) + 1).cast("int"), (F.least(end, (i + 1) * PART) - F.greatest(start, i * PART)).cast("int"))
+    return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), of), "")).otherwise("")
+
+
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span of text replaced by MARK (spans that touch or overlap by one), and n_chars, if there, renewed.
 
     Rows without spans stay as they are. Rows that share a doc_id are redacted by the spans of each one's own text.
     """
     keyed = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc_id"), "text")
-    of_text = scan(keyed).where("size(spans) > 0").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), "spans")
-    of_text = small(materialise(of_text.groupBy("_id", "_hash").agg(F.first("spans").alias("_spans")), "secrets-spans"))
+    spans = scan(keyed).where("size(spans) > 0").groupBy("doc_id").agg(F.first("spans").alias("spans"))
+    each = spans.select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.hash").alias("_hash"), F.explode("spans").alias("s")).select("_id", "_hash", "s.start", "s.end")
+    of_text = small(materialise(gaps(each), "secrets-gaps"))
     joined = docs.select("doc_id", "text", F.xxhash64("text").alias("_key"), F.struct("*").alias("doc")).join(of_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
-    span = "struct<start: int, end: int>"
-    last = lambda a: F.element_at(a, -1)
-    merged = F.aggregate("_spans", F.array().cast(f"array<{span}>"), lambda a, s: F.when(
-        (F.size(a) > 0) & (F.get(a, F.size(a) - 1)["end"] >= s["start"]),
-        F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(last(a)["start"].alias("start"), F.greatest(last(a)["end"], s["end"]).alias("end")))),
-    ).otherwise(F.concat(a, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))))
-
-    def cut(m: Column) -> Column:
-        before = lambda i: F.coalesce(F.get(m, i - 1)["end"], F.lit(0))
-        pieces = F.transform(m, lambda s, i: F.concat(F.substring(F.col("text"), before(i) + 1, s["start"] - before(i)), F.lit(MARK)))
-        rest = F.substring(F.col("text"), last(m)["end"] + 1, F.length("text"))
-        return F.concat(F.array_join(pieces, ""), rest)
-
-    clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(let(merged, cut))
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.length("text") / PART).cast("int")), lambda i: F.substring(F.col("text"), i * PART + 1, F.lit(PART)))
+    left = F.concat(F.col("_gaps"), F.array(F.struct(F.col("_last").alias("start"), F.length("text").alias("end"))))
+    cut = let(parts, lambda p: F.array_join(F.transform(left, lambda s: _piece(p, s["start"], s["end"])), MARK))
+    clean = F.when(F.col("_gaps").isNull(), F.col("text")).otherwise(cut)
     new = {"text": clean}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("_spans").isNull(), F.col("doc.n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("_gaps").isNull(), F.col("doc.n_chars")).otherwise(F.length(clean)).cast(docs.schema["n_chars"].dataType)
     return joined.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 

@@ -204,6 +204,12 @@ def _features(margins: np.ndarray, levels: list[float]) -> list[float]:
     return [float(np.log1p(c)) for c in counts] + [float(np.log1p(100 * c / len(margins))) for c in counts] + [float(np.clip(margins.max(), -2, 2))]
 
 
+def _share(labels: list[int]) -> dict:
+    """A model by which every text's score is the share of toxic labels."""
+    share = min(max(sum(labels) / max(1, len(labels)), 1e-13), 1 - 1e-13)
+    return {"weights": np.zeros(_SIZE**3, np.float32), "bias": -1.0, "levels": [0.0] * len(_SHARES), "calibration": [0.0] * _FEATURES + [float(np.log(share / (1 - share)))], "center": [0.0] * _FEATURES, "scale": [1.0] * _FEATURES}
+
+
 def train(sample: pd.DataFrame) -> dict:
     """sample: text, toxic. Returns what scoring needs: a weight per triple, a bias and the calibration.
 
@@ -221,9 +227,9 @@ def train(sample: pd.DataFrame) -> dict:
         for s in sentences:
             (toxic if label else clean).update(s)
     labels = [y for y, _ in held]
-    if not 0 < sum(labels) < len(labels):
-        return {"weights": np.zeros(_SIZE**3, np.float32), "bias": -1.0, "levels": [0.0] * len(_SHARES), "calibration": [0.0] * _FEATURES + [30.0 if sum(labels) else -30.0], "center": [0.0] * _FEATURES, "scale": [1.0] * _FEATURES}
     n_toxic, n_clean = sum(len(s) for y, s in held if y), sum(len(s) for y, s in held if not y)
+    if not 0 < sum(labels) < len(labels) or not n_toxic or not n_clean:
+        return _share(labels)
     prior = n_toxic / n_clean
     excess = lambda w: (toxic[w] + 0.5) / ((clean[w] + 0.5) * prior)
     long = [w for w in toxic if len(w) >= 3]
@@ -231,12 +237,14 @@ def train(sample: pd.DataFrame) -> dict:
     insults = {w: float(toxic[w]) for w in rank[:INSULTS] if toxic[w] >= 2 and excess(w) >= 5}
     marks = [w for w in rank if w in insults][: LANDMARKS * 3 // 4]
     marks += [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 4 and w not in insults][: LANDMARKS - len(marks)]
-    base, used = _landmarks(marks)
+    others = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 3 and w not in insults]
+    base, used = _landmarks(marks) if marks else (None, ())
+    if not insults or not others or not len(used):  # no word of three letters, or none that toxic sentences are apart by
+        return _share(labels)
     gram = _kernel(marks, base, used)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-6 * values.max()
     root = vectors[:, keep] / np.sqrt(values[keep])
-    others = [w for w, _ in sorted(clean.items(), key=lambda x: (-x[1], x[0])) if len(w) >= 3 and w not in insults]
     step = max(1, (len(others) - EXAMPLES // 2) // (EXAMPLES // 2) + 1)
     others = others[: EXAMPLES // 2] + others[EXAMPLES // 2 :: step]
     vocabulary = sorted(set(toxic) | set(clean))

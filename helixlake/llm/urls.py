@@ -2,7 +2,8 @@
 
 A null url, or one without "://", has an empty host and path, fits no rule and scores 0. Repeated rows are counted as
 often as they come and each get the verdict. Without examples of both kinds every url is allowed. An empty table gives
-an empty result. Only the columns named are read.
+an empty result. Ties of the threshold go to the smallest step. Urls of any length are taken whole, with work in proportion to
+it. Only the columns named are read.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, ascii_lower, is_small, materialise
+from .common import BROADCAST_ROWS, ascii_lower, is_small, let, materialise
 
 #: host, path, verdict; the longest that fits decides.
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
@@ -20,6 +21,8 @@ ORDER, SMOOTHING, UNIFORM = 4, 2.0, 1 / 256
 #: Log-likelihoods are summed as whole millionths, so that a sum doesn't depend on its order; scores are compared in steps of 0.01.
 MICRO, STEP = 1_000_000, 10_000
 PAD, SALTS = "\x02", 16
+#: Characters of a url that grams are cut from at a time.
+PART = 1_024
 #: A url is held out of training, for the threshold, if the digest of its host and path begins with a character below this: a quarter.
 HELD_OUT = "4"
 
@@ -41,9 +44,11 @@ def fitting_rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _grams(text: Column) -> Column:
-    """Each character of text after its ORDER predecessors."""
+    """Each character of text after its ORDER predecessors. Long texts are cut up first, as each place is counted from the beginning."""
     padded = F.concat(F.lit(PAD * ORDER), text)
-    return F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(1), F.length(text)), lambda i: F.substring(padded, i, F.lit(ORDER + 1)))).otherwise(F.array().cast("array<string>"))
+    inner = lambda part: F.transform(F.sequence(F.lit(1), F.greatest(F.length(part) - ORDER, F.lit(1))), lambda i: F.substring(part, i, F.lit(ORDER + 1)))
+    parts = F.transform(F.sequence(F.lit(0), F.floor((F.length(text) - 1) / PART).cast("int")), lambda i: let(F.substring(padded, i * PART + 1, F.lit(PART + ORDER)), inner))
+    return F.when(F.length(text) > 0, F.flatten(parts)).otherwise(F.array().cast("array<string>"))
 
 
 def train(urls: DataFrame) -> DataFrame:
@@ -113,14 +118,14 @@ def filter_urls(pages: DataFrame) -> DataFrame:
     pages = pages.select("page_id", "url", "n", host.alias("host"), path.alias("path")).withColumn("fit", fitting_rule(F.col("host"), F.col("path")))
     text = F.concat("host", "path")
     held = F.substring(F.md5(text), 1, 1) < HELD_OUT
-    urls = pages.select("page_id", "url", "n", "host", "path", "fit.rule", F.col("fit.verdict").alias("label"), text.alias("text"), held.alias("held"))
+    urls = pages.select(F.monotonically_increasing_id().alias("id"), "page_id", "n", "host", "path", "fit.rule", F.col("fit.verdict").alias("label"), text.alias("text"), held.alias("held"))
     urls = _spread(materialise(urls, "urls"))
     model = materialise(train(urls.withColumn("label", F.when(~F.col("held"), F.col("label")))), "url-model")
-    same = ["page_id", "url", "n", "host", "path", "rule", "label", "held"]
-    grams = urls.where("length(text) > 0").select(*same, "text", F.explode(_grams(F.col("text"))).alias("gram"))
-    scored = _look_up(grams, model, F.struct("page_id", "url")).groupBy(*same, "text").agg(F.sum("ratio").alias("sum"))
-    scored = scored.select(*same, F.floor(F.col("sum") / F.length("text") / STEP).alias("step"))
-    scored = materialise(scored.unionByName(urls.where("length(text) = 0").select(*same, F.lit(0).cast("long").alias("step"))), "url-scores")
+    # A character's row is an id and a gram: what else a url has would be copied as often as it is long.
+    grams = urls.where("length(text) > 0").select("id", F.explode(_grams(F.col("text"))).alias("gram"))
+    sums = _look_up(grams, model, F.col("id")).groupBy("id").agg(F.sum("ratio").alias("sum"))
+    step = F.when(F.length("text") > 0, F.floor(F.col("sum") / F.length("text") / STEP)).otherwise(0).cast("long")
+    scored = materialise(urls.join(sums, "id", "left").select("page_id", "n", "host", "path", "rule", "label", "held", step.alias("step")), "url-scores")
     least = threshold(scored.where("held"))
     if least is None:  # too few urls to hold any out
         least = threshold(scored)
