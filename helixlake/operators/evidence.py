@@ -48,8 +48,6 @@ CRITERIA = (
 HIGH_PRIORITY = ("vaccine_escape", "drug_resistance", "virulence")
 INVESTIGATE = ("immune_escape", "disease_severity", "host_adaptation", "vaccine_effectiveness")
 COUNTED_STRENGTH = ("strong", "moderate", "preliminary")
-# Copies of the list of all outbreaks that samples are dealt over.
-SALTS = 32
 
 
 def findings(rows: DataFrame, analysis: str, *rules: tuple[Column, Column | str, Column | str]) -> DataFrame:
@@ -78,15 +76,55 @@ def circulation_scenario(date: Column, first: Column, last: Column, in_country:
 
 
 def spread_scenarios(rows: DataFrame) -> DataFrame:
-    """Scores of new introduction, re-emergence and local persistence from the origin and the gap to the latest tip (gap_days)."""
-    other = F.col("origin_country") != F.col("country")
-    pairs = F.array(
-        F.when(other, F.struct(F.lit("new_introduction").alias("scenario"), F.lit(3).alias("points"))),
-        F.when(other & (F.col("gap_days") > 365), F.struct(F.lit("re_emergence").alias("scenario"), F.lit(3).alias("points"))),
-        F.when(other & ~(F.col("gap_days") > 365), F.struct(F.lit("local_persistence").alias("scenario"), F.lit(1).alias("points"))),
-        F.when(~other, F.struct(F.lit("local_persistence").alias("scenario"), F.lit(2).alias("points"))),
-    )
-    return rows.select("sample_id", F.explode(F.filter(pairs, lambda x: x.isNotNull())).alias("s")).select("sample_id", "s.*")
+    """Scores of new introduction, re-emergence and local persistence from the origin and the gap to the latest tip (gap_days).
+
+    The rule of the countries and the rule of the gap stand apart, and the points of one scenario are summed: a sample from its country of
+    origin within a year of the latest tip has 3 points for local persistence. Scenarios without points have no row; without a
+    country or an origin (null or empty) there are none.
+    """
+    named = F.coalesce(F.col("origin_country") != "", F.lit(False)) & F.coalesce(F.col("country") != "", F.lit(False))
+    same, late = F.lower("origin_country") == F.lower("country"), F.col("gap_days") > F.lit(365)
+    near = F.when(late, 0).when(F.col("gap_days").isNotNull(), 1).otherwise(0)
+    points = {"new_introduction": F.when(same, 0).otherwise(3), "re_emergence": F.when(late, 3).otherwise(0), "local_persistence": near + F.when(same, 2).otherwise(0)}
+    pairs = F.array(*[F.struct(F.lit(name).alias("scenario"), p.cast("int").alias("points")) for name, p in points.items()])
+    return rows.where(named).select("sample_id", F.explode(F.filter(pairs, lambda x: x["points"] > 0)).alias("s")).select("sample_id", "s.*")
+
+
+def origin_evidence(samples: DataFrame, tips: DataFrame, lineages: DataFrame, genomes: DataFrame, most_routes: int = 5) -> DataFrame:
+    """sample_id, origin, confidence, method, support, routes, gap_days of every sample (sample_id, country, date, lineage_id).
+
+    tips (sample_id, place, country, date): the nearest tips of each sample, a handful, the nearest first. Those of known country give the
+    origin (the nearest one's; high confidence from three on), how the origin's candidates share among them, the
+    routes between consecutive countries by date, each once, and the days from the latest of them to the sample. Without any, the
+    origin is where the lineage was first detected, else the first country it is reported from, else that of most of its genomes
+    (ties to the least name), whose shares are the support. support: "country:share" by share, then by first appearance.
+    """
+    known = tips.where("country is not null and country <> ''")
+    near = known.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("place", "country", "date"))).alias("t"))
+    dated = F.array_sort(F.transform(F.filter("t", lambda x: x["date"].isNotNull()), lambda x: F.struct(x["date"].alias("date"), x["place"].alias("place"), x["country"].alias("country"))))
+    names = F.transform("t", lambda x: x["country"])
+    share = lambda n, total: F.format_number(F.round(n / total, 3), 3)
+    counted = F.transform(F.array_distinct(names), lambda c, i: F.struct((-F.size(F.filter(names, lambda x: x == c))).alias("n"), i.alias("i"), c.alias("c")))
+    support = F.array_join(F.transform(F.array_sort(counted), lambda x: F.concat_ws(":", x["c"], share(-x["n"], F.size("t")))), ",")
+    near = near.select("sample_id", "t", dated.alias("d"), support.alias("support"))
+    steps = F.filter(F.zip_with(F.slice("d", 1, F.greatest(F.size("d") - 1, F.lit(0))), F.slice("d", 2, F.greatest(F.size("d") - 1, F.lit(0))), lambda a, b: F.when(a["country"] != b["country"], F.concat(a["country"], F.lit(" -> "), b["country"]))), lambda x: x.isNotNull())
+    near = near.select(
+        "sample_id", F.get("t", F.lit(0))["country"].alias("tip_origin"), F.size("t").alias("n_tips"), F.col("support").alias("tip_support"),
+        F.array_join(F.slice(F.array_distinct(steps), 1, most_routes), "; ").alias("tip_routes"), F.get("d", F.size("d") - 1)["date"].alias("latest"),
+    )
+    seen = genomes.where("lineage_id is not null and country is not null").groupBy(F.lower(F.trim("lineage_id")).alias("_l"), F.trim("country").alias("country")).agg(F.count(F.lit(1)).alias("n"))
+    common = seen.groupBy("_l").agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "country"))).alias("c"))  # a row a country of a lineage
+    common = common.select("_l", F.get("c", F.lit(0))["country"].alias("common"), F.array_join(F.transform("c", lambda x: F.concat_ws(":", x["country"], share(-x["n"], F.col("all")))), ",").alias("common_support"))
+    curated = lineages.select(F.lower(F.trim("lineage_id")).alias("_l"), "first_country", "countries_reported").join(common, "_l", "full")
+    rows = samples.withColumn("_l", F.lower(F.trim("lineage_id"))).join(near, "sample_id", "left").join(curated, "_l", "left")
+    of = lambda c, confidence, method, why, routes="": F.when(F.coalesce(c, F.lit("")) != "", F.struct(c.alias("origin"), confidence.alias("confidence"), F.lit(method).alias("method"), why.alias("support"), (routes if isinstance(routes, Column) else F.lit(routes)).alias("routes")))
+    first = F.get("countries_reported", F.lit(0))
+    o = F.coalesce(
+        of(F.col("tip_origin"), F.when(F.col("n_tips") >= 3, "high").otherwise("medium"), "nearest_tree_tips", F.col("tip_support"), F.col("tip_routes")), of(F.col("first_country"), F.lit("medium"), "first_country_detected_curated", F.col("first_country")),
+        of(first, F.lit("low"), "countries_reported_list", F.array_join("countries_reported", ",")), of(F.col("common"), F.lit("low"), "most_common_collection_country", F.col("common_support")),
+        F.struct(F.lit("").alias("origin"), F.lit("low").alias("confidence"), F.lit("").alias("method"), F.lit("").alias("support"), F.lit("").alias("routes")),
+    )
+    return rows.select("sample_id", "country", o.alias("o"), F.datediff("date", "latest").alias("gap_days")).select("sample_id", "country", "o.*", "gap_days")
 
 
 def relatedness(rows: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
@@ -111,51 +149,99 @@ def spillover_points(reservoir: Column, primary_host: Column, sample_host: Colum
 
 
 def integrated_inference(rows: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
-    """rows: sample_id, delay_days, gap_days, close_match, pathways, mismatch -> hidden generations, importation probability, findings."""
+    """rows: sample_id, delay_days, gap_days, close_match, pathways, mismatch -> findings, each with the generations, importation probability and spread score of its sample."""
     generations = F.floor(F.col("gap_days") / t.days_per_generation)
     spread = 2 * F.col("pathways").cast("int") + F.col("mismatch").cast("int")
     out = rows.withColumns({"generations": generations, "importation_probability": F.when(F.col("close_match") & (F.col("gap_days") <= 180), 0.2).otherwise(0.7), "spread_score": spread})
-    return findings(out, "integrated_inference", (F.col("delay_days") > t.clock_delay_days, "reporting_delay", "medium"), (F.col("generations") > 2, "undetected_chain", "medium"), (F.col("spread_score") >= 3, "international_spread_risk", "medium"))
+    numbers = out.select("sample_id", "generations", "importation_probability", "spread_score")
+    found = findings(out, "integrated_inference", (F.col("delay_days") > t.clock_delay_days, "reporting_delay", "medium"), (F.col("generations") > 2, "undetected_chain", "medium"), (F.col("spread_score") >= 3, "international_spread_risk", "medium"))
+    return numbers.join(found, "sample_id", "left")
+
+
+#: Findings that are also taken from what assertions say.
+SAID = (("continued_circulation", "continued circulation"), ("re-emergence", "re-emergence"))
 
 
 def criterion_scores(found: DataFrame, cap: int = 5) -> DataFrame:
-    """(sample_id, finding_type) -> sample_id, criterion, score: points of distinct findings, at most cap a criterion.
+    """(sample_id, finding_type[, assertion]) -> sample_id, criterion, score: points of distinct findings, at most cap a criterion.
 
-    A relatedness summary counts only where there is no close match.
+    A relatedness summary counts only where there is no close match. Where there are assertions, those that speak of continued circulation
+    or re-emergence count as these findings.
     """
     rules = F.broadcast(found.sparkSession.createDataFrame(list(CRITERIA), "criterion string, finding_type string, points int"))
-    once = found.select("sample_id", "finding_type").distinct()
+    kinds = F.col("finding_type")
+    if "assertion" in found.columns:
+        heard = [F.when(F.contains(F.lower("assertion"), F.lit(words)), name) for name, words in SAID]
+        kinds = F.explode(F.filter(F.array(kinds, *heard), lambda x: x.isNotNull()))
+    once = found.select("sample_id", kinds.alias("finding_type")).distinct()
     close = once.where("finding_type = 'close_genetic_match'").select("sample_id", F.lit("genetic_relatedness_summary").alias("finding_type"))
     rows = once.join(close, ["sample_id", "finding_type"], "left_anti").join(rules, "finding_type")
     return rows.groupBy("sample_id", "criterion").agg(F.least(F.sum("points"), F.lit(cap)).cast("int").alias("score"))
 
 
-def tier_of_scores(scores: DataFrame) -> DataFrame:
-    """sample_id, label, top: high_priority, investigate, monitor or routine, and the three highest criteria."""
-    place = F.row_number().over(W.partitionBy("sample_id").orderBy(F.col("score").desc(), "criterion"))
-    rows = scores.withColumn("place", place)
-    per = rows.groupBy("sample_id").agg(F.max("score").alias("most"), F.count_if(F.col("score") >= 3).alias("elevated"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") <= 3, F.struct("place", "criterion")))), lambda x: x["criterion"]), ",").alias("top"))
-    label = F.when((F.col("most") >= 4) & (F.col("elevated") >= 2), "high_priority").when((F.col("most") >= 4) | (F.col("elevated") >= 2), "investigate").when(F.col("most") >= 3, "monitor").otherwise("routine")
-    return per.select("sample_id", label.alias("label"), "top")
+def tier_of_scores(scores: DataFrame, tiers: DataFrame) -> DataFrame:
+    """scores and tiers (sample_id, tier) -> sample_id, label, top: high_priority, investigate, monitor or routine, and the three highest criteria.
+
+    The label needs the tier too: high_priority two elevated criteria and a tier of that rank, investigate one score of 4 or two elevated
+    criteria and that tier, monitor a score of 3 or any tier above routine. A sample without a tier is routine there, one
+    without scores has none. Criteria of equal scores stand in the order of the rules; those without a score aren't among the top.
+    """
+    order = {c: i for i, c in enumerate(dict.fromkeys(c for c, *_ in CRITERIA))}
+    rank = F.try_element_at(F.create_map(*[F.lit(x) for p in order.items() for x in p]), F.col("criterion"))
+    rows = scores.where("score > 0").select("sample_id", "score", F.struct((-F.col("score")).alias("s"), rank.alias("r"), "criterion").alias("c"))
+    per = rows.groupBy("sample_id").agg(F.max("score").alias("most"), F.count_if(F.col("score") >= 3).alias("elevated"), F.slice(F.sort_array(F.collect_list("c")), 1, 3).alias("first"))
+    per = per.join(tiers.groupBy("sample_id").agg(F.max(rank_of(F.col("tier"), RISK_TIERS)).alias("rank")), "sample_id", "full")
+    most, elevated, tier = (F.coalesce(c, F.lit(0)) for c in ("most", "elevated", "rank"))
+    of = {t: i for i, t in enumerate(RISK_TIERS)}
+    label = (
+        F.when((most >= 4) & (elevated >= 2) & (tier >= of["high_priority"]), "high_priority").when((most >= 4) | ((elevated >= 2) & (tier >= of["investigate"])), "investigate")
+        .when((most >= 3) | (tier >= of["monitor"]), "monitor").otherwise("routine")
+    )
+    return per.select("sample_id", label.alias("label"), F.coalesce(F.array_join(F.transform("first", lambda x: x["criterion"]), ","), F.lit("")).alias("top"))
+
+
+# Places whose mention in a travel history counts, and exposures that do.
+AFFECTED = ("drc", "congo", "democratic republic", "guinea", "sierra leone", "liberia")
+EXPOSURES = ("funeral", "contact")
+
+
+def travelled(history: Column, places: Column) -> Column:
+    """Whether someone has been to an affected place: the history must say so, and the places name one."""
+    named = F.lower(F.coalesce(places, F.lit("")))
+    return F.lower(F.coalesce(history, F.lit(""))).isin("yes", "true", "1") & reduce(lambda a, b: a | b, [F.contains(named, F.lit(p)) for p in AFFECTED])
+
+
+def exposed(text: Column) -> Column:
+    said = F.lower(F.coalesce(text, F.lit("")))
+    return reduce(lambda a, b: a | b, [F.contains(said, F.lit(w)) for w in EXPOSURES])
 
 
 def risk_tiers(rows: DataFrame) -> DataFrame:
-    """rows: sample_id, category, strength, hotspot, gap_years, seen_in_country, exposure -> the highest tier of each sample, with reasons.
+    """rows: sample_id, category, strength, hotspot, gap_years, seen_in_country, lineage_listed, travel, exposure -> sample_id, tier, reasons, confidence.
 
-    One row per variant and association; every rule names a tier, the highest wins.
+    One row per variant and association (category null: none); every rule names a tier, the highest wins. A variant that is new in
+    the country isn't asked for its lineage too. Confidence is low without associations and hotspots, medium if no association is
+    strong, else high.
     """
     counted = F.col("strength").isin(*COUNTED_STRENGTH)
+    of = lambda c, tier, reason: F.when(c, F.struct(F.lit(tier).alias("tier"), (F.lit(reason) if isinstance(reason, str) else reason).alias("reason")))
+    none = F.lit(None).cast("struct<tier: string, reason: string>")
+    phenotype = F.concat(F.lit("phenotype "), "category")
     rules = F.array(
-        F.when(counted & F.col("category").isin(*HIGH_PRIORITY), F.struct(F.lit("high_priority").alias("tier"), F.concat(F.lit("phenotype "), "category").alias("reason"))),
-        F.when(counted & F.col("category").isin(*INVESTIGATE), F.struct(F.lit("investigate").alias("tier"), F.concat(F.lit("phenotype "), "category").alias("reason"))),
-        F.when(F.col("hotspot"), F.struct(F.lit("monitor").alias("tier"), F.lit("functional hotspot").alias("reason"))),
-        F.when(F.col("gap_years") > 5, F.struct(F.lit("investigate").alias("tier"), F.lit("unseen for over five years").alias("reason"))).when(F.col("gap_years") > 0, F.struct(F.lit("monitor").alias("tier"), F.lit("seen after a gap").alias("reason"))),
-        F.when(~F.col("seen_in_country"), F.struct(F.lit("investigate").alias("tier"), F.lit("new in the country").alias("reason"))),
-        F.when(F.col("exposure"), F.struct(F.lit("investigate").alias("tier"), F.lit("exposure").alias("reason"))),
-    )
+        of(counted & F.col("category").isin(*HIGH_PRIORITY), "high_priority", phenotype), of(counted & F.col("category").isin(*INVESTIGATE), "investigate", phenotype), of(F.col("hotspot"), "monitor", "functional hotspot"),
+        F.coalesce(of(F.col("gap_years") > 5, "investigate", "unseen for over five years"), of(F.col("gap_years") > 0, "monitor", "seen after a gap"), none),
+        F.coalesce(of(~F.col("seen_in_country"), "investigate", "new in the country"), of(~F.col("lineage_listed"), "monitor", "not known of the lineage"), none),
+        of(F.col("travel"), "investigate", "travel to an affected region"), of(F.col("exposure"), "investigate", "exposure"),
+    )
+    said = lambda c: F.coalesce(F.bool_or(c), F.lit(False)).alias
+    facts = rows.groupBy("sample_id").agg(said(F.col("category").isNotNull())("matched"), said(F.col("hotspot"))("spot"), said(F.col("category").isNotNull() & (F.col("strength") == "strong"))("strong"))
+    bare = ~F.col("matched") & ~F.col("spot")
+    confidence = F.when(bare, "low").when(F.col("matched") & ~F.col("strong"), "medium").otherwise("high")
     hits = rows.select("sample_id", F.explode_outer(F.filter(rules, lambda x: x.isNotNull())).alias("r"))
     rank = F.coalesce(F.max(rank_of(F.col("r.tier"), RISK_TIERS)), F.lit(0))
-    return hits.groupBy("sample_id").agg(F.element_at(F.array(*map(F.lit, RISK_TIERS)), (rank + 1).cast("int")).alias("tier"), F.array_join(F.array_sort(F.collect_set("r.reason")), "; ").alias("reasons"))
+    per = hits.groupBy("sample_id").agg(F.element_at(F.array(*map(F.lit, RISK_TIERS)), (rank + 1).cast("int")).alias("tier"), F.collect_set("r.reason").alias("reasons")).join(facts, "sample_id")
+    reasons = F.array_join(F.array_sort(F.when(bare, F.array_union("reasons", F.array(F.lit("no curated phenotype")))).otherwise(F.col("reasons"))), "; ")
+    return per.select("sample_id", "tier", reasons.alias("reasons"), confidence.alias("confidence"))
 
 
 def quality_warnings(rows: DataFrame) -> DataFrame:
@@ -183,20 +269,25 @@ def intervention_findings(observed: DataFrame, associations: DataFrame, categori
     return per.join(F.broadcast(total), "phenotype_category").select("sample_id", "phenotype_category", "present", (F.col("known") - F.col("present")).alias("absent"), F.array_join("first", ",").alias("first"))
 
 
-def harmonise(variants: DataFrame, phenotypes: DataFrame, outbreaks: DataFrame) -> DataFrame:
-    """One evidence row per sample: its variants, their phenotypes, and the outbreaks of its lineage (all, if none is of it).
+def harmonise(variants: DataFrame, phenotypes: DataFrame, outbreaks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(samples, lists): one evidence row per sample, with its variants, their phenotypes and the key of its list of outbreaks; and the lists' rows (list_key, outbreak).
 
-    All distinct outbreaks are one row, computed once. Samples without outbreaks of their own are dealt over SALTS copies of
-    it, so that where it is too large to broadcast they don't meet it in one task.
+    A sample has the outbreaks of its lineage, or all of them, if none is of it. Lists are stored once, a row an outbreak, under a key that
+    is made of what they hold: lineages of the same outbreaks share one, and no list is copied into samples or put together in a task.
+    The key adds up the digests of the list's rows, so it too is made where the rows are.
     """
     seen = variants.select("sample_id", "lineage_id", "hgvs_p", "phenotype_key").join(phenotypes, "phenotype_key", "left")
     per = seen.groupBy("sample_id", "lineage_id").agg(F.array_sort(F.collect_set("hgvs_p")).alias("variants"), F.array_sort(F.collect_set("phenotype")).alias("phenotypes"))
-    by_lineage = outbreaks.where("outbreak is not null").groupBy("lineage_id").agg(F.array_sort(F.collect_set("outbreak")).alias("mine"))
-    every = outbreaks.where("outbreak is not null").select("outbreak").distinct().agg(F.array_sort(F.collect_list("outbreak")).alias("every"))
-    every = every.select("every", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_none"))
-    none = F.when(F.col("mine").isNull(), F.pmod(F.xxhash64("sample_id"), F.lit(SALTS)).cast("int"))
-    rows = per.join(by_lineage, "lineage_id", "left").withColumn("_none", none).join(every, "_none", "left")
-    return rows.withColumn("outbreaks", F.coalesce("mine", "every")).drop("mine", "every", "_none")
+    known = outbreaks.where("outbreak is not null").select("lineage_id", "outbreak").distinct()
+    half = lambda i: F.sum(F.conv(F.substring(F.sha2("outbreak", 256), i, 15), 16, 10).cast("decimal(20,0)"))
+    key = F.sha2(F.concat_ws(":", F.count(F.lit(1)), half(1), half(16)), 256).alias("list_key")
+    mine = known.where("lineage_id is not null").groupBy("lineage_id").agg(key)
+    every = known.select("outbreak").distinct()
+    whole = every.agg(key).first()["list_key"]  # one value
+    samples = per.join(mine, "lineage_id", "left").withColumn("list_key", F.coalesce("list_key", F.lit(whole)))
+    lists = mine.join(known, "lineage_id").select("list_key", "outbreak").distinct()
+    lists = lists.unionByName(every.select(F.lit(whole).alias("list_key"), "outbreak")).distinct()
+    return samples, lists
 
 
 def comparative_outbreaks(samples: DataFrame, outbreaks: DataFrame, most: int = 5) -> DataFrame:

@@ -7,6 +7,24 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+#: A key is hot with more than one in HOT_SHARE of the rows, HOT_ROWS at least.
+HOT_SHARE, HOT_ROWS = 10_000, 10_000
+
+
+def looked_up(rows: DataFrame, known: DataFrame, on: list[str]) -> DataFrame:
+    """rows (a written table) joined to known, which has one row a key; rows of hot keys stay where they are.
+
+    Less than HOT_SHARE keys can be hot, whatever the size of the table, so what is broadcast for them has a bound.
+    """
+    n = rows.count()
+    most = max(HOT_ROWS, n // HOT_SHARE)
+    if n <= most:
+        return rows.join(known, on)
+    hot = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*on)
+    held = known.join(F.broadcast(hot), on, "left_semi")
+    return rows.join(F.broadcast(hot), on, "left_anti").join(known, on).unionByName(rows.join(F.broadcast(held), on))
+
+
 def first_per(rows: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     """The first row of each key in the order given; the order should be total, else the row isn't determined."""
     return rows.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_place = 1").drop("_place")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.sinks import stored
 from .joins import first_per
 
 # Patterns of case and death counts, in order of preference.
@@ -210,36 +213,67 @@ def antibody_context(context: Column) -> Column:
     return context.rlike(ANTIBODY)
 
 
+#: Share of the kept count by which a report may be off and still be the same outbreak.
+NEAR = 0.02
+
+
 def similar_outbreaks(rows: DataFrame) -> DataFrame:
     """(country, year, ordinal, cases, deaths) -> the rows left after greedy merging within 2 % of an earlier one's counts.
 
-    Which row stays depends on the order, so each country and year is walked in order of its ordinals; that group is a
-    handful of reports of one outbreak season, and is walked in Arrow batches.
+    Which row stays depends on the order, but only where counts are near. Of reports with the same counts the first decides for
+    all, so a season (country and year) is its distinct counts; these are sorted by cases and cut wherever neighbours are over 2 % apart, as
+    no two reports across such a cut can be the same outbreak. What is walked in one task is a chain between two cuts, each
+    report against those kept in the neighbouring cells of a logarithmic grid, so a chain of any length takes linear time. Reports
+    without cases are equal to such of the same deaths only, and aren't walked. Rows without country or year all stay.
     """
-    import pandas as pd
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple] = []
-        stay = []
-        for row in group.sort_values("ordinal").itertuples(index=False):
-            c, d = (None if pd.isna(x) else int(x) for x in (row.cases, row.deaths))
-            same = False
-            for kc, kd in kept:
-                if kc is None or c is None:
-                    same = kc == c and kd == d
-                else:
-                    away = abs(kd - d) if kd is not None and d is not None else 0
-                    same = abs(kc - c) <= int(kc * 0.02) and away <= (int(kd * 0.02) if kd is not None else 0)
+    dated = rows.where("country is not null and year is not null")
+    season = ["country", "year"]
+    first = F.min(F.struct("ordinal", *[c for c in rows.columns if c != "ordinal"])).alias("row")
+    distinct = stored(dated.groupBy(*season, "cases", "deaths").agg(first), "outbreak-counts")
+    plain = distinct.where("cases is null").select("row.*")
+    counts = distinct.where("cases is not null").select(*season, "cases").distinct()
+    before = F.lag("cases").over(W.partitionBy(*season).orderBy("cases"))
+    cut = F.when(before.isNull() | (F.col("cases") - before > NEAR * F.greatest(F.abs("cases"), F.abs(before))), 1).otherwise(0)
+    chains = counts.withColumn("_cut", cut).withColumn("_chain", F.sum("_cut").over(W.partitionBy(*season).orderBy("cases"))).drop("_cut")
+    walked = distinct.where("cases is not null").join(chains, [*season, "cases"])
+    alone = walked.groupBy(*season, "_chain").agg(F.count(F.lit(1)).alias("_n"))
+    walked = stored(walked.join(alone, [*season, "_chain"]), "outbreak-chains")
+    kept = walked.where("_n = 1").select("row.*").unionByName(_greedy(walked.where("_n > 1"), season, rows))
+    return kept.unionByName(plain).select(*rows.columns).unionByName(rows.where("country is null or year is null"))
+
+
+def _greedy(walked: DataFrame, season: list[str], rows: DataFrame) -> DataFrame:
+    """The rows of chains that stay: the walk sees numbers only, the rows are joined back."""
+    numbered = walked.select(*season, "_chain", F.col("row.ordinal").alias("ordinal"), F.col("cases").cast("double").alias("cases"), F.col("deaths").cast("double").alias("deaths"), "row")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*season, "ordinal"]) + ", _chain long, cases double, deaths double"
+    stay = numbered.select(*season, "ordinal", "_chain", "cases", "deaths").groupBy(*season, "_chain").applyInPandas(_walk, schema)
+    stay = stay.select(*[F.col(c).alias(f"k_{c}") for c in (*season, "ordinal", "cases", "deaths")])
+    on = [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in (*season, "ordinal", "cases", "deaths")]
+    return numbered.join(stay, on, "left_semi").select("row.*")
+
+
+def _walk(chain):
+    """A chain's reports in the order of their ordinals, each held against those kept in the cells around its own."""
+    cell = lambda x: int(math.log(x) / math.log(1.03)) if x >= 1 else -1 - int(x < 0)  # noqa: E731  2 % apart are neighbours at most
+    cells: dict[int, dict] = {}
+    stay = []
+    for i, (c, d) in enumerate(zip((chain := chain.sort_values(["ordinal", "cases", "deaths"], ignore_index=True))["cases"], chain["deaths"], strict=True)):
+        d = None if d != d else d
+        at, by = cell(c), None if d is None else cell(d)
+        same = False
+        for near in (cells.get(at + k, {}) for k in (-1, 0, 1)):
+            held = near.values() if by is None else [near.get(k, ()) for k in (by - 1, by, by + 1, None)]
+            for kc, kd in (x for group in held for x in group):
+                away = abs(kd - d) if kd is not None and d is not None else 0
+                same = abs(kc - c) <= max(0, int(kc * NEAR)) and away <= (max(0, int(kd * NEAR)) if kd is not None else 0)
                 if same:
                     break
-            if not same:
-                kept.append((c, d))
-                stay.append(row)
-        return pd.DataFrame(stay, columns=group.columns)
-
-    dated = rows.where("country is not null and year is not null")
-    out = dated.groupBy("country", "year").applyInPandas(walk, rows.schema)
-    return out.unionByName(rows.where("country is null or year is null"))
+            if same:
+                break
+        if not same:
+            cells.setdefault(at, {}).setdefault(by, []).append((c, d))
+            stay.append(i)
+    return chain.iloc[stay]
 
 
 def distinct_titles(rows: DataFrame, key: Column) -> DataFrame:

@@ -210,17 +210,17 @@ def W07_similar_outbreaks(spark, sf_dir):
 
 # --- evidence ---------------------------------------------------------------------------------------------------------
 
-_SAMPLES = f"WITH {GM}, l AS (SELECT lineage_id, min(collection_date) AS first, max(collection_date) AS last FROM gm WHERE lineage_id IS NOT NULL AND CAST(genome_accession AS BIGINT) % 10 <> 0 AND collection_date BETWEEN DATE '1996-01-01' AND DATE '1998-06-30' GROUP BY 1)"
+_SAMPLES = f"WITH {GM}, l AS (SELECT lineage_id, min(collection_date) AS first, max(collection_date) AS last FROM gm WHERE lineage_id IS NOT NULL AND collection_date BETWEEN DATE '1996-01-01' AND DATE '1998-06-30' GROUP BY 1)"
 
 
 def _samples(d: Domain):
     g = d.genomes
-    known = g.where("lineage_id is not null and cast(genome_accession as bigint) % 10 <> 0 and collection_date between date'1996-01-01' and date'1998-06-30'").groupBy("lineage_id").agg(F.min("collection_date").alias("first"), F.max("collection_date").alias("last"))
-    return g.where("cast(genome_accession as bigint) % 10 = 0").join(known, "lineage_id")
+    known = g.where("lineage_id is not null and collection_date between date'1996-01-01' and date'1998-06-30'").groupBy("lineage_id").agg(F.min("collection_date").alias("first"), F.max("collection_date").alias("last"))
+    return g.join(known, "lineage_id")
 
 
 @query(f"""{_SAMPLES} SELECT genome_accession AS sample_id, CASE WHEN collection_country IN ('NATION_3', 'NATION_8', 'NATION_12') THEN CASE WHEN collection_date BETWEEN first AND last THEN 'continued_circulation' WHEN collection_date > last AND date_diff('day', last, collection_date) / 365.25 <= 2 THEN 'continued_circulation' WHEN collection_date > last THEN 're-emergence' WHEN collection_date < first THEN 'continued_circulation' ELSE 'uncertain' END
-ELSE CASE WHEN collection_date BETWEEN first AND last THEN 'geographic_expansion' WHEN collection_date > last THEN 'new_introduction_or_expansion' ELSE 'uncertain' END END AS scenario FROM gm JOIN l USING (lineage_id) WHERE CAST(genome_accession AS BIGINT) % 10 = 0""")
+ELSE CASE WHEN collection_date BETWEEN first AND last THEN 'geographic_expansion' WHEN collection_date > last THEN 'new_introduction_or_expansion' ELSE 'uncertain' END END AS scenario FROM gm JOIN l USING (lineage_id)""")
 def E10_scenario(spark, sf_dir):
     rows = _samples(Domain(spark, sf_dir))
     here = F.coalesce(F.col("collection_country").isin("NATION_3", "NATION_8", "NATION_12"), F.lit(False))
@@ -267,21 +267,44 @@ def E14_scores(spark, sf_dir):
     return E.criterion_scores(_found(Domain(spark, sf_dir)))
 
 
-@query(f"{_SCORES}, p AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, criterion) AS k FROM s) SELECT sample_id, CASE WHEN max(score) >= 4 AND count(*) FILTER (score >= 3) >= 2 THEN 'high_priority' WHEN max(score) >= 4 OR count(*) FILTER (score >= 3) >= 2 THEN 'investigate' WHEN max(score) >= 3 THEN 'monitor' ELSE 'routine' END AS label, string_agg(criterion, ',' ORDER BY k) FILTER (k <= 3) AS top FROM p GROUP BY 1")
-def E14_labels(spark, sf_dir):
-    return E.tier_of_scores(E.criterion_scores(_found(Domain(spark, sf_dir))))
+_RISK_ROWS = """SELECT {key} AS sample_id, CASE l_partkey % 6 WHEN 0 THEN 'vaccine_escape' WHEN 1 THEN 'immune_escape' WHEN 2 THEN 'host_range' WHEN 3 THEN 'virulence' WHEN 4 THEN 'other' END AS category, CASE l_suppkey % 3 WHEN 0 THEN 'strong' WHEN 1 THEN 'weak' ELSE 'insufficient' END AS strength,
+  l_quantity > 48 AS hotspot, CASE l_partkey % 9 WHEN 0 THEN 6 WHEN 1 THEN 2 ELSE 0 END AS gap_years, l_partkey % 50 <> 0 AS seen_in_country, l_suppkey % 8 <> 0 AS lineage_listed, CASE WHEN l_suppkey % 35 = 1 THEN 'Yes' ELSE 'no' END AS history, CASE WHEN l_partkey % 2 = 0 THEN 'Freetown, Sierra Leone' ELSE 'Oslo' END AS places,
+  CASE l_suppkey % 70 WHEN 0 THEN 'attended a Funeral' WHEN 2 THEN 'household contact' ELSE 'none known' END AS said FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+
+def _risk_sql(key: str) -> str:
+    """WITH clauses that end in (sample_id, t, reasons, confidence)."""
+    counted = "strength IN ('strong', 'moderate', 'preliminary')"
+    places = " OR ".join(f"contains(lower(places), '{p}')" for p in E.AFFECTED)
+    return f"""r AS ({_RISK_ROWS.format(key=key)}), h AS (SELECT sample_id, 3 AS t, 'phenotype ' || category AS reason FROM r WHERE {counted} AND category IN ('vaccine_escape', 'drug_resistance', 'virulence')
+UNION ALL SELECT sample_id, 2, 'phenotype ' || category FROM r WHERE {counted} AND category IN ('immune_escape', 'disease_severity', 'host_adaptation', 'vaccine_effectiveness') UNION ALL SELECT sample_id, 1, 'functional hotspot' FROM r WHERE hotspot
+UNION ALL SELECT sample_id, CASE WHEN gap_years > 5 THEN 2 ELSE 1 END, CASE WHEN gap_years > 5 THEN 'unseen for over five years' ELSE 'seen after a gap' END FROM r WHERE gap_years > 0
+UNION ALL SELECT sample_id, CASE WHEN NOT seen_in_country THEN 2 ELSE 1 END, CASE WHEN NOT seen_in_country THEN 'new in the country' ELSE 'not known of the lineage' END FROM r WHERE NOT seen_in_country OR NOT lineage_listed
+UNION ALL SELECT sample_id, 2, 'travel to an affected region' FROM r WHERE lower(history) IN ('yes', 'true', '1') AND ({places}) UNION ALL SELECT sample_id, 2, 'exposure' FROM r WHERE contains(lower(said), 'funeral') OR contains(lower(said), 'contact')
+UNION ALL SELECT sample_id, 0, 'no curated phenotype' FROM r GROUP BY 1 HAVING NOT bool_or(category IS NOT NULL) AND NOT bool_or(hotspot) UNION ALL SELECT sample_id, 0, NULL FROM r),
+risk AS (SELECT sample_id, max(t) AS t, coalesce(string_agg(DISTINCT reason, '; ' ORDER BY reason), '') AS reasons FROM h GROUP BY 1), sure AS (SELECT sample_id, CASE WHEN NOT bool_or(category IS NOT NULL) AND NOT bool_or(hotspot) THEN 'low' WHEN bool_or(category IS NOT NULL) AND NOT coalesce(bool_or(category IS NOT NULL AND strength = 'strong'), false) THEN 'medium' ELSE 'high' END AS confidence FROM r GROUP BY 1)"""
+
+
+def _risk(d: Domain, key: str):
+    rows = d.spark.sql(_RISK_ROWS.format(key=key).replace("FROM lineitem JOIN orders", "FROM {lineitem} JOIN {orders}"), lineitem=d.raw("lineitem"), orders=d.raw("orders"))
+    return E.risk_tiers(rows.withColumns({"travel": E.travelled(F.col("history"), F.col("places")), "exposure": E.exposed(F.col("said"))}))
 
 
-_RISK_ROWS = "SELECT l_orderkey AS sample_id, CASE l_partkey % 6 WHEN 0 THEN 'vaccine_escape' WHEN 1 THEN 'immune_escape' WHEN 2 THEN 'host_range' WHEN 3 THEN 'virulence' ELSE 'other' END AS category, CASE l_suppkey % 3 WHEN 0 THEN 'strong' WHEN 1 THEN 'weak' ELSE 'insufficient' END AS strength, l_quantity > 48 AS hotspot, CASE WHEN l_partkey % 9 = 0 THEN 6 ELSE 0 END AS gap_years, l_partkey % 50 <> 0 AS seen_in_country, l_suppkey % 70 = 0 AS exposure FROM lineitem"
+_ORDER = "list_position([" + ", ".join(f"'{c}'" for c in dict.fromkeys(c for c, *_ in E.CRITERIA)) + "], criterion)"
+
+
+@query(f"""{_SCORES}, {_risk_sql("o_custkey")}, p AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY score DESC, {_ORDER}) AS k FROM s WHERE score > 0), m AS (SELECT sample_id, max(score) AS most, count(*) FILTER (score >= 3) AS elevated, string_agg(criterion, ',' ORDER BY k) FILTER (k <= 3) AS top FROM p GROUP BY 1),
+z AS (SELECT sample_id, coalesce(most, 0) AS most, coalesce(elevated, 0) AS elevated, coalesce(top, '') AS top, coalesce(t, 0) + 1 AS tier FROM m FULL JOIN risk USING (sample_id))
+SELECT sample_id, CASE WHEN most >= 4 AND elevated >= 2 AND tier >= 4 THEN 'high_priority' WHEN most >= 4 OR (elevated >= 2 AND tier >= 3) THEN 'investigate' WHEN most >= 3 OR tier >= 2 THEN 'monitor' ELSE 'routine' END AS label, top FROM z""")
+def E14_labels(spark, sf_dir):
+    """Labels from the scores of the criteria and the risk tier of the same samples."""
+    d = Domain(spark, sf_dir)
+    return E.tier_of_scores(E.criterion_scores(_found(d)), _risk(d, "o_custkey"))
 
 
-@query(f"""WITH r AS ({_RISK_ROWS}), h AS (SELECT sample_id, 3 AS t, 'phenotype ' || category AS reason FROM r WHERE strength IN ('strong', 'moderate', 'preliminary') AND category IN ('vaccine_escape', 'drug_resistance', 'virulence')
-UNION ALL SELECT sample_id, 2, 'phenotype ' || category FROM r WHERE strength IN ('strong', 'moderate', 'preliminary') AND category IN ('immune_escape', 'disease_severity', 'host_adaptation', 'vaccine_effectiveness')
-UNION ALL SELECT sample_id, 1, 'functional hotspot' FROM r WHERE hotspot UNION ALL SELECT sample_id, 2, 'unseen for over five years' FROM r WHERE gap_years > 5 UNION ALL SELECT sample_id, 2, 'new in the country' FROM r WHERE NOT seen_in_country UNION ALL SELECT sample_id, 2, 'exposure' FROM r WHERE exposure UNION ALL SELECT sample_id, 0, NULL FROM r)
-SELECT sample_id, (['routine', 'monitor', 'investigate', 'high_priority'])[max(t) + 1] AS tier, coalesce(string_agg(DISTINCT reason, '; ' ORDER BY reason), '') AS reasons FROM h GROUP BY 1""")
+@query(f"WITH {_risk_sql('l_orderkey')} SELECT sample_id, (['routine', 'monitor', 'investigate', 'high_priority'])[t + 1] AS tier, reasons, confidence FROM risk JOIN sure USING (sample_id)")
 def E23_risk(spark, sf_dir):
-    Domain(spark, sf_dir).raw("lineitem").createOrReplaceTempView("risk_lineitem")
-    return E.risk_tiers(spark.sql(_RISK_ROWS.replace("FROM lineitem", "FROM risk_lineitem")))
+    return _risk(Domain(spark, sf_dir), "l_orderkey")
 
 
 @query(f"WITH {GM} SELECT genome_accession AS sample_id, concat_ws('; ', CASE WHEN collection_date IS NULL THEN 'no collection date' END, CASE WHEN collection_country IS NULL THEN 'no country' END, CASE WHEN lineage_id IS NULL THEN 'lineage unassigned' END, CASE WHEN completeness = 'partial' THEN 'partial genome' END) AS warnings FROM gm")

@@ -347,13 +347,6 @@ def E08_significance(spark, sf_dir):
     return rows.select("sample_id", "hgvs_p", "variant_type", kind.alias("significance"))
 
 
-@query("""WITH r AS (SELECT c_custkey AS sample_id, CASE c_custkey % 3 WHEN 0 THEN 'A' ELSE 'B' END AS origin, 'A' AS country, c_custkey % 500 AS gap FROM customer)
-SELECT sample_id, 'new_introduction' AS scenario, 3 AS points FROM r WHERE origin <> country UNION ALL SELECT sample_id, CASE WHEN gap > 365 THEN 're_emergence' ELSE 'local_persistence' END, CASE WHEN gap > 365 THEN 3 ELSE 1 END FROM r WHERE origin <> country UNION ALL SELECT sample_id, 'local_persistence', 2 FROM r WHERE origin = country""")
-def E11_spread_scenarios(spark, sf_dir):
-    rows = Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "case c_custkey % 3 when 0 then 'A' else 'B' end as origin_country", "'A' as country", "c_custkey % 500 as gap_days")
-    return E.spread_scenarios(rows)
-
-
 @query("SELECT c_custkey AS sample_id, 'genetic_relatedness' AS analysis, CASE WHEN c_custkey % 7 = 0 THEN 'no_relatedness' WHEN c_custkey % 12 <= 5 THEN 'close_genetic_match' ELSE 'genetic_relatedness_summary' END AS finding_type, CASE WHEN c_custkey % 7 = 0 THEN 'low' WHEN c_custkey % 12 <= 5 THEN 'high' ELSE 'medium' END AS confidence FROM customer")
 def E12_relatedness(spark, sf_dir):
     return E.relatedness(Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "case when c_custkey % 7 = 0 then null else c_custkey % 12 end as snps"))
@@ -380,11 +373,18 @@ def E18_spillover(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("sample_id"), E.spillover_points(animal(2, None), animal(3, " Human "), animal(5, "unknown")).alias("points"))
 
 
-@query("""WITH r AS (SELECT c_custkey AS sample_id, c_custkey % 60 AS delay, c_custkey % 80 AS gap, c_custkey % 2 = 0 AS pathways, c_custkey % 3 = 0 AS mismatch FROM customer)
-SELECT sample_id, 'integrated_inference' AS analysis, f AS finding_type, 'medium' AS confidence FROM (SELECT sample_id, unnest([CASE WHEN delay > 30 THEN 'reporting_delay' END, CASE WHEN floor(gap / 14) > 2 THEN 'undetected_chain' END, CASE WHEN pathways AND mismatch THEN 'international_spread_risk' END]) AS f FROM r) WHERE f IS NOT NULL""")
+@query(f"""WITH {GM}, r AS (SELECT genome_accession AS sample_id, date_diff('day', collection_date, CAST(ship AS DATE)) AS delay, date_diff('day', lag(collection_date) OVER (PARTITION BY lineage_id, collection_country ORDER BY collection_date NULLS FIRST, CAST(genome_accession AS BIGINT)), collection_date) AS gap,
+  lines > 4 AS pathways, nations > 2 AS mismatch, parts <= 2 AS close FROM gm JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS genome_accession, max(l_shipdate) AS ship, count(*) AS lines, count(DISTINCT s_nationkey) AS nations, count(DISTINCT l_partkey) AS parts FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) USING (genome_accession)),
+n AS (SELECT *, CAST(floor(gap / 14) AS BIGINT) AS generations, CASE WHEN close AND gap <= 180 THEN 0.2 ELSE 0.7 END AS importation_probability, CASE WHEN pathways THEN 2 ELSE 0 END + CASE WHEN mismatch THEN 1 ELSE 0 END AS spread_score FROM r),
+f AS (SELECT sample_id, unnest([CASE WHEN delay > 30 THEN 'reporting_delay' END, CASE WHEN generations > 2 THEN 'undetected_chain' END, CASE WHEN spread_score >= 3 THEN 'international_spread_risk' END]) AS finding_type FROM n)
+SELECT n.sample_id, generations, CAST(importation_probability AS DOUBLE) AS importation_probability, spread_score, CASE WHEN f.finding_type IS NOT NULL THEN 'integrated_inference' END AS analysis, f.finding_type, CASE WHEN f.finding_type IS NOT NULL THEN 'medium' END AS confidence FROM n LEFT JOIN (SELECT * FROM f WHERE finding_type IS NOT NULL) f USING (sample_id)""")
 def E19_integrated(spark, sf_dir):
-    rows = Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "c_custkey % 60 as delay_days", "c_custkey % 80 as gap_days", "true as close_match", "c_custkey % 2 = 0 as pathways", "c_custkey % 3 = 0 as mismatch")
-    return E.integrated_inference(rows)
+    """Hidden generations, importation probability and spread score of every genome, from dates and places of its lines, with the findings they give."""
+    d = Domain(spark, sf_dir)
+    lines = d.raw("lineitem").join(d.raw("supplier"), F.expr("l_suppkey = s_suppkey")).groupBy(F.col("l_orderkey").cast("string").alias("genome_accession")).agg(F.max("l_shipdate").alias("ship"), F.count(F.lit(1)).alias("lines"), F.count_distinct("s_nationkey").alias("nations"), F.count_distinct("l_partkey").alias("parts"))
+    before = F.lag("collection_date").over(W.partitionBy("lineage_id", "collection_country").orderBy("collection_date", F.col("genome_accession").cast("long")))
+    rows = d.genomes.withColumn("before", before).join(lines, "genome_accession")
+    return E.integrated_inference(rows.selectExpr("genome_accession as sample_id", "datediff(cast(ship as date), collection_date) as delay_days", "datediff(collection_date, before) as gap_days", "parts <= 2 as close_match", "lines > 4 as pathways", "nations > 2 as mismatch"))
 
 
 @query(f"""WITH {PV}, {GP} SELECT genome_accession AS sample_id, association_id, CASE WHEN gp.position IS NOT NULL THEN 'exact' ELSE 'gene' END AS way FROM (SELECT DISTINCT genome_accession, species_id, gene, position, alt_aa FROM pv) v JOIN gp ON gp.species_id = v.species_id AND gp.protein = v.gene

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -33,7 +35,7 @@ def S12_entity_views(spark, sf_dir):
     from ..sources import readers
 
     d = Domain(spark, sf_dir)
-    folder = f"{sinks.shared_folder(spark)}/entities"
+    folder = f"{sinks.shared_folder(spark)}/entities-{uuid.uuid4().hex}"
     sinks.write_entities({"nation_entity": d.raw("nation")}, folder)
     readers.entity_views(spark, folder, ["nation_entity"])
     return spark.sql("SELECT n_nationkey, upper(n_name) AS name FROM nation_entity")
@@ -95,8 +97,10 @@ def J19_harmonised(spark, sf_dir):
     v = V.variant_profile(d.calls, d.genomes).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
     p = v.select("phenotype_key").distinct().withColumn("phenotype", F.concat(F.lit("P:"), "phenotype_key"))
     o = d.genomes.where("lineage_id is not null and lineage_id <> 'BUILDING' and collection_country is not null").select(F.col("collection_country").alias("outbreak"), "lineage_id").distinct()
-    joined = [F.array_join(c, ",").alias(c) for c in ("outbreaks", "variants", "phenotypes")]
-    return E.harmonise(v, p, o).select("sample_id", "lineage_id", *joined)
+    samples, lists = E.harmonise(v, p, o)
+    said = lists.groupBy("list_key").agg(F.array_join(F.array_sort(F.collect_list("outbreak")), ",").alias("outbreaks"))  # of countries, to be held against SQL
+    joined = [F.array_join(c, ",").alias(c) for c in ("variants", "phenotypes")]
+    return samples.join(F.broadcast(said), "list_key").select("sample_id", "lineage_id", "outbreaks", *joined)
 
 
 @query(f"WITH {RP} SELECT ordinal AS id, w AS name FROM rp, (VALUES ('PCR'), ('ELISA'), ('funeral')) t(w) WHERE regexp_matches(lower(text), '(^|[^a-z0-9_])' || lower(w) || '($|[^a-z0-9_])')")

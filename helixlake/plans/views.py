@@ -100,24 +100,47 @@ def phenotype_inventory(associations: DataFrame) -> DataFrame:
     return associations.groupBy(*keys, association_label().alias("label")).agg(F.count(F.lit(1)).alias("candidate_count"))
 
 
+#: Associations of a key that stand in one array.
+CHUNK = 1_000
+
+
 def _by_key(associations: DataFrame, condition: str, name: str, *keys: str) -> DataFrame:
-    """scope, keys, name: the associations that meet the condition, an array a key."""
+    """scope, keys, name, name_chunk: the associations that meet the condition, in arrays of about CHUNK by key, numbered from 0."""
+    by = [*SCOPE, *[f"k_{k}" for k in keys]]
     a = associations.where(condition).select(*SCOPE, *[F.col(k).alias(f"k_{k}") for k in keys], F.struct(*[F.col(c).alias(f"g_{c}") for c in associations.columns if c not in SCOPE]).alias("g"))
-    return a.groupBy(*SCOPE, *[f"k_{k}" for k in keys]).agg(F.collect_list("g").alias(name))
+    most = a.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    dealt = F.pmod(F.xxhash64("g"), F.lit(-(-most // CHUNK) or 1))
+    lists = a.groupBy(*by, dealt.alias("_dealt")).agg(F.collect_list("g").alias(name))
+    place = (F.row_number().over(W.partitionBy(*by).orderBy("_dealt")) - 1) if most > CHUNK else F.lit(0)
+    return lists.withColumn(f"{name}_chunk", place).drop("_dealt")
+
 
+def _joined(rows: DataFrame, lists: DataFrame, *first: str, **keys: str) -> DataFrame:
+    """rows left-joined to the lists on scope and keys (key of the association = column of the rows).
 
-def _joined(rows: DataFrame, lists: DataFrame, **keys: str) -> DataFrame:
-    """rows left-joined to the lists on scope and keys (key of the association = column of the rows)."""
+    A row comes once for each array of its key. first: chunk columns of the rows of which only the first array's row goes on, so that
+    ways of several arrays add up and don't multiply.
+    """
     lists = lists.select(*[F.col(c).alias(f"_{c}") for c in SCOPE], *lists.columns[len(SCOPE) :])
-    on = [F.col(c) == F.col(f"_{c}") for c in SCOPE] + [F.col(c) == F.col(f"k_{k}") for k, c in keys.items()]
+    on = [F.col(c) == F.col(f"_{c}") for c in SCOPE] + [F.col(c) == F.col(f"k_{k}") for k, c in keys.items()] + [F.coalesce(c, F.lit(0)) == 0 for c in first]
     return rows.join(lists, reduce(lambda a, b: a & b, on), "left").drop(*[f"_{c}" for c in SCOPE], *[f"k_{k}" for k in keys])
 
 
 def _exact_and_gene(rows: DataFrame, associations: DataFrame) -> DataFrame:
-    """rows + exact, by_gene: the associations of exactly the row's mutation, and of its gene without a position."""
+    """rows + exact, by_gene and their chunks: the associations of exactly the row's mutation, and of its gene without a position."""
     exact = _by_key(associations, "protein is not null and position is not null and alt_aa is not null", "exact", "protein", "position", "alt_aa")
     gene = _by_key(associations, "protein is not null and position is null", "by_gene", "protein")
-    return _joined(_joined(rows, exact, protein="gene", position="position", alt_aa="alt_aa"), gene, protein="gene")
+    return _joined(_joined(rows, exact, protein="gene", position="position", alt_aa="alt_aa"), gene, "exact_chunk", protein="gene")
+
+
+def _later(*chunks: str) -> Column:
+    """Whether a row is there for a further array of one of these ways only: what it has of the ways before is in another row."""
+    return reduce(lambda a, b: a | b, [F.coalesce(F.col(c), F.lit(0)) > 0 for c in chunks])
+
+
+def _listed(array: Column) -> Column:
+    """An array, empty for null."""
+    return F.when(array.isNull(), F.array()).otherwise(array)
 
 
 def _is_exact(x: Column) -> Column:
@@ -125,11 +148,6 @@ def _is_exact(x: Column) -> Column:
     return F.coalesce(same, F.lit(False))
 
 
-def _listed(name: str, keep=None) -> Column:
-    """An array column, empty for null, of what keep lets through."""
-    return F.when(F.col(name).isNull(), F.array()).otherwise(F.filter(name, keep) if keep else F.col(name))
-
-
 def with_phenotype(profile: DataFrame, associations: DataFrame) -> DataFrame:
     """Calls left-joined to associations on exact mutation, lineage, or gene alone (association without position).
 
@@ -138,10 +156,16 @@ def with_phenotype(profile: DataFrame, associations: DataFrame) -> DataFrame:
     meets several ways is taken by the first of them.
     """
     lineage = _by_key(associations, "lineage_id is not null", "by_lineage", "lineage_id")
-    rows = _joined(_exact_and_gene(profile, associations), lineage, lineage_id="lineage_id")
+    rows = _joined(_exact_and_gene(profile, associations), lineage, "exact_chunk", "by_gene_chunk", lineage_id="lineage_id")
     other = lambda x: ~F.coalesce(x["g_lineage_id"] == F.col("lineage_id"), F.lit(False))
-    every = F.concat(_listed("exact"), _listed("by_lineage", lambda x: ~_is_exact(x)), _listed("by_gene", other))
-    return rows.select(*profile.columns, F.explode_outer(every).alias("g")).select(*profile.columns, "g.*")
+    none = F.filter("by_gene", lambda x: F.lit(False))
+    exact = F.when(_later("by_gene_chunk", "by_lineage_chunk"), F.filter("exact", lambda x: F.lit(False))).otherwise(F.col("exact"))
+    gene = F.when(_later("by_lineage_chunk"), none).otherwise(F.filter("by_gene", other))
+    every = F.concat(_listed(exact), _listed(F.filter("by_lineage", lambda x: ~_is_exact(x))), _listed(gene))
+    rows = rows.withColumn("every", every).where((F.size("every") > 0) | ~_later("exact_chunk", "by_gene_chunk", "by_lineage_chunk"))
+    # The first row of a call may be left without any only if its ways are in further rows: an association that is left out of one way
+    # is in the array of another, whose first part is in that same row or whose row is its own.
+    return rows.select(*profile.columns, F.explode_outer("every").alias("g")).select(*profile.columns, "g.*")
 
 
 def phenotype_geo_temporal(profile: DataFrame, associations: DataFrame) -> DataFrame:
@@ -186,12 +210,13 @@ def catalogue_with_phenotype(rows: DataFrame, associations: DataFrame) -> DataFr
     that have (as many as there are lineages), so that a variant without any stays in the one row that it is read in.
     """
     lineage = _by_key(associations, "lineage_id is not null", "by_lineage", "lineage_id")
-    known = lineage.groupBy(*SCOPE).agg(F.collect_set("k_lineage_id").alias("known"))
+    known = lineage.groupBy(*SCOPE).agg(F.collect_set("k_lineage_id").alias("known"))  # of lineages
     base = _joined(_exact_and_gene(rows, associations), known)
     meets = F.coalesce(F.arrays_overlap("lineage_ids", "known"), F.lit(False))
     other = lambda x: ~F.coalesce(F.array_contains("lineage_ids", x["g_lineage_id"]), F.lit(False))
-    direct = F.concat(_listed("exact"), _listed("by_gene", other))
-    alone = base.withColumn("every", direct).where((F.size("every") > 0) | ~meets).select(*rows.columns, F.explode_outer("every").alias("g"))
+    exact = F.when(_later("by_gene_chunk"), F.filter("exact", lambda x: F.lit(False))).otherwise(F.col("exact"))
+    direct = F.concat(_listed(exact), _listed(F.filter("by_gene", other)))
+    alone = base.withColumn("every", direct).where((F.size("every") > 0) | ~(meets | _later("exact_chunk", "by_gene_chunk"))).select(*rows.columns, F.explode_outer("every").alias("g"))
     through = _joined(rows.withColumn("one", F.explode("lineage_ids")), lineage, lineage_id="one").where("by_lineage is not null")
     through = through.select(*rows.columns, F.explode(F.filter("by_lineage", lambda x: ~_is_exact(x))).alias("g"))
     return alone.unionByName(through).select(*rows.columns, "g.*")

@@ -105,7 +105,9 @@ def parse_newick(text: str) -> list[tuple[int, int | None, str, float]]:
             i = j - 1
         elif c in "'\"":
             j = text.index(c, i + 1)
-            nodes[at][2] = text[i + 1 : j]
+            while text[j + 1 : j + 2] == c:  # doubled: a quote within the label
+                j = text.index(c, j + 2)
+            nodes[at][2] = text[i + 1 : j].replace(c + c, c)
             i = j
         elif c == ";":
             break
@@ -137,6 +139,18 @@ def newick_tips(trees: DataFrame) -> DataFrame:
     return trees.select("tree_id", "newick").mapInPandas(run, "tree_id string, tip string, parent int, root_distance double")
 
 
+def newick_nodes(trees: DataFrame) -> DataFrame:
+    """(tree_id, newick) -> tree_id, node, parent, length, label, rooted: a row a node. A tree is rooted if its text says [&R]."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for tree, text in zip(b["tree_id"], b["newick"], strict=True):
+                rows = [(tree, n, parent, length, label, "[&R]" in (text or "").upper()) for n, parent, label, length in parse_newick(text or "")]
+                yield pd.DataFrame(rows, columns=["tree_id", "node", "parent", "length", "label", "rooted"]).astype({"parent": "Int32"})
+
+    return trees.select("tree_id", "newick").mapInPandas(run, "tree_id string, node int, parent int, length double, label string, rooted boolean")
+
+
 def annotations(landing: DataFrame) -> DataFrame:
     """Literature records (id, passages[text, annotations[text, type, identifier, offset]]) -> one row per annotation."""
     passages = landing.select("id", F.posexplode("passages").alias("passage", "p"))

@@ -22,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[0]
 
 
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write df in the shared folder and read it back: lineage is cut, and any executor can be lost."""
+    path = f"{shared_folder(df.sparkSession)}/helixlake/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialised_view(df: DataFrame, name: str, partition: str, order: list[str], folder: str | None = None) -> DataFrame:
     """Write a view as Parquet by `partition`, each file sorted by the lookup key, and read it back.
 

@@ -97,13 +97,19 @@ def test_a_lineage_without_outbreaks_gets_all_of_them(spark):
     p = spark.createDataFrame([("k", "P")], "phenotype_key string, phenotype string")
     many = [(f"o{i:05}", "other") for i in range(2500)]
     own = [("o1", "a"), ("o1", "a"), (None, "c")]
-    got = {r["sample_id"]: r for r in E.harmonise(v, p, spark.createDataFrame(many + own, "outbreak string, lineage_id string")).collect()}
+    def listed(outbreaks):
+        samples, lists = E.harmonise(v, p, outbreaks)
+        held = {}
+        for r in lists.collect():
+            held.setdefault(r["list_key"], []).append(r["outbreak"])
+        return {r["sample_id"]: (r, sorted(held.get(r["list_key"], []))) for r in samples.collect()}
+
+    got = listed(spark.createDataFrame(many + own, "outbreak string, lineage_id string"))
     every = sorted({o for o, _ in many + own if o})
-    assert {s: r["outbreaks"] for s, r in got.items()} == {"s1": ["o1"], "s2": every, "s3": every, "s4": every}
-    assert got["s1"]["variants"] == ["h1"] and got["s1"]["phenotypes"] == ["P"] and got["s3"]["phenotypes"] == []
-    none = E.harmonise(v, p, spark.createDataFrame([], "outbreak string, lineage_id string"))
-    assert none.columns == ["lineage_id", "sample_id", "variants", "phenotypes", "outbreaks"]
-    assert [r["outbreaks"] for r in none.collect()] == [[]] * 4
+    assert {s: found for s, (_, found) in got.items()} == {"s1": ["o1"], "s2": every, "s3": every, "s4": every}
+    assert got["s1"][0]["variants"] == ["h1"] and got["s1"][0]["phenotypes"] == ["P"] and got["s3"][0]["phenotypes"] == []
+    none = listed(spark.createDataFrame([], "outbreak string, lineage_id string"))
+    assert [found for _, found in none.values()] == [[]] * 4
 
 
 def test_phenotype_join_matches_plain_loop(spark):
