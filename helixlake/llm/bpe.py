@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from .common import chunks
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Words (pairs of tokens) that a task remembers before it starts over: some 30 MB.
-REMEMBERED = 150_000
+#: Bytes of words with their encodings (twice that, with those of the generation before), and pairs of tokens, that a worker remembers from slice
+#: to slice and task to task.
+REMEMBERED, PAIRS = 32_000_000, 300_000
+#: What an entry of a dictionary takes besides its word and encoding.
+ENTRY = 200
 
 
 class Encoder:
@@ -59,6 +62,8 @@ class Encoder:
             self.reach[piece[-3:]] = max(len(piece), self.reach.get(piece[-3:], 0))
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}  # ids as 32-bit integers, which take half the room of a tuple
+        self.held = 0  # bytes of known
+        self.before: dict[str, bytes] = {}  # what was known until it was full: words that come again are taken over
 
     def _edge(self, token: int, side: int) -> Iterator[tuple[int, int]]:
         """The tokens that stand at a token's left (0) or right (1) end while it is put together, each with the rank of the
@@ -107,7 +112,7 @@ class Encoder:
         part of the path are kept as they are, those below are computed from the states above them. A node's encoding is
         the chain of last tokens back to the root.
         """
-        token, follows, reach = self.token, self.follows, self.reach
+        token, follows, reach, fits = self.token, self.follows, self.reach, self.fits
         last: list[int] = []
         start: list[int] = []
         before = b""
@@ -115,6 +120,7 @@ class Encoder:
             n = len(piece)
             if piece in token:
                 self.known[word] = array("I", (token[piece],)).tobytes()
+                self.held += n + ENTRY
                 continue
             shared = 0
             for x, y in zip(before, piece):
@@ -123,12 +129,23 @@ class Encoder:
                 shared += 1
             del last[shared:], start[shared:]
             for end in range(shared + 1, n + 1):
-                for begin in range(max(0, end - reach.get(piece[max(0, end - 3) : end], 2)), end):
-                    t = token.get(piece[begin:end])
-                    if t is not None and (begin == 0 or follows(last[begin - 1], t)):
-                        last.append(t)
-                        start.append(begin)
-                        break
+                # Only one last token is right, so any order of trying will do: mostly it goes on with the one before, or begins anew.
+                at = start[-1] if start else 0
+                t = token.get(piece[at:end])
+                if t is not None and at:
+                    fit = fits.get(last[at - 1] << 20 | t)
+                    if not (follows(last[at - 1], t) if fit is None else fit):
+                        t = None
+                if t is None:
+                    at = end - 1
+                    t = token[piece[at:end]]
+                    if at and not follows(last[at - 1], t):
+                        for at in range(max(0, end - reach.get(piece[max(0, end - 3) : end], 2)), end - 1):
+                            t = token.get(piece[at:end])
+                            if t is not None and (at == 0 or follows(last[at - 1], t)):
+                                break
+                last.append(t)
+                start.append(at)
             before = piece
             ids, at = [], n
             while at:
@@ -136,6 +153,7 @@ class Encoder:
                 at = start[at - 1]
             ids.reverse()
             self.known[word] = array("I", ids).tobytes()
+            self.held += n + 4 * len(ids) + ENTRY
 
     def encode_batch(self, texts: list[str]) -> Iterator[list[int]]:
         split = []
@@ -143,19 +161,20 @@ class Encoder:
             pieces = self.split_added.split(text) if self.split_added and any(a in text for a in self.added) else [text]
             split.append([[p] if p in self.added else self.words.findall(p) for p in pieces])
         words = set(chain.from_iterable(chain.from_iterable(split)))
-        for memory in (self.known, self.fits):
-            if len(memory) > REMEMBERED:
-                memory.clear()
+        if self.held > REMEMBERED:
+            self.before, self.known, self.held = self.known, {}, 0
+        if len(self.fits) > PAIRS:
+            self.fits = {}
         self.known |= {a: array("I", (i,)).tobytes() for a, i in self.added.items()}
-        self.learn(words - self.known.keys())
-        known = self.known
+        known, before = self.known, self.before
+        new = words - known.keys()
+        for word in new & before.keys():
+            known[word] = before[word]
+            self.held += len(word) + len(before[word]) + ENTRY
+        self.learn(new - before.keys())
         for pieces in split:
             yield memoryview(b"".join(map(known.__getitem__, chain.from_iterable(pieces)))).cast("I").tolist()
 
-    def forget(self) -> None:
-        """Let go of what was learnt: between tasks a worker holds the tokenizer only."""
-        self.known, self.fits = {}, {}
-
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", errors="replace")
 
@@ -170,12 +189,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path or public_tokenizers.path(TOKENIZER))
-        try:
-            for part, texts in chunks(batches):
-                ids = list(bpe.encode_batch(texts))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
-        finally:
-            bpe.forget()
+        for part, texts in chunks(batches):
+            ids = list(bpe.encode_batch(texts))
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(map(bpe.decode, ids), pa.string())], ["doc_id", "ids", "decoded"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
@@ -185,12 +201,9 @@ def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path or public_tokenizers.path(TOKENIZER))
-        try:
-            for part, texts in chunks(batches):
-                rows = [(len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()) for ids in bpe.encode_batch(texts)]
-                n, one, two = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        finally:
-            bpe.forget()
+        for part, texts in chunks(batches):
+            rows = [(len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(bpe.decode(ids).encode()).hexdigest()) for ids in bpe.encode_batch(texts)]
+            n, one, two = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n, pa.int64()), pa.array(one), pa.array(two)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
