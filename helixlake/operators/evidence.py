@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.scalars import parse_protein_change
 from ..schemas import RISK_TIERS, rank_of
 
 
@@ -259,6 +260,60 @@ def network(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, reduce(DataFrame.unionByName, [edge(*x) for x in links]).distinct()
 
 
+def significance(calls: DataFrame, catalogue: DataFrame) -> DataFrame:
+    """calls (sample_id, lineage_id, gene, position, ref_aa, alt_aa, ..., hotspot, phenotypes) -> each with its place in the mutation profile.
+
+    catalogue: gene, position, alt_aa, lineage_ids. synonymous if the residue doesn't change; absent if the catalogue doesn't know it, typical if
+    it is known of the sample's lineage, else atypical. Genes and residues are compared in upper case; a call without gene or
+    position has no place. Of several rows of a mutation the first by its lineages counts.
+    """
+    up = lambda c: F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    known = catalogue.select(up(F.col("gene")).alias("_g"), F.col("position").alias("_p"), up(F.col("alt_aa")).alias("_a"), "lineage_ids").groupBy("_g", "_p", "_a").agg(F.min("lineage_ids").alias("_lineages"))
+    rows = calls.where(F.col("position").isNotNull() & (F.trim(F.coalesce("gene", F.lit(""))) != ""))
+    rows = rows.withColumns({"_g": up(F.col("gene")), "_p": F.col("position"), "_a": up(F.col("alt_aa"))}).join(known.withColumn("_hit", F.lit(True)), ["_g", "_p", "_a"], "left")
+    place = F.when(up(F.col("ref_aa")) == F.col("_a"), "synonymous").when(F.col("_hit").isNull(), "absent").when(F.coalesce(F.array_contains("_lineages", F.col("lineage_id")), F.lit(False)), "typical").otherwise("atypical")
+    return rows.select(*calls.columns, place.alias("significance"))
+
+
+def significance_findings(placed: DataFrame) -> DataFrame:
+    """(sample_id, significance, hotspot, phenotypes) -> the findings of each sample's profile, and its gap if no phenotype is known."""
+    has = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    facts = placed.groupBy("sample_id").agg(*[has(F.col("significance") == k).alias(k) for k in ("typical", "atypical", "absent", "synonymous")], has(F.col("hotspot")).alias("spot"), has(F.col("phenotypes") > 0).alias("known"))
+    of = lambda c: F.col(c)
+    return findings(
+        facts, "genomic_significance", (of("typical"), "typical", "high"), (of("atypical"), "atypical", "medium"), (of("absent"), "uncharacterized", "medium"), (of("synonymous"), "synonymous", "high"),
+        (of("spot"), "functional_hotspot", "high"), (of("known"), "known_phenotype", "medium"), (~of("known"), "no_known_phenotype", "low"),
+    )
+
+
+def match_phenotypes(variants: DataFrame, associations: DataFrame) -> DataFrame:
+    """variants (sample_id, species_id, gene, position, ref_aa, alt_aa, domain) x associations -> sample_id, association_id, way: each once, by its first way.
+
+    associations: association_id, species_id, protein, position, alt_aa, description, notation. exact: gene, position and residue; motif, where
+    there is no position or residue: a word after "motif:" or "domain:" in the description that holds the variant's domain or lies in it;
+    notation: a change in one- or three-letter code, read once on either side; gene: an association without a position of the gene. Words of a
+    gene are held against its domains once each, not for every sample.
+    """
+    up = lambda c: F.upper(F.trim(c))
+    v = variants.select("sample_id", "species_id", up(F.col("gene")).alias("gene"), "position", up(F.col("ref_aa")).alias("ref_aa"), up(F.col("alt_aa")).alias("alt_aa"), F.lower(F.trim("domain")).alias("domain")).distinct()
+    a = associations.select("association_id", "species_id", up(F.col("protein")).alias("gene"), "position", up(F.col("alt_aa")).alias("alt_aa"), F.lower("description").alias("description"), "notation")
+    scope = ["species_id", "gene"]
+    exact = v.join(a.where("position is not null and alt_aa <> ''").select(*scope, "position", "alt_aa", "association_id"), [*scope, "position", "alt_aa"])
+    after = lambda w: F.trim(F.regexp_extract("description", rf"{w}:([^,]*)", 1))
+    word = F.when(F.contains("description", F.lit("motif:")), after("motif")).otherwise(after("domain"))
+    words = a.where("position is null or alt_aa is null or alt_aa = ''").select(*scope, "association_id", word.alias("word")).where("word <> ''")
+    domains = v.where("domain is not null and domain <> ''").select(*scope, "domain").distinct()
+    fits = words.select(*scope, "word").distinct().join(domains, scope).where(F.contains("domain", "word") | F.contains("word", "domain"))
+    motif = v.join(fits, [*scope, "domain"]).join(words, [*scope, "word"])
+    change = parse_protein_change(F.col("notation"))
+    noted = a.where("notation is not null").select(*scope, "association_id", change.alias("m")).where("m is not null").select(*scope, "association_id", F.col("m.ref").alias("ref_aa"), F.col("m.position").alias("position"), F.col("m.alt").alias("alt_aa"))
+    notation = v.join(noted, [*scope, "ref_aa", "position", "alt_aa"])
+    gene = v.select("sample_id", *scope).distinct().join(a.where("position is null").select(*scope, "association_id"), scope)
+    ways = [rows.select("sample_id", "association_id", F.lit(i).alias("i")) for i, rows in enumerate((exact, motif, notation, gene))]
+    best = reduce(DataFrame.unionByName, ways).groupBy("sample_id", "association_id").agg(F.min("i").alias("i"))
+    return best.select("sample_id", "association_id", F.get(F.array(*map(F.lit, ("exact", "motif", "notation", "gene"))), F.col("i")).alias("way"))
+
+
 def intervention_findings(observed: DataFrame, associations: DataFrame, categories: tuple[str, ...], most: int = 5) -> DataFrame:
     """Per sample and intervention category: how many associated variants it has and lacks, and the first ones it has."""
     keys = ["gene", "position", "alt_aa"]

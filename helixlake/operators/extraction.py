@@ -6,14 +6,19 @@ Null texts tell nothing. Each rule is an expression, so that a text is read in o
 
 from __future__ import annotations
 
+import heapq
+import json
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import parse_gene_mutation, region_of
+from ..sources.sinks import stored
 from .mining import DEMOGRAPHICS, PRODUCTS, ROUTES
 
 # Patterns of transmission parameters.
@@ -151,20 +156,23 @@ def lenient_string(value: Column) -> Column:
     return F.when(F.ltrim(value).startswith("["), F.when(F.size(items) > 0, F.array_join(items, ", ", "None"))).otherwise(scalar)
 
 
-def flat_metrics(docs: DataFrame, key: str, document: str = "document", depth: int = 5) -> DataFrame:
-    """key, metric, value: the leaves of a JSON object under dotted names, down to `depth` levels.
+def flat_metrics(docs: DataFrame, key: str, document: str = "document", depth: int | None = None) -> DataFrame:
+    """key, metric, value: the leaves of a JSON object under dotted names, at any depth (or down to `depth` levels).
 
     Lists are joined with semicolons, their objects as sorted name=value pairs less names that begin with an underscore;
-    a null value is an empty text.
+    a null value is an empty text. A level is a job over the objects that are left, so there are as many as the deepest document has.
     """
-    level = docs.select(key, F.lit("").alias("metric"), F.col(document).alias("value"))
-    out = []
-    for k in range(depth):
-        name = F.col("name") if k == 0 else F.concat("metric", F.lit("."), "name")
-        level = level.select(key, "metric", F.explode(F.from_json("value", "map<string,string>")).alias("name", "v")).select(key, name.alias("metric"), F.col("v").alias("value"))
-        nested = F.coalesce(F.col("value").startswith("{"), F.lit(False)) & F.lit(k < depth - 1)
+    level = stored(docs.select(key, F.lit(None).cast("string").alias("metric"), F.col(document).alias("value")), "metrics")
+    out, k = [], 0
+    while True:
+        level = level.select(key, "metric", F.explode(F.from_json("value", "map<string,string>")).alias("name", "v"))
+        level = stored(level.select(key, F.concat_ws(".", "metric", "name").alias("metric"), F.col("v").alias("value")), "metrics")
+        k += 1
+        nested = F.coalesce(F.col("value").startswith("{"), F.lit(False)) & F.lit(depth is None or k < depth)
         out.append(level.where(~nested))
         level = level.where(nested)
+        if not level.limit(1).count():
+            break
     shown = lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("None")))
     one = lambda m: F.array_join(F.transform(F.array_sort(F.filter(F.map_entries(m), lambda e: ~e["key"].startswith("_"))), shown), ", ")
     objects = F.array_join(F.transform(F.from_json("value", "array<map<string,string>>"), one), "; ")
@@ -201,6 +209,75 @@ def within_budget(items: DataFrame, most: int, key: str = "doc") -> DataFrame:
     return items.withColumns({"_whole": whole, "_gone": gone}).where((F.col("place") == 1) | (F.col("_whole") - F.col("_gone") <= most)).drop("_whole", "_gone")
 
 
+#: What a document says of itself once entries of it have been left out, and how many may be.
+TRUNCATED, MOST_POPS = "Some lower-priority list entries were omitted to fit the context window.", 10_000
+
+
+def trimmed(context: dict, most: int) -> dict:
+    """A document within `most` characters of JSON: entries go from the end of whichever list in it is longest (the first of equals, from the top
+    down), until it fits or no list has a second entry. Sizes are kept up to date by what goes, lists by their lengths in a heap."""
+    lists: list[list] = []
+    inside: list[tuple[int, int]] = []  # of each list the range of numbers of the lists within it
+
+    def walk(node: object) -> None:
+        if isinstance(node, list):
+            number = len(lists)
+            lists.append(node)
+            inside.append((0, 0))
+        for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
+            walk(child)
+        if isinstance(node, list):
+            inside[number] = (number + 1, len(lists))
+
+    walk(context)
+    number_of = {id(x): i for i, x in enumerate(lists)}
+    gone = bytearray(len(lists))
+    heap = [(-len(x), i) for i, x in enumerate(lists)]
+    heapq.heapify(heap)
+    size, pops = len(json.dumps(context, default=str)), 0
+
+    def drop(node: object) -> None:
+        """The lists within what has gone are gone too."""
+        if isinstance(node, list):
+            first, end = inside[number_of[id(node)]]
+            gone[first - 1 : end] = b"\1" * (end - first + 1)
+        elif isinstance(node, dict):
+            for child in node.values():
+                drop(child)
+
+    while size > most and pops < MOST_POPS and heap:
+        length, number = heapq.heappop(heap)
+        if gone[number]:
+            continue
+        if -length <= 1:
+            break
+        last = lists[number].pop()
+        drop(last)
+        size -= len(json.dumps(last, default=str)) + 2
+        if not pops:
+            before = len(json.dumps(context, default=str))
+            context["_truncated"] = TRUNCATED
+            size += len(json.dumps(context, default=str)) - before
+        pops += 1
+        heapq.heappush(heap, (length + 1, number))
+    return context
+
+
+def trimmed_documents(docs: DataFrame, most: int, key: str = "doc") -> DataFrame:
+    """(key, document: JSON text of an object) -> the same, each within `most` characters as `trimmed` says; others than objects stay as they are."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for text in batch["document"]:
+                value = json.loads(text) if text and text.lstrip().startswith("{") else None
+                out.append(text if value is None else json.dumps(trimmed(value, most)))
+            yield pd.DataFrame({key: batch[key], "document": out})
+
+    return docs.select(key, "document").mapInPandas(run, f"{key} {kind}, document string")
+
+
 def lineage_behaviour(genomes: DataFrame, lineages: DataFrame) -> DataFrame:
     """How each lineage has behaved: first and last detection, years, persistence, countries a year, and spillover.
 

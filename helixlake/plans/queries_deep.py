@@ -7,12 +7,14 @@ import uuid
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.sql import register
 from ..operators import evidence as E
+from ..operators import extraction as X
 from ..operators import fulltext, trees
 from ..sources import sinks
 from ..sources.manifest import Catalogue
 from . import views as V
-from .domain import GM, Domain
+from .domain import GF, GM, GP, PROFILE, PV, Domain
 
 ORACLES: dict[str, str] = {}
 QUERIES: dict = {}
@@ -149,3 +151,103 @@ def K14_manifest_refresh(spark, sf_dir):
     second = there.refresh([("years", lambda c: years(c, 1))], "species_id", ("collection_year",))
     of = lambda n: there.read("years", n).join(there.read("totals", n), "species_id").select(F.lit(n).alias("manifest"), "species_id", "collection_year", "n", "total")
     return of(first).unionByName(of(second))
+
+
+# --- layers, matching, significance -----------------------------------------------------------------------------------
+
+
+@query(f"""WITH {PROFILE}, {GF}, m AS (SELECT species_id, hgvs_p, variant_type, count(DISTINCT genome_accession) AS genomes, min(collection_date) AS first_seen, max(collection_date) AS last_seen FROM profile GROUP BY 1, 2, 3),
+l AS (SELECT species_id, lineage_id, count(*) AS lineage_genomes FROM gm GROUP BY 1, 2), lc AS (SELECT species_id, lineage_id, collection_country, count(*) AS lineage_in_country FROM gm GROUP BY 1, 2, 3), c AS (SELECT species_id, collection_country, count(*) AS country_genomes FROM gm GROUP BY 1, 2),
+y AS (SELECT species_id, collection_year, count(*) AS year_genomes FROM gm GROUP BY 1, 2), t AS (SELECT species_id, count(*) AS species_genomes FROM gm GROUP BY 1), s AS (SELECT DISTINCT genome_accession AS sample_id, species_id, lineage_id, collection_country, collection_year, gene, hgvs_p, variant_type FROM profile)
+SELECT sample_id, s.hgvs_p, s.variant_type, genomes, first_seen, last_seen, lineage_genomes, lineage_in_country, country_genomes, year_genomes, species_genomes, protein_name FROM s JOIN m USING (species_id, hgvs_p, variant_type) JOIN t USING (species_id) LEFT JOIN l ON l.species_id = s.species_id AND l.lineage_id = s.lineage_id
+LEFT JOIN lc ON lc.species_id = s.species_id AND lc.lineage_id = s.lineage_id AND lc.collection_country = s.collection_country LEFT JOIN c ON c.species_id = s.species_id AND c.collection_country = s.collection_country LEFT JOIN y ON y.species_id = s.species_id AND y.collection_year = s.collection_year LEFT JOIN gf ON gf.species_id = s.species_id AND gf.gene = s.gene""")
+def E30_layered_lookup(spark, sf_dir):
+    """All layers of a sample query for all samples: the mutation, its lineage, lineage and country, country, year, species and gene, counted in one pass."""
+    d = Domain(spark, sf_dir)
+    grains = sinks.stored(V.layers(d.calls, d.genomes), "layers")
+    of = lambda grain, name, *more: grains.where(F.col("grain") == grain).select("species_id", *V.GRAINS[grain], F.col("genomes").alias(name), *more)
+    s = V.variant_profile(d.calls, d.genomes).select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "collection_country", "collection_year", "gene", "hgvs_p", "variant_type").distinct()
+    out = s.join(of("mutation", "genomes", "first_seen", "last_seen"), ["species_id", "hgvs_p", "variant_type"]).join(of("species", "species_genomes"), "species_id")
+    for grain, name in (("lineage", "lineage_genomes"), ("lineage_country", "lineage_in_country"), ("country", "country_genomes"), ("year", "year_genomes")):
+        out = out.join(of(grain, name), ["species_id", *V.GRAINS[grain]], "left")  # a grain has as many rows as it has keys, few against the calls
+    out = out.join(d.gene_function, ["species_id", "gene"], "left")
+    return out.select("sample_id", "hgvs_p", "variant_type", "genomes", "first_seen", "last_seen", "lineage_genomes", "lineage_in_country", "country_genomes", "year_genomes", "species_genomes", "protein_name")
+
+
+# An association of a part: some by motif (the first word of its name), some in three-letter notation; a call's domain is the least name of its gene and place.
+_MATCHED = """v AS (SELECT DISTINCT genome_accession AS sample_id, species_id, upper(gene) AS gene, position, ref_aa, alt_aa, domain FROM pv LEFT JOIN (SELECT p_brand AS gene, p_size AS position, lower(min(p_name)) AS domain FROM part GROUP BY 1, 2) USING (gene, position)),
+a AS (SELECT association_id, species_id, upper(protein) AS gene, position, alt_aa, CASE WHEN CAST(association_id AS BIGINT) % 3 = 0 THEN lower(split_part(phenotype_specific, ' ', 1)) END AS word, CAST(association_id AS BIGINT) % 4 = 1 AS noted, p_size FROM gp JOIN part ON CAST(p_partkey AS VARCHAR) = association_id),
+w AS (SELECT sample_id, association_id, 0 AS i FROM v JOIN a USING (species_id, gene, position, alt_aa) UNION ALL SELECT sample_id, association_id, 1 FROM v JOIN a USING (species_id, gene) WHERE a.position IS NULL AND (contains(domain, word) OR contains(word, domain))
+UNION ALL SELECT sample_id, association_id, 2 FROM v JOIN a USING (species_id, gene) WHERE noted AND v.ref_aa = 'F' AND v.position = p_size AND v.alt_aa = a.alt_aa UNION ALL SELECT sample_id, association_id, 3 FROM v JOIN a USING (species_id, gene) WHERE a.position IS NULL)"""
+
+
+@query(f"WITH {PV}, {GP}, {_MATCHED} SELECT sample_id, association_id, (['exact', 'motif', 'notation', 'gene'])[min(i) + 1] AS way FROM w GROUP BY 1, 2")
+def E25_phenotype_matching(spark, sf_dir):
+    """Associations of every sample by exact change, motif, notation and gene; each once, by the first of these."""
+    d = Domain(spark, sf_dir)
+    parts = d.raw("part")
+    domains = parts.groupBy(F.col("p_brand").alias("gene"), F.col("p_size").alias("position")).agg(F.min("p_name").alias("domain"))
+    v = d.calls.withColumnRenamed("genome_accession", "sample_id").join(domains, ["gene", "position"], "left")
+    known = d.associations.join(parts.select(F.col("p_partkey").cast("string").alias("association_id"), "p_size"), "association_id")
+    rows = known.selectExpr(
+        "association_id", "species_id", "protein", "position", "alt_aa", "if(cast(association_id as bigint) % 3 = 0, concat('Motif: ', split_part(phenotype_specific, ' ', 1), ', near the end'), 'none known') as description",
+        "if(cast(association_id as bigint) % 4 = 1, concat('p.Phe', p_size, case alt_aa when 'R' then 'Arg' when 'A' then 'Ala' else 'Asn' end), null) as notation",
+    )
+    return E.match_phenotypes(v, rows)
+
+
+_PLACED = f"""WITH {PROFILE}, k AS (SELECT gene, position, alt_aa, list_distinct(list(lineage_id) FILTER (lineage_id IS NOT NULL)) AS lineages FROM profile WHERE CAST(genome_accession AS BIGINT) % 3 = 0 GROUP BY 1, 2, 3),
+g AS (SELECT protein AS gene, position, alt_aa, count(*) AS n FROM ({{}}) WHERE position IS NOT NULL AND protein IS NOT NULL GROUP BY 1, 2, 3),
+s AS (SELECT DISTINCT genome_accession AS sample_id, lineage_id, hgvs_p, variant_type, gene, position, ref_aa, alt_aa FROM profile),
+z AS (SELECT s.*, CASE WHEN ref_aa = alt_aa THEN 'synonymous' WHEN k.gene IS NULL THEN 'absent' WHEN list_contains(coalesce(lineages, []), lineage_id) THEN 'typical' ELSE 'atypical' END AS significance, position <= 3 AS hotspot, coalesce(n, 0) AS phenotypes
+  FROM s LEFT JOIN k USING (gene, position, alt_aa) LEFT JOIN g USING (gene, position, alt_aa))""".format("SELECT CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS protein, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_size END AS position, CASE p_partkey % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'A' ELSE 'N' END AS alt_aa FROM part")
+
+
+def _placed(d: Domain):
+    """All calls against a catalogue of a third of the genomes."""
+    p = V.variant_profile(d.calls, d.genomes)
+    known = p.where("cast(genome_accession as bigint) % 3 = 0").groupBy("gene", "position", "alt_aa").agg(F.collect_set("lineage_id").alias("lineage_ids"))
+    keys = ["gene", "position", "alt_aa"]
+    matched = d.associations.where("position is not null and protein is not null").groupBy(F.col("protein").alias("gene"), "position", "alt_aa").agg(F.count(F.lit(1)).alias("phenotypes"))
+    calls = p.select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", "variant_type", *keys, "ref_aa").distinct().withColumn("hotspot", F.col("position") <= 3)
+    return E.significance(calls.join(matched, keys, "left").fillna(0, ["phenotypes"]), known)
+
+
+@query(f"{_PLACED} SELECT sample_id, hgvs_p, variant_type, significance, hotspot, phenotypes FROM z")
+def E08_significance(spark, sf_dir):
+    """Every call's place in the mutation profile, with its hotspot and phenotypes."""
+    return _placed(Domain(spark, sf_dir)).select("sample_id", "hgvs_p", "variant_type", "significance", "hotspot", "phenotypes")
+
+
+@query(f"""{_PLACED}, h AS (SELECT sample_id, bool_or(significance = 'typical') AS b1, bool_or(significance = 'atypical') AS b2, bool_or(significance = 'absent') AS b3, bool_or(significance = 'synonymous') AS b4, bool_or(hotspot) AS b5, bool_or(phenotypes > 0) AS b6 FROM z GROUP BY 1),
+f AS (SELECT sample_id, unnest([CASE WHEN b1 THEN 'typical' END, CASE WHEN b2 THEN 'atypical' END, CASE WHEN b3 THEN 'uncharacterized' END, CASE WHEN b4 THEN 'synonymous' END, CASE WHEN b5 THEN 'functional_hotspot' END, CASE WHEN b6 THEN 'known_phenotype' ELSE 'no_known_phenotype' END]) AS finding_type FROM h)
+SELECT sample_id, 'genomic_significance' AS analysis, finding_type, CASE WHEN finding_type IN ('typical', 'synonymous', 'functional_hotspot') THEN 'high' WHEN finding_type = 'no_known_phenotype' THEN 'low' ELSE 'medium' END AS confidence FROM f WHERE finding_type IS NOT NULL""")
+def E08_profile_findings(spark, sf_dir):
+    """The findings that each sample's mutation profile gives."""
+    return E.significance_findings(_placed(Domain(spark, sf_dir)))
+
+
+# --- documents and SQL ------------------------------------------------------------------------------------------------
+
+
+@query()
+def T10_trimmed_documents(spark, sf_dir):
+    """A nested document of every customer's orders, within 900 characters; held against a plain loop in the tests."""
+    o = Domain(spark, sf_dir).raw("orders")
+    lines = F.struct("o_orderkey", F.array("o_orderstatus", "o_orderpriority").alias("tags"))
+    docs = o.groupBy(F.col("o_custkey").alias("doc")).agg(F.sort_array(F.collect_list(lines)).alias("orders"), F.sort_array(F.collect_set(F.year("o_orderdate"))).alias("years"))  # a document is one row
+    text = F.to_json(F.struct(F.col("doc").alias("id"), F.struct("orders", F.struct("years").alias("time")).alias("evidence")))
+    return X.trimmed_documents(docs.select("doc", text.alias("document")), 900)
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 3 <> 0 THEN CASE WHEN p_size % 2 = 0 THEN 'A' ELSE 'V' END END AS ref, CASE WHEN p_size % 3 <> 0 THEN p_size END AS position, CASE WHEN p_size % 3 <> 0 THEN '*' END AS alt,
+CASE WHEN p_size % 7 <= p_size % 11 AND p_size % 11 > 0 THEN round((p_size % 7) * 100.0 / (p_size % 11), 2) END AS rate, v.position AS at, 'K' AS ref_aa, 'W' AS alt_aa FROM part, (SELECT 40 AS position) v""")
+def F38_sql_functions(spark, sf_dir):
+    """parse_hgvs, cfr and the table function call_variants, asked in SQL."""
+    register(spark)
+    text = "concat('p.', if(p_size % 2 = 0, 'Ala', 'V'), p_size, if(p_size % 3 = 0, '?', 'Ter'))"
+    return spark.sql(
+        f"SELECT p_partkey, parse_hgvs({text}).ref AS ref, parse_hgvs({text}).position AS position, parse_hgvs({text}).alt AS alt, cfr(p_size % 11, p_size % 7) AS rate, v.position AS at, v.ref_aa, v.alt_aa "
+        "FROM {part}, LATERAL call_variants(concat(repeat('ACDEFGHIKLMNPQRSTVY', 2), 'A', 'K', repeat('MNPQRS', 12)), concat(repeat('ACDEFGHIKLMNPQRSTVY', 2), 'A', 'W', repeat('MNPQRS', 12))) v",
+        part=Domain(spark, sf_dir).raw("part"),
+    )

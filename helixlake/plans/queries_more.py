@@ -192,11 +192,11 @@ def J21_nearest_mention(spark, sf_dir):
     return J.nearest_mention(m, a, "ordinal")
 
 
-@query("SELECT coalesce(c.c_custkey, s.s_suppkey) AS sample_id, c.c_custkey IS NOT NULL AS has_metadata, s.s_suppkey IS NOT NULL AS has_sequence FROM (SELECT * FROM customer WHERE c_custkey % 3 = 0) c FULL JOIN supplier s ON c.c_custkey = s.s_suppkey")
+@query("SELECT coalesce(c.c_custkey, s.s_suppkey) AS sample_id, c.c_custkey IS NOT NULL AS has_metadata, s.s_suppkey IS NOT NULL AS has_sequence FROM (SELECT * FROM customer) c FULL JOIN supplier s ON c.c_custkey = s.s_suppkey")
 def J23_metadata_sequences(spark, sf_dir):
     """Samples with metadata, sequence, or both."""
     d = Domain(spark, sf_dir)
-    c = d.raw("customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("sample_id"), F.lit(True).alias("m"))
+    c = d.raw("customer").select(F.col("c_custkey").alias("sample_id"), F.lit(True).alias("m"))
     s = d.raw("supplier").select(F.col("s_suppkey").alias("sample_id"), F.lit(True).alias("q"))
     return c.join(s, "sample_id", "full_outer").select("sample_id", F.col("m").isNotNull().alias("has_metadata"), F.col("q").isNotNull().alias("has_sequence"))
 
@@ -335,18 +335,6 @@ def E01_cooccurrence_history(spark, sf_dir):
     return pairs.withColumn("seen_together", F.count(F.lit(1)).over(W.partitionBy("a", "b")))
 
 
-@query(f"""WITH {PROFILE}, d AS (SELECT hgvs_p, variant_type FROM profile WHERE lineage_id = 'BUILDING' GROUP BY 1, 2 HAVING count(DISTINCT genome_accession) >= 2), s AS (SELECT DISTINCT genome_accession AS sample_id, hgvs_p, variant_type, ref_aa, alt_aa FROM profile)
-SELECT sample_id, s.hgvs_p, s.variant_type, CASE WHEN ref_aa = alt_aa THEN 'synonymous' WHEN d.hgvs_p IS NOT NULL THEN 'typical' ELSE 'atypical' END AS significance FROM s LEFT JOIN d USING (hgvs_p, variant_type)""")
-def E08_significance(spark, sf_dir):
-    """A sample's mutations against those that define a lineage."""
-    p = _profile(Domain(spark, sf_dir))
-    defining = p.where("lineage_id = 'BUILDING'").groupBy("hgvs_p", "variant_type").agg(F.count_distinct("genome_accession").alias("n")).where("n >= 2")
-    s = p.select(F.col("genome_accession").alias("sample_id"), "hgvs_p", "variant_type", "ref_aa", "alt_aa").distinct()
-    rows = J.known_novel(s, defining, ["hgvs_p", "variant_type"])
-    kind = F.when(F.col("ref_aa") == F.col("alt_aa"), "synonymous").when(F.col("is_known"), "typical").otherwise("atypical")
-    return rows.select("sample_id", "hgvs_p", "variant_type", kind.alias("significance"))
-
-
 @query("SELECT c_custkey AS sample_id, 'genetic_relatedness' AS analysis, CASE WHEN c_custkey % 7 = 0 THEN 'no_relatedness' WHEN c_custkey % 12 <= 5 THEN 'close_genetic_match' ELSE 'genetic_relatedness_summary' END AS finding_type, CASE WHEN c_custkey % 7 = 0 THEN 'low' WHEN c_custkey % 12 <= 5 THEN 'high' ELSE 'medium' END AS confidence FROM customer")
 def E12_relatedness(spark, sf_dir):
     return E.relatedness(Domain(spark, sf_dir).raw("customer").selectExpr("c_custkey as sample_id", "case when c_custkey % 7 = 0 then null else c_custkey % 12 end as snps"))
@@ -373,8 +361,8 @@ def E18_spillover(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("sample_id"), E.spillover_points(animal(2, None), animal(3, " Human "), animal(5, "unknown")).alias("points"))
 
 
-@query(f"""WITH {GM}, r AS (SELECT genome_accession AS sample_id, date_diff('day', collection_date, CAST(ship AS DATE)) AS delay, date_diff('day', lag(collection_date) OVER (PARTITION BY lineage_id, collection_country ORDER BY collection_date NULLS FIRST, CAST(genome_accession AS BIGINT)), collection_date) AS gap,
-  lines > 4 AS pathways, nations > 2 AS mismatch, parts <= 2 AS close FROM gm JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS genome_accession, max(l_shipdate) AS ship, count(*) AS lines, count(DISTINCT s_nationkey) AS nations, count(DISTINCT l_partkey) AS parts FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) USING (genome_accession)),
+@query(f"""WITH {GM}, r AS (SELECT genome_accession AS sample_id, date_diff('day', collection_date, CAST(ship AS DATE)) AS delay, date_diff('day', prev, collection_date) AS gap,
+  lines > 4 AS pathways, nations > 2 AS mismatch, parts <= 2 AS close FROM (SELECT *, lag(collection_date) OVER (PARTITION BY lineage_id, collection_country ORDER BY collection_date NULLS FIRST, CAST(genome_accession AS BIGINT)) AS prev FROM gm) gm JOIN (SELECT CAST(l_orderkey AS VARCHAR) AS genome_accession, max(l_shipdate) AS ship, count(*) AS lines, count(DISTINCT s_nationkey) AS nations, count(DISTINCT l_partkey) AS parts FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1) USING (genome_accession)),
 n AS (SELECT *, CAST(floor(gap / 14) AS BIGINT) AS generations, CASE WHEN close AND gap <= 180 THEN 0.2 ELSE 0.7 END AS importation_probability, CASE WHEN pathways THEN 2 ELSE 0 END + CASE WHEN mismatch THEN 1 ELSE 0 END AS spread_score FROM r),
 f AS (SELECT sample_id, unnest([CASE WHEN delay > 30 THEN 'reporting_delay' END, CASE WHEN generations > 2 THEN 'undetected_chain' END, CASE WHEN spread_score >= 3 THEN 'international_spread_risk' END]) AS finding_type FROM n)
 SELECT n.sample_id, generations, CAST(importation_probability AS DOUBLE) AS importation_probability, spread_score, CASE WHEN f.finding_type IS NOT NULL THEN 'integrated_inference' END AS analysis, f.finding_type, CASE WHEN f.finding_type IS NOT NULL THEN 'medium' END AS confidence FROM n LEFT JOIN (SELECT * FROM f WHERE finding_type IS NOT NULL) f USING (sample_id)""")
@@ -387,33 +375,6 @@ def E19_integrated(spark, sf_dir):
     return E.integrated_inference(rows.selectExpr("genome_accession as sample_id", "datediff(cast(ship as date), collection_date) as delay_days", "datediff(collection_date, before) as gap_days", "parts <= 2 as close_match", "lines > 4 as pathways", "nations > 2 as mismatch"))
 
 
-@query(f"""WITH {PV}, {GP} SELECT genome_accession AS sample_id, association_id, CASE WHEN gp.position IS NOT NULL THEN 'exact' ELSE 'gene' END AS way FROM (SELECT DISTINCT genome_accession, species_id, gene, position, alt_aa FROM pv) v JOIN gp ON gp.species_id = v.species_id AND gp.protein = v.gene
-AND ((gp.position = v.position AND gp.alt_aa = v.alt_aa) OR gp.position IS NULL) GROUP BY 1, 2, 3""")
-def E25_phenotype_matching(spark, sf_dir):
-    """Associations of a sample by exact mutation, then by gene; each once, by its strongest way."""
-    d = Domain(spark, sf_dir)
-    v = d.calls.select(F.col("genome_accession").alias("sample_id"), "species_id", "gene", "position", "alt_aa").distinct()
-    a = d.associations.select("species_id", F.col("protein").alias("gene"), F.col("position").alias("g_position"), F.col("alt_aa").alias("g_alt_aa"), "association_id")
-    exact = v.join(a, (v["species_id"] == a["species_id"]) & (v["gene"] == a["gene"]) & (F.col("position") == F.col("g_position")) & (F.col("alt_aa") == F.col("g_alt_aa"))).select("sample_id", "association_id", F.lit("exact").alias("way"))
-    gene = v.join(a.where("g_position is null"), ["species_id", "gene"]).select("sample_id", "association_id", F.lit("gene").alias("way"))
-    return J.first_per(exact.unionByName(gene), ["sample_id", "association_id"], F.when(F.col("way") == "exact", 0).otherwise(1))
-
-
-@query(f"""WITH {PROFILE}, c AS (SELECT hgvs_p, variant_type, species_id, count(DISTINCT genome_accession) AS genomes FROM profile GROUP BY 1, 2, 3), l AS (SELECT lineage_id, species_id, count(DISTINCT genome_accession) AS lineage_genomes FROM profile WHERE lineage_id IS NOT NULL GROUP BY 1, 2),
-t AS (SELECT species_id, count(*) AS species_genomes FROM gm GROUP BY 1), s AS (SELECT DISTINCT genome_accession AS sample_id, species_id, lineage_id, hgvs_p, variant_type FROM profile)
-SELECT sample_id, hgvs_p, s.variant_type, genomes, lineage_genomes, species_genomes FROM s JOIN c USING (hgvs_p, variant_type, species_id) JOIN t USING (species_id) LEFT JOIN l USING (lineage_id, species_id)""")
-def E30_layered_lookup(spark, sf_dir):
-    """The layers of a sample query for all samples in one job: catalogue, lineage and species, each an aggregate and a join."""
-    p = _profile(Domain(spark, sf_dir))
-    n = F.count_distinct("genome_accession")
-    catalogue = p.groupBy("hgvs_p", "variant_type", "species_id").agg(n.alias("genomes"))
-    lineage = p.where("lineage_id is not null").groupBy("lineage_id", "species_id").agg(n.alias("lineage_genomes"))
-    species = Domain(spark, sf_dir).genomes.groupBy("species_id").agg(F.count(F.lit(1)).alias("species_genomes"))
-    s = p.select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "hgvs_p", "variant_type").distinct()
-    out = s.join(catalogue, ["hgvs_p", "variant_type", "species_id"]).join(species, "species_id").join(lineage, ["lineage_id", "species_id"], "left")
-    return out.select("sample_id", "hgvs_p", "variant_type", "genomes", "lineage_genomes", "species_genomes")
-
-
 @query(f"WITH {GM}, f AS (SELECT host AS analysis, genome_accession AS finding, row_number() OVER (PARTITION BY host ORDER BY CAST(genome_accession AS BIGINT)) AS r FROM gm) SELECT analysis, count(*) AS findings, array_to_string(list(finding ORDER BY r) FILTER (r <= 20), ',') AS shown FROM f GROUP BY 1")
 def E31_compaction(spark, sf_dir):
     """The first twenty findings of each analysis, and how many there are."""

@@ -222,6 +222,30 @@ def catalogue_with_phenotype(rows: DataFrame, associations: DataFrame) -> DataFr
     return alone.unionByName(through).select(*rows.columns, "g.*")
 
 
+#: Grains of a sample query: what each is grouped by, besides the scope.
+GRAINS = {"mutation": ("hgvs_p", "variant_type"), "lineage": ("lineage_id",), "lineage_country": ("lineage_id", "collection_country"), "country": ("collection_country",), "year": ("collection_year",), "species": ()}
+
+
+def layers(calls: DataFrame, genomes: DataFrame) -> DataFrame:
+    """grain, scope, the keys of all grains (null where a grain hasn't one), genomes, first_seen, last_seen: distinct genomes at every grain.
+
+    Calls meet their genome once. There the first row of each genome, and of each mutation in it, is marked, so that a distinct count at any
+    grain is a sum, and all grains are sums over one set of rows, added up where they are before one shuffle.
+    """
+    genome = [*SCOPE, "genome_accession"]
+    rows = genomes.select(*genome, "lineage_id", "collection_country", "collection_year", "collection_date").join(calls.select(*genome, "hgvs_p", "variant_type"), genome, "left")
+    first = lambda *more: (F.row_number().over(W.partitionBy(*genome).orderBy("hgvs_p", "variant_type")) == 1) if not more else (F.row_number().over(W.partitionBy(*genome, *more).orderBy("hgvs_p")) == 1)
+    rows = rows.withColumn("_head", first().cast("long")).withColumn("_own", (first("hgvs_p", "variant_type") & F.col("hgvs_p").isNotNull()).cast("long"))
+    keys = list(dict.fromkeys(k for g in GRAINS.values() for k in g))
+    sets = [[*map(F.col, SCOPE), *map(F.col, g)] for g in GRAINS.values()]
+    bit = {k: 1 << (len(keys) - 1 - i) for i, k in enumerate(keys)}
+    code = {sum(bit[k] for k in keys if k not in g): name for name, g in GRAINS.items()}
+    counted = rows.groupingSets(sets, *SCOPE, *keys).agg(F.grouping_id().alias("_g"), F.sum("_own").alias("_o"), F.sum("_head").alias("_h"), F.min("collection_date").alias("first_seen"), F.max("collection_date").alias("last_seen"))
+    grain = F.try_element_at(F.create_map(*[F.lit(x) for p in code.items() for x in p]), F.col("_g").cast("int"))
+    out = counted.select(grain.alias("grain"), *SCOPE, *keys, F.when(grain == "mutation", F.col("_o")).otherwise(F.col("_h")).alias("genomes"), "first_seen", "last_seen")
+    return out.where((F.col("grain") != "mutation") | F.col("hgvs_p").isNotNull())
+
+
 def co_occurrence(calls: DataFrame, genomes: DataFrame) -> DataFrame:
     """Unordered pairs of a genome's calls. Calls equal in (gene, position, alt) never pair.
 

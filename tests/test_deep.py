@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixlake.operators import evidence as E
+from helixlake.operators import extraction as X
 from helixlake.operators import fulltext, joins, trees
 from helixlake.operators import mining as M
 from helixlake.plans import views as V
@@ -331,3 +332,120 @@ def test_shared_lists_are_stored_once(spark):
     for r in lists.collect():
         held.setdefault(r["list_key"], []).append(r["outbreak"])
     assert sorted(held[keys["s1"]]) == ["o1", "o2"] and sorted(held[keys["s2"]]) == ["o1", "o2", "o3"] and sorted(map(len, held.values())) == [1, 2, 3]
+
+
+def test_matching_takes_the_first_way(spark):
+    v = [("s", "sp", "g", 5, "A", "v", "Receptor site"), ("s", "sp", "G ", 9, "K", "R", None), ("t", "sp", "g", 7, "F", "L", ""), ("u", "xx", "g", 5, "A", "V", "receptor")]
+    a = [("exact", "sp", "G", 5, "V", "motif: receptor", "p.Ala5Val"), ("motif", "sp", "g", None, "", "Motif: RECEPTOR, of it", None), ("domain", "sp", "g", 5, None, "domain: the receptor site here", None), ("noted", "sp", "g", None, None, "none", "p.Lys9Arg"),
+         ("short", "sp", "g", 1, "X", None, "p.F7L"), ("gene", "sp", "G", None, None, None, "nonsense"), ("other", "sp", "h", None, None, "motif: receptor", None), ("flagged", "sp", None, None, None, None, None)]
+    got = {(r["sample_id"], r["association_id"]): r["way"] for r in E.match_phenotypes(spark.createDataFrame(v, "sample_id string, species_id string, gene string, position int, ref_aa string, alt_aa string, domain string"), spark.createDataFrame(a, "association_id string, species_id string, protein string, position int, alt_aa string, description string, notation string")).collect()}
+    assert got == {
+        ("s", "exact"): "exact", ("s", "motif"): "motif", ("s", "domain"): "motif", ("s", "noted"): "notation", ("s", "gene"): "gene", ("t", "short"): "notation", ("t", "motif"): "gene", ("t", "noted"): "gene", ("t", "gene"): "gene",
+    }
+
+
+def test_places_in_the_mutation_profile(spark):
+    calls = [("s", "L", "g", 1, "A", "A"), ("s", "L", "g", 2, "A", "V"), ("s", "M", "G", 2, "A", "v"), ("s", "L", "g", 3, "A", "V"), ("s", None, "g", 2, "A", "V"), ("s", "L", None, 2, "A", "V"), ("s", "L", "g", None, "A", "V"), ("s", "L", "g", 4, "A", "V")]
+    known = [("g", 2, "V", ["L"]), ("g", 4, "V", None)]
+    got = [r["significance"] for r in E.significance(spark.createDataFrame([(*c, i) for i, c in enumerate(calls)], "sample_id string, lineage_id string, gene string, position int, ref_aa string, alt_aa string, i int"), spark.createDataFrame(known, "gene string, position int, alt_aa string, lineage_ids array<string>")).orderBy("i").collect()]
+    assert got == ["synonymous", "typical", "atypical", "absent", "atypical", "atypical"]
+
+
+def plain_trim(context, most):
+    """As told: the longest list anywhere, of equals the first from the top down, loses its last entry, again and again."""
+    import json
+
+    def longest(node):
+        best, n = None, 0
+        if isinstance(node, list) and len(node) > n:
+            best, n = node, len(node)
+        for child in node.values() if isinstance(node, dict) else node if isinstance(node, list) else ():
+            found, m = longest(child)
+            if m > n:
+                best, n = found, m
+        return best, n
+
+    pops = 0
+    while len(json.dumps(context, default=str)) > most and pops < X.MOST_POPS:
+        best, n = longest(context)
+        if best is None or n <= 1:
+            break
+        best.pop()
+        context["_truncated"] = X.TRUNCATED
+        pops += 1
+    return context
+
+
+def test_documents_are_trimmed_as_by_walking_them_anew(spark):
+    import json
+
+    rng = random.Random(21)
+
+    def value(depth):
+        kind = rng.random()
+        if depth and kind < 0.4:
+            return [value(depth - 1) for _ in range(rng.choice([0, 1, 2, 5, 9]))]
+        if depth and kind < 0.7:
+            return {f"k{i}": value(depth - 1) for i in range(rng.randint(0, 4))}
+        return rng.choice([1, 2.5, None, True, "text", "ü\n\"", "x" * rng.randint(0, 30)])
+
+    for _ in range(300):
+        doc = {f"a{i}": value(4) for i in range(rng.randint(0, 5))}
+        most = rng.choice([0, 50, 200, 600, 5000])
+        text = json.dumps(doc)
+        assert X.trimmed(json.loads(text), most) == plain_trim(json.loads(text), most)
+    df = spark.createDataFrame([(1, json.dumps({"a": list(range(100))})), (2, None), (3, "[1, 2]"), (4, "{}"), (None, '{"a": [1]}')], "doc long, document string")
+    got = {r["doc"]: r["document"] for r in X.trimmed_documents(df, 150).collect()}
+    assert got[2] is None and got[3] == "[1, 2]" and got[4] == "{}" and json.loads(got[1])["_truncated"] == X.TRUNCATED and len(got[1]) <= 150 and json.loads(got[None]) == {"a": [1]}
+
+
+def test_documents_of_any_depth_are_flattened(spark):
+    import json
+
+    deep = {"v": 1}
+    for i in range(12):
+        deep = {f"l{i}": deep, "w": i}
+    got = {r["metric"]: r["value"] for r in X.flat_metrics(spark.createDataFrame([(1, json.dumps(deep))], "id long, document string"), "id").collect()}
+    assert len(got) == 13 and got[".".join(f"l{i}" for i in reversed(range(12))) + ".v"] == "1"
+
+
+def test_grains_count_distinct_genomes(spark):
+    """Repeated calls, genomes without calls, null lineages and countries, one genome with most of the calls."""
+    genomes = [("p", s, f"{s}{i}", pick, c, 2000 + i % 2, None if i == 3 else dt.date(2000 + i % 2, 1, 1)) for s in "xy" for i in range(9) for pick, c in [((None, "L", "M")[i % 3], (None, "A")[i % 2])]]
+    calls = [("p", s, f"{s}{i}", h, "t") for s in "xy" for i in range(6) for h in ("h1", "h2", None)[: i % 4]] + [("p", "x", "x1", "h1", "t")] * 500 + [("p", "x", "x1", "h1", "u")]
+    g = spark.createDataFrame(genomes, "pathogen_id string, species_id string, genome_accession string, lineage_id string, collection_country string, collection_year int, collection_date date")
+    c = spark.createDataFrame(calls, "pathogen_id string, species_id string, genome_accession string, hgvs_p string, variant_type string")
+    got = {}
+    for r in V.layers(c, g).collect():
+        got[r["grain"], r["species_id"], tuple(r[k] for k in V.GRAINS[r["grain"]])] = r["genomes"]
+    want = {}
+    for grain, keys in V.GRAINS.items():
+        if grain == "mutation":
+            seen = {(s, a, h, t) for _, s, a, h, t in calls if h is not None}
+            for s, _, h, t in seen:
+                want[grain, s, (h, t)] = want.get((grain, s, (h, t)), 0) + 1
+        else:
+            for _, s, _, lineage, country, year, _ in genomes:
+                key = (grain, s, tuple({"lineage_id": lineage, "collection_country": country, "collection_year": year}[k] for k in keys))
+                want[key] = want.get(key, 0) + 1
+    assert got == want
+
+
+def test_functions_in_sql(spark):
+    from helixlake.functions import scalars as S
+    from helixlake.functions.sql import register
+    from helixlake.operators.sequence import variants
+
+    register(spark)
+    register(spark)  # again, in the same session
+    texts = ["p.Ala82Val", "p.A82V", "p.A82*", "p.Xyz1Ala", "A82V", "", None, "p.A99999999999V", "p.ala5val"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = spark.sql("SELECT t, parse_hgvs(t) AS m FROM {df}", df=df).collect()
+    want = df.select("t", S.parse_protein_change(F.col("t")).alias("m")).collect()
+    assert [r["m"] and tuple(r["m"]) for r in got] == [r["m"] and tuple(r["m"]) for r in want]
+    assert [r[0] for r in spark.sql("SELECT cfr(c, d) FROM VALUES (200D, 77D), (0D, 0D), (5D, 6D), (NULL, 1D), (3D, 1D) AS t(c, d)").collect()] == [38.5, None, None, None, 33.33]
+    ref = "ACDEFGHIKL" * 12
+    query = ref[:50] + "W" + ref[51:]
+    pairs = spark.createDataFrame([(1, ref, query), (2, ref, ref), (3, None, query), (4, ref, None)], "id int, ref string, query string")
+    got = sorted(tuple(r) for r in spark.sql("SELECT id, v.* FROM {pairs}, LATERAL call_variants(ref, query) v", pairs=pairs).collect())
+    assert got == sorted((i, *v) for i, r, q in [(1, ref, query), (2, ref, ref), (3, "", query), (4, ref, "")] for v in variants(r, q))
