@@ -42,12 +42,12 @@ def _has(text: Column, terms: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in terms])
 
 
-def first_told(docs: DataFrame, rules: list[tuple[Column, Column | str, dict]], names: tuple[str, ...]) -> DataFrame:
-    """docs x rules (condition, key, values) -> names, source_url: each key once, as the first document and rule tell it."""
+def first_told(docs: DataFrame, rules: list[tuple[Column, dict]], names: tuple[str, ...], same: tuple[str, ...] | None = None) -> DataFrame:
+    """docs x rules (condition, values) -> names, source_url: rows of the same values (of `same`, by default of all names) once, as the first document and rule tell them."""
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
-    rows = [F.when(when, F.struct(F.lit(i).alias("rule"), lit(key).alias("key"), *[lit(values.get(n)).cast("string").alias(n) for n in names])) for i, (when, key, values) in enumerate(rules)]
+    rows = [F.when(when, F.struct(F.lit(i).alias("rule"), *[lit(values.get(n)).cast("string").alias(n) for n in names])) for i, (when, values) in enumerate(rules)]
     told = docs.select("ordinal", "url", F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r"))
-    first = told.groupBy("r.key").agg(F.min(F.struct("ordinal", "r.rule", *[f"r.{n}" for n in names], "url")).alias("m"))
+    first = told.groupBy(*[F.col(f"r.{n}").alias(f"_{n}") for n in same or names]).agg(F.min(F.struct("ordinal", "r.rule", *[f"r.{n}" for n in names], "url")).alias("m"))
     return first.select(*[f"m.{n}" for n in names], F.col("m.url").alias("source_url"))
 
 
@@ -62,17 +62,16 @@ def transmission_parameters(docs: DataFrame) -> DataFrame:
     """
     text = F.lower("text")
     part = lambda pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    rule = lambda when, key, parameter, value, unit=None: (when, key, {"parameter": parameter, "value": value, "unit": unit})
+    rule = lambda when, parameter, value, unit=None: (when, {"parameter": parameter, "value": value, "unit": unit})
     given, route = _optional(docs, "r0_range", "string"), _optional(docs, "transmission", "string")
-    span, most, serial, r0, vector = part(INCUBATION), part(INCUBATION_UP_TO), part(SERIAL), part(REPRODUCTION), part(VECTOR)
+    span, most = part(INCUBATION), part(INCUBATION_UP_TO)
+    days = F.coalesce(F.trim(F.replace(span, F.lit("–"), F.lit("-"))), F.concat(F.lit("up to "), most))
     rules = [
-        rule(given != "", given, "R0", given), rule(route != "", F.concat(F.lit("route_"), route), "main transmission route", route),
-        rule(span.isNotNull(), F.concat(F.lit("incubation_"), span), "incubation period", F.trim(F.replace(span, F.lit("–"), F.lit("-"))), "days"),
-        rule(span.isNull() & most.isNotNull(), F.concat(F.lit("incubation_up_to_"), most), "incubation period", F.concat(F.lit("up to "), most), "days"),
-        rule(serial.isNotNull(), F.concat(F.lit("serial_"), serial), "serial interval", serial, "days"), rule(r0.isNotNull(), F.concat(F.lit("r0_"), r0), "R0", r0),
-        *[rule(_has(text, terms), f"route_{label}", "main transmission route", label) for terms, label in ROUTES],
-        rule(vector.isNotNull() & _has(text, ("vector", "bite", "borne")), F.concat(F.lit("vector_"), vector), "vector", vector),
-    ]
+        *[rule(value != "", name, value) for name, value in (("R0", given), ("main transmission route", route))],
+        *[rule(value.isNotNull(), name, value, unit) for name, value, unit in (("incubation period", days, "days"), ("serial interval", part(SERIAL), "days"), ("R0", part(REPRODUCTION), None))],
+        *[rule(_has(text, terms), "main transmission route", label) for terms, label in ROUTES],
+        rule(part(VECTOR).isNotNull() & _has(text, ("vector", "bite", "borne")), "vector", part(VECTOR)),
+    ]
     return first_told(docs, rules, ("parameter", "value", "unit"))
 
 
@@ -88,10 +87,10 @@ def people(docs: DataFrame) -> DataFrame:
     rules = []
     for terms, kind, label in DEMOGRAPHICS:
         told = group[label] if kind == "group" else {column[kind]: label}
-        rules.append((_has(text, terms), f"{kind}_{label}", told | {"notes": note[kind].format(label.replace("_", " ") if kind == "group" else label) + " in fetched source"}))
-    rules += [(text.rlike(p), s, {"sex": s, "notes": "mentioned in fetched source"}) for p, s in ((MALE, "male"), (FEMALE, "female"))]
+        rules.append((_has(text, terms), told | {"notes": note[kind].format(label.replace("_", " ") if kind == "group" else label) + " in fetched source"}))
+    rules += [(text.rlike(p), {"sex": s, "notes": "mentioned in fetched source"}) for p, s in ((MALE, "male"), (FEMALE, "female"))]
     men, women = F.regexp_extract(text, SPLIT, 1), F.regexp_extract(text, SPLIT, 2)
-    rules.append((men != "", F.concat(F.lit("split_"), men, F.lit("_"), women), {"sex": "male/female", "notes": F.concat(men, F.lit(" male, "), women, F.lit(" female"))}))
+    rules.append((men != "", {"sex": "male/female", "notes": F.concat(men, F.lit(" male, "), women, F.lit(" female"))}))
     return first_told(docs, rules, _PEOPLE)
 
 
@@ -113,10 +112,10 @@ def surveillance(docs: DataFrame) -> DataFrame:
 def products(docs: DataFrame) -> DataFrame:
     """Vaccines and therapeutics: structured flags (vaccine_coverage, therapeutic_coverage), where docs have them, then names."""
     text = F.lower("text")
-    flag = lambda name, kind: (F.coalesce(_optional(docs, f"{name}_coverage", "boolean"), F.lit(False)), f"{name} coverage", {"product": f"{name} coverage available", "kind": kind, "status": "used", "notes": "supported by species/strain profile"})
+    flag = lambda name, kind: (F.coalesce(_optional(docs, f"{name}_coverage", "boolean"), F.lit(False)), {"product": f"{name} coverage available", "kind": kind, "status": "used", "notes": "supported by species/strain profile"})
     rules = [flag("vaccine", "vaccine"), flag("therapeutic", "therapeutic")]
-    rules += [(_has(text, terms), p, {"product": p, "kind": k, "status": s, "effectiveness": e, "notes": "mentioned in fetched source"}) for terms, p, k, s, e in PRODUCTS]
-    return first_told(docs, rules, ("product", "kind", "status", "effectiveness", "notes"))
+    rules += [(_has(text, terms), {"product": p, "kind": k, "status": s, "effectiveness": e, "notes": "mentioned in fetched source"}) for terms, p, k, s, e in PRODUCTS]
+    return first_told(docs, rules, ("product", "kind", "status", "effectiveness", "notes"), ("product",))
 
 
 def pathogen_profile(items: DataFrame, fields: list[str], key: str = "pathogen") -> DataFrame:

@@ -13,10 +13,13 @@ _own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset (local tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. A temporary one where that is unset, and only if all tasks run in this process."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if there:
         return there.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if not _own:
         _own.append("file://" + tempfile.mkdtemp(prefix="helixlake-"))
     return _own[0]
