@@ -8,7 +8,6 @@ named are read. Vectors are scaled by powers of two, which leaves cosines as the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil
 
 import numpy as np
@@ -17,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, materialise
+from .common import bounded_sample, by_block, materialise
 
 #: Vectors that the codes are learnt on, rotations learnt (each gives as many bits as vectors have components), steps.
 SAMPLE, ROTATIONS, STEPS = 10_000, 4, 12
 #: Bits of a substring; share of the sample's true neighbours that the Hamming radius must take in.
 SUBSTRING, TAKEN = 16, 0.985
-#: Rows of a block of the index, and of a block of queries: what one task holds at a time.
-BLOCK, QUERIES = 60_000, 4_000
+#: Rows of a block of the index: what one task holds at a time.
+BLOCK = 60_000
 K, EVERY = 5, 50
 
 
@@ -107,14 +106,22 @@ class SubstringIndex:
         return rows[distance <= radius], distance[distance <= radius]
 
 
-def _search(index: pd.DataFrame, queries: pd.DataFrame, model: dict, k: int) -> pd.DataFrame:
-    """The k nearest of a block of the index for each query of a block of queries."""
-    x = scaled(np.stack(index["embedding"].to_numpy()).astype(float))
+class Block:
+    """Rows of the index: their vectors and the substring tables of their codes."""
+
+    def __init__(self, rows: pd.DataFrame, model: dict):
+        self.model, self.ids = model, rows["vec_id"].to_numpy()
+        self.x = scaled(np.stack(rows["embedding"].to_numpy()).astype(float))
+        self.norms = np.linalg.norm(self.x, axis=1)
+        self.table = SubstringIndex(encode(self.x / self.norms[:, None], model["planes"]))
+
+
+def _search(block: Block, queries: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k nearest of a block of the index for each query."""
+    x, ids, norms, model, table = block.x, block.ids, block.norms, block.model, block.table
     q = scaled(np.stack(queries["embedding"].to_numpy()).astype(float))
-    ids, norms = index["vec_id"].to_numpy(), np.linalg.norm(x, axis=1)
-    table = SubstringIndex(encode(x / norms[:, None], model["planes"]))
     bits, out = model["planes"].shape[1], []
-    for qid, v, code in zip(queries["vec_id"].to_numpy(), q, encode(q / np.linalg.norm(q, axis=1)[:, None], model["planes"]), strict=True):
+    for qid, v, code in zip(queries["query_id"].to_numpy(), q, encode(q / np.linalg.norm(q, axis=1)[:, None], model["planes"]), strict=True):
         radius = model["radius"]
         while True:
             rows, _ = table.within(code, radius)
@@ -126,7 +133,7 @@ def _search(index: pd.DataFrame, queries: pd.DataFrame, model: dict, k: int) ->
         if len(rows) > 4 * k:
             rows = rows[score >= np.partition(score, -k)[-k] - 1e-12]  # with all ties; scored once more below
         out.append(pd.DataFrame({"query_id": qid, "vec_id": ids[rows], "score": _cosine(x[rows], v)}).sort_values(["score", "vec_id"], ascending=[False, True]).head(k))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    return pd.concat(out)
 
 
 def _cosine(x: np.ndarray, v: np.ndarray) -> np.ndarray:
@@ -144,8 +151,8 @@ def sound(vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose vec_id is divisible by `every`.
 
-    The index is dealt into blocks of about BLOCK rows and the stated query set into blocks of about QUERIES; a task
-    holds one of each, whatever the size of the table, and returns k rows a query. Every row is indexed.
+    The index is dealt into blocks of about BLOCK rows, each of which goes to one task, once; the stated query set passes by it
+    as a stream, and k rows a query come back. Every row is indexed.
     """
     rows = sound(vectors)
     sample = bounded_sample(rows, "vec_id", SAMPLE).toPandas()
@@ -157,19 +164,11 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K) -> DataFrame:
     model = learn(np.stack([v for v in sample["embedding"] if len(v) == size]))
     shared = spark.sparkContext.broadcast(model)
     rows = rows.where(F.size("embedding") == size)
-    n = rows.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("vec_id") % every == 0).cast("long")).alias("q")).first()
-    n_blocks, n_queries = max(6, ceil(n["n"] / BLOCK)), max(1, ceil((n["q"] or 0) / QUERIES))
-    side = lambda which, other: F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(which)
-    index = rows.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_blocks)).cast("int").alias("block"), side("q_block", n_queries))
-    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    queries = asked.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(n_queries)).cast("int").alias("q_block"), side("block", n_blocks))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
-        return _search(left, right, shared.value, k)
-
-    found = index.groupBy("block", "q_block").cogroup(queries.groupBy("block", "q_block")).applyInPandas(search, "query_id long, vec_id long, score double")
+    n_blocks = max(6, ceil(rows.count() / BLOCK))
+    index = rows.select("vec_id", "embedding", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n_blocks)).cast("int").alias("block"))
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("embedding").alias("embedding"))
+    queries = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    found = by_block(index, queries, lambda part: Block(part, shared.value), lambda there, part: _search(there, part, k), "query_id long, vec_id long, score double")
     found = materialise(found, "ann")
     place = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..sources.sinks import shared_folder
+
 #: Words: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -23,7 +24,6 @@ BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64_000_000
 #: A key is hot with more than one in HOT_SHARE of the rows, HOT_ROWS at least. Places of a key that are one group of running().
 HOT_SHARE, HOT_ROWS, CHUNK = 10_000, 10_000, 4_096
 
-_own: list[str] = []
 _written: list[str] = []
 
 
@@ -31,29 +31,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where that is unset (local tests)."""
-    there = spark.conf.get("spark.checkpoint.dir", None)
-    if there:
-        return there.rstrip("/")
-    if not _own:
-        _own.append("file://" + tempfile.mkdtemp(prefix="helixlake-"))
-    return _own[0]
-
-
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: lineage is cut, any executor can be lost."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/helixlake/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/helixlake/{tag}-{uuid.uuid4().hex}"
     _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the tables that materialise() has written in this session. To be called when no result is read any more."""
-    while _written:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+def written() -> int:
+    """How many tables of this session materialise() has written and release() has not deleted."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables that materialise() has written in this session, from number `since` on but for the last `keep`. To be called
+    when no result that is made of them is read any more."""
+    gone = _written[since : len(_written) - keep]
+    del _written[since : len(_written) - keep]
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
