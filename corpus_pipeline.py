@@ -8,7 +8,7 @@ of the mix (repetitions counted).
 from __future__ import annotations
 
 from helixlake.llm import bpe, dedup, mixing, quality, secrets
-from helixlake.llm.common import materialise, table
+from helixlake.llm.common import materialise, release, table, written
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -45,5 +45,9 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        begun = written()
+        kept = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # The stage is done: what it wrote on the way goes, and what it read, if that was the stage's before.
+        release(spark, since=begun - (name != STAGES[0][0]), keep=1)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)
