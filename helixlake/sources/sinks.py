@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +43,15 @@ def materialised_view(df: DataFrame, name: str, partition: str, order: list[str]
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def refresh_all(views: Iterable[tuple[str, Callable[[], DataFrame]]], partition: str, order: list[str]) -> dict[str, DataFrame]:
-    """Refresh views in the order given; if one fails, nothing of the refresh is returned and the error is raised."""
-    return {name: materialised_view(make(), name, partition, order) for name, make in views}
+def refresh_all(views: list[tuple[str, Callable[[], DataFrame]]], partition: str, order: list[str], folder: str | None = None) -> dict[str, DataFrame]:
+    """Refresh views in the order given and publish them together under the folder's manifest; if one fails, readers go on with what there was."""
+    from .manifest import Catalogue
+
+    spark = SparkSession.active()
+    there = Catalogue(spark, folder or f"{shared_folder(spark)}/views-{uuid.uuid4().hex}")
+    names = [name for name, _ in views]
+    number = there.refresh([(name, lambda _, make=make: make()) for name, make in views], partition, tuple(order))
+    return {name: there.read(name, number) for name in names}
 
 
 def write_entities(tables: dict[str, DataFrame], folder: str) -> None:
