@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import extraction as X
 from ..operators import mining as M
 from ..sources import sinks
+from ..sources.manifest import Catalogue
 from . import views as V
 from .domain import GM, PROFILE, RP, Domain
 from .queries_views import CATALOGUE, MK
@@ -178,11 +181,13 @@ def T10_within_budget(spark, sf_dir):
 
 @query(f"WITH {PROFILE}, {CATALOGUE} SELECT {MK}, genome_count, first_seen_date, last_seen_date, coalesce(array_to_string(countries, ','), '') AS countries_seen, coalesce(array_to_string(lineages, ','), '') AS lineage_ids, species_total_genomes, global_frequency FROM cat")
 def K22_rebuild(spark, sf_dir):
-    """Calls per genome give way to the aggregate grain: a new version is written beside the old one and read from then on."""
+    """Calls per genome give way to the aggregate grain under the manifest: one rename switches readers, and those of the old grain keep it."""
     d = Domain(spark, sf_dir)
-    new = sinks.materialised_view(V.catalogue(V.variant_profile(d.calls, d.genomes), d.genomes), "protein_variants", partition="species_id", order=["gene", "position", "alt_aa"])
-    assert "genome_accession" not in new.columns
-    return new.withColumns({c: F.array_join(c, ",") for c in ("countries_seen", "lineage_ids")})
+    there = Catalogue(spark, f"{sinks.shared_folder(spark)}/rebuilt-{uuid.uuid4().hex}")
+    order = ("gene", "position", "alt_aa")
+    there.refresh([("protein_variants", lambda _: V.variant_profile(d.calls, d.genomes))], "species_id", order)
+    there.rebuild("protein_variants", lambda calls: V.catalogue(calls, d.genomes), "species_id", order)
+    return there.read("protein_variants").withColumns({c: F.array_join(c, ",") for c in ("countries_seen", "lineage_ids")})
 
 
 @query(f"""WITH {GM}, p AS (SELECT lineage_id, count(*) AS genome_count, min(collection_date) AS first_detection, max(collection_date) AS last_detection, count(DISTINCT collection_year) AS active_years, max(collection_year) - min(collection_year) AS span,

@@ -105,6 +105,23 @@ class Catalogue:
                 self._fs.delete(self._path(entry["path"]), True)
             raise
 
+    def rebuild(self, table: str, make: Callable[[DataFrame], DataFrame], partition: str | None = None, order: tuple[str, ...] = ()) -> int:
+        """Replace a table by what `make` makes of its present rows: another grain, fewer columns, no rows. Returns the manifest's number.
+
+        Conflict, if someone has replaced it meanwhile; then, as if publishing fails, what was written is deleted and nothing changes.
+        Readers of the old version keep it until it is swept.
+        """
+        number = (self.numbers() or [0])[-1]
+        tables = self.manifest(number) if number else {}
+        if table not in tables:
+            raise KeyError(table)
+        entry = self.write(make(self.read(table, number)), table, partition, order)
+        try:
+            return self.publish({table: entry}, {table: tables[table]["path"]})
+        except BaseException:
+            self._fs.delete(self._path(entry["path"]), True)
+            raise
+
     def sweep(self, keep: int = 2) -> list[str]:
         """Delete all manifests but the last `keep`, and the folders that none of these names; those being written are left alone only if
         nothing is: to be called when no refresh runs. Returns the folders deleted.

@@ -19,14 +19,25 @@ def scoped(table: DataFrame, pathogen: str, species: str | None = None) -> DataF
     return rows if species is None else rows.where(F.col("species_id") == species)
 
 
+def lineages(table: DataFrame, pathogen: str, species: str, lineage: str | None = None) -> DataFrame:
+    """The row of one lineage, by its exact id; without an id (null or empty), all lineages of the species."""
+    rows = scoped(table, pathogen, species)
+    return rows.where(F.col("lineage_id") == lineage) if lineage else rows
+
+
 def lineage_genomes(genomes: DataFrame, lineage: str, limit: int | None = None) -> DataFrame:
     rows = genomes.where(F.col("lineage_id") == lineage)
     return rows.orderBy(F.col("collection_date").desc_nulls_last(), "genome_accession").limit(limit) if limit else rows
 
 
-def query(spark: SparkSession, sql: str, **parameters) -> DataFrame:
-    """A statement with named parameters. Errors are raised, not turned into empty results."""
-    return spark.sql(sql, args=parameters)
+def query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None, **parameters) -> DataFrame:
+    """A statement with named parameters, over tables put in by {name}. Errors are raised, not turned into empty results."""
+    return spark.sql(sql, args=parameters, **(tables or {}))
+
+
+def dict_rows(rows: DataFrame) -> DataFrame:
+    """Every row as one JSON object of its columns, nulls included."""
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
 
 
 def first_non_empty(*sources: Callable[[], DataFrame]) -> DataFrame:
