@@ -1,8 +1,9 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
 A null text counts as empty: no words, no labels, score 0. Repeated rows are scanned each alike; an empty table gives an
-empty result. Texts are taken whole, in blocks: lines, and with wrapped=True runs of lines too. Only the columns named are
-read.
+empty result. Texts are taken whole, in blocks: lines and runs of lines, as the registered query takes them (scan() without
+wrapped=True takes lines alone). A notice with blank lines in it is found by its paragraphs, each of which is a template. Only the
+columns named are read.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apach
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same, for texts not lower-cased yet.
 RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Notices that blocks are held against: label, text.
+#: Notices that blocks are held against: label, text. One-sentence notices first, then whole notices by their paragraphs, so
+#: that blank lines between these don't matter (public license texts).
 TEMPLATES = (
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the software without restriction."),
@@ -34,6 +36,26 @@ TEMPLATES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("apache-2", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ("apache-2", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("isc", 'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("boost", 'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:'),
+    ("unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
 )
 #: Least share of a template's distinct words that a block must hold.
 CONTAINMENT = 0.8
@@ -72,33 +94,43 @@ def _starts(words: Column, phrase: str) -> Column:
     return F.when(F.size(words) >= len(parts), F.filter(F.sequence(F.lit(0), F.size(words) - len(parts)), at)).otherwise(F.array().cast("array<int>"))
 
 
-def _runs(text: Column, templates: list[tuple[int, str, list[str]]], vocabulary: Column, reach: int) -> Column:
+def _known(line: Column, vocabulary: list[str]) -> Column:
+    """The distinct words of a line that any template has, in their order; one look-up a word."""
+    return F.array_distinct(F.filter(F.split(ascii_lower(line), RAW_GAP), lambda w: w.isin(vocabulary)))
+
+
+def _runs(text: Column, templates: list[tuple[int, str, list[str]]], vocabulary: list[str], reach: int) -> Column:
     """array<array<struct<n, w>>>: runs of lines that can hold enough of a template, each line as its word count and template words.
 
     A run begins at any line and takes the lines after it, up to one without words, until those hold `reach` words; so a
     passage of at most so many words lies whole in the run of the line that it begins in. Every line of a run but the first
-    has a word, so it has at most reach + 1 lines. Only runs that hold a key word are looked at.
+    has a word, so it has at most reach + 1 lines. Only runs that hold a key word are looked at. A text's lines are read
+    once, whatever the number of runs that they stand in.
     """
-    edge = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     key = _some_key(templates)
     least = min(_need(len(words)) for _, _, words in templates)
-    line = lambda x: let(F.filter(F.split(ascii_lower(x), RAW_GAP), lambda w: w != ""), lambda ws: F.struct(F.size(ws).alias("n"), F.array_intersect(ws, vocabulary).alias("w")))
-    none = F.array().cast("array<struct<n:int,w:array<string>>>")
+    empty = F.array().cast("array<struct<n:int,w:array<string>,key:boolean>>")
+
+    def line(x: Column) -> Column:
+        n = F.size(F.filter(F.split(x, RAW_GAP), lambda w: w != ""))
+        return F.struct(n.alias("n"), _known(x, vocabulary).alias("w"), x.rlike(key).alias("key"))
 
     def run(lines: Column, at: Column) -> Column:
-        start = F.struct(F.lit(0).alias("n"), none.alias("lines"))
-        step = lambda acc, x: F.when((acc["n"] < reach) & x["near"], F.struct((acc["n"] + x["n"]).alias("n"), F.concat(acc["lines"], F.array(F.struct(x["n"], x["w"]))).alias("lines"))).otherwise(F.struct(F.lit(reach).alias("n"), acc["lines"]))
-        mine = F.transform(F.slice(lines, at + 2, reach), lambda x: let(line(x), lambda v: F.struct(v["n"].alias("n"), v["w"].alias("w"), (v["n"] > 0).alias("near"))))
-        return F.concat(F.array(line(F.get(lines, at))), F.aggregate(mine, start, step)["lines"])
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("lines"))
+        step = lambda acc, x: F.when((acc["n"] < reach) & (x["n"] > 0), F.struct((acc["n"] + x["n"]).alias("n"), (acc["lines"] + 1).alias("lines"))).otherwise(F.struct(F.lit(reach).alias("n"), acc["lines"].alias("lines")))
+        return F.slice(lines, at + 1, F.aggregate(F.slice(lines, at + 2, reach), start, step)["lines"] + 1)
+
+    def enough(r: Column) -> Column:
+        return (F.size(r) > 1) & F.exists(r, lambda x: x["key"]) & (F.size(F.array_distinct(F.flatten(F.transform(r, lambda x: x["w"])))) >= least)
 
     def of(lines: Column) -> Column:
-        keyed = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(key), i)), lambda i: i.isNotNull())
+        keyed = F.filter(F.transform(lines, lambda x, i: F.when(x["key"], i)), lambda i: i.isNotNull())
         starts = F.array_distinct(F.flatten(F.transform(keyed, lambda i: F.sequence(F.greatest(i - reach, F.lit(0)), i))))
-        starts = F.filter(starts, lambda i: F.get(lines, i).rlike(edge))
-        runs = F.transform(starts, lambda i: run(lines, i))
-        return F.filter(runs, lambda r: (F.size(r) > 1) & (F.size(F.array_distinct(F.flatten(F.transform(r, lambda x: x["w"])))) >= least))
+        starts = F.filter(starts, lambda i: F.get(lines, i)["n"] > 0)
+        runs = F.transform(starts, lambda i: let(run(lines, i), lambda r: F.when(enough(r), F.transform(r, lambda x: F.struct(x["n"], x["w"])))))
+        return F.filter(runs, lambda r: r.isNotNull())
 
-    return F.when(text.rlike(key), let(F.split(text, "\n"), of)).otherwise(F.array().cast("array<array<struct<n:int,w:array<string>>>>"))
+    return F.when(text.rlike(key), let(F.coalesce(F.transform(F.split(text, "\n"), line), empty), of)).otherwise(F.array().cast("array<array<struct<n:int,w:array<string>>>>"))
 
 
 def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]], reach: int = 0) -> DataFrame:
@@ -108,7 +140,7 @@ def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]], reac
     an intersection with a template can hold; the length filter drops the blocks with fewer of them than the smallest
     requirement. Both need only words of the block, so what is written out is a small part of the corpus.
     """
-    vocabulary = F.array(*[F.lit(w) for w in sorted({w for _, _, words in templates for w in words})])
+    vocabulary = sorted({w for _, _, words in templates for w in words})
     least = min(_need(len(words)) for _, _, words in templates)
     text = F.coalesce(F.col("text"), F.lit(""))
     spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, RAW_GAP, " ")), F.lit(" "))
@@ -120,11 +152,8 @@ def _profiles(docs: DataFrame, templates: list[tuple[int, str, list[str]]], reac
         per = lambda w: F.array(*[_starts(w, p) for p, _ in PHRASES])
         return F.when(s.rlike(phrase), let(words, per)).otherwise(F.array(*[F.array().cast("array<int>")] * len(PHRASES)))
 
-    def block(line: Column) -> Column:
-        return F.array_intersect(F.split(ascii_lower(line), RAW_GAP), vocabulary)
-
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(_some_key(templates)))
-    blocks = F.filter(F.transform(lines, block), lambda b: F.size(b) >= least)
+    blocks = F.filter(F.transform(lines, lambda x: _known(x, vocabulary)), lambda b: F.size(b) >= least)
     of_words = let(spaced, lambda s: F.struct(count(s).alias("n"), places(s).alias("p")))
     runs = [_runs(text, templates, vocabulary, reach).alias("r")] if reach else []
     rows = docs.select("doc_id", F.explode(F.array(F.struct(of_words.alias("w"), blocks.alias("b"), *runs))).alias("m"))
@@ -141,7 +170,10 @@ def _some_key(templates: list[tuple[int, str, list[str]]]) -> str:
     for _, _, words in templates:
         keys |= set(sorted(words, key=lambda w: (-len(w), w))[: len(words) - _need(len(words)) + 1])
     edge = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    return rf"(?i)(?<!{edge})(?:{'|'.join(sorted(keys))})(?!{edge})"
+    first = {}
+    for k in sorted(keys):  # by first letter, so that a place in the text is held against few branches
+        first.setdefault(k[0], []).append(k[1:])
+    return rf"(?i)(?<!{edge})(?:{'|'.join(f'{c}(?:{chr(124).join(rest)})' for c, rest in first.items())})(?!{edge})"
 
 
 def _rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:

@@ -54,6 +54,33 @@ def test_wrapped_notices_match_plain_loop(spark):
     assert sorted(((r["doc_id"], r["labels"], r["score"]) for r in got), key=key) == sorted(((i, *plain(t)) for i, t in rows), key=key)
 
 
+def test_whole_notices_with_blank_lines_by_their_paragraphs(spark):
+    """Every label's templates as one file, wrapped as comments with blank lines between them, with a tenth of the words changed."""
+    rng, rows, want = random.Random(11), [], []
+    for label in sorted({label for label, _ in licenses.TEMPLATES}):
+        paragraphs = [notice for name, notice in licenses.TEMPLATES if name == label and len(words(notice)) > 20]
+        if not paragraphs:
+            continue
+        changed = [" ".join("zzz" if rng.random() < 0.1 else w for w in p.split()) for p in paragraphs]
+        for texts_ in (paragraphs, changed):
+            rows.append((len(rows), "Some prose before.\n\n" + "\n\n".join("\n".join(f"# {x}" for x in textwrap.wrap(p, 60)) for p in texts_) + "\n\nvalue = 1\n"))
+            want.append((len(want), *plain(rows[-1][1])))
+            assert label in want[-1][1].split(",")
+    prose = "The authors of this work distribute the software under conditions that follow, with the library and its documentation.\n"
+    rows.append((len(rows), prose * 50))
+    want.append((len(want), "", 0.0))
+    got = licenses.scan(spark.createDataFrame(rows, DOCS), wrapped=True).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["labels"], r["score"]) for r in got] == want
+
+
+def test_long_text_of_short_lines_beside_key_words(spark):
+    """20,000 one-word lines, each fiftieth a key word: many runs, none of them enough of a template."""
+    text = "\n".join("conditions" if i % 50 == 0 else f"w{i}" for i in range(20_000))
+    rows = [(1, text), (2, text + "\nReleased under\nthe MIT License.")]
+    got = licenses.scan(spark.createDataFrame(rows, DOCS), wrapped=True).orderBy("doc_id").collect()
+    assert [(r["n_words"], r["labels"]) for r in got] == [(20_000, ""), (20_005, "mit")]
+
+
 def test_a_wrapped_notice_keeps_its_label(spark):
     text = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles, to deal in the software without restriction."
     df = spark.createDataFrame([(1, text)], DOCS)
