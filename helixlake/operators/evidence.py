@@ -402,6 +402,43 @@ def knowledge_gaps(rows: DataFrame, names: dict[str, str]) -> DataFrame:
     return rows.select("sample_id", F.array_join(F.filter(F.array(*[F.when(F.col(c).isNull(), g) for c, g in names.items()]), lambda x: x.isNotNull()), "; ").alias("gaps"))
 
 
+# What a sample's record, its species' reports and its tree may lack, and the gap that each leaves.
+RECORD_GAPS = (
+    ("collection_date", "Sample collection date is missing; temporal analyses are limited."), ("country", "Sample country is missing; geographic analyses are limited."),
+    ("suspected_exposure", "Suspected exposure route is missing; transmission hypotheses cannot be refined."), ("travel_history", "Travel history is missing; importation risk is harder to assess."),
+)
+NO_OUTBREAKS = "No species outbreak records in epi output; epidemic dynamics are inferred from curated genomes only."
+NO_TRANSMISSION = "No transmission parameters (R0, serial interval) in epi output; transmission potential cannot be quantified."
+NO_TREE = "No phylogenetic tree or placement provided; molecular-clock and relatedness analyses rely on metadata."
+NO_TIMES = "No time-scaled phylogeny available; molecular-clock dating is not possible."
+NO_REFERENCE = "No closest reference genome information; assembly context is incomplete."
+
+
+def gap_report(samples: DataFrame, reported: DataFrame, outbreaks: DataFrame, transmission: DataFrame, by: str = "species_id") -> DataFrame:
+    """sample_id, gaps (array), gap_count, summary: what every analysis found missing, each gap once and where it came first, then what
+    the record, the reports of the sample's species (`by`) and the tree lack.
+
+    samples: sample_id, `by`, collection_date, country, suspected_exposure, travel_history, tree_file, placement, time_scaled_tree,
+    closest_reference. reported: sample_id, analysis (its order), place, gap. outbreaks, transmission: `by`, of which only the presence
+    counts. A text of the record that is blank counts as missing; a null or empty gap is none. Gaps of the same order and place go
+    by their text. Every row of samples has its row; a null sample_id has no reported gaps, a null `by` no reports. Gaps are made distinct before
+    they are gathered, so that a sample's list is as long as it has different gaps, however often they are reported.
+    """
+    first = reported.where("sample_id is not null and gap is not null and gap <> ''").groupBy("sample_id", "gap").agg(F.min(F.struct("analysis", "place")).alias("first"))
+    told = first.groupBy("sample_id").agg(F.array_sort(F.collect_list(F.struct("first", "gap"))).alias("_told"))
+    known = lambda rows, name: rows.where(F.col(by).isNotNull()).select(by).distinct().withColumn(name, F.lit(True))
+    rows = samples.join(told, "sample_id", "left").join(known(outbreaks, "_outbreaks"), by, "left").join(known(transmission, "_transmission"), by, "left")
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    none = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    own = F.array(
+        *[F.when(blank(c), gap) for c, gap in RECORD_GAPS], F.when(F.col("_outbreaks").isNull(), NO_OUTBREAKS), F.when(F.col("_transmission").isNull(), NO_TRANSMISSION),
+        F.when(none("tree_file") & none("placement"), NO_TREE).when(none("time_scaled_tree"), NO_TIMES), F.when(none("closest_reference"), NO_REFERENCE),
+    )
+    gaps = F.concat(F.coalesce(F.transform("_told", lambda x: x["gap"]), F.array().cast("array<string>")), F.filter(own, lambda x: x.isNotNull()))
+    count = F.size("gaps").cast("long")
+    return rows.select("sample_id", gaps.alias("gaps")).select("sample_id", "gaps", count.alias("gap_count"), F.concat(F.lit("Knowledge gaps: "), count.cast("string"), F.lit(" cross-cutting gaps identified.")).alias("summary"))
+
+
 def intelligence_object(samples: DataFrame, found: DataFrame, tiers: DataFrame) -> DataFrame:
     """One JSON document per sample: its tier, reasons and findings in order."""
     per = found.groupBy("sample_id").agg(F.array_sort(F.collect_set(F.struct("analysis", "finding_type", "confidence"))).alias("findings"))

@@ -32,11 +32,16 @@ def _folder(spark, name: str) -> str:
     return f"{sinks.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'A' WHEN 1 THEN 'W' WHEN 2 THEN '*' WHEN 3 THEN 'K' END AS one, CASE p_partkey % 5 WHEN 0 THEN 'Ala' WHEN 1 THEN 'Trp' WHEN 2 THEN 'Ter' WHEN 3 THEN 'Lys' END AS three FROM part")
+@query("""WITH r(one, three) AS (VALUES ('A', 'Ala'), ('R', 'Arg'), ('N', 'Asn'), ('D', 'Asp'), ('C', 'Cys'), ('Q', 'Gln'), ('E', 'Glu'), ('G', 'Gly'), ('H', 'His'), ('I', 'Ile'), ('L', 'Leu'),
+  ('K', 'Lys'), ('M', 'Met'), ('F', 'Phe'), ('P', 'Pro'), ('S', 'Ser'), ('T', 'Thr'), ('W', 'Trp'), ('Y', 'Tyr'), ('V', 'Val'), ('*', 'Ter')),
+p AS (SELECT p_partkey, upper(substr(p_name, 1 + p_size % length(p_name), 1)) AS letter, lower(substr(p_name, 1 + p_size % length(p_name), 3)) AS code FROM part)
+SELECT p_partkey, letter AS one, a.three AS three, a.one AS back, CASE WHEN length(code) = 1 THEN upper(code) ELSE b.one END AS found FROM p LEFT JOIN r a ON letter = a.one LEFT JOIN r b ON code = lower(b.three)""")
 def F04_residues(spark, sf_dir):
-    """Residues in one and in three letters, from either, in any case."""
-    code = F.expr("case p_partkey % 5 when 0 then 'ALA' when 1 then 'w' when 2 then 'ter' when 3 then 'Lys' else 'Xyz' end")
-    return _parts(spark, sf_dir).select("p_partkey", S.to_one_letter(code).alias("one"), S.to_three_letters(S.to_one_letter(code)).alias("three"))
+    """Letters of every name as residues in one and in three letters, there and back, and what stands at its place as a code; in any case."""
+    at = lambda n: F.expr(f"substr(p_name, 1 + p_size % length(p_name), {n})")
+    rows = _parts(spark, sf_dir).select("p_partkey", "p_size", S.to_one_letter(at(1)).alias("one"), S.to_one_letter(F.initcap(at(3))).alias("found"))
+    rows = rows.withColumn("three", S.to_three_letters(F.col("one")))
+    return rows.select("p_partkey", "one", "three", S.to_one_letter(F.expr("if(p_size % 2 = 0, upper(three), three)")).alias("back"), "found")
 
 
 @query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'p.Ala' || p_size || 'Val' WHEN 1 THEN 'p.Ala' || p_size || 'del' ELSE 'p.' || p_size || '_' || (p_size + 1) || 'insVal' END AS hgvs FROM part")
@@ -52,9 +57,19 @@ def F07_lineage_id(spark, sf_dir):
     return _parts(spark, sf_dir).select("p_partkey", S.lineage_id(F.col("p_brand"), clade).alias("lineage_id"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'democratic republic of the congo' WHEN 1 THEN 'republic of the congo' WHEN 2 THEN 'united states' WHEN 3 THEN 'united kingdom' ELSE lower(p_brand) END AS country FROM part")
+#: Spellings that parts take by their size, so that every one occurs; the last stands for names that no spelling is kept of.
+_SPELLED = "['DRC', 'Democratic Republic of the Congo', 'DR Congo', 'Congo-Kinshasa', 'Congo (DRC)', 'ROC', 'Congo', 'Congo-Brazzaville', 'Republic of the Congo', 'USA', 'United States', 'United States of America', 'us', 'UK', 'united kingdom', 'GREAT BRITAIN', 'Guinea']"
+
+
+@query(f"""WITH s(said, name) AS (VALUES ('drc', 'democratic republic of the congo'), ('democratic republic of the congo', 'democratic republic of the congo'), ('dr congo', 'democratic republic of the congo'),
+  ('congo-kinshasa', 'democratic republic of the congo'), ('congo (drc)', 'democratic republic of the congo'), ('roc', 'republic of the congo'), ('congo', 'republic of the congo'), ('congo-brazzaville', 'republic of the congo'),
+  ('republic of the congo', 'republic of the congo'), ('usa', 'united states'), ('united states', 'united states'), ('united states of america', 'united states'), ('us', 'united states'), ('uk', 'united kingdom'),
+  ('united kingdom', 'united kingdom'), ('great britain', 'united kingdom')),
+p AS (SELECT p_partkey, lower(trim(CASE WHEN p_size > 34 THEN p_name ELSE ({_SPELLED})[1 + p_size % 17] END)) AS said FROM part)
+SELECT p_partkey, coalesce(name, said) AS country FROM p LEFT JOIN s USING (said)""")
 def F08_country_name(spark, sf_dir):
-    spelled = F.expr("case p_partkey % 5 when 0 then ' DR Congo' when 1 then 'Congo-Brazzaville ' when 2 then 'USA' when 3 then 'Great Britain' else concat(' ', p_brand) end")
+    """Every spelling, in any case and between blanks, and names that no spelling is kept of."""
+    spelled = F.expr(f"concat(' ', if(p_size > 34, p_name, element_at(array({_SPELLED[1:-1]}), 1 + p_size % 17)), if(p_size % 2 = 0, '  ', ''))")
     return _parts(spark, sf_dir).select("p_partkey", S.country_name(spelled).alias("country"))
 
 
@@ -96,10 +111,12 @@ def F33_context(spark, sf_dir):
     return _parts(spark, sf_dir).select("p_partkey", S.context(F.col("p_name"), F.col("p_size") % 12, 4).alias("around"))
 
 
-@query("SELECT p_partkey, 'in ' || lower(p_mfgr_letters) AS key FROM (SELECT p_partkey, CASE p_partkey % 2 WHEN 0 THEN 'Guinea' ELSE 'Mali' END AS p_mfgr_letters FROM part)")
+@query(r"""WITH t AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) || ': 2014 Update ' || page_id || ', Ebola virus-disease OUTBREAK en html!' AS title FROM pages)
+SELECT page_id, trim(regexp_replace(trim(lower(regexp_replace(regexp_replace(regexp_replace(title, '[0-9]{4}', '', 'g'), '[^a-zA-Z\s]', ' ', 'g'), '\s+', ' ', 'g'))), '\b(update|en|ebola|virus|disease|outbreak|item|html|[0-9]+)\b', '', 'g')) AS key FROM t""")
 def F34_title_key(spark, sf_dir):
-    title = F.expr("concat('Ebola virus disease: 2014 Update ', p_size, ' in ', case p_partkey % 2 when 0 then 'Guinea!' else 'Mali (2014)' end)")
-    return _parts(spark, sf_dir).select("p_partkey", F.regexp_replace(S.title_key(title), r"\s+", " ").alias("key"))
+    """The title of every page, with years, numbers and the words that all titles have."""
+    title = F.concat(F.regexp_extract("html", "<title>([^<]*)</title>", 1), F.lit(": 2014 Update "), F.col("page_id").cast("string"), F.lit(", Ebola virus-disease OUTBREAK en html!"))
+    return Domain(spark, sf_dir).raw("pages").select("page_id", S.title_key(title).alias("key"))
 
 
 @query("SELECT o_orderkey, 'RUN-' || strftime(o_orderdate, '%Y%m%d') || '-' || CAST(o_custkey AS VARCHAR) AS run FROM orders")
@@ -107,10 +124,25 @@ def F37_run_id(spark, sf_dir):
     return Domain(spark, sf_dir).raw("orders").select("o_orderkey", S.run_id("RUN", F.col("o_orderdate").cast("date"), F.col("o_custkey").cast("string")).alias("run"))
 
 
-@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'vaccine_effectiveness' WHEN 1 THEN 'immune_escape' WHEN 2 THEN 'disease_severity' WHEN 3 THEN 'drug_resistance' WHEN 4 THEN 'virulence' ELSE 'unknown_significance' END AS category FROM part")
+#: Words of descriptions in the order of the ladder, of which every part takes two.
+_LADDER = """(1, 'vaccine_effectiveness', 'vaccine'), (1, 'vaccine_effectiveness', 'vaccination'), (1, 'vaccine_effectiveness', 'immunization'), (2, 'immune_escape', 'antibody'), (2, 'immune_escape', 'neutraliz'), (2, 'immune_escape', 'immunoglobulin'),
+ (2, 'immune_escape', 'escape'), (2, 'immune_escape', 'antagonize'), (2, 'immune_escape', 'antagonist'), (3, 'disease_severity', 'severity'), (3, 'disease_severity', 'severe'), (3, 'disease_severity', 'mortality'), (3, 'disease_severity', 'lethal'),
+ (3, 'disease_severity', 'fatal'), (3, 'disease_severity', 'virulence'), (3, 'disease_severity', 'virulent'), (3, 'disease_severity', 'pathogenicity'), (3, 'disease_severity', 'pathogen'), (4, 'increased_transmission', 'transmission'),
+ (4, 'increased_transmission', 'transmissible'), (5, 'drug_resistance', 'resistance'), (5, 'drug_resistance', 'resistant'), (6, 'drug_susceptibility', 'susceptib'), (6, 'drug_susceptibility', 'sensitive'), (6, 'drug_susceptibility', 'sensitivity'),
+ (7, 'host_adaptation', 'host adaptation'), (7, 'host_adaptation', 'adapted to'), (7, 'host_adaptation', 'mouse-adapted'), (7, 'host_adaptation', 'guinea pig-adapted'), (7, 'host_adaptation', 'isolate'), (8, 'host_range', 'host range'),
+ (8, 'host_range', 'host tropism'), (8, 'host_range', 'species specificity'), (9, 'virulence', 'replication'), (9, 'virulence', 'replicative'), (9, 'virulence', 'release'), (9, 'virulence', 'entry'), (9, 'virulence', 'enter'), (9, 'virulence', 'infectivity'),
+ (9, 'virulence', 'oligomerization'), (9, 'virulence', 'trimerization'), (9, 'virulence', 'processing'), (9, 'virulence', 'localization'), (9, 'virulence', 'rna-binding'), (9, 'virulence', 'binding'), (9, 'virulence', 'fusion'), (9, 'virulence', 'synthesis'),
+ (9, 'virulence', 'interaction'), (9, 'virulence', 'shedding'), (9, 'virulence', 'secretion'), (9, 'virulence', 'counteract'), (9, 'virulence', 'budding')"""
+_TOLD = "['vaccine', 'vaccination', 'immunization', 'antibody', 'neutraliz', 'immunoglobulin', 'escape', 'antagonize', 'severity', 'mortality', 'fatal', 'virulent', 'pathogen', 'transmission', 'transmissible', 'resistance', 'resistant', 'susceptib', 'sensitivity', 'host adaptation', 'adapted to', 'guinea pig-adapted', 'isolate', 'host range', 'host tropism', 'species specificity', 'replication', 'release', 'entry', 'oligomerization', 'rna-binding', 'fusion', 'budding', 'IFN', 'colour', 'shape', 'weight', 'nothing', 'size', 'length']"
+
+
+@query(f"""WITH l(step, category, word) AS (VALUES {_LADDER}),
+p AS (SELECT p_partkey, lower('Seen on ' || p_name || ': ' || ({_TOLD})[1 + p_partkey * 7 % 40] || ' and ' || ({_TOLD})[1 + p_size % 40]) AS text FROM part)
+SELECT p_partkey, coalesce((SELECT arg_min(category, step) FROM l WHERE contains(text, word)), 'unknown_significance') AS category FROM p""")
 def X19_described_phenotype(spark, sf_dir):
-    """The first step of the ladder that a description reaches, also where it holds words of later ones."""
-    text = F.expr("case p_partkey % 6 when 0 then 'Vaccination raised antibody levels' when 1 then 'Escapes a resistant host' when 2 then 'LETHAL, transmission unchanged' when 3 then 'Resistance to binding' when 4 then 'Impairs budding' else concat('Seen at ', p_size) end")
+    """The first step of the ladder that a description reaches, also where it holds words of later ones; each holds two words, in either case."""
+    told = f"array({_TOLD[1:-1]})"
+    text = F.expr(f"concat('Seen on ', p_name, ': ', upper(element_at({told}, cast(1 + p_partkey * 7 % 40 as int))), ' and ', element_at({told}, cast(1 + p_size % 40 as int)))")
     return _parts(spark, sf_dir).select("p_partkey", M.described_phenotype(text).alias("category"))
 
 

@@ -210,6 +210,34 @@ def E21_knowledge_gaps(spark, sf_dir):
     return E.knowledge_gaps(Domain(spark, sf_dir).genomes.withColumnRenamed("genome_accession", "sample_id"), {"collection_date": "when", "collection_country": "where"})
 
 
+@query(f"""WITH {GM}, s AS (SELECT *, species_id || ' ' || CAST(collection_date AS VARCHAR) AS scope FROM gm),
+r AS (SELECT CAST(l_orderkey AS VARCHAR) AS sample_id, l_linenumber AS analysis, l_suppkey AS place, 'flags ' || l_returnflag || l_linestatus AS gap FROM lineitem WHERE l_quantity >= 8),
+u AS (SELECT sample_id, list(gap ORDER BY analysis, place, gap) AS told FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, gap ORDER BY analysis, place) AS n FROM r) WHERE n = 1 GROUP BY 1),
+g AS (SELECT genome_accession AS sample_id, list_concat(coalesce(told, []), list_filter([
+  CASE WHEN collection_date IS NULL THEN 'Sample collection date is missing; temporal analyses are limited.' END,
+  CASE WHEN collection_country IS NULL THEN 'Sample country is missing; geographic analyses are limited.' END,
+  CASE WHEN host IN ('1-URGENT', '5-LOW') THEN 'Suspected exposure route is missing; transmission hypotheses cannot be refined.' END,
+  CASE WHEN lineage_id IS NULL THEN 'Travel history is missing; importation risk is harder to assess.' END,
+  CASE WHEN scope IS NULL OR scope NOT IN (SELECT scope FROM s WHERE scope IS NOT NULL AND completeness = 'complete') THEN 'No species outbreak records in epi output; epidemic dynamics are inferred from curated genomes only.' END,
+  CASE WHEN scope IS NULL OR scope NOT IN (SELECT scope FROM s WHERE scope IS NOT NULL AND host = '2-HIGH') THEN 'No transmission parameters (R0, serial interval) in epi output; transmission potential cannot be quantified.' END,
+  CASE WHEN completeness = 'partial' AND (host <> '3-MEDIUM' OR lineage_id IS NULL) THEN 'No phylogenetic tree or placement provided; molecular-clock and relatedness analyses rely on metadata.'
+    WHEN completeness <> 'complete' THEN 'No time-scaled phylogeny available; molecular-clock dating is not possible.' END,
+  CASE WHEN collection_year IS NULL OR collection_year % 2 = 1 OR lineage_id IS NULL THEN 'No closest reference genome information; assembly context is incomplete.' END], lambda x: x IS NOT NULL)) AS gaps
+  FROM s LEFT JOIN u ON u.sample_id = s.genome_accession)
+SELECT sample_id, array_to_string(gaps, ' | ') AS gaps, CAST(len(gaps) AS BIGINT) AS gap_count, 'Knowledge gaps: ' || len(gaps) || ' cross-cutting gaps identified.' AS summary FROM g""")
+def E21_gap_report(spark, sf_dir):
+    """Gaps that analyses reported (of every call's flags) once each, then those of the record, of reports by species and day, and of the tree."""
+    d = Domain(spark, sf_dir)
+    samples = d.genomes.selectExpr(
+        "genome_accession as sample_id", "concat(species_id, ' ', collection_date) as scope", "collection_date", "collection_country as country", "case host when '1-URGENT' then null when '5-LOW' then ' ' else host end as suspected_exposure",
+        "lineage_id as travel_history", "if(completeness = 'partial', '', completeness) as tree_file", "if(host = '3-MEDIUM', lineage_id, null) as placement", "if(completeness = 'complete', completeness, null) as time_scaled_tree",
+        "if(collection_year % 2 = 0, lineage_id, null) as closest_reference", "completeness", "host")
+    gap = "case when l_quantity >= 8 then concat('flags ', l_returnflag, l_linestatus) when l_quantity >= 4 then '' end as gap"
+    reported = d.raw("lineitem").selectExpr("cast(l_orderkey as string) as sample_id", "l_linenumber as analysis", "l_suppkey as place", gap)
+    found = E.gap_report(samples, reported, samples.where("completeness = 'complete'"), samples.where("host = '2-HIGH'"), by="scope")
+    return found.withColumn("gaps", F.array_join("gaps", " | "))
+
+
 @query(f"WITH {PROFILE}, c AS (SELECT species_id, hgvs_p, variant_type, count(DISTINCT genome_accession) AS genome_count, min(collection_date) AS first_seen FROM profile GROUP BY 1, 2, 3) SELECT genome_accession, species_id, hgvs_p, variant_type, genome_count, first_seen FROM profile JOIN c USING (species_id, hgvs_p, variant_type)")
 def E26_enrichment(spark, sf_dir):
     d = Domain(spark, sf_dir)

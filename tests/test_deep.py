@@ -449,3 +449,36 @@ def test_functions_in_sql(spark):
     pairs = spark.createDataFrame([(1, ref, query), (2, ref, ref), (3, None, query), (4, ref, None)], "id int, ref string, query string")
     got = sorted(tuple(r) for r in spark.sql("SELECT id, v.* FROM {pairs}, LATERAL call_variants(ref, query) v", pairs=pairs).collect())
     assert got == sorted((i, *v) for i, r, q in [(1, ref, query), (2, ref, ref), (3, "", query), (4, ref, "")] for v in variants(r, q))
+
+
+# --- knowledge gaps ------------------------------------------------------------------------------------------------------------
+
+
+def plain_gaps(sample, reported, outbreaks, transmission):
+    told = sorted((r for r in reported if r[0] is not None and r[0] == sample["sample_id"] and r[3]), key=lambda r: r[1:])
+    gaps = list(dict.fromkeys(r[3] for r in told))
+    gaps += [gap for c, gap in E.RECORD_GAPS if not str(sample[c] or "").strip()]
+    gaps += [gap for gap, known in ((E.NO_OUTBREAKS, outbreaks), (E.NO_TRANSMISSION, transmission)) if sample["species_id"] not in known or sample["species_id"] is None]
+    if not sample["tree_file"] and not sample["placement"]:
+        gaps.append(E.NO_TREE)
+    elif not sample["time_scaled_tree"]:
+        gaps.append(E.NO_TIMES)
+    return gaps + [E.NO_REFERENCE] * (not sample["closest_reference"])
+
+
+def test_gap_report_matches_plain_loop(spark):
+    """Nulls and blanks in any column, repeated and equal gaps, one hot sample, equal sample rows, an analysis that says a gap of the record."""
+    rng = random.Random(9)
+    names = ["sample_id", "species_id", "collection_date", "country", "suspected_exposure", "travel_history", "tree_file", "placement", "time_scaled_tree", "closest_reference"]
+    some = lambda *of: rng.choice([None, "", " ", *of, *of])
+    rows = [(None if i == 7 else f"s{i % 50}", some("a", "b", "c"), *[some("x", "y") for _ in names[2:]]) for i in range(60)]
+    reported = [(None if i % 97 == 0 else "s3" if i % 2 else f"s{rng.randrange(60)}", rng.randrange(4), some("p", "q") or "", some("g1", "g2", "g3", E.RECORD_GAPS[0][1])) for i in range(600)]
+    schema = ", ".join(f"{n} string" for n in names)
+    of = lambda xs: spark.createDataFrame([(x,) for x in xs], "species_id string")
+    samples, told = spark.createDataFrame(rows, schema), spark.createDataFrame(reported, "sample_id string, analysis int, place string, gap string")
+    got = E.gap_report(samples, told, of(["a", "a", None, ""]), of(["b"])).collect()
+    want = [(r[0], plain_gaps(dict(zip(names, r, strict=True)), reported, {"a", ""}, {"b"})) for r in rows]
+    assert sorted(((r["sample_id"], r["gaps"]) for r in got), key=repr) == sorted(want, key=repr)
+    assert all(r["gap_count"] == len(r["gaps"]) and r["summary"] == f"Knowledge gaps: {len(r['gaps'])} cross-cutting gaps identified." for r in got)
+    assert E.gap_report(samples.where("false"), told, of([]), of([])).count() == 0
+    assert E.gap_report(samples, told.where("false"), of([]), of([])).count() == 60
