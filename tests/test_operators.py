@@ -197,3 +197,18 @@ def test_streams(spark, sf_dir, tmp_path):
     q = windowed_counts(events).writeStream.format("memory").queryName("counts").outputMode("append").option("checkpointLocation", f"{tmp_path}/cp2").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.table("counts").count() > 0
+
+
+def test_spread_join_cuts_heavy_keys(spark, monkeypatch):
+    """Two keys of many rows, one of them null: the pairs of an ordinary join, inner and left, dealt to more tasks than there are keys."""
+    from helixlake.operators import joins
+
+    monkeypatch.setattr(joins, "PAIRS", 50)
+    monkeypatch.setattr(joins, "TASK_PAIRS", 100)
+    left = spark.range(120).selectExpr("if(id % 7 = 0, null, if(id < 100, 'a', cast(id as string))) as k", "id as x")
+    right = spark.range(60).selectExpr("if(id % 9 = 0, null, if(id < 50, 'a', cast(id + 60 as string))) as k", "id as y")
+    for how in ("inner", "left"):
+        got, want = joins.spread(left, right, ["k"], how), left.join(right, "k", how)
+        assert sorted(map(tuple, got.select("k", "x", "y").collect()), key=str) == sorted(map(tuple, want.select("k", "x", "y").collect()), key=str)
+    assert joins.spread(left, right, ["k"]).where("k = 'a'").groupBy(F.spark_partition_id()).count().count() > 4
+    assert joins.spread(left, right.where("false"), ["k"], "left").count() == 120
