@@ -153,12 +153,12 @@ def phenotype_geo_temporal(profile: DataFrame, associations: DataFrame) -> DataF
     counted = lambda *more: profile.groupBy(*keys, *more).agg(F.max("collection_region").alias("region"), *_counts(), F.min("collection_date").alias("first_seen"), F.max("collection_date").alias("last_seen"))
     a = associations.where("association_id is not null").select(*SCOPE, "association_id", F.col("protein").alias("a_gene"), F.col("position").alias("a_position"), F.col("alt_aa").alias("a_alt"), F.col("lineage_id").alias("a_lineage"))
     other = ~F.coalesce(F.col("a_lineage") == F.col("lineage_id"), F.lit(False))
-    whole, single = counted(), counted("position", "alt_aa")
-    scope = lambda left, *on: left.join(a, [*[left[c] == a[c] for c in SCOPE], *on]).drop(*[a[c] for c in SCOPE])
+    whole, single = stored(counted(), "geo-genes"), stored(counted("position", "alt_aa"), "geo-mutations")
+    of = lambda **keys: a.where(" and ".join(f"{c} is not null" for c in keys.values())).withColumns({k: F.col(c) for k, c in keys.items()})
     rows = [
-        scope(whole, F.col("lineage_id") == F.col("a_lineage")),
-        scope(whole, F.col("gene") == F.col("a_gene")).where(F.col("a_position").isNull() & other),
-        scope(single, F.col("gene") == F.col("a_gene"), F.col("position") == F.col("a_position"), F.col("alt_aa") == F.col("a_alt")).where(other),
+        spread(whole, of(lineage_id="a_lineage"), [*SCOPE, "lineage_id"]),
+        spread(whole, of(gene="a_gene").where("a_position is null"), [*SCOPE, "gene"]).where(other),
+        spread(single, of(gene="a_gene", position="a_position", alt_aa="a_alt"), [*SCOPE, "gene", "position", "alt_aa"]).where(other),
     ]
     columns = [*SCOPE, "association_id", *[c for c in whole.columns if c not in SCOPE]]
     return reduce(DataFrame.unionByName, [r.select(*columns) for r in rows])
