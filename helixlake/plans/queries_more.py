@@ -122,7 +122,8 @@ def J07_two_left_joins(spark, sf_dir):
     d = Domain(spark, sf_dir)
     m = d.raw("part").select(F.col("p_partkey").alias("mutation_id"), F.col("p_brand").alias("gene"), F.col("p_size").alias("position"))
     a = d.associations.select(F.col("protein").alias("gene"), "position", "association_id")
-    return m.join(a, ["gene", "position"], "left").join(d.gene_function.where("species_id = 'ASIA'").select("gene", "protein_name"), "gene", "left").select("mutation_id", "association_id", "protein_name")
+    named = m.join(F.broadcast(d.gene_function.where("species_id = 'ASIA'").select("gene", "protein_name")), "gene", "left")  # a row a gene, met before rows multiply
+    return J.spread(named, a, ["gene", "position"], "left").select("mutation_id", "association_id", "protein_name")
 
 
 @query(f"WITH {PV}, {GP} SELECT genome_accession, hgvs_p, association_id FROM pv JOIN gp ON gp.protein = pv.gene AND gp.position = pv.position AND gp.alt_aa = pv.alt_aa")
