@@ -150,7 +150,7 @@ def J14_notation_bridge(spark, sf_dir):
     """p.A5V on one side, p.Ala5Val on the other: both are brought to (gene, ref, position, alt) once and joined on that."""
     p = Domain(spark, sf_dir).raw("part")
     side = lambda rest, text, name: p.where(f"p_partkey % 2 = {rest}").select(F.col("p_partkey").alias(name), F.col("p_brand").alias("gene"), S.parse_protein_change(F.expr(text)).alias("m")).select(name, "gene", "m.*")
-    return side(0, "concat('p.A', p_size, 'V')", "a").join(side(1, "concat('p.Ala', p_size, 'Val')", "b"), ["gene", "ref", "position", "alt"]).select("a", "b")
+    return J.spread(side(0, "concat('p.A', p_size, 'V')", "a"), side(1, "concat('p.Ala', p_size, 'Val')", "b"), ["gene", "ref", "position", "alt"]).select("a", "b")
 
 
 @query("SELECT c_custkey, c_mktsegment AS lineage_id FROM customer WHERE c_custkey % 3 <> 2")
