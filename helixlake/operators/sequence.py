@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import dealt
+
 # The standard genetic code, codons in order of T, C, A, G.
 AMINO_ACIDS = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODONS = {a + b + c: AMINO_ACIDS[16 * i + 4 * j + k] for i, a in enumerate("TCAG") for j, b in enumerate("TCAG") for k, c in enumerate("TCAG")}
+#: Rows that a Python task walks, and pairs whose variants a worker remembers.
+ROWS, REMEMBERED = 2_000, 512
 OPEN, EXTEND, MATCH, MISMATCH = -10.0, -0.5, 1.0, 0.0
 MIN_LENGTH, MAX_UNKNOWN = 10, 0.5
 
@@ -76,15 +81,24 @@ def variants(ref: str, query: str) -> list[tuple[int, str, str, str]]:
     return out
 
 
+@lru_cache(REMEMBERED)
+def known_variants(ref: str, query: str) -> tuple[tuple[int, str, str, str], ...]:
+    """variants(); a pair is aligned once while a worker remembers it."""
+    return tuple(variants(ref, query))
+
+
 def call_variants(pairs: DataFrame) -> DataFrame:
-    """(genome_accession, gene, ref, query) -> genome_accession, gene, position, ref_aa, alt_aa, variant_type."""
+    """(genome_accession, gene, ref, query) -> genome_accession, gene, position, ref_aa, alt_aa, variant_type.
+
+    Pairs are dealt to tasks first, as a small file is one task whatever it costs to align what it holds.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(x.genome_accession, x.gene, *v) for x in b.itertuples() for v in variants(x.ref or "", x.query or "")]
+            rows = [(x.genome_accession, x.gene, *v) for x in b.itertuples() for v in known_variants(x.ref or "", x.query or "")]
             yield pd.DataFrame(rows, columns=["genome_accession", "gene", "position", "ref_aa", "alt_aa", "variant_type"])
 
-    return pairs.select("genome_accession", "gene", "ref", "query").mapInPandas(run, "genome_accession string, gene string, position int, ref_aa string, alt_aa string, variant_type string")
+    return dealt(pairs.select("genome_accession", "gene", "ref", "query"), ROWS).mapInPandas(run, "genome_accession string, gene string, position int, ref_aa string, alt_aa string, variant_type string")
 
 
 def residue_differences(ref: Column, query: Column) -> Column:

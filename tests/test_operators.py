@@ -212,3 +212,14 @@ def test_spread_join_cuts_heavy_keys(spark, monkeypatch):
         assert sorted(map(tuple, got.select("k", "x", "y").collect()), key=str) == sorted(map(tuple, want.select("k", "x", "y").collect()), key=str)
     assert joins.spread(left, right, ["k"]).where("k = 'a'").groupBy(F.spark_partition_id()).count().count() > 4
     assert joins.spread(left, right.where("false"), ["k"], "left").count() == 120
+
+
+def test_equal_pairs_are_aligned_once(spark):
+    """A file of one task is dealt to several, and a worker aligns equal pairs once."""
+    Q.known_variants.cache_clear()
+    ref, query = "ACDEFGHIKLMNPQRSTVWY", "ACDEFGHIKLMNPQRSTVWA"
+    assert Q.known_variants(ref, query) == Q.known_variants(ref, query) == ((20, "Y", "A", "substitution"),) and Q.known_variants.cache_info().misses == 1
+    pairs = spark.range(9).coalesce(1).selectExpr("cast(id as string) as genome_accession", "'G' as gene", f"'{ref}' as ref", f"'{query}' as query")
+    out = Q.call_variants(pairs)
+    assert out.select(F.spark_partition_id().alias("p"), "genome_accession").groupBy("p").count().count() > 1
+    assert sorted(map(tuple, out.collect())) == [(str(i), "G", 20, "Y", "A", "substitution") for i in range(9)]
