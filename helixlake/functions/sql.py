@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from ..operators.sequence import variants
+from ..operators.sequence import known_variants
 
 # SQL bodies are expanded where they are called, so they are planned as any other expression.
 _RESIDUE = "CASE WHEN length({0}) = 1 THEN upper({0}) ELSE element_at(map({1}), lower({0})) END"
 _PATTERN = r"^p[.]([A-Za-z]{3}|[A-Z*])([0-9]+)([A-Za-z]{3}|[A-Z*])$"
 
 
-@udtf(returnType="position int, ref_aa string, alt_aa string, variant_type string", useArrow=True)
+@udtf(returnType="position int, ref_aa string, alt_aa string, variant_type string")
 class CallVariants:
     """The rows by which a protein differs from its reference; for LATERAL joins."""
 
     def eval(self, ref: str, query: str):
-        yield from variants(ref or "", query or "")
+        yield from known_variants(ref or "", query or "")
 
 
 def register(spark: SparkSession) -> None:
