@@ -131,7 +131,10 @@ def identity(a: str, b: str, offsets: tuple[int, ...] = (-30, -10, -3, 0, 3, 10,
 
 
 def best_genes(genomes: DataFrame, proteins: DataFrame, least: float = 0.25, length: int = 150) -> DataFrame:
-    """(genome_accession, species_id, dna) x (species_id, gene, protein) -> genome_accession, gene, protein, score: the best frame of each gene."""
+    """(genome_accession, species_id, dna) x (species_id, gene, protein) -> genome_accession, gene, protein, score: the best frame of each gene.
+
+    Genomes are dealt to tasks of ROWS, and of a batch's pairs only the best of each gene go on to be sorted.
+    """
 
     def frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -139,11 +142,13 @@ def best_genes(genomes: DataFrame, proteins: DataFrame, least: float = 0.25, len
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(score=[identity(x, y) for x, y in zip(b["frame"], b["protein"], strict=True)])[["genome_accession", "gene", "frame", "score"]]
+            out = b.assign(score=[identity(x, y) for x, y in zip(b["frame"], b["protein"], strict=True)])
+            out = out[out["score"] > least].sort_values(["score", "frame"]).drop_duplicates(["genome_accession", "gene"], keep="last")
+            yield out[["genome_accession", "gene", "frame", "score"]]
 
-    found = genomes.select("genome_accession", "species_id", "dna").mapInPandas(frames, "genome_accession string, species_id string, frame string")
+    found = dealt(genomes.select("genome_accession", "species_id", "dna"), ROWS).mapInPandas(frames, "genome_accession string, species_id string, frame string")
     pairs = found.join(proteins.select("species_id", "gene", "protein"), "species_id").select("genome_accession", "gene", "frame", "protein")
-    out = pairs.mapInPandas(scored, "genome_accession string, gene string, frame string, score double").where(F.col("score") > least)
+    out = pairs.mapInPandas(scored, "genome_accession string, gene string, frame string, score double")
     return out.groupBy("genome_accession", "gene").agg(F.max(F.struct("score", "frame")).alias("m")).select("genome_accession", "gene", F.col("m.frame").alias("protein"), F.col("m.score").alias("score"))
 
 
