@@ -85,7 +85,8 @@ def build(docs: DataFrame, key: str, text: str) -> Index:
     # Distinct words may be many, and a word may be in a third of all documents: the words are dealt with salt.
     salts = 16
     salted = stems.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    pairs = said.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(salted, ["w", "salt"]).select("term", "id").distinct()
+    # The stems are a small file that is 16 times as many rows: by its size alone it would be broadcast, through the driver.
+    pairs = said.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).join(salted.hint("merge"), ["w", "salt"]).select("term", "id").distinct()
     # Chunks by ranges of ids' hashes: of about CHUNK documents, whatever the ids are.
     counted = stored(pairs, "text-pairs")
     terms = stored(counted.groupBy("term").agg(F.count(F.lit(1)).alias("documents")), "text-terms")
