@@ -344,6 +344,18 @@ def test_matching_takes_the_first_way(spark):
     }
 
 
+def test_matched_pairs_are_not_grouped_again(spark):
+    """Pairs of unique ids are made once, by no aggregation over them; an id of several associations still comes once, by its first way."""
+    v = spark.createDataFrame([("s", "sp", "g", 5, "A", "V", "site"), ("s", "sp", "g", 5, "K", "V", "site"), ("s", "sp", "g", 6, "A", "V", None)], "sample_id string, species_id string, gene string, position int, ref_aa string, alt_aa string, domain string")
+    of = lambda *rows: spark.createDataFrame(list(rows), "association_id string, species_id string, protein string, position int, alt_aa string, description string, notation string")
+    one, two, three = ("x", "sp", "g", 5, "V", None, "p.Ala6Val"), ("y", "sp", "g", None, None, "motif: site", "p.Ala5Val"), ("z", "sp", "g", None, None, None, "p.Ala6Val")
+    found = E.match_phenotypes(v, of(one, two, three))
+    assert sorted(map(tuple, found.collect())) == [("s", "x", "exact"), ("s", "y", "motif"), ("s", "z", "notation")]
+    assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+    again = E.match_phenotypes(v, of(one, ("x", "sp", "g", None, None, None, None), ("z", "sp", "g", None, None, "motif: site", None), three))
+    assert sorted(map(tuple, again.collect())) == [("s", "x", "exact"), ("s", "z", "motif")]
+
+
 def test_places_in_the_mutation_profile(spark):
     calls = [("s", "L", "g", 1, "A", "A"), ("s", "L", "g", 2, "A", "V"), ("s", "M", "G", 2, "A", "v"), ("s", "L", "g", 3, "A", "V"), ("s", None, "g", 2, "A", "V"), ("s", "L", None, 2, "A", "V"), ("s", "L", "g", None, "A", "V"), ("s", "L", "g", 4, "A", "V")]
     known = [("g", 2, "V", ["L"]), ("g", 4, "V", None)]
