@@ -59,7 +59,7 @@ def K17_metrics_long(spark, sf_dir):
 @query(f"WITH {PROFILE} SELECT DISTINCT id, kind FROM (SELECT hgvs_p AS id, 'variant' AS kind FROM profile UNION ALL SELECT variant_type, 'phenotype' FROM profile UNION ALL SELECT lineage_id, 'lineage' FROM profile UNION ALL SELECT collection_country, 'outbreak' FROM profile) WHERE id IS NOT NULL")
 def K20_network_nodes(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    rows = V.variant_profile(d.calls, d.genomes).select(F.col("hgvs_p").alias("variant"), F.col("variant_type").alias("phenotype"), F.col("lineage_id").alias("lineage"), F.col("collection_country").alias("outbreak"))
+    rows = V.variant_profile(d.calls, d.genomes, d.tasks).select(F.col("hgvs_p").alias("variant"), F.col("variant_type").alias("phenotype"), F.col("lineage_id").alias("lineage"), F.col("collection_country").alias("outbreak"))
     return E.network(rows)[0]
 
 
@@ -94,7 +94,7 @@ SELECT genome_accession AS sample_id, gm.lineage_id, array_to_string(coalesce(m.
 def J19_harmonised(spark, sf_dir):
     """Evidence per sample; a lineage without outbreaks of its own gets all of them."""
     d = Domain(spark, sf_dir)
-    v = V.variant_profile(d.calls, d.genomes).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
+    v = V.variant_profile(d.calls, d.genomes, d.tasks).where("lineage_id is not null").select(F.col("genome_accession").alias("sample_id"), "lineage_id", "hgvs_p", F.col("variant_type").alias("phenotype_key"))
     p = v.select("phenotype_key").distinct().withColumn("phenotype", F.concat(F.lit("P:"), "phenotype_key"))
     o = d.genomes.where("lineage_id is not null and lineage_id <> 'BUILDING' and collection_country is not null").select(F.col("collection_country").alias("outbreak"), "lineage_id").distinct()
     samples, lists = E.harmonise(v, p, o)
@@ -241,8 +241,9 @@ def E21_gap_report(spark, sf_dir):
 @query(f"WITH {PROFILE}, c AS (SELECT species_id, hgvs_p, variant_type, count(DISTINCT genome_accession) AS genome_count, min(collection_date) AS first_seen FROM profile GROUP BY 1, 2, 3) SELECT genome_accession, species_id, hgvs_p, variant_type, genome_count, first_seen FROM profile JOIN c USING (species_id, hgvs_p, variant_type)")
 def E26_enrichment(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    p = V.variant_profile(d.calls, d.genomes)
+    p = V.variant_profile(d.calls, d.genomes, d.tasks)
     keys = ["species_id", "hgvs_p", "variant_type"]
+    p = J.hashed(p.select("genome_accession", *keys, "collection_date"), d.tasks, *keys)
     known = p.groupBy(*keys).agg(F.count_distinct("genome_accession").alias("genome_count"), F.min("collection_date").alias("first_seen"))
     return p.join(known, keys, "left").select("genome_accession", *keys, "genome_count", "first_seen")
 

@@ -12,6 +12,7 @@ from helixlake.plans import registry
 
 #: Queries over calls, and the shuffles that each of them deals by number beside those of the joins to genomes.
 OVER_CALLS = {
+    "E26_enrichment": 1,
     "K02_incremental_catalogue": 2,
 }
 
