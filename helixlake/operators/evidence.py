@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import parse_protein_change
 from ..schemas import RISK_TIERS, rank_of
 from ..sources.sinks import stored
-from .joins import spread
+from .joins import met, spread
 
 
 @dataclass(frozen=True)
@@ -329,12 +329,12 @@ def match_phenotypes(variants: DataFrame, associations: DataFrame) -> DataFrame:
     return ways.select("sample_id", "association_id", F.get(F.array(*map(F.lit, named)), F.col("i")).alias("way"))
 
 
-def intervention_findings(observed: DataFrame, associations: DataFrame, categories: tuple[str, ...], most: int = 5) -> DataFrame:
-    """Per sample and intervention category: how many associated variants it has and lacks, and the first ones it has."""
+def intervention_findings(observed: DataFrame, associations: DataFrame, categories: tuple[str, ...], most: int = 5, tasks: int | None = None) -> DataFrame:
+    """Per sample and intervention category: how many associated variants it has and lacks, and the first ones it has. Samples stay where they are, if known variants can be broadcast."""
     keys = ["gene", "position", "alt_aa"]
     known = associations.where(F.col("phenotype_category").isin(*categories)).select(F.col("protein").alias("gene"), "position", "alt_aa", "phenotype_category").distinct()
     total = known.groupBy("phenotype_category").agg(F.count(F.lit(1)).alias("known"))
-    hits = observed.select("sample_id", *keys).distinct().join(known, keys)
+    hits = met(observed.select("sample_id", *keys).distinct(), known, keys, tasks)
     per = hits.groupBy("sample_id", "phenotype_category").agg(F.count(F.lit(1)).alias("present"), F.slice(F.array_sort(F.collect_set(F.concat_ws(":", *keys))), 1, most).alias("first"))
     return per.join(F.broadcast(total), "phenotype_category").select("sample_id", "phenotype_category", "present", (F.col("known") - F.col("present")).alias("absent"), F.array_join("first", ",").alias("first"))
 
