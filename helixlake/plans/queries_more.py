@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def _profile(d: Domain):
-    return V.variant_profile(d.calls, d.genomes)
+    return V.variant_profile(d.calls, d.genomes, d.tasks)
 
 
 # --- sources and predicates -------------------------------------------------------------------------------------------
@@ -331,9 +331,10 @@ def X23_validation(spark, sf_dir):
 SELECT sample_id, a, b, count(*) OVER (PARTITION BY a, b) AS seen_together FROM p""")
 def E01_cooccurrence_history(spark, sf_dir):
     """Pairs of a sample's mutations, with the number of samples that have both."""
-    once = Domain(spark, sf_dir).calls.select(F.col("genome_accession").alias("sample_id"), "hgvs_p").distinct()
+    d = Domain(spark, sf_dir)
+    once = d.calls.select(F.col("genome_accession").alias("sample_id"), "hgvs_p").distinct()
     pairs = once.withColumnRenamed("hgvs_p", "a").join(once.withColumnRenamed("hgvs_p", "b"), "sample_id").where("a < b")
-    return pairs.withColumn("seen_together", F.count(F.lit(1)).over(W.partitionBy("a", "b")))
+    return J.hashed(pairs, d.tasks, "a", "b").withColumn("seen_together", F.count(F.lit(1)).over(W.partitionBy("a", "b")))
 
 
 @query("SELECT c_custkey AS sample_id, 'genetic_relatedness' AS analysis, CASE WHEN c_custkey % 7 = 0 THEN 'no_relatedness' WHEN c_custkey % 12 <= 5 THEN 'close_genetic_match' ELSE 'genetic_relatedness_summary' END AS finding_type, CASE WHEN c_custkey % 7 = 0 THEN 'low' WHEN c_custkey % 12 <= 5 THEN 'high' ELSE 'medium' END AS confidence FROM customer")
