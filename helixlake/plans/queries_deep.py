@@ -165,9 +165,9 @@ LEFT JOIN lc ON lc.species_id = s.species_id AND lc.lineage_id = s.lineage_id AN
 def E30_layered_lookup(spark, sf_dir):
     """All layers of a sample query for all samples: the mutation, its lineage, lineage and country, country, year, species and gene, counted in one pass."""
     d = Domain(spark, sf_dir)
-    grains = sinks.stored(V.layers(d.calls, d.genomes), "layers")
+    grains = sinks.stored(V.layers(d.calls, d.genomes, d.tasks), "layers")
     of = lambda grain, name, *more: grains.where(F.col("grain") == grain).select("species_id", *V.GRAINS[grain], F.col("genomes").alias(name), *more)
-    s = V.variant_profile(d.calls, d.genomes).select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "collection_country", "collection_year", "gene", "hgvs_p", "variant_type").distinct()
+    s = V.variant_profile(d.calls, d.genomes, d.tasks).select(F.col("genome_accession").alias("sample_id"), "species_id", "lineage_id", "collection_country", "collection_year", "gene", "hgvs_p", "variant_type").distinct()
     out = s.join(of("mutation", "genomes", "first_seen", "last_seen"), ["species_id", "hgvs_p", "variant_type"]).join(of("species", "species_genomes"), "species_id")
     for grain, name in (("lineage", "lineage_genomes"), ("lineage_country", "lineage_in_country"), ("country", "country_genomes"), ("year", "year_genomes")):
         out = out.join(of(grain, name), ["species_id", *V.GRAINS[grain]], "left")  # a grain has as many rows as it has keys, few against the calls
@@ -206,7 +206,7 @@ z AS (SELECT s.*, CASE WHEN ref_aa = alt_aa THEN 'synonymous' WHEN k.gene IS NUL
 
 def _placed(d: Domain):
     """All calls against a catalogue of a third of the genomes."""
-    p = V.variant_profile(d.calls, d.genomes)
+    p = V.variant_profile(d.calls, d.genomes, d.tasks)
     known = p.where("cast(genome_accession as bigint) % 3 = 0").groupBy("gene", "position", "alt_aa").agg(F.collect_set("lineage_id").alias("lineage_ids"))
     keys = ["gene", "position", "alt_aa"]
     matched = d.associations.where("position is not null and protein is not null").groupBy(F.col("protein").alias("gene"), "position", "alt_aa").agg(F.count(F.lit(1)).alias("phenotypes"))

@@ -14,7 +14,7 @@ LISTED = "array_to_string(list_sort(list_distinct(list({c}) FILTER ({c} IS NOT N
 
 
 def _profile(d: Domain):
-    return V.variant_profile(d.calls, d.genomes)
+    return V.variant_profile(d.calls, d.genomes, d.tasks)
 
 
 def J01_variant_profile(spark, sf_dir):
@@ -22,7 +22,8 @@ def J01_variant_profile(spark, sf_dir):
 
 
 def A01_mutation_surveillance(spark, sf_dir):
-    return V.mutation_surveillance(_profile(Domain(spark, sf_dir)))
+    d = Domain(spark, sf_dir)
+    return V.mutation_surveillance(_profile(d), d.tasks)
 
 
 def A02_mutation_geography(spark, sf_dir):
@@ -31,12 +32,13 @@ def A02_mutation_geography(spark, sf_dir):
 
 
 def A03_mutation_trends(spark, sf_dir):
-    return V.mutation_trends(_profile(Domain(spark, sf_dir)))
+    d = Domain(spark, sf_dir)
+    return V.mutation_trends(_profile(d), d.tasks)
 
 
 def A04_mutation_frequency(spark, sf_dir):
     d = Domain(spark, sf_dir)
-    return V.mutation_frequency(_profile(d), d.genomes)
+    return V.mutation_frequency(_profile(d), d.genomes, d.tasks)
 
 
 def A05_species_summary(spark, sf_dir):
@@ -44,11 +46,13 @@ def A05_species_summary(spark, sf_dir):
 
 
 def A06_lineage_breakdown(spark, sf_dir):
-    return V.lineage_breakdown(_profile(Domain(spark, sf_dir)))
+    d = Domain(spark, sf_dir)
+    return V.lineage_breakdown(_profile(d), d.tasks)
 
 
 def A07_lineage_surveillance(spark, sf_dir):
-    return V.lineage_surveillance(_profile(Domain(spark, sf_dir)))
+    d = Domain(spark, sf_dir)
+    return V.lineage_surveillance(_profile(d), d.tasks)
 
 
 def A08_position_variants(spark, sf_dir):
@@ -77,7 +81,7 @@ def A10_phenotype_geo_temporal(spark, sf_dir):
 
 
 def _catalogue(d: Domain):
-    return V.catalogue(_profile(d), d.genomes)
+    return V.catalogue(_profile(d), d.genomes, d.tasks)
 
 
 def A11_variant_catalogue(spark, sf_dir):
@@ -113,7 +117,7 @@ def K12_partitioned_view(spark, sf_dir):
     from ..sources.sinks import materialised_view
 
     d = Domain(spark, sf_dir)
-    view = materialised_view(V.mutation_trends(_profile(d)), "mv_mutation_trends", partition="species_id", order=["gene", "position", "alt_aa"])
+    view = materialised_view(V.mutation_trends(_profile(d), d.tasks), "mv_mutation_trends", partition="species_id", order=["gene", "position", "alt_aa"])
     return view.where("species_id = 'ASIA'")
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.joins import spread
+from ..operators.joins import hashed, spread
+from ..operators.upserts import seen_of
 from ..schemas import MUTATION, SCOPE
 from ..sources.sinks import stored
 
@@ -30,17 +31,25 @@ def distinct_sorted_with_null(c: str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array(c)))))
 
 
-def variant_profile(calls: DataFrame, genomes: DataFrame) -> DataFrame:
-    """Calls with what is known of their genomes: one equi-join, both sides hashed on the genome."""
-    return calls.join(genomes, [*SCOPE, "genome_accession"])
+def variant_profile(calls: DataFrame, genomes: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Calls with what is known of their genomes: one equi-join, both sides hashed on the genome (to so many tasks, if given)."""
+    genome = [*SCOPE, "genome_accession"]
+    return hashed(calls, tasks, *genome).join(hashed(genomes, tasks, *genome), genome)
 
 
 def _counts() -> list[Column]:
     return [F.count_distinct("genome_accession").alias("genome_count"), F.count(F.lit(1)).alias("variant_observations")]
 
 
-def mutation_surveillance(profile: DataFrame) -> DataFrame:
-    return profile.groupBy(*MUTATION, "collection_year", *COUNTRY).agg(*_counts())
+def _counted(profile: DataFrame, tasks: int | None, *more: str) -> DataFrame:
+    """_counts() by mutation and more columns: calls are counted by genome where the genome is, then dealt by the mutation to so many tasks."""
+    keys = [*MUTATION, *more]
+    once = profile.groupBy(*keys, "genome_accession").agg(F.count(F.lit(1)).alias("_n"))
+    return hashed(once, tasks, *keys).groupBy(*keys).agg(F.count("genome_accession").alias("genome_count"), F.sum("_n").alias("variant_observations"))
+
+
+def mutation_surveillance(profile: DataFrame, tasks: int | None = None) -> DataFrame:
+    return _counted(profile, tasks, "collection_year", *COUNTRY)
 
 
 def mutation_geography(profile: DataFrame) -> DataFrame:
@@ -51,22 +60,22 @@ def mutation_geography(profile: DataFrame) -> DataFrame:
     )
 
 
-def mutation_trends(profile: DataFrame) -> DataFrame:
-    return profile.groupBy(*MUTATION, "collection_year").agg(*_counts())
+def mutation_trends(profile: DataFrame, tasks: int | None = None) -> DataFrame:
+    return _counted(profile, tasks, "collection_year")
 
 
-def mutation_frequency(profile: DataFrame, genomes: DataFrame) -> DataFrame:
+def mutation_frequency(profile: DataFrame, genomes: DataFrame, tasks: int | None = None) -> DataFrame:
     """A mutation's share of genomes by country and in the species. Rows without country drop out with the equi-join.
 
     Calls are reduced to distinct (mutation, country, genome) once; both numerators are counts over that.
     """
-    once = profile.select(*MUTATION, *COUNTRY, "genome_accession").distinct()
+    once = hashed(profile.select(*MUTATION, *COUNTRY, "genome_accession").distinct(), tasks, *MUTATION)
     by_country = once.groupBy(*MUTATION, *COUNTRY).agg(F.count(F.lit(1)).alias("country_genome_count"))
     # A genome has one country, so the distinct genomes of the species are the sum over countries.
     whole = by_country.withColumn("global_genome_count", F.sum("country_genome_count").over(W.partitionBy(*MUTATION)))
     species = genomes.groupBy(*SCOPE).agg(F.count(F.lit(1)).alias("species_total_genomes"))
     country = genomes.groupBy(*SCOPE, *COUNTRY).agg(F.count(F.lit(1)).alias("country_total_genomes"))
-    out = whole.join(country, [*SCOPE, *COUNTRY]).join(species, SCOPE)
+    out = whole.join(F.broadcast(country), [*SCOPE, *COUNTRY]).join(F.broadcast(species), SCOPE)  # as few rows as there are countries
     return out.withColumns({
         "country_frequency": ratio(F.col("country_genome_count"), F.col("country_total_genomes")),
         "global_frequency": ratio(F.col("global_genome_count"), F.col("species_total_genomes")),
@@ -77,12 +86,12 @@ def species_summary(genomes: DataFrame) -> DataFrame:
     return genomes.groupBy(*SCOPE, "collection_year", *COUNTRY).agg(F.count(F.lit(1)).alias("total_genomes"), F.min("collection_date").alias("earliest_date"), F.max("collection_date").alias("latest_date"))
 
 
-def lineage_breakdown(profile: DataFrame) -> DataFrame:
-    return profile.where("lineage_id is not null").groupBy(*MUTATION, "lineage_id").agg(*_counts())
+def lineage_breakdown(profile: DataFrame, tasks: int | None = None) -> DataFrame:
+    return _counted(profile.where("lineage_id is not null"), tasks, "lineage_id")
 
 
-def lineage_surveillance(profile: DataFrame) -> DataFrame:
-    return profile.where("lineage_id is not null").groupBy(*MUTATION, "lineage_id", "collection_year", *COUNTRY).agg(*_counts())
+def lineage_surveillance(profile: DataFrame, tasks: int | None = None) -> DataFrame:
+    return _counted(profile.where("lineage_id is not null"), tasks, "lineage_id", "collection_year", *COUNTRY)
 
 
 def position_variants(profile: DataFrame) -> DataFrame:
@@ -164,14 +173,11 @@ def phenotype_geo_temporal(profile: DataFrame, associations: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, [r.select(*columns) for r in rows])
 
 
-def catalogue(profile: DataFrame, genomes: DataFrame) -> DataFrame:
+def catalogue(profile: DataFrame, genomes: DataFrame, tasks: int | None = None) -> DataFrame:
     """The aggregate grain: one row per distinct variant, with its genomes, dates, countries and lineages."""
     total = genomes.groupBy(*SCOPE).agg(F.count(F.lit(1)).alias("species_total_genomes"))
-    rows = profile.groupBy(*MUTATION).agg(
-        F.count_distinct("genome_accession").alias("genome_count"), F.min("collection_date").alias("first_seen_date"), F.max("collection_date").alias("last_seen_date"),
-        distinct_sorted("collection_country").alias("countries_seen"), distinct_sorted("lineage_id").alias("lineage_ids"),
-    )
-    return rows.join(total, SCOPE).withColumn("global_frequency", ratio(F.col("genome_count"), F.col("species_total_genomes")))
+    rows = seen_of(profile, tasks).withColumnsRenamed({"first": "first_seen_date", "last": "last_seen_date", "countries": "countries_seen", "lineages": "lineage_ids"})
+    return rows.join(F.broadcast(total), SCOPE).withColumn("global_frequency", ratio(F.col("genome_count"), F.col("species_total_genomes")))
 
 
 def catalogue_with_function(rows: DataFrame, gene_function: DataFrame) -> DataFrame:
@@ -194,14 +200,15 @@ def catalogue_with_phenotype(rows: DataFrame, associations: DataFrame) -> DataFr
 GRAINS = {"mutation": ("hgvs_p", "variant_type"), "lineage": ("lineage_id",), "lineage_country": ("lineage_id", "collection_country"), "country": ("collection_country",), "year": ("collection_year",), "species": ()}
 
 
-def layers(calls: DataFrame, genomes: DataFrame) -> DataFrame:
+def layers(calls: DataFrame, genomes: DataFrame, tasks: int | None = None) -> DataFrame:
     """grain, scope, the keys of all grains (null where a grain hasn't one), genomes, first_seen, last_seen: distinct genomes at every grain.
 
     Calls meet their genome once. There the first row of each genome, and of each mutation in it, is marked, so that a distinct count at any
     grain is a sum, and all grains are sums over one set of rows, added up where they are before one shuffle.
     """
     genome = [*SCOPE, "genome_accession"]
-    rows = genomes.select(*genome, "lineage_id", "collection_country", "collection_year", "collection_date").join(calls.select(*genome, "hgvs_p", "variant_type"), genome, "left")
+    known = hashed(genomes.select(*genome, "lineage_id", "collection_country", "collection_year", "collection_date"), tasks, *genome)
+    rows = known.join(hashed(calls.select(*genome, "hgvs_p", "variant_type"), tasks, *genome), genome, "left")
     first = lambda *more: (F.row_number().over(W.partitionBy(*genome).orderBy("hgvs_p", "variant_type")) == 1) if not more else (F.row_number().over(W.partitionBy(*genome, *more).orderBy("hgvs_p")) == 1)
     rows = rows.withColumn("_head", first().cast("long")).withColumn("_own", (first("hgvs_p", "variant_type") & F.col("hgvs_p").isNotNull()).cast("long"))
     keys = list(dict.fromkeys(k for g in GRAINS.values() for k in g))
