@@ -43,11 +43,19 @@ def _has(text: Column, terms: tuple[str, ...]) -> Column:
 
 
 def first_told(docs: DataFrame, rules: list[tuple[Column, dict]], names: tuple[str, ...], same: tuple[str, ...] | None = None) -> DataFrame:
-    """docs x rules (condition, values) -> names, source_url: rows of the same values (of `same`, by default of all names) once, as the first document and rule tell them."""
+    """docs x rules (condition, values) -> names, source_url: rows of the same values (of `same`, by default of all names) once, as the first document and rule tell them.
+
+    The least ordinal of every value is found first, by a hash of numbers; only documents of these ordinals are read again for the rest, since
+    a least row of texts would have Spark sort all that is told.
+    """
     lit = lambda x: x if isinstance(x, Column) else F.lit(x)
-    rows = [F.when(when, F.struct(F.lit(i).alias("rule"), *[lit(values.get(n)).cast("string").alias(n) for n in names])) for i, (when, values) in enumerate(rules)]
-    told = docs.select("ordinal", "url", F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("r"))
-    first = told.groupBy(*[F.col(f"r.{n}").alias(f"_{n}") for n in same or names]).agg(F.min(F.struct("ordinal", "r.rule", *[f"r.{n}" for n in names], "url")).alias("m"))
+    met = F.array(*[F.when(when, F.lit(i)) for i, (when, _) in enumerate(rules)])
+    said = lambda n: F.coalesce(*[F.when(F.col("rule") == i, lit(values[n]).cast("string")) for i, (_, values) in enumerate(rules) if values.get(n) is not None], F.lit(None).cast("string")).alias(n)
+    told = lambda docs: docs.withColumn("rule", F.explode(met)).where("rule is not null").select("ordinal", "url", F.struct("rule", *map(said, names)).alias("r"))
+    by = [F.col(f"r.{n}").alias(f"_{n}") for n in same or names]
+    at = F.coalesce("ordinal", F.lit(-(2**63)))  # none is before all others
+    least = told(docs).groupBy(*by).agg(F.min(at).alias("_at")).select("_at").distinct()
+    first = told(docs.withColumn("_at", at).join(least, "_at", "left_semi")).groupBy(*by).agg(F.min(F.struct("ordinal", "r.rule", *[f"r.{n}" for n in names], "url")).alias("m"))
     return first.select(*[f"m.{n}" for n in names], F.col("m.url").alias("source_url"))
 
 
@@ -77,7 +85,7 @@ def transmission_parameters(docs: DataFrame) -> DataFrame:
 
 def people(docs: DataFrame) -> DataFrame:
     """Groups of people, exposures, settings, hosts and sexes that reports tell of, with the counts of either sex."""
-    text = F.lower("text")
+    docs, text = docs.withColumn("text", F.lower("text")), F.col("text")
     group = {
         "healthcare_workers": {"occupation": "healthcare worker", "risk_group": "healthcare workers", "risk_factor": "occupational exposure"}, "children": {"age_group": "children", "population_affected": "children"},
         "pregnant_women": {"sex": "female"}, "elderly": {"age_group": "elderly", "population_affected": "elderly"},

@@ -53,3 +53,30 @@ def test_known_rows_are_broadcast_or_hashed(spark, monkeypatch):
     assert sorted(map(tuple, J.met(a, b, ["k"], 3).collect())) == want
     monkeypatch.setattr(J, "HELD_ROWS", 3)
     assert sorted(map(tuple, J.met(a, b, ["k"], 3).collect())) == want
+
+
+def test_first_told_matches_plain_loop(spark, sf_dir):
+    """Ordinals that repeat and are missing, values that vary, rules that tell the same; texts aren't sorted whole, and rows are dealt before they are read."""
+    from pyspark.sql import functions as F
+
+    from helixlake.operators import extraction as X
+
+    rng = random.Random(6)
+    docs = [(rng.choice([None, *range(30)]), f"u{i}", rng.choice([None, "", "1 a", "2 a b", "b", "a 1 b"])) for i in range(90)]
+    df = spark.createDataFrame(docs, "ordinal long, url string, text string")
+    digit = F.regexp_extract("text", r"(\d)", 1)
+    rules = [(F.contains("text", F.lit("a")), {"x": "A", "y": digit}), (F.contains("text", F.lit("b")), {"x": "A", "y": F.lit("1")}), (digit != "", {"y": digit})]
+    for same in (None, ("x",)):
+        want = {}
+        for o, u, t in docs:
+            d = re.search(r"\d", t or "")
+            d = d[0] if d else ""
+            for i, (when, x, y) in enumerate([("a" in (t or ""), "A", d), ("b" in (t or ""), "A", "1"), (d != "", None, d)]):
+                if when:
+                    place = (o is not None, o or 0, i, x is not None, x or "", y, u)
+                    key = (x,) if same else (x, y)
+                    want[key] = min(want.get(key, place), place)
+        got = sorted(map(tuple, X.first_told(df, rules, ("x", "y"), same).collect()), key=str)
+        assert got == sorted(((p[4] if p[3] else None, p[5], p[6]) for p in want.values()), key=str)
+    plan = registry.QUERIES["X04_people"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(o_orderkey#\w+, \d+\), REPARTITION_BY_NUM", plan)
