@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..operators import extraction as X
 from ..operators import mining as M
 from ..operators.joins import hashed
-from ..schemas import SCOPE
+from ..schemas import MUTATION
 from ..sources import sinks
 from ..sources.manifest import Catalogue
 from . import views as V
@@ -188,7 +188,7 @@ def K22_rebuild(spark, sf_dir):
     there = Catalogue(spark, f"{sinks.shared_folder(spark)}/rebuilt-{uuid.uuid4().hex}")
     order = ("gene", "position", "alt_aa")
     there.refresh([("protein_variants", lambda _: V.variant_profile(d.calls, d.genomes, d.tasks))], "species_id", order)
-    there.rebuild("protein_variants", lambda calls: V.catalogue(hashed(calls, d.tasks, *SCOPE, "genome_accession"), d.genomes, d.tasks), "species_id", order)
+    there.rebuild("protein_variants", lambda calls: V.catalogue(hashed(calls, d.tasks, *MUTATION), d.genomes), "species_id", order)
     return there.read("protein_variants").withColumns({c: F.array_join(c, ",") for c in ("countries_seen", "lineage_ids")})
 
 

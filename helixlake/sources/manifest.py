@@ -59,10 +59,10 @@ class Catalogue:
         return self.spark.read.schema(entry["facts"]["schema"]).parquet(entry["path"])
 
     def write(self, df: DataFrame, table: str, partition: str | None = None, order: tuple[str, ...] = ()) -> dict:
-        """Write a table to a folder of its own; nobody sees it until it is published."""
+        """Write a table to a folder of its own; nobody sees it until it is published. Rows are dealt by all of `order`: by its first column, few values would be few tasks."""
         path = f"{self.folder}/tables/{table}/{uuid.uuid4().hex}"
         if partition:
-            df.repartition(partition, *order[:1]).sortWithinPartitions(partition, *order).write.partitionBy(partition).parquet(path)
+            df.repartition(partition, *order).sortWithinPartitions(partition, *order).write.partitionBy(partition).parquet(path)
         else:
             df.write.parquet(path)
         return {"path": path, "facts": {"schema": ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)}}

@@ -80,3 +80,24 @@ def test_first_told_matches_plain_loop(spark, sf_dir):
         assert got == sorted(((p[4] if p[3] else None, p[5], p[6]) for p in want.values()), key=str)
     plan = registry.QUERIES["X04_people"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(o_orderkey#\w+, \d+\), REPARTITION_BY_NUM", plan)
+
+
+def test_a_table_of_few_first_keys_is_written_by_many_tasks(spark, tmp_path):
+    """One partition and one gene: rows still go to all tasks, in order within each file."""
+    from pyspark.sql import functions as F
+
+    from helixlake.sources.manifest import Catalogue
+
+    there = Catalogue(spark, f"file://{tmp_path}/c")
+    rows = spark.range(4000).select(F.lit("s").alias("species_id"), F.lit("G").alias("gene"), (F.col("id") * 7 % 100).alias("position"))
+    aqe = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        there.refresh([("t", lambda _: rows)], "species_id", ("gene", "position"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", aqe)
+    files = list((tmp_path / "c").rglob("*.parquet"))
+    assert len(files) > 1 and there.read("t").count() == 4000
+    for f in files:
+        held = [r[0] for r in spark.read.parquet(str(f)).coalesce(1).select("position").collect()]
+        assert held == sorted(held)
