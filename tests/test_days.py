@@ -48,3 +48,13 @@ def test_pairs_leave_the_join_one_row_at_a_time(spark, sf_dir):
     assert not re.search(r"\*\(\d+\) Generate", outer) and re.search(r"\*\(\d+\) Generate explode\(_b", plan)
     join = plan[plan.index("Join [species_id") :]
     assert "collect_list" in join and not re.search(r"Exchange hashpartitioning\((?!.*REPARTITION_BY_NUM)", join)
+
+
+def test_a_self_join_is_shuffled_by_day_once(spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = registry.QUERIES["J20_window_neighbours"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    by_day = [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\(species_id#\w+, collection_country#\w+, (collection|r)_date#", line)]
+    assert ["ReusedExchange" in line for line in by_day] == [False, True]
