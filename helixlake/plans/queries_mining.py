@@ -359,10 +359,12 @@ def A22_poisson_trend(spark, sf_dir):
 
 @query()
 def Q01_call_variants(spark, sf_dir):
-    """Calls of a protein spelled by a part's name against the same with one residue changed and one left out."""
-    ref = F.rpad(F.upper(F.regexp_replace("p_name", "[^A-Za-z]", "")), 40, "ACDEFGHIKLMNPQRSTVWY")
+    """Calls of a protein spelled by a part's whole name, filled up to 40 residues, against the same with its tenth residue changed and its thirtieth left out."""
+    name = F.upper(F.regexp_replace("p_name", "[^A-Za-z]", ""))
+    ref = F.when(F.length(name) < 40, F.rpad(name, 40, "ACDEFGHIKLMNPQRSTVWY")).otherwise(name)
     rows = Domain(spark, sf_dir).raw("part").select(F.col("p_partkey").cast("string").alias("genome_accession"), F.col("p_brand").alias("gene"), ref.alias("ref"))
-    changed = F.concat(F.substring("ref", 1, 9), F.lit("W"), F.substring("ref", 11, 40))
+    other = F.when(F.substring("ref", 10, 1) == "W", "A").otherwise("W")
+    changed = F.concat(F.substring("ref", 1, 9), other, F.substring("ref", 11, 19), F.expr("substring(ref, 31)"))
     return Q.call_variants(rows.withColumn("query", changed))
 
 
