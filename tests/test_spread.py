@@ -52,3 +52,38 @@ def test_calls_and_associations_meet_as_arrays(spark, sf_dir, monkeypatch, name)
     monkeypatch.setattr(V, "CHUNK", 5)
     got = registry.QUERIES[name](spark, sf_dir)
     assert planned(spark, got).count("inline(_b") >= 2 and key(got) == key(want)
+
+
+def test_a_stored_table_leaves_no_shuffles(spark):
+    import time
+
+    from helixlake.sources import sinks
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+    before, conf = shuffled(), spark.conf.get(sinks.CLEANUP)
+    rows = spark.range(1_000).repartition(3, "id")
+    assert sinks.stored(rows, "shuffled").count() == 1_000 and spark.conf.get(sinks.CLEANUP) == conf
+    kept = spark.range(1_000).repartition(3, "id").groupBy("id").count()  # a reader's own shuffles aren't touched
+    assert kept.count() == 1_000
+    counted = shuffled() - before
+    again = sinks.stored(rows, "shuffled")
+    for _ in range(50):
+        if shuffled() - before <= counted:
+            break
+        time.sleep(0.1)
+    assert shuffled() - before <= counted and again.count() == 1_000
+
+
+@pytest.mark.parametrize("name", ["J08_snapshot", "J12_exact_matches"])
+def test_stored_calls_meet_associations(spark, sf_dir, monkeypatch, name):
+    """Calls are read from one written table, not made again; with small cells the rows are the same."""
+    key = lambda df: sorted(map(str, df.collect()))
+    want = registry.QUERIES[name](spark, sf_dir)
+    assert "lineitem.parquet" not in planned(spark, want) and "l_orderkey" not in planned(spark, want)
+    monkeypatch.setattr(J, "PAIRS", 4)
+    monkeypatch.setattr(J, "TASK_PAIRS", 300)
+    got = registry.QUERIES[name](spark, sf_dir)
+    assert "inline" in planned(spark, got) and key(got) == key(want)
