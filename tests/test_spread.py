@@ -77,9 +77,9 @@ def test_a_stored_table_leaves_no_shuffles(spark):
     assert shuffled() - before <= counted and again.count() == 1_000
 
 
-@pytest.mark.parametrize("name", ["J08_snapshot", "J12_exact_matches"])
+@pytest.mark.parametrize("name", ["J08_snapshot", "J12_exact_matches", "E25_phenotype_matching"])
 def test_stored_calls_meet_associations(spark, sf_dir, monkeypatch, name):
-    """Calls are read from one written table, not made again; with small cells the rows are the same."""
+    """Calls (of E25: samples) are read from one written table, not made again; with small cells the rows are the same."""
     key = lambda df: sorted(map(str, df.collect()))
     want = registry.QUERIES[name](spark, sf_dir)
     assert "lineitem.parquet" not in planned(spark, want) and "l_orderkey" not in planned(spark, want)
@@ -87,3 +87,15 @@ def test_stored_calls_meet_associations(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(J, "TASK_PAIRS", 300)
     got = registry.QUERIES[name](spark, sf_dir)
     assert "inline" in planned(spark, got) and key(got) == key(want)
+
+
+def test_rows_of_a_cell_are_shuffled_once(spark, monkeypatch):
+    """A key that is a literal, and keys that may be null on one side only: the arrays meet where their rows were dealt to."""
+    monkeypatch.setattr(J, "PAIRS", 4)
+    monkeypatch.setattr(J, "TASK_PAIRS", 300)
+    left = spark.range(200).selectExpr("if(id % 9 = 0, null, id % 5) as k", "if(id % 2 = 0, 'O', 'F') as ref", "id as a")
+    right = spark.range(200).selectExpr("id % 5 as k", "'O' as ref", "id as b")
+    plan = planned(spark, J.spread(left, right, ["k", "ref"]))
+    pairs = plan[plan.index("Generate inline(_b") :]
+    join = pairs[pairs.index("Join [") :].splitlines()
+    assert "cast(" not in join[0] and "REPARTITION_BY_NUM" in next(line for line in join if "Exchange hashpartitioning" in line)
